@@ -12,9 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tripmart.operators import enrich, gate as G, staging
+from tripmart.operators import enrich, expect, gate as G, marts as M, staging
+from tripmart.plans import rollup
 from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS
+from tripmart.sources.catalog import publish_table, publish_view
 
 COPIES_COL = "_copies"
 
@@ -53,3 +56,86 @@ def enriched(
         staging.stage_zones(raw_zones),
         max_broadcast_rows=max_broadcast_rows,
     )
+
+
+STATUS_COL = "_gate_status"
+
+
+@dataclass(frozen=True)
+class PublishResult:
+    report: DataFrame
+    breakdown: DataFrame
+    marts: dict[str, DataFrame]
+    expectations: DataFrame
+
+
+def publish_all(
+    raw: DataFrame,
+    raw_hourly: DataFrame,
+    raw_zones: DataFrame,
+    rules: Sequence[G.Rule],
+    silver_db: str = "silver",
+    gold_db: str = "gold",
+    match_rate_threshold: float = 0.95,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> PublishResult:
+    """Bronze -> silver -> gold in three passes over the fact data.
+
+    1. Gate: dedup + tag, written once as ``silver.trips_checked`` partitioned
+       by ``_gate_status``; ``trips_input`` and ``quarantine`` are views over
+       its two partitions, so both branches come from one computation.
+    2. Report and breakdown: read back from that table (three columns).
+    3. Marts: one scan of the valid partition into the hourly rollup, then
+       the seven enriched marts and the quarantine trend as gold tables.
+
+    The written silver table cuts the lineage: a lost executor during the
+    mart stage recomputes from silver, not from bronze.
+    """
+    result = gate(raw, rules)
+    reason = F.col(G.REASON_COL)
+    status = F.when(reason.isNull(), F.lit("valid")).otherwise(F.lit("quarantine"))
+    checked = publish_table(
+        result.checked.withColumn(STATUS_COL, status), f"{silver_db}.trips_checked", partition_by=[STATUS_COL]
+    )
+    valid = publish_view(
+        checked.filter(F.col(STATUS_COL) == "valid").drop(G.REASON_COL, COPIES_COL, STATUS_COL), "trips_input"
+    )
+    quarantine = publish_view(
+        checked.filter(F.col(STATUS_COL) == "quarantine").drop(COPIES_COL, STATUS_COL), "quarantine"
+    )
+    weather = publish_table(G.drop_null(raw_hourly, "weather_hour_local"), f"{silver_db}.weather_input")
+    zones = publish_table(raw_zones, f"{silver_db}.zone_lookup")
+
+    report = G.gate_report(checked, COPIES_COL)
+    breakdown = G.quarantine_breakdown(quarantine)
+
+    stg_weather = staging.stage_weather(weather)
+    stg_zones = staging.stage_zones(zones)
+    rolled = rollup.hourly_rollup(staging.stage_trips(valid)).checkpoint(eager=True)
+    joined = rollup.enrich_rollup(rolled, stg_weather, stg_zones, max_broadcast_rows)
+    built = {name: fn(joined) for name, fn in rollup.ROLLUP_MARTS.items()}
+    built["dq_quarantine_trend"] = M.dq_quarantine_trend(staging.stage_quarantine(quarantine))
+    gold = {name: publish_table(df, f"{gold_db}.{name}") for name, df in built.items()}
+
+    matched = joined.agg(
+        F.sum("n").alias("total"),
+        F.sum(F.when(F.col("temperature_2m").isNotNull(), F.col("n"))).alias("matched_rows"),
+    ).filter(F.col("matched_rows") < F.col("total") * float(match_rate_threshold))
+    day_types = ["weekday", "weekend"]
+    checks = [
+        ("not_null:stg_weather.weather_hour_local", expect.expect_not_null(stg_weather, "weather_hour_local")),
+        ("unique:stg_weather.weather_hour_local", expect.expect_unique(stg_weather, "weather_hour_local")),
+        ("unique:stg_zones.location_id", expect.expect_unique(stg_zones, "location_id")),
+        ("not_null:trips_by_hour_weekday.hour_of_day", expect.expect_not_null(gold["trips_by_hour_weekday"], "hour_of_day")),
+        ("not_null:daily_weather_ridership.trip_date", expect.expect_not_null(gold["daily_weather_ridership"], "trip_date")),
+        ("unique:daily_weather_ridership.trip_date", expect.expect_unique(gold["daily_weather_ridership"], "trip_date")),
+        ("accepted_values:weather_impact.day_type", expect.expect_values(gold["weather_impact"], "day_type", day_types)),
+        ("not_null:demand_by_borough.pickup_borough", expect.expect_not_null(gold["demand_by_borough"], "pickup_borough")),
+        ("not_null:dq_quarantine_trend.trip_month", expect.expect_not_null(gold["dq_quarantine_trend"], "trip_month")),
+        ("not_null:payment_mix.payment_type_label", expect.expect_not_null(gold["payment_mix"], "payment_type_label")),
+        ("not_null:revenue_efficiency_by_hour.hour_of_day", expect.expect_not_null(gold["revenue_efficiency_by_hour"], "hour_of_day")),
+        ("unique:revenue_efficiency_by_hour.hour_of_day", expect.expect_unique(gold["revenue_efficiency_by_hour"], "hour_of_day")),
+        ("accepted_values:weather_speed_impact.day_type", expect.expect_values(gold["weather_speed_impact"], "day_type", day_types)),
+        ("match_rate:int_trips_weather.temperature_2m", matched),
+    ]
+    return PublishResult(report, breakdown, gold, expect.run_expectations(checks))
