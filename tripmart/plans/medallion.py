@@ -111,18 +111,17 @@ def publish_all(
 
     stg_weather = staging.stage_weather(weather)
     stg_zones = staging.stage_zones(zones)
-    rolled = rollup.hourly_rollup(staging.stage_trips(valid)).checkpoint(eager=True)
-    joined = rollup.enrich_rollup(rolled, stg_weather, stg_zones, max_broadcast_rows)
+    stg_trips = staging.stage_trips(valid)
+    joined = rollup.enriched_rollup(stg_trips, stg_weather, stg_zones, True, max_broadcast_rows)
     built = {name: fn(joined) for name, fn in rollup.ROLLUP_MARTS.items()}
     built["dq_quarantine_trend"] = M.dq_quarantine_trend(staging.stage_quarantine(quarantine))
     gold = {name: publish_table(df, f"{gold_db}.{name}") for name, df in built.items()}
 
-    matched = joined.agg(
-        F.sum("n").alias("total"),
-        F.sum(F.when(F.col("temperature_2m").isNotNull(), F.col("n"))).alias("matched_rows"),
-    ).filter(F.col("matched_rows") < F.col("total") * float(match_rate_threshold))
+    matched = rollup.match_rate(joined, match_rate_threshold).filter(~F.col("passed"))
     day_types = ["weekday", "weekend"]
     checks = [
+        ("not_null:stg_trips.pickup_ts", expect.expect_not_null(stg_trips, "pickup_ts")),
+        ("not_null:stg_trips.dropoff_ts", expect.expect_not_null(stg_trips, "dropoff_ts")),
         ("not_null:stg_weather.weather_hour_local", expect.expect_not_null(stg_weather, "weather_hour_local")),
         ("unique:stg_weather.weather_hour_local", expect.expect_unique(stg_weather, "weather_hour_local")),
         ("unique:stg_zones.location_id", expect.expect_unique(stg_zones, "location_id")),

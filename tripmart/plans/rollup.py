@@ -211,21 +211,49 @@ ROLLUP_MARTS = {
 }
 
 
-def build_marts(
+def match_rate(enriched: DataFrame, threshold: float, column: str = "temperature_2m") -> DataFrame:
+    """Share of trips whose hour found context, from the joined rollup (same columns as ``expect.match_rate``)."""
+    counts = enriched.agg(
+        F.sum("n").cast("bigint").alias("total"),
+        F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("matched_rows"),
+    )
+    return counts.select(
+        "total",
+        "matched_rows",
+        F.round(F.try_divide(F.col("matched_rows").cast("double"), F.col("total").cast("double")), 4).alias("match_rate"),
+        F.lit(float(threshold)).alias("threshold"),
+        (~(F.col("matched_rows") < F.col("total") * float(threshold))).alias("passed"),
+    )
+
+
+def enriched_rollup(
     stg_trips: DataFrame,
     stg_weather: DataFrame,
     stg_zones: DataFrame,
     materialize: bool = True,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> dict[str, DataFrame]:
-    """The seven enriched marts from one scan of the staged trips.
+) -> DataFrame:
+    """The rollup of the staged trips joined to both dimensions.
 
     With ``materialize`` the rollup is written once to the session's
     checkpoint directory (a shared file system on a cluster), which also cuts
-    the lineage back to the fact scan; every mart then reads that copy.
+    the lineage back to the fact scan; everything built on it reads that copy.
+    Without it, the rollup stays lazy; several marts in one plan still share
+    its shuffle through Spark's exchange reuse.
     """
     rollup = hourly_rollup(stg_trips)
     if materialize:
         rollup = rollup.checkpoint(eager=True)
-    enriched = enrich_rollup(rollup, stg_weather, stg_zones, max_broadcast_rows)
+    return enrich_rollup(rollup, stg_weather, stg_zones, max_broadcast_rows)
+
+
+def build_marts(
+    stg_trips: DataFrame,
+    stg_weather: DataFrame,
+    stg_zones: DataFrame,
+    materialize: bool = True,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> dict[str, DataFrame]:
+    """The seven enriched marts from one scan of the staged trips."""
+    enriched = enriched_rollup(stg_trips, stg_weather, stg_zones, materialize, max_broadcast_rows)
     return {name: fn(enriched) for name, fn in ROLLUP_MARTS.items()}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
 from tripmart.operators import analysis, calendar, expect, gate as G, marts, pivots, staging
-from tripmart.plans import medallion
+from tripmart.plans import medallion, rollup
 from tripmart.sources import ingest, testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,58 +166,72 @@ def pivot_speed(spark, sf):
 
 # ---------------------------------------------------------------- expectations
 
-def _not_null_checks(spark, sf):
-    itw = _itw(spark, sf)
-    stg = staging.stage_trips(_gate(spark, sf).valid)
+class _Models:
+    """The models the declarative tests read, built once per query.
+
+    The marts come from the single-pass rollup, so a suite over several marts
+    scans the trips once (the rollup's shuffle is shared by every branch).
+    """
+
+    def __init__(self, spark, sf):
+        gate = _gate(spark, sf)
+        self.stg_trips = staging.stage_trips(gate.valid)
+        self.stg_weather = _stg_weather(spark, sf)
+        self.stg_zones = staging.stage_zones(T.raw_zones(spark, sf))
+        self.trend = marts.dq_quarantine_trend(staging.stage_quarantine(gate.quarantine))
+        self.enriched = rollup.enriched_rollup(self.stg_trips, self.stg_weather, self.stg_zones, materialize=False)
+        self.marts = {name: fn(self.enriched) for name, fn in rollup.ROLLUP_MARTS.items()}
+
+
+def _not_null_checks(m: _Models):
+    g = m.marts
     return [
-        ("not_null:stg_trips.pickup_ts", expect.expect_not_null(stg, "pickup_ts")),
-        ("not_null:stg_trips.dropoff_ts", expect.expect_not_null(stg, "dropoff_ts")),
-        ("not_null:stg_weather.weather_hour_local", expect.expect_not_null(_stg_weather(spark, sf), "weather_hour_local")),
-        ("not_null:trips_by_hour_weekday.hour_of_day", expect.expect_not_null(marts.trips_by_hour_weekday(itw), "hour_of_day")),
-        ("not_null:daily_weather_ridership.trip_date", expect.expect_not_null(marts.daily_weather_ridership(itw), "trip_date")),
-        ("not_null:demand_by_borough.pickup_borough", expect.expect_not_null(marts.demand_by_borough(itw), "pickup_borough")),
-        ("not_null:dq_quarantine_trend.trip_month", expect.expect_not_null(_trend(spark, sf), "trip_month")),
-        ("not_null:payment_mix.payment_type_label", expect.expect_not_null(marts.payment_mix(itw), "payment_type_label")),
-        ("not_null:revenue_efficiency_by_hour.hour_of_day", expect.expect_not_null(marts.revenue_efficiency_by_hour(itw), "hour_of_day")),
+        ("not_null:stg_trips.pickup_ts", expect.expect_not_null(m.stg_trips, "pickup_ts")),
+        ("not_null:stg_trips.dropoff_ts", expect.expect_not_null(m.stg_trips, "dropoff_ts")),
+        ("not_null:stg_weather.weather_hour_local", expect.expect_not_null(m.stg_weather, "weather_hour_local")),
+        ("not_null:trips_by_hour_weekday.hour_of_day", expect.expect_not_null(g["trips_by_hour_weekday"], "hour_of_day")),
+        ("not_null:daily_weather_ridership.trip_date", expect.expect_not_null(g["daily_weather_ridership"], "trip_date")),
+        ("not_null:demand_by_borough.pickup_borough", expect.expect_not_null(g["demand_by_borough"], "pickup_borough")),
+        ("not_null:dq_quarantine_trend.trip_month", expect.expect_not_null(m.trend, "trip_month")),
+        ("not_null:payment_mix.payment_type_label", expect.expect_not_null(g["payment_mix"], "payment_type_label")),
+        ("not_null:revenue_efficiency_by_hour.hour_of_day", expect.expect_not_null(g["revenue_efficiency_by_hour"], "hour_of_day")),
     ]
 
 
-def _unique_checks(spark, sf):
-    itw = _itw(spark, sf)
+def _unique_checks(m: _Models):
+    g = m.marts
     return [
-        ("unique:daily_weather_ridership.trip_date", expect.expect_unique(marts.daily_weather_ridership(itw), "trip_date")),
-        ("unique:revenue_efficiency_by_hour.hour_of_day", expect.expect_unique(marts.revenue_efficiency_by_hour(itw), "hour_of_day")),
-        ("unique:stg_weather.weather_hour_local", expect.expect_unique(_stg_weather(spark, sf), "weather_hour_local")),
-        ("unique:stg_zones.location_id", expect.expect_unique(stg_zones(spark, sf), "location_id")),
+        ("unique:daily_weather_ridership.trip_date", expect.expect_unique(g["daily_weather_ridership"], "trip_date")),
+        ("unique:revenue_efficiency_by_hour.hour_of_day", expect.expect_unique(g["revenue_efficiency_by_hour"], "hour_of_day")),
+        ("unique:stg_weather.weather_hour_local", expect.expect_unique(m.stg_weather, "weather_hour_local")),
+        ("unique:stg_zones.location_id", expect.expect_unique(m.stg_zones, "location_id")),
     ]
 
 
-def _value_checks(spark, sf):
-    itw = _itw(spark, sf)
+def _value_checks(m: _Models):
+    g = m.marts
     day_types = [X.DAY_TYPE_WEEKDAY, X.DAY_TYPE_WEEKEND]
     return [
-        ("accepted_values:weather_impact.day_type", expect.expect_values(marts.weather_impact(itw), "day_type", day_types)),
-        ("accepted_values:weather_speed_impact.day_type", expect.expect_values(marts.weather_speed_impact(itw), "day_type", day_types)),
+        ("accepted_values:weather_impact.day_type", expect.expect_values(g["weather_impact"], "day_type", day_types)),
+        ("accepted_values:weather_speed_impact.day_type", expect.expect_values(g["weather_speed_impact"], "day_type", day_types)),
     ]
 
 
-def _match_rate_check(spark, sf):
-    return [(
-        "match_rate:int_trips_weather.temperature_2m",
-        expect.expect_match_rate(_itw(spark, sf), "temperature_2m", T.MATCH_RATE_THRESHOLD),
-    )]
+def _match_rate_check(m: _Models):
+    failing = rollup.match_rate(m.enriched, T.MATCH_RATE_THRESHOLD).filter(~F.col("passed"))
+    return [("match_rate:int_trips_weather.temperature_2m", failing)]
 
 
 def expect_not_null(spark, sf):
-    return expect.run_expectations(_not_null_checks(spark, sf))
+    return expect.run_expectations(_not_null_checks(_Models(spark, sf)))
 
 
 def expect_unique(spark, sf):
-    return expect.run_expectations(_unique_checks(spark, sf))
+    return expect.run_expectations(_unique_checks(_Models(spark, sf)))
 
 
 def expect_values(spark, sf):
-    return expect.run_expectations(_value_checks(spark, sf))
+    return expect.run_expectations(_value_checks(_Models(spark, sf)))
 
 
 def expect_match_rate(spark, sf):
@@ -225,9 +239,8 @@ def expect_match_rate(spark, sf):
 
 
 def run_expectations(spark, sf):
-    return expect.run_expectations(
-        _not_null_checks(spark, sf) + _unique_checks(spark, sf) + _value_checks(spark, sf) + _match_rate_check(spark, sf)
-    )
+    m = _Models(spark, sf)
+    return expect.run_expectations(_not_null_checks(m) + _unique_checks(m) + _value_checks(m) + _match_rate_check(m))
 
 
 # ---------------------------------------------------------------- calendar and ingest
