@@ -114,5 +114,5 @@ def test_publish_all_end_to_end(spark):
     assert spark.table("gold_e2e.weather_impact").count() == 16
     assert spark.table("gold_e2e.payment_mix").count() == 8
     checks = {r.expectation: r.passed for r in result.expectations.collect()}
-    assert len(checks) == 14 and all(checks.values())
+    assert len(checks) == 16 and all(checks.values())
     assert spark.table("silver_e2e.trips_checked").filter(F.col("_gate_status") == "valid").count() == 8_455

@@ -127,25 +127,56 @@ def borough_summary(demand: DataFrame) -> DataFrame:
     )
 
 
+def _half_away_div(num: F.Column, den: F.Column) -> F.Column:
+    """``round(num / den)`` half away from zero for integer columns; NULL unless ``den > 0``.
+
+    ``a - pmod(a, b)`` is an exact multiple of ``b``, so the division below is
+    exact and the whole computation stays in integers.
+    """
+    a = F.abs(num) * 2 + den
+    b = den * 2
+    quotient = ((a - F.pmod(a, b)) / b).cast("bigint")
+    return F.when(den > 0, F.when(num < 0, -quotient).otherwise(quotient))
+
+
+def rounded_mean(value: F.Column, value_digits: int, digits: int) -> F.Column:
+    """Mean of values that carry ``value_digits`` decimals, rounded half-up to ``digits``.
+
+    The values are summed as integers (``value * 10**value_digits``), so the
+    mean is an exact fraction and its rounding does not depend on the order
+    in which partial sums meet.  A plain floating mean of such values often
+    sits exactly on a rounding tie, where summation order decides the digit.
+    """
+    units = F.round(value * (10 ** value_digits)).cast("bigint")
+    total, n = F.sum(units), F.count(units)
+    scaled = _half_away_div(total * (10 ** (digits - value_digits)), n)
+    return scaled / float(10 ** digits)
+
+
 def mean_of_group_means(
     mart: DataFrame,
     flag_col: str = "is_precipitation",
     metric: str = "avg_trips_per_hour",
+    metric_digits: int = 1,
 ) -> DataFrame:
     """Unweighted mean of a per-group metric for ``flag = false`` vs ``true`` (O-58).
 
-    A flag value absent from the mart counts as 0, and the change is relative
-    to the ``false`` side.
+    A flag value absent from the mart counts as 0.  The means are exact
+    (``rounded_mean``) and rounded to 2 decimals; the change in % is taken
+    between the two rounded means, also rounded to 2 decimals.
     """
     flag, m = F.col(flag_col), F.col(metric)
     means = mart.agg(
-        F.coalesce(F.avg(F.when(~flag, m)), F.lit(0.0)).alias("dry"),
-        F.coalesce(F.avg(F.when(flag, m)), F.lit(0.0)).alias("wet"),
+        F.coalesce(rounded_mean(F.when(~flag, m), metric_digits, 2), F.lit(0.0)).alias("dry"),
+        F.coalesce(rounded_mean(F.when(flag, m), metric_digits, 2), F.lit(0.0)).alias("wet"),
     )
+    dry_units = F.round(F.col("dry") * 100).cast("bigint")
+    wet_units = F.round(F.col("wet") * 100).cast("bigint")
+    change = _half_away_div((wet_units - dry_units) * 10000, dry_units) / 100.0
     return means.select(
-        F.round("dry", 2).alias("dry_avg_trips_per_hour"),
-        F.round("wet", 2).alias("wet_avg_trips_per_hour"),
-        F.round(F.try_divide((F.col("wet") - F.col("dry")) * 100.0, F.col("dry")), 2).alias("change_pct"),
+        F.col("dry").alias("dry_avg_trips_per_hour"),
+        F.col("wet").alias("wet_avg_trips_per_hour"),
+        change.alias("change_pct"),
     )
 
 
@@ -160,8 +191,9 @@ def temp_by_daytype(impact: DataFrame) -> DataFrame:
     All four buckets appear in calendar order; an absent bucket is a NULL row.
     """
     day_types = [X.DAY_TYPE_WEEKDAY, X.DAY_TYPE_WEEKEND]
-    pivoted = impact.groupBy("temp_bucket").pivot("day_type", day_types).agg(F.avg("avg_trips_per_hour"))
-    pivoted = pivoted.select("temp_bucket", *[F.round(d, 2).alias(d) for d in day_types])
+    pivoted = impact.groupBy("temp_bucket").pivot("day_type", day_types).agg(
+        rounded_mean(F.col("avg_trips_per_hour"), 1, 2)
+    )
     buckets = category_frame(impact, "temp_bucket", X.TEMPERATURE_BUCKET_ORDER)
     return (
         F.broadcast(buckets).join(pivoted, "temp_bucket", "left")

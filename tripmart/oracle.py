@@ -193,6 +193,20 @@ def _pct(part: str, whole: str, digits: int = 2) -> str:
     return f"round(CAST({part} AS DOUBLE) * 100.0 / CAST({whole} AS DOUBLE), {digits})"
 
 
+def _half_away(num: str, den: str) -> str:
+    """Integer ``round(num / den)`` half away from zero; NULL unless ``den > 0``."""
+    return (
+        f"(CASE WHEN ({den}) > 0 THEN (CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
+        f"((2 * abs({num}) + ({den})) // (2 * ({den}))) END)"
+    )
+
+
+def _rounded_mean(value: str, value_digits: int = 1, digits: int = 2) -> str:
+    """Exact mean of values with ``value_digits`` decimals, rounded half-up to ``digits``."""
+    units = f"CAST(round(({value}) * {10 ** value_digits}) AS BIGINT)"
+    return f"({_half_away(f'sum({units}) * {10 ** (digits - value_digits)}', f'count({units})')} / {float(10 ** digits)})"
+
+
 def _summary(name: str, failing_sql: str) -> str:
     return (
         f"SELECT '{name}' AS expectation, count(*) AS failing_rows, count(*) = 0 AS passed "
@@ -345,18 +359,18 @@ FINAL = {
                 FROM m_borough GROUP BY 1
             ) e
         ) s ORDER BY total_trips DESC""",
-    "dry_vs_wet": """
-        SELECT round(dry, 2) AS dry_avg_trips_per_hour, round(wet, 2) AS wet_avg_trips_per_hour,
-               round((wet - dry) * 100.0 / dry, 2) AS change_pct
+    "dry_vs_wet": f"""
+        SELECT dry AS dry_avg_trips_per_hour, wet AS wet_avg_trips_per_hour,
+               {_half_away('(CAST(round(wet * 100) AS BIGINT) - CAST(round(dry * 100) AS BIGINT)) * 10000', 'CAST(round(dry * 100) AS BIGINT)')} / 100.0 AS change_pct
         FROM (
-            SELECT coalesce(avg(avg_trips_per_hour) FILTER (WHERE NOT is_precipitation), 0.0) AS dry,
-                   coalesce(avg(avg_trips_per_hour) FILTER (WHERE is_precipitation), 0.0) AS wet
+            SELECT coalesce({_rounded_mean('CASE WHEN NOT is_precipitation THEN avg_trips_per_hour END')}, 0.0) AS dry,
+                   coalesce({_rounded_mean('CASE WHEN is_precipitation THEN avg_trips_per_hour END')}, 0.0) AS wet
             FROM m_impact
         ) m""",
     "temp_by_daytype": f"""
         SELECT b.temp_bucket,
-               round(avg(avg_trips_per_hour) FILTER (WHERE day_type = 'weekday'), 2) AS weekday,
-               round(avg(avg_trips_per_hour) FILTER (WHERE day_type = 'weekend'), 2) AS weekend
+               {_rounded_mean("CASE WHEN day_type = 'weekday' THEN avg_trips_per_hour END")} AS weekday,
+               {_rounded_mean("CASE WHEN day_type = 'weekend' THEN avg_trips_per_hour END")} AS weekend
         FROM {BUCKETS_VALUES}
         LEFT JOIN m_impact m ON m.temp_bucket = b.temp_bucket
         GROUP BY b.temp_bucket, b.rank ORDER BY b.rank""",
