@@ -68,13 +68,14 @@ def month_label_or_unknown(ts: str | Column) -> Column:
     return F.coalesce(month_label(ts), F.lit(UNKNOWN_MONTH))
 
 
-def minutes_between(start: str | Column, end: str | Column) -> Column:
-    """Whole-second epoch difference divided by 60 (O-72).
+def seconds_between(start: str | Column, end: str | Column) -> Column:
+    """Whole-second epoch difference (``unix_timestamp`` drops sub-second parts first)."""
+    return F.unix_timestamp(col(end)) - F.unix_timestamp(col(start))
 
-    ``unix_timestamp`` drops the sub-second part of both ends before the
-    subtraction, and the division is floating point.
-    """
-    return (F.unix_timestamp(col(end)) - F.unix_timestamp(col(start))) / 60
+
+def minutes_between(start: str | Column, end: str | Column) -> Column:
+    """Whole-second epoch difference divided by 60, as floating point (O-72)."""
+    return seconds_between(start, end) / 60
 
 
 def flag_above(value: str | Column, threshold: float) -> Column:

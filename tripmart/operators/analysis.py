@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions import exprs as X
+from tripmart.functions import exact, exprs as X
 
 REASON_COL = "rejection_reason"
 
@@ -127,30 +127,15 @@ def borough_summary(demand: DataFrame) -> DataFrame:
     )
 
 
-def _half_away_div(num: F.Column, den: F.Column) -> F.Column:
-    """``round(num / den)`` half away from zero for integer columns; NULL unless ``den > 0``.
-
-    ``a - pmod(a, b)`` is an exact multiple of ``b``, so the division below is
-    exact and the whole computation stays in integers.
-    """
-    a = F.abs(num) * 2 + den
-    b = den * 2
-    quotient = ((a - F.pmod(a, b)) / b).cast("bigint")
-    return F.when(den > 0, F.when(num < 0, -quotient).otherwise(quotient))
-
-
 def rounded_mean(value: F.Column, value_digits: int, digits: int) -> F.Column:
-    """Mean of values that carry ``value_digits`` decimals, rounded half-up to ``digits``.
+    """Aggregate: mean of values carrying ``value_digits`` decimals, rounded half-up to ``digits``.
 
-    The values are summed as integers (``value * 10**value_digits``), so the
-    mean is an exact fraction and its rounding does not depend on the order
-    in which partial sums meet.  A plain floating mean of such values often
-    sits exactly on a rounding tie, where summation order decides the digit.
+    A plain floating mean of such values (e.g. means of marts rounded to one
+    decimal) often sits exactly on a rounding tie, where the summation order
+    would decide the digit; here the mean is an exact fraction.
     """
-    units = F.round(value * (10 ** value_digits)).cast("bigint")
-    total, n = F.sum(units), F.count(units)
-    scaled = _half_away_div(total * (10 ** (digits - value_digits)), n)
-    return scaled / float(10 ** digits)
+    u = exact.units(value, value_digits)
+    return exact.rounded_ratio(F.sum(u), F.count(u) * (10 ** value_digits), digits)
 
 
 def mean_of_group_means(
@@ -170,13 +155,11 @@ def mean_of_group_means(
         F.coalesce(rounded_mean(F.when(~flag, m), metric_digits, 2), F.lit(0.0)).alias("dry"),
         F.coalesce(rounded_mean(F.when(flag, m), metric_digits, 2), F.lit(0.0)).alias("wet"),
     )
-    dry_units = F.round(F.col("dry") * 100).cast("bigint")
-    wet_units = F.round(F.col("wet") * 100).cast("bigint")
-    change = _half_away_div((wet_units - dry_units) * 10000, dry_units) / 100.0
+    dry_units, wet_units = exact.units(F.col("dry"), 2), exact.units(F.col("wet"), 2)
     return means.select(
         F.col("dry").alias("dry_avg_trips_per_hour"),
         F.col("wet").alias("wet_avg_trips_per_hour"),
-        change.alias("change_pct"),
+        exact.rounded_ratio((wet_units - dry_units) * 100, dry_units, 2).alias("change_pct"),
     )
 
 

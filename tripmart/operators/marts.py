@@ -4,6 +4,10 @@ Each mart is one hash aggregate with a small output (hours, days, labels), so
 Spark's partial aggregation shrinks every map task's output to at most one
 row per group before the shuffle.  Averages of per-trip ratios (tip share,
 revenue per minute, speed) are means of ratios, not ratios of sums.
+
+Sums and means of amounts, precipitation, temperature and durations are
+computed exactly (``functions.exact``), so a published digit never depends on
+how the input happened to be split; the per-trip ratio means stay floating.
 """
 
 from __future__ import annotations
@@ -12,12 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
+from tripmart.functions.exact import exact_avg, exact_avg_minutes, exact_sum
 
 
 def _n() -> F.Column:
     return F.count(F.lit(1))
 
 
+def _seconds() -> F.Column:
+    """Trip duration in whole seconds, the exact numerator of ``trip_minutes``."""
+    return X.seconds_between("pickup_ts", "dropoff_ts")
+
+
 def with_conditions(df: DataFrame) -> DataFrame:
     """Add ``day_type`` and ``temp_bucket`` (NULL temperature -> ``warm``)."""
     return df.withColumns({
@@ -30,8 +40,8 @@ def trips_by_hour_weekday(itw: DataFrame) -> DataFrame:
     """Trips, mean fare and mean minutes per hour of day and weekday (O-43)."""
     return itw.groupBy(X.hour_of_day("pickup_hour").alias("hour_of_day"), "weekday").agg(
         _n().alias("trip_count"),
-        F.round(F.avg("total_amount"), 2).alias("avg_fare"),
-        F.round(F.avg("trip_minutes"), 1).alias("avg_trip_minutes"),
+        exact_avg(F.col("total_amount"), 2).alias("avg_fare"),
+        exact_avg_minutes(_seconds(), 1).alias("avg_trip_minutes"),
     )
 
 
@@ -45,9 +55,9 @@ def daily_weather_ridership(itw: DataFrame) -> DataFrame:
         itw.groupBy(X.calendar_date("pickup_ts").alias("trip_date"))
         .agg(
             _n().alias("trip_count"),
-            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
-            F.round(F.avg("temperature_2m"), 1).alias("avg_temp_c"),
-            F.round(F.sum("precipitation"), 1).alias("total_precip_mm"),
+            exact_sum(F.col("total_amount"), 2).alias("total_revenue"),
+            exact_avg(F.col("temperature_2m"), 1).alias("avg_temp_c"),
+            exact_sum(F.col("precipitation"), 1).alias("total_precip_mm"),
         )
         .orderBy("trip_date")
     )
@@ -81,8 +91,8 @@ def demand_by_borough(itw: DataFrame) -> DataFrame:
         .groupBy("pickup_borough", X.hour_of_day("pickup_hour").alias("hour_of_day"))
         .agg(
             _n().alias("trip_count"),
-            F.round(F.avg("total_amount"), 2).alias("avg_fare"),
-            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
+            exact_avg(F.col("total_amount"), 2).alias("avg_fare"),
+            exact_sum(F.col("total_amount"), 2).alias("total_revenue"),
         )
         .orderBy("pickup_borough", "hour_of_day")
     )
@@ -105,8 +115,8 @@ def payment_mix(itw: DataFrame) -> DataFrame:
         itw.groupBy(X.payment_label("payment_type").alias("payment_type_label"))
         .agg(
             _n().alias("trip_count"),
-            F.round(F.avg("total_amount"), 2).alias("avg_fare"),
-            F.round(F.avg("tip_amount"), 2).alias("avg_tip"),
+            exact_avg(F.col("total_amount"), 2).alias("avg_fare"),
+            exact_avg(F.col("tip_amount"), 2).alias("avg_tip"),
             F.round(F.avg(X.ratio_where_positive("tip_amount", "fare_amount")) * 100, 1).alias("avg_tip_pct"),
         )
         .orderBy(F.desc("trip_count"))
@@ -120,9 +130,9 @@ def revenue_efficiency_by_hour(itw: DataFrame) -> DataFrame:
         itw.filter((minutes > 0) & (minutes < 180))
         .groupBy(X.hour_of_day("pickup_hour").alias("hour_of_day"))
         .agg(
-            F.round(F.avg("trip_minutes"), 1).alias("avg_trip_minutes"),
+            exact_avg_minutes(_seconds(), 1).alias("avg_trip_minutes"),
             F.round(F.avg(X.ratio_where_positive("total_amount", "trip_minutes")), 2).alias("avg_revenue_per_minute"),
-            F.round(F.sum("total_amount"), 0).alias("total_revenue"),
+            exact_sum(F.col("total_amount"), 0).alias("total_revenue"),
             _n().alias("trip_count"),
         )
         .orderBy("hour_of_day")

@@ -28,6 +28,45 @@ def _trips_select(batch: int, where: str = "") -> str:
     FROM events {where}"""
 
 
+def _half_away(num: str, den: str) -> str:
+    """Integer ``round(num / den)`` half away from zero; NULL unless ``den > 0``."""
+    return (
+        f"(CASE WHEN ({den}) > 0 THEN (CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
+        f"((2 * abs({num}) + ({den})) // (2 * ({den}))) END)"
+    )
+
+
+UNITS = 10 ** 6
+SECS = "(epoch_us(dropoff_ts) // 1000000 - epoch_us(pickup_ts) // 1000000)"
+
+
+def _units(value: str, digits: int = 6) -> str:
+    return f"CAST(round(({value}) * {10 ** digits}) AS BIGINT)"
+
+
+def _rratio(num: str, den: str, digits: int) -> str:
+    """``round(num / den, digits)`` half away from zero for integer ``num``, ``den``, as DOUBLE."""
+    return f"(CAST({_half_away(f'({num}) * {10 ** digits}', den)} AS DOUBLE) / {float(10 ** digits)})"
+
+
+def _xsum(value: str, digits: int) -> str:
+    return _rratio(f"sum({_units(value)})", str(UNITS), digits)
+
+
+def _xavg(value: str, digits: int) -> str:
+    return _rratio(f"sum({_units(value)})", f"count({_units(value)}) * {UNITS}", digits)
+
+
+def _xminutes(digits: int) -> str:
+    return _rratio(f"sum({SECS})", f"count({SECS}) * 60", digits)
+
+
+def _rounded_mean(value: str, value_digits: int = 1, digits: int = 2) -> str:
+    """Exact mean of values with ``value_digits`` decimals, rounded half-up to ``digits``."""
+    u = _units(value, value_digits)
+    return _rratio(f"sum({u})", f"count({u}) * {10 ** value_digits}", digits)
+
+
 BUSINESS = (
     "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "
     "PULocationID, DOLocationID, payment_type, fare_amount, tip_amount, total_amount"
@@ -110,16 +149,16 @@ cond AS (
 m_hour_weekday AS (
     SELECT CAST(hour(pickup_hour) AS INTEGER) AS hour_of_day, weekday,
            count(*) AS trip_count,
-           round(avg(total_amount), 2) AS avg_fare,
-           round(avg(trip_minutes), 1) AS avg_trip_minutes
+           {_xavg('total_amount', 2)} AS avg_fare,
+           {_xminutes(1)} AS avg_trip_minutes
     FROM itw GROUP BY 1, 2
 ),
 m_daily AS (
     SELECT CAST(pickup_ts AS DATE) AS trip_date,
            count(*) AS trip_count,
-           round(sum(total_amount), 2) AS total_revenue,
-           round(avg(temperature_2m), 1) AS avg_temp_c,
-           round(sum(precipitation), 1) AS total_precip_mm
+           {_xsum('total_amount', 2)} AS total_revenue,
+           {_xavg('temperature_2m', 1)} AS avg_temp_c,
+           {_xsum('precipitation', 1)} AS total_precip_mm
     FROM itw GROUP BY 1
 ),
 m_impact AS (
@@ -132,8 +171,8 @@ m_impact AS (
 m_borough AS (
     SELECT pickup_borough, CAST(hour(pickup_hour) AS INTEGER) AS hour_of_day,
            count(*) AS trip_count,
-           round(avg(total_amount), 2) AS avg_fare,
-           round(sum(total_amount), 2) AS total_revenue
+           {_xavg('total_amount', 2)} AS avg_fare,
+           {_xsum('total_amount', 2)} AS total_revenue
     FROM itw WHERE pickup_borough IS NOT NULL GROUP BY 1, 2
 ),
 m_trend AS (
@@ -147,16 +186,16 @@ m_payment AS (
                WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip'
                WHEN 0 THEN 'Undocumented code (0)' ELSE 'Other' END AS payment_type_label,
            count(*) AS trip_count,
-           round(avg(total_amount), 2) AS avg_fare,
-           round(avg(tip_amount), 2) AS avg_tip,
+           {_xavg('total_amount', 2)} AS avg_fare,
+           {_xavg('tip_amount', 2)} AS avg_tip,
            round(avg(CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount ELSE NULL END) * 100, 1) AS avg_tip_pct
     FROM itw GROUP BY 1
 ),
 m_revenue AS (
     SELECT CAST(hour(pickup_hour) AS INTEGER) AS hour_of_day,
-           round(avg(trip_minutes), 1) AS avg_trip_minutes,
+           {_xminutes(1)} AS avg_trip_minutes,
            round(avg(CASE WHEN trip_minutes > 0 THEN total_amount / trip_minutes ELSE NULL END), 2) AS avg_revenue_per_minute,
-           round(sum(total_amount), 0) AS total_revenue,
+           {_xsum('total_amount', 0)} AS total_revenue,
            count(*) AS trip_count
     FROM itw WHERE trip_minutes > 0 AND trip_minutes < 180 GROUP BY 1
 ),
@@ -193,20 +232,6 @@ def _pct(part: str, whole: str, digits: int = 2) -> str:
     return f"round(CAST({part} AS DOUBLE) * 100.0 / CAST({whole} AS DOUBLE), {digits})"
 
 
-def _half_away(num: str, den: str) -> str:
-    """Integer ``round(num / den)`` half away from zero; NULL unless ``den > 0``."""
-    return (
-        f"(CASE WHEN ({den}) > 0 THEN (CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
-        f"((2 * abs({num}) + ({den})) // (2 * ({den}))) END)"
-    )
-
-
-def _rounded_mean(value: str, value_digits: int = 1, digits: int = 2) -> str:
-    """Exact mean of values with ``value_digits`` decimals, rounded half-up to ``digits``."""
-    units = f"CAST(round(({value}) * {10 ** value_digits}) AS BIGINT)"
-    return f"({_half_away(f'sum({units}) * {10 ** (digits - value_digits)}', f'count({units})')} / {float(10 ** digits)})"
-
-
 def _summary(name: str, failing_sql: str) -> str:
     return (
         f"SELECT '{name}' AS expectation, count(*) AS failing_rows, count(*) = 0 AS passed "
@@ -361,7 +386,7 @@ FINAL = {
         ) s ORDER BY total_trips DESC""",
     "dry_vs_wet": f"""
         SELECT dry AS dry_avg_trips_per_hour, wet AS wet_avg_trips_per_hour,
-               {_half_away('(CAST(round(wet * 100) AS BIGINT) - CAST(round(dry * 100) AS BIGINT)) * 10000', 'CAST(round(dry * 100) AS BIGINT)')} / 100.0 AS change_pct
+               {_rratio(f"({_units('wet', 2)} - {_units('dry', 2)}) * 100", _units('dry', 2), 2)} AS change_pct
         FROM (
             SELECT coalesce({_rounded_mean('CASE WHEN NOT is_precipitation THEN avg_trips_per_hour END')}, 0.0) AS dry,
                    coalesce({_rounded_mean('CASE WHEN is_precipitation THEN avg_trips_per_hour END')}, 0.0) AS wet

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
+from tripmart.functions.exact import UNIT_DIGITS, rounded_ratio, units
 from tripmart.operators.marts import with_conditions
 from tripmart.operators.staging import HOURLY_VARIABLES
 from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
@@ -40,8 +41,13 @@ def _sum_count(prefix: str, value: Column) -> list[Column]:
 
 
 def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
-    """Partial sums and counts of every enriched mart per (pickup hour, location, payment code)."""
-    minutes = X.minutes_between("pickup_ts", "dropoff_ts")
+    """Partial sums and counts of every enriched mart per (pickup hour, location, payment code).
+
+    Amounts are carried as exact integer units and durations as whole
+    seconds (``functions.exact``), so the marts derived from the rollup
+    publish the same digits as the per-trip plans.
+    """
+    seconds = X.seconds_between("pickup_ts", "dropoff_ts")
     t = stg_trips.select(
         X.hour_bucket("pickup_ts").alias("pickup_hour"),
         "pickup_location_id",
@@ -50,22 +56,23 @@ def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
         "fare_amount",
         "tip_amount",
         "total_amount",
-        minutes.alias("trip_minutes"),
+        seconds.alias("trip_seconds"),
+        (seconds / 60).alias("trip_minutes"),
     )
-    m, amount = F.col("trip_minutes"), F.col("total_amount")
+    m, amount, secs = F.col("trip_minutes"), F.col("total_amount"), F.col("trip_seconds")
     in_revenue_window = (m > 0) & (m < 180)
     speed = X.speed_mph("trip_distance", "trip_minutes")
     in_speed_window = m.between(1, 180) & (F.col("trip_distance") > 0) & (speed < 60)
     return t.groupBy(*GRAIN).agg(
         F.count(F.lit(1)).alias("n"),
-        *_sum_count("amount", amount),
-        *_sum_count("minutes", m),
-        *_sum_count("tip", F.col("tip_amount")),
+        *_sum_count("amount_units", units(amount)),
+        *_sum_count("seconds", secs.cast("decimal(20,0)")),
+        *_sum_count("tip_units", units(F.col("tip_amount"))),
         *_sum_count("tip_ratio", X.ratio_where_positive("tip_amount", "fare_amount")),
         F.count_if(in_revenue_window).alias("rev_n"),
-        *_sum_count("rev_minutes", F.when(in_revenue_window, m)),
+        *_sum_count("rev_seconds", F.when(in_revenue_window, secs.cast("decimal(20,0)"))),
         *_sum_count("rev_per_minute", F.when(in_revenue_window, X.ratio_where_positive(amount, m))),
-        F.sum(F.when(in_revenue_window, amount)).alias("rev_amount_sum"),
+        F.sum(F.when(in_revenue_window, units(amount))).alias("rev_amount_units"),
         F.count_if(in_speed_window).alias("speed_n"),
         F.sum(F.when(in_speed_window, speed)).alias("speed_sum"),
     )
@@ -104,6 +111,19 @@ def _avg(prefix: str) -> Column:
     return F.try_divide(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n"))
 
 
+def _exact_avg(prefix: str, digits: int) -> Column:
+    """Exact mean from a units sum and its count (units of ``10**-UNIT_DIGITS``)."""
+    return rounded_ratio(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n") * (10 ** UNIT_DIGITS), digits)
+
+
+def _exact_total(units_sum: Column, digits: int) -> Column:
+    return rounded_ratio(units_sum, F.lit(10 ** UNIT_DIGITS), digits)
+
+
+def _exact_minutes(prefix: str, digits: int) -> Column:
+    return rounded_ratio(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n") * 60, digits)
+
+
 def _total_trips() -> Column:
     return F.sum("n").cast("bigint")
 
@@ -111,22 +131,23 @@ def _total_trips() -> Column:
 def trips_by_hour_weekday(r: DataFrame) -> DataFrame:
     return r.groupBy(X.hour_of_day("pickup_hour").alias("hour_of_day"), "weekday").agg(
         _total_trips().alias("trip_count"),
-        F.round(_avg("amount"), 2).alias("avg_fare"),
-        F.round(_avg("minutes"), 1).alias("avg_trip_minutes"),
+        _exact_avg("amount_units", 2).alias("avg_fare"),
+        _exact_minutes("seconds", 1).alias("avg_trip_minutes"),
     )
 
 
 def daily_weather_ridership(r: DataFrame) -> DataFrame:
-    temp = F.col("temperature_2m")
+    """Trip-weighted hourly measures: each cell's value counts once per trip in it."""
+    temp, n = F.col("temperature_2m"), F.col("n")
     return (
         r.groupBy(X.calendar_date("pickup_hour").alias("trip_date"))
         .agg(
             _total_trips().alias("trip_count"),
-            F.round(F.sum("amount_sum"), 2).alias("total_revenue"),
-            F.round(
-                F.try_divide(F.sum(temp * F.col("n")), F.sum(F.when(temp.isNotNull(), F.col("n")))), 1
+            _exact_total(F.sum("amount_units_sum"), 2).alias("total_revenue"),
+            rounded_ratio(
+                F.sum(units(temp) * n), F.sum(F.when(temp.isNotNull(), n)) * (10 ** UNIT_DIGITS), 1
             ).alias("avg_temp_c"),
-            F.round(F.sum(F.col("precipitation") * F.col("n")), 1).alias("total_precip_mm"),
+            _exact_total(F.sum(units(F.col("precipitation")) * n), 1).alias("total_precip_mm"),
         )
         .orderBy("trip_date")
     )
@@ -154,8 +175,8 @@ def demand_by_borough(r: DataFrame) -> DataFrame:
         .groupBy("pickup_borough", X.hour_of_day("pickup_hour").alias("hour_of_day"))
         .agg(
             _total_trips().alias("trip_count"),
-            F.round(_avg("amount"), 2).alias("avg_fare"),
-            F.round(F.sum("amount_sum"), 2).alias("total_revenue"),
+            _exact_avg("amount_units", 2).alias("avg_fare"),
+            _exact_total(F.sum("amount_units_sum"), 2).alias("total_revenue"),
         )
         .orderBy("pickup_borough", "hour_of_day")
     )
@@ -166,8 +187,8 @@ def payment_mix(r: DataFrame) -> DataFrame:
         r.groupBy(X.payment_label("payment_type").alias("payment_type_label"))
         .agg(
             _total_trips().alias("trip_count"),
-            F.round(_avg("amount"), 2).alias("avg_fare"),
-            F.round(_avg("tip"), 2).alias("avg_tip"),
+            _exact_avg("amount_units", 2).alias("avg_fare"),
+            _exact_avg("tip_units", 2).alias("avg_tip"),
             F.round(_avg("tip_ratio") * 100, 1).alias("avg_tip_pct"),
         )
         .orderBy(F.desc("trip_count"))
@@ -179,9 +200,9 @@ def revenue_efficiency_by_hour(r: DataFrame) -> DataFrame:
         r.filter(F.col("rev_n") > 0)
         .groupBy(X.hour_of_day("pickup_hour").alias("hour_of_day"))
         .agg(
-            F.round(_avg("rev_minutes"), 1).alias("avg_trip_minutes"),
+            _exact_minutes("rev_seconds", 1).alias("avg_trip_minutes"),
             F.round(_avg("rev_per_minute"), 2).alias("avg_revenue_per_minute"),
-            F.round(F.sum("rev_amount_sum"), 0).alias("total_revenue"),
+            _exact_total(F.sum("rev_amount_units"), 0).alias("total_revenue"),
             F.sum("rev_n").cast("bigint").alias("trip_count"),
         )
         .orderBy("hour_of_day")
