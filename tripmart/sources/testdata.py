@@ -10,6 +10,8 @@ whole table; the modulo expressions only shape values, never drop rows.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,14 @@ ORDERS_REPORT_MONTH = "2000-12"
 # --- end of fixed values ---
 
 
+@functools.lru_cache(maxsize=64)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the shared test tables (read-only files, so the reader is reused per session)."""
+    return _read(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _events_as_trips(events: DataFrame, batch: int) -> DataFrame:
