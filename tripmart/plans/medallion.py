@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripmart.operators import enrich, expect, gate as G, marts as M, staging
 from tripmart.plans import rollup
 from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS
-from tripmart.sources.catalog import publish_table, publish_view
+from tripmart.sources.catalog import publish_tables, publish_view
 
 COPIES_COL = "_copies"
 
@@ -94,17 +94,23 @@ def publish_all(
     result = gate(raw, rules)
     reason = F.col(G.REASON_COL)
     status = F.when(reason.isNull(), F.lit("valid")).otherwise(F.lit("quarantine"))
-    checked = publish_table(
-        result.checked.withColumn(STATUS_COL, status), f"{silver_db}.trips_checked", partition_by=[STATUS_COL]
+    silver = publish_tables(
+        {
+            f"{silver_db}.trips_checked": result.checked.withColumn(STATUS_COL, status),
+            f"{silver_db}.weather_input": G.drop_null(raw_hourly, "weather_hour_local"),
+            f"{silver_db}.zone_lookup": raw_zones,
+        },
+        partition_by={f"{silver_db}.trips_checked": [STATUS_COL]},
     )
+    checked = silver[f"{silver_db}.trips_checked"]
+    weather = silver[f"{silver_db}.weather_input"]
+    zones = silver[f"{silver_db}.zone_lookup"]
     valid = publish_view(
         checked.filter(F.col(STATUS_COL) == "valid").drop(G.REASON_COL, COPIES_COL, STATUS_COL), "trips_input"
     )
     quarantine = publish_view(
         checked.filter(F.col(STATUS_COL) == "quarantine").drop(COPIES_COL, STATUS_COL), "quarantine"
     )
-    weather = publish_table(G.drop_null(raw_hourly, "weather_hour_local"), f"{silver_db}.weather_input")
-    zones = publish_table(raw_zones, f"{silver_db}.zone_lookup")
 
     report = G.gate_report(checked, COPIES_COL)
     breakdown = G.quarantine_breakdown(quarantine)
@@ -115,7 +121,8 @@ def publish_all(
     joined = rollup.enriched_rollup(stg_trips, stg_weather, stg_zones, True, max_broadcast_rows)
     built = {name: fn(joined) for name, fn in rollup.ROLLUP_MARTS.items()}
     built["dq_quarantine_trend"] = M.dq_quarantine_trend(staging.stage_quarantine(quarantine))
-    gold = {name: publish_table(df, f"{gold_db}.{name}") for name, df in built.items()}
+    published = publish_tables({f"{gold_db}.{name}": df for name, df in built.items()})
+    gold = {name: published[f"{gold_db}.{name}"] for name in built}
 
     matched = rollup.match_rate(joined, match_rate_threshold).filter(~F.col("passed"))
     day_types = ["weekday", "weekend"]

@@ -8,7 +8,8 @@ lost mid-write is retried without leaving partial output behind.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,27 @@ def publish_table(
     return spark.table(name)
 
 
+def publish_tables(
+    frames: Mapping[str, DataFrame],
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+    max_parallel: int = 8,
+) -> dict[str, DataFrame]:
+    """Publish several independent tables with their write jobs submitted concurrently.
+
+    Small writes (the gold marts) run a handful of tasks each; one after
+    another they leave most executors idle, together they share the
+    cluster.  Each write still commits on its own.
+    """
+    if not frames:
+        return {}
+    for name, df in frames.items():
+        ensure_database(df.sparkSession, name)
+    parts = partition_by or {}
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(frames)))) as pool:
+        futures = {name: pool.submit(publish_table, df, name, parts.get(name)) for name, df in frames.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Register ``df`` as a session view (the staging and intermediate layers, O-11)."""
     df.createOrReplaceTempView(name)
