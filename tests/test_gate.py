@@ -124,3 +124,34 @@ def test_rule_helpers_three_valued(spark):
         F.coalesce(G.first_failure([("x", G.rule_positive("a"))]), F.lit("valid")).alias("tag"),
     ).first()
     assert row.nn is True and row.ord is None and row.pos is None and row.tag == "valid"
+
+
+def test_string_metadata_keeps_hash_aggregate(spark):
+    schema = "a int, v double, _batch int, _src string, _month string"
+    rows = [(i % 50, float(i % 7), i % 3, f"file-{i % 4}", "2026-01") for i in range(600)]
+    rows += [(1, 1.0, 9, None, None)]
+    df = spark.createDataFrame(rows, schema).repartition(6)
+    out = G.drop_duplicate_rows(df, copies_col="_copies")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    groups = {}
+    for a, v, batch, src, month in rows:
+        groups.setdefault((a, v), []).append((batch, src, month))
+    got = {(r.a, r.v): (r._batch, r._src, r._month, r._copies) for r in out.collect()}
+    assert set(got) == set(groups)
+    for key, (batch, src, month, copies) in got.items():
+        copies_of_key = groups[key]
+        assert copies == len(copies_of_key)
+        assert batch == min(b for b, _, _ in copies_of_key)
+        # the metadata comes whole from one copy with the smallest _batch
+        assert (batch, src, month) in copies_of_key
+
+
+def test_hot_duplicate_group_collapses(spark):
+    """A third of all rows are copies of one row; dedup keeps it once and counts its copies."""
+    hot = [(7, 7.0, i % 5) for i in range(3000)]
+    cold = [(i, float(i), 0) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "a int, v double, _batch int").repartition(12)
+    out = G.drop_duplicate_rows(df, copies_col="_copies")
+    rows = {(r.a, r.v): (r._batch, r._copies) for r in out.collect()}
+    assert rows[(7, 7.0)] == (0, 3001) and len(rows) == 6000

@@ -15,6 +15,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.functions.exprs import col
 
@@ -128,35 +129,83 @@ def business_keys(df: DataFrame, prefix: str = METADATA_PREFIX) -> list[str]:
     return [c for c in df.columns if not c.startswith(prefix)]
 
 
+_FIXED_WIDTH = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+    T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType,
+)
+_CODE = "_meta_code"
+
+
+def _fixed_width(data_type: T.DataType) -> bool:
+    return isinstance(data_type, _FIXED_WIDTH)
+
+
+def _metadata_dictionary(df: DataFrame, columns: Sequence[str], max_rows: int) -> DataFrame | None:
+    """``(code, value...)`` for the distinct combinations of ``columns``, or None.
+
+    The combinations of ingest metadata are few (one per source file), so the
+    dictionary is small; it is checkpointed once, and rejected when it
+    exceeds ``max_rows`` or when two combinations share a 64-bit code.
+    """
+    from tripmart.plans.joins import has_at_most
+    from tripmart.session import ensure_checkpoint_dir
+
+    combos = df.select(F.xxhash64(*columns).alias(_CODE), *columns).distinct()
+    if not has_at_most(combos, max_rows):
+        return None
+    ensure_checkpoint_dir(df.sparkSession)
+    combos = combos.checkpoint(eager=True)
+    collided = combos.groupBy(_CODE).count().filter(F.col("count") > 1)
+    if collided.limit(1).count() > 0:
+        return None
+    return combos
+
+
 def drop_duplicate_rows(
     df: DataFrame,
     keys: Sequence[str] | None = None,
     survivor_order: str | None = None,
     copies_col: str | None = None,
+    max_dictionary_rows: int = 200_000,
 ) -> DataFrame:
     """Keep one row per distinct ``keys`` tuple.
 
     Metadata columns (those outside ``keys``) come from one deterministic
-    survivor: the copy with the smallest ``survivor_order`` (default: the first
-    metadata column).  With numeric or timestamp metadata every aggregate
-    buffer is fixed-width, so Spark plans a ``HashAggregate`` with partial
-    aggregation on the map side.  ``copies_col`` adds the number of raw rows
-    each output row stands for, from which the gate report derives the
-    pre-dedup total without a second scan.
+    survivor: the copy with the smallest ``survivor_order`` (default: the
+    first fixed-width metadata column).  Every aggregate buffer is kept
+    fixed-width, so Spark plans a ``HashAggregate`` with partial aggregation
+    on the map side: a group of copies, however large, collapses inside each
+    map task before the shuffle.  String metadata (file paths, month labels)
+    would force a sort-based aggregate, so it travels through the dedup as a
+    64-bit dictionary code and is decoded afterwards by a broadcast join
+    against the (checked, small) dictionary of its distinct values.
+    ``copies_col`` adds the number of raw rows each output row stands for,
+    from which the gate report derives the pre-dedup total without a second
+    scan.
     """
     keys = list(keys) if keys is not None else business_keys(df)
     meta = [c for c in df.columns if c not in keys]
+    strings = [m for m in meta if not _fixed_width(df.schema[m].dataType)]
+    dictionary = _metadata_dictionary(df, strings, max_dictionary_rows) if strings else None
+    source = df
+    carried = meta
+    if dictionary is not None:
+        source = df.withColumn(_CODE, F.xxhash64(*strings))
+        carried = [m for m in meta if m not in strings] + [_CODE]
     aggs: list[Column] = []
-    if meta:
-        order = survivor_order or meta[0]
-        for m in meta:
+    if carried:
+        fixed = [m for m in carried if m != _CODE]
+        order = survivor_order if survivor_order in carried else (fixed[0] if fixed else carried[0])
+        for m in carried:
             aggs.append((F.min(m) if m == order else F.min_by(m, order)).alias(m))
     if copies_col:
         aggs.append(F.count(F.lit(1)).alias(copies_col))
     if not aggs:
         return df.select(*keys).distinct()
-    out = df.groupBy(*keys).agg(*aggs)
-    ordered = [c for c in df.columns] + ([copies_col] if copies_col else [])
+    out = source.groupBy(*keys).agg(*aggs)
+    if dictionary is not None:
+        out = out.join(F.broadcast(dictionary), _CODE, "left").drop(_CODE)
+    ordered = list(df.columns) + ([copies_col] if copies_col else [])
     return out.select(*ordered)
 
 
