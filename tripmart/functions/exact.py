@@ -21,8 +21,13 @@ _UNITS_TYPE = "decimal(20,0)"
 
 
 def units(value: Column, unit_digits: int = UNIT_DIGITS) -> Column:
-    """``value`` as a whole number of ``10**-unit_digits`` units (exact integer decimal)."""
-    return F.round(value * float(10 ** unit_digits)).cast(_UNITS_TYPE)
+    """``value`` as a whole number of ``10**-unit_digits`` units (exact integer decimal).
+
+    ``floor(x * 10**d + 0.5)`` is plain floating-point arithmetic, several
+    times cheaper per row than ``round`` (which goes through a decimal), and
+    any engine evaluating the same expression gets the same integer.
+    """
+    return F.floor(value * float(10 ** unit_digits) + 0.5).cast(_UNITS_TYPE)
 
 
 def half_away_div(num: Column, den: Column) -> Column:

@@ -41,7 +41,7 @@ SECS = "(epoch_us(dropoff_ts) // 1000000 - epoch_us(pickup_ts) // 1000000)"
 
 
 def _units(value: str, digits: int = 6) -> str:
-    return f"CAST(round(({value}) * {10 ** digits}) AS BIGINT)"
+    return f"CAST(floor(({value}) * {float(10 ** digits)} + 0.5) AS BIGINT)"
 
 
 def _rratio(num: str, den: str, digits: int) -> str:
