@@ -10,7 +10,8 @@ partitioned by month and gate status.
 
 Exactly-once: the file source records processed files in the checkpoint, the
 append commits atomically, and a replayed batch finds its own rows already
-stored and adds nothing.
+stored and adds nothing.  ``_copies`` counts the copies within the batch that
+first delivered a row; copies arriving in later batches are dropped uncounted.
 """
 
 from __future__ import annotations
