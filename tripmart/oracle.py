@@ -288,7 +288,13 @@ def _union(checks) -> str:
 
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
-BUCKETS_VALUES = "(VALUES ('freezing', 1), ('cold', 2), ('mild', 3), ('warm', 4)) b(temp_bucket, rank)"
+BUCKETS = ("freezing", "cold", "mild", "warm")
+BUCKETS_VALUES = "(VALUES " + ", ".join(f"('{b}', {i})" for i, b in enumerate(BUCKETS, 1)) + ") b(temp_bucket, rank)"
+SPEED_GRID_VALUES = (
+    "(VALUES "
+    + ", ".join(f"('{d}', '{b}', {i})" for d in ("weekday", "weekend") for i, b in enumerate(BUCKETS, 1))
+    + ") g(day_type, temp_bucket, rank)"
+)
 
 FINAL = {
     "dedup_rows": f"SELECT {BUSINESS}, _ingest_batch FROM dedup",
@@ -411,13 +417,12 @@ FINAL = {
     )
     + " FROM m_borough GROUP BY 1 ORDER BY 1",
     "pivot_speed": f"""
-        SELECT d.day_type, b.temp_bucket,
+        SELECT g.day_type, g.temp_bucket,
                avg(avg_speed_mph) FILTER (WHERE NOT is_precipitation) AS dry_speed_mph,
                avg(avg_speed_mph) FILTER (WHERE is_precipitation) AS wet_speed_mph
-        FROM (VALUES ('weekday'), ('weekend')) d(day_type)
-        CROSS JOIN {BUCKETS_VALUES}
-        LEFT JOIN m_speed s ON s.day_type = d.day_type AND s.temp_bucket = b.temp_bucket
-        GROUP BY d.day_type, b.temp_bucket, b.rank ORDER BY d.day_type, b.rank""",
+        FROM {SPEED_GRID_VALUES}
+        LEFT JOIN m_speed s ON s.day_type = g.day_type AND s.temp_bucket = g.temp_bucket
+        GROUP BY g.day_type, g.temp_bucket, g.rank ORDER BY g.day_type, g.rank""",
     "expect_not_null": _union(NOT_NULL),
     "expect_unique": _union(UNIQUE),
     "expect_values": _union(VALUES),
