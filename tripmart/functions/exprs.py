@@ -68,6 +68,15 @@ def month_label_or_unknown(ts: str | Column) -> Column:
     return F.coalesce(month_label(ts), F.lit(UNKNOWN_MONTH))
 
 
+def month_start(ts: str | Column) -> Column:
+    """First day of the month as a ``date``: a fixed-width grouping key.
+
+    Grouping by it and formatting the label once per group avoids building a
+    string for every row.
+    """
+    return F.trunc(F.to_date(col(ts)), "MM")
+
+
 def seconds_between(start: str | Column, end: str | Column) -> Column:
     """Whole-second epoch difference (``unix_timestamp`` drops sub-second parts first)."""
     return F.unix_timestamp(col(end)) - F.unix_timestamp(col(start))

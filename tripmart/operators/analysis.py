@@ -30,12 +30,17 @@ def quarantine_rate_by_month(tagged: DataFrame, ts_col: str = "pickup_ts", reaso
     quarantined row gets rate 0 rather than disappearing.
     """
     return (
-        tagged.groupBy(X.month_label_or_unknown(ts_col).alias("trip_month"))
+        tagged.groupBy(X.month_start(ts_col).alias("month_start"))
         .agg(
             _n().alias("total_rows"),
             F.count_if(F.col(reason_col).isNotNull()).alias("quarantined_rows"),
         )
-        .withColumn("quarantine_rate_pct", _pct(F.col("quarantined_rows"), F.col("total_rows")))
+        .select(
+            X.month_label_or_unknown("month_start").alias("trip_month"),
+            "total_rows",
+            "quarantined_rows",
+            _pct(F.col("quarantined_rows"), F.col("total_rows")).alias("quarantine_rate_pct"),
+        )
         .orderBy("trip_month")
     )
 

@@ -33,7 +33,7 @@ def month_bounds_of(df: DataFrame, ts_col: str) -> DataFrame:
     return df.agg(
         F.min(F.trunc(F.to_date(ts), "MM")).alias("start_date"),
         F.max(F.to_date(ts)).alias("last_day_seen"),
-        F.count_distinct(F.date_format(ts, "yyyy-MM")).alias("n_months"),
+        F.count_distinct(F.trunc(F.to_date(ts), "MM")).alias("n_months"),
     ).select(
         F.date_format("start_date", "yyyy-MM").alias("first_month"),
         F.date_format("last_day_seen", "yyyy-MM").alias("last_month"),

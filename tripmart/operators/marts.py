@@ -101,10 +101,11 @@ def demand_by_borough(itw: DataFrame) -> DataFrame:
 def dq_quarantine_trend(stg_quarantine: DataFrame) -> DataFrame:
     """Quarantined rows per month label (or ``unknown_month``) and reason (O-47)."""
     return (
-        stg_quarantine.groupBy(
-            X.month_label_or_unknown("pickup_ts").alias("trip_month"), "rejection_reason"
-        )
+        stg_quarantine.groupBy(X.month_start("pickup_ts").alias("month_start"), "rejection_reason")
         .agg(_n().alias("quarantined_count"))
+        .select(
+            X.month_label_or_unknown("month_start").alias("trip_month"), "rejection_reason", "quarantined_count"
+        )
         .orderBy("trip_month", "rejection_reason")
     )
 
