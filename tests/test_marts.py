@@ -148,3 +148,12 @@ def test_rollup_marts_equal_per_mart_plans(spark, name):
     assert len(exp) == len(got)
     for e, g in zip(exp, got):
         assert all(_close(c, x, y) for c, x, y in zip(expected.columns, e, g)), (e, g)
+
+
+def test_weekday_name_matches_date_format(spark):
+    from tripmart.functions import exprs as X
+
+    df = spark.range(0, 24 * 15).select(F.timestamp_add("HOUR", F.col("id"), F.lit("2026-02-25").cast("timestamp")).alias("ts"))
+    mismatched = df.filter(X.weekday_name("ts") != F.date_format("ts", "EEEE")).count()
+    nulls = df.select(X.weekday_name(F.lit(None).cast("timestamp")).alias("w")).first().w
+    assert mismatched == 0 and nulls is None

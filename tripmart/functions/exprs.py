@@ -54,8 +54,13 @@ def calendar_date(ts: str | Column) -> Column:
 
 
 def weekday_name(ts: str | Column) -> Column:
-    """Full English weekday name, e.g. ``Monday`` (O-70)."""
-    return F.date_format(col(ts), "EEEE")
+    """Full English weekday name, e.g. ``Monday``, as ``date_format(ts, 'EEEE')`` gives (O-70).
+
+    Looked up from ``dayofweek`` (1 = Sunday) in a constant array: integer
+    arithmetic per row instead of running a date formatter over every trip.
+    """
+    sunday_first = WEEKDAY_ORDER[-1:] + WEEKDAY_ORDER[:-1]
+    return F.element_at(F.array(*[F.lit(d) for d in sunday_first]), F.dayofweek(col(ts)))
 
 
 def month_label(ts: str | Column) -> Column:
