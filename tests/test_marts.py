@@ -157,3 +157,11 @@ def test_weekday_name_matches_date_format(spark):
     mismatched = df.filter(X.weekday_name("ts") != F.date_format("ts", "EEEE")).count()
     nulls = df.select(X.weekday_name(F.lit(None).cast("timestamp")).alias("w")).first().w
     assert mismatched == 0 and nulls is None
+
+
+def test_within_bound_checks_several_frames_in_one_job(spark, dims):
+    weather, zones = dims
+    assert joins.within_bound([weather, zones, weather.filter("false")], 3) == [False, True, True]
+    hinted = joins.broadcast_all_if_bounded([weather, zones], 3)
+    assert "ResolvedHint" not in hinted[0]._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in hinted[1]._jdf.queryExecution().analyzed().toString()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
 from tripmart.operators.staging import HOURLY_VARIABLES
-from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_all_if_bounded, broadcast_if_bounded
 
 
 def join_hourly(
@@ -24,14 +24,19 @@ def join_hourly(
     ts_col: str = "pickup_ts",
     hour_col: str = "weather_hour_local",
     variables: tuple[str, ...] = HOURLY_VARIABLES,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Truncate ``ts_col`` to the hour and left-join the hourly series on it (O-38).
 
     Adds ``pickup_hour`` and the hourly ``variables`` to every trip column.
+    ``max_broadcast_rows=None`` leaves the join strategy to the caller (e.g. a
+    dimension already checked and hinted).
     """
     t = trips.withColumn("pickup_hour", X.hour_bucket(ts_col)).alias("t")
-    h = broadcast_if_bounded(hourly.select(hour_col, *variables), max_broadcast_rows).alias("h")
+    h = hourly.select(hour_col, *variables)
+    if max_broadcast_rows is not None:
+        h = broadcast_if_bounded(h, max_broadcast_rows)
+    h = h.alias("h")
     joined = t.join(h, F.col("t.pickup_hour") == F.col(f"h.{hour_col}"), "left")
     return joined.select("t.*", *[F.col(f"h.{v}") for v in variables])
 
@@ -41,11 +46,14 @@ def join_zones(
     zones: DataFrame,
     key_col: str = "pickup_location_id",
     prefix: str = "pickup",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-join the location lookup on ``key_col`` for borough and zone (O-39)."""
     t = trips.alias("t")
-    z = broadcast_if_bounded(zones.select("location_id", "borough", "zone"), max_broadcast_rows).alias("z")
+    z = zones.select("location_id", "borough", "zone")
+    if max_broadcast_rows is not None:
+        z = broadcast_if_bounded(z, max_broadcast_rows)
+    z = z.alias("z")
     joined = t.join(z, F.col(f"t.{key_col}") == F.col("z.location_id"), "left")
     return joined.select(
         "t.*",
@@ -70,7 +78,14 @@ def enrich_trips(
     zones: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Staged trips + 5 hourly variables + borough/zone + 3 derived columns (O-40)."""
-    with_hour = join_hourly(trips, hourly, max_broadcast_rows=max_broadcast_rows)
-    with_zone = join_zones(with_hour, zones, max_broadcast_rows=max_broadcast_rows)
+    """Staged trips + 5 hourly variables + borough/zone + 3 derived columns (O-40).
+
+    Both dimensions are size-checked together in one job.
+    """
+    hourly, zones = broadcast_all_if_bounded(
+        [hourly.select("weather_hour_local", *HOURLY_VARIABLES), zones.select("location_id", "borough", "zone")],
+        max_broadcast_rows,
+    )
+    with_hour = join_hourly(trips, hourly, max_broadcast_rows=None)
+    with_zone = join_zones(with_hour, zones, max_broadcast_rows=None)
     return add_trip_attributes(with_zone)

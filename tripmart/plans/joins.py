@@ -11,6 +11,9 @@ AQE's skew-join handling splits a hot fact key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +33,19 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when its row count is within ``max_rows``, else ``df`` unchanged."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def within_bound(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
+    """For each frame, whether it has at most ``max_rows`` rows: one Spark job for all of them.
+
+    The per-frame counts are capped at ``max_rows + 1`` by ``limit``, so the
+    job returns at most one small row per frame.
+    """
+    capped = [f.limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
+    counts = {r["_frame"]: r["count"] for r in reduce(DataFrame.unionByName, capped).groupBy("_frame").count().collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
+
+
+def broadcast_all_if_bounded(frames: Sequence[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """``broadcast_if_bounded`` for several dimensions, checked together in one job."""
+    return [F.broadcast(f) if ok else f for f, ok in zip(frames, within_bound(frames, max_rows))]

@@ -31,7 +31,7 @@ from tripmart.functions import exprs as X
 from tripmart.functions.exact import UNIT_DIGITS, rounded_ratio, units
 from tripmart.operators.marts import with_conditions
 from tripmart.operators.staging import HOURLY_VARIABLES
-from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_all_if_bounded
 
 GRAIN = ("pickup_hour", "pickup_location_id", "payment_type")
 
@@ -85,15 +85,15 @@ def enrich_rollup(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-join the hourly context and the location lookup to the rollup cells."""
-    weather = broadcast_if_bounded(
-        stg_weather.select(F.col("weather_hour_local").alias("w_hour"), *HOURLY_VARIABLES), max_broadcast_rows
-    )
-    zones = broadcast_if_bounded(
-        stg_zones.select(
-            F.col("location_id").alias("z_id"),
-            F.col("borough").alias("pickup_borough"),
-            F.col("zone").alias("pickup_zone"),
-        ),
+    weather, zones = broadcast_all_if_bounded(
+        [
+            stg_weather.select(F.col("weather_hour_local").alias("w_hour"), *HOURLY_VARIABLES),
+            stg_zones.select(
+                F.col("location_id").alias("z_id"),
+                F.col("borough").alias("pickup_borough"),
+                F.col("zone").alias("pickup_zone"),
+            ),
+        ],
         max_broadcast_rows,
     )
     joined = (
