@@ -155,3 +155,17 @@ def test_hot_duplicate_group_collapses(spark):
     out = G.drop_duplicate_rows(df, copies_col="_copies")
     rows = {(r.a, r.v): (r._batch, r._copies) for r in out.collect()}
     assert rows[(7, 7.0)] == (0, 3001) and len(rows) == 6000
+
+
+def test_survivor_is_independent_of_partitioning(spark):
+    """Copies share the ingest timestamp; the survivor's file must not depend on row order."""
+    ts = datetime(2026, 1, 1, 12, 0, 0)
+    rows = [(k, float(k % 3), ts, f"file-{f}") for k in range(40) for f in range(5)]
+    schema = "a int, v double, _ingested_at timestamp, _source_file string"
+    picks = []
+    for parts, seed in [(1, 1), (7, 2), (13, 3)]:
+        df = spark.createDataFrame(rows, schema).orderBy(F.rand(seed)).repartition(parts)
+        out = G.drop_duplicate_rows(df)
+        picks.append(sorted((r.a, r._source_file) for r in out.collect()))
+    assert picks[0] == picks[1] == picks[2]
+    assert len(picks[0]) == 40

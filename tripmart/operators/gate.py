@@ -161,6 +161,28 @@ def _metadata_dictionary(df: DataFrame, columns: Sequence[str], max_rows: int) -
     return combos
 
 
+_TIE_SLOTS = 2 ** 32
+
+
+def _tie_broken(order: Column, data_type: T.DataType, code: Column) -> Column:
+    """``order`` with ties broken by the metadata code, as one fixed-width decimal key.
+
+    Copies loaded together share an ingest timestamp; without a tie-break
+    the survivor among them would depend on the order rows arrive in.  The
+    key is ``order * 2**32 + (code mod 2**32)`` for integral, date and
+    timestamp orders (other types keep ``order`` alone).
+    """
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        base = order
+    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        base = F.unix_micros(order.cast("timestamp"))
+    elif isinstance(data_type, T.DateType):
+        base = F.unix_date(order)
+    else:
+        return order
+    return base.cast("decimal(38,0)") * _TIE_SLOTS + F.pmod(code, F.lit(_TIE_SLOTS))
+
+
 def drop_duplicate_rows(
     df: DataFrame,
     keys: Sequence[str] | None = None,
@@ -172,7 +194,7 @@ def drop_duplicate_rows(
 
     Metadata columns (those outside ``keys``) come from one deterministic
     survivor: the copy with the smallest ``survivor_order`` (default: the
-    first fixed-width metadata column).  Every aggregate buffer is kept
+    first fixed-width metadata column), ties broken by the string metadata.  Every aggregate buffer is kept
     fixed-width, so Spark plans a ``HashAggregate`` with partial aggregation
     on the map side: a group of copies, however large, collapses inside each
     map task before the shuffle.  String metadata (file paths, month labels)
@@ -196,8 +218,11 @@ def drop_duplicate_rows(
     if carried:
         fixed = [m for m in carried if m != _CODE]
         order = survivor_order if survivor_order in carried else (fixed[0] if fixed else carried[0])
+        order_key = F.col(order)
+        if dictionary is not None and order != _CODE:
+            order_key = _tie_broken(order_key, source.schema[order].dataType, F.col(_CODE))
         for m in carried:
-            aggs.append((F.min(m) if m == order else F.min_by(m, order)).alias(m))
+            aggs.append(F.min_by(m, order_key).alias(m))
     if copies_col:
         aggs.append(F.count(F.lit(1)).alias(copies_col))
     if not aggs:
