@@ -165,3 +165,37 @@ def test_within_bound_checks_several_frames_in_one_job(spark, dims):
     hinted = joins.broadcast_all_if_bounded([weather, zones], 3)
     assert "ResolvedHint" not in hinted[0]._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" in hinted[1]._jdf.queryExecution().analyzed().toString()
+
+
+def test_hot_hour_without_broadcast_uses_skew_join(spark):
+    """A third of the trips in one hour, dimension over the bound: AQE splits the hot partition."""
+    base = datetime(2026, 3, 2, 0, 0, 0)
+    rows = [trip(base + timedelta(hours=5, seconds=i % 3000), 10) for i in range(3000)]
+    rows += [trip(base + timedelta(hours=i % 24, minutes=i % 50), 10) for i in range(6000)]
+    trips = spark.createDataFrame(rows, TRIPS).repartition(8)
+    weather = spark.createDataFrame(
+        [(base + timedelta(hours=h), float(h), 0.0, 0.0, 1.0, 1) for h in range(24)], WEATHER
+    )
+    zones = spark.createDataFrame([(1, "Manhattan", "Midtown", "Yellow Zone")], ZONES)
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        itw = enrich.enrich_trips(trips, weather, zones, max_broadcast_rows=1)
+        assert len(itw.collect()) == 9000                   # runs itw's own adaptive plan
+        final_plan = itw._jdf.queryExecution().executedPlan().toString()
+        counts = {r.hour_of_day: r.trip_count for r in marts.trips_by_hour_weekday(itw).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # the 24-row hourly series is over the bound of 1: a shuffle join, split where it is skewed
+    smj = [line for line in final_plan.splitlines() if "SortMergeJoin" in line and "pickup_hour" in line]
+    assert smj and "skew=true" in smj[0]
+    assert counts[5] == 3000 + 250 and sum(counts.values()) == 9000
