@@ -66,11 +66,13 @@ def make_batch_writer(
         checked = gate_batch(batch, rules, pickup_col, business).persist()
         try:
             out = checked
-            if path_exists(spark, table_path):
-                # The months a batch touches are few (bounded by the calendar),
-                # and naming them lets the read of stored rows prune partitions.
-                months = [r[MONTH_COL] for r in checked.select(MONTH_COL).distinct().collect()]
-                stored = spark.read.parquet(table_path).filter(F.col(MONTH_COL).isin(months)).select(*business)
+            # The months a batch touches are few (bounded by the calendar).  Only
+            # their partition directories are listed and read, never the whole
+            # table, which on a large table holds a great many files.
+            months = [r[MONTH_COL] for r in checked.select(MONTH_COL).distinct().collect()]
+            stored_dirs = [d for d in (f"{table_path}/{MONTH_COL}={m}" for m in months) if path_exists(spark, d)]
+            if stored_dirs:
+                stored = spark.read.option("basePath", table_path).parquet(*stored_dirs).select(*business)
                 out = new_rows_only(checked, stored, business)
             out.write.mode("append").partitionBy(MONTH_COL, STATUS_COL).parquet(table_path)
         finally:
