@@ -20,7 +20,8 @@ def _n() -> F.Column:
 
 
 def _pct(part: F.Column, whole: F.Column, digits: int = 2) -> F.Column:
-    return F.round(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), digits)
+    """Exact ``round(part * 100 / whole, digits)`` for integer counts; NULL when ``whole`` is 0."""
+    return exact.rounded_ratio(part * 100, whole, digits)
 
 
 def quarantine_rate_by_month(tagged: DataFrame, ts_col: str = "pickup_ts", reason_col: str = REASON_COL) -> DataFrame:
@@ -114,19 +115,19 @@ def borough_summary(demand: DataFrame) -> DataFrame:
     The share window runs over the summary itself: one row per borough.
     """
     everything = Window.partitionBy()
-    # The mart's revenues are already rounded to cents: add them as decimals so
-    # the total is exact and its rounding does not depend on summation order.
+    # The mart's revenues are already rounded to cents: add them as whole cents so
+    # totals and shares are exact and their rounding does not depend on order.
     summary = demand.groupBy("pickup_borough").agg(
         F.sum("trip_count").alias("total_trips"),
-        F.sum(F.col("total_revenue").cast("decimal(38,2)")).alias("revenue_exact"),
-    ).withColumn("revenue", F.col("revenue_exact").cast("double"))
+        F.sum(exact.units(F.col("total_revenue"), 2)).alias("revenue_cents"),
+    )
     return (
         summary.select(
             "pickup_borough",
             "total_trips",
-            F.round("revenue_exact", 0).cast("double").alias("total_revenue"),
-            F.round(F.try_divide(F.col("total_trips") * 100.0, F.sum("total_trips").over(everything)), 1).alias("trip_share_pct"),
-            F.round(F.try_divide(F.col("revenue") * 100.0, F.sum("revenue").over(everything)), 1).alias("revenue_share_pct"),
+            exact.rounded_ratio(F.col("revenue_cents"), F.lit(100), 0).alias("total_revenue"),
+            _pct(F.col("total_trips"), F.sum("total_trips").over(everything), 1).alias("trip_share_pct"),
+            _pct(F.col("revenue_cents"), F.sum("revenue_cents").over(everything), 1).alias("revenue_share_pct"),
         )
         .orderBy(F.desc("total_trips"))
     )

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions.exact import rounded_ratio
+
 
 def expect_not_null(df: DataFrame, column: str) -> DataFrame:
     """Rows where ``column`` is NULL (O-86)."""
@@ -55,7 +57,7 @@ def match_rate(df: DataFrame, column: str, threshold: float) -> DataFrame:
     return counts.select(
         "total",
         "matched_rows",
-        F.round(F.try_divide(F.col("matched_rows").cast("double"), F.col("total").cast("double")), 4).alias("match_rate"),
+        rounded_ratio(F.col("matched_rows"), F.col("total"), 4).alias("match_rate"),
         F.lit(float(threshold)).alias("threshold"),
         (~(F.col("matched_rows") < F.col("total") * float(threshold))).alias("passed"),
     )

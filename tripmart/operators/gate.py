@@ -258,7 +258,10 @@ def drop_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def _pct(part: Column, whole: Column) -> Column:
-    return F.round(F.try_divide(part.cast("double") * 100.0, whole), 2)
+    """Exact ``round(part * 100 / whole, 2)`` for counts; NULL when ``whole`` is 0."""
+    from tripmart.functions.exact import rounded_ratio
+
+    return rounded_ratio(part * 100, whole, 2)
 
 
 def gate_report(

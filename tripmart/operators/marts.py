@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
-from tripmart.functions.exact import exact_avg, exact_avg_minutes, exact_sum
+from tripmart.functions.exact import exact_avg, exact_avg_minutes, exact_sum, rounded_ratio
 
 
 def _n() -> F.Column:
@@ -67,7 +67,8 @@ def weather_impact(itw: DataFrame) -> DataFrame:
     """Trips per distinct active hour by day type, precipitation and temperature (O-45, O-51).
 
     The denominator counts hours that have at least one trip in the group;
-    ``try_divide`` keeps an all-NULL group from raising under ANSI mode.
+    the ratio of the two counts is rounded exactly (NULL for a group without
+    any hour, instead of an ANSI division error).
     """
     return (
         with_conditions(itw)
@@ -78,7 +79,7 @@ def weather_impact(itw: DataFrame) -> DataFrame:
         )
         .withColumn(
             "avg_trips_per_hour",
-            F.round(F.try_divide(F.col("total_trips"), F.col("distinct_hours")), 1),
+            rounded_ratio(F.col("total_trips"), F.col("distinct_hours"), 1),
         )
         .orderBy("day_type", "is_precipitation", "temp_bucket")
     )

@@ -165,7 +165,7 @@ m_impact AS (
     SELECT day_type, is_precipitation, temp_bucket,
            count(*) AS total_trips,
            count(DISTINCT pickup_hour) AS distinct_hours,
-           round(count(*) / count(DISTINCT pickup_hour), 1) AS avg_trips_per_hour
+           {_rratio('count(*)', 'count(DISTINCT pickup_hour)', 1)} AS avg_trips_per_hour
     FROM cond GROUP BY 1, 2, 3
 ),
 m_borough AS (
@@ -229,7 +229,7 @@ orders_trend AS (
 
 
 def _pct(part: str, whole: str, digits: int = 2) -> str:
-    return f"round(CAST({part} AS DOUBLE) * 100.0 / CAST({whole} AS DOUBLE), {digits})"
+    return _rratio(f"({part}) * 100", whole, digits)
 
 
 def _summary(name: str, failing_sql: str) -> str:
@@ -379,16 +379,14 @@ FINAL = {
                    count(*) AS total_trips
             FROM valid
         ) c""",
-    "borough_summary": """
-        SELECT pickup_borough, total_trips, CAST(round(revenue_exact, 0) AS DOUBLE) AS total_revenue,
-               round(CAST(total_trips AS DOUBLE) * 100.0 / CAST(sum(total_trips) OVER () AS DOUBLE), 1) AS trip_share_pct,
-               round(revenue * 100.0 / sum(revenue) OVER (), 1) AS revenue_share_pct
+    "borough_summary": f"""
+        SELECT pickup_borough, total_trips, {_rratio('revenue_cents', '100', 0)} AS total_revenue,
+               {_pct('total_trips', 'sum(total_trips) OVER ()', 1)} AS trip_share_pct,
+               {_pct('revenue_cents', 'sum(revenue_cents) OVER ()', 1)} AS revenue_share_pct
         FROM (
-            SELECT *, CAST(revenue_exact AS DOUBLE) AS revenue FROM (
-                SELECT pickup_borough, CAST(sum(trip_count) AS BIGINT) AS total_trips,
-                       sum(CAST(total_revenue AS DECIMAL(38, 2))) AS revenue_exact
-                FROM m_borough GROUP BY 1
-            ) e
+            SELECT pickup_borough, CAST(sum(trip_count) AS BIGINT) AS total_trips,
+                   sum({_units('total_revenue', 2)}) AS revenue_cents
+            FROM m_borough GROUP BY 1
         ) s ORDER BY total_trips DESC""",
     "dry_vs_wet": f"""
         SELECT dry AS dry_avg_trips_per_hour, wet AS wet_avg_trips_per_hour,
@@ -426,9 +424,9 @@ FINAL = {
     "expect_not_null": _union(NOT_NULL),
     "expect_unique": _union(UNIQUE),
     "expect_values": _union(VALUES),
-    "expect_match_rate": """
+    "expect_match_rate": f"""
         SELECT total, matched_rows,
-               round(CAST(matched_rows AS DOUBLE) / CAST(total AS DOUBLE), 4) AS match_rate,
+               {_rratio('matched_rows', 'total', 4)} AS match_rate,
                CAST(0.95 AS DOUBLE) AS threshold,
                NOT (matched_rows < total * 0.95) AS passed
         FROM (SELECT count(*) AS total, count(temperature_2m) AS matched_rows FROM itw) m""",

@@ -163,7 +163,7 @@ def weather_impact(r: DataFrame) -> DataFrame:
         )
         .withColumn(
             "avg_trips_per_hour",
-            F.round(F.try_divide(F.col("total_trips"), F.col("distinct_hours")), 1),
+            rounded_ratio(F.col("total_trips"), F.col("distinct_hours"), 1),
         )
         .orderBy("day_type", "is_precipitation", "temp_bucket")
     )
@@ -241,7 +241,7 @@ def match_rate(enriched: DataFrame, threshold: float, column: str = "temperature
     return counts.select(
         "total",
         "matched_rows",
-        F.round(F.try_divide(F.col("matched_rows").cast("double"), F.col("total").cast("double")), 4).alias("match_rate"),
+        rounded_ratio(F.col("matched_rows"), F.col("total"), 4).alias("match_rate"),
         F.lit(float(threshold)).alias("threshold"),
         (~(F.col("matched_rows") < F.col("total") * float(threshold))).alias("passed"),
     )
