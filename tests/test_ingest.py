@@ -125,7 +125,7 @@ def test_nanosecond_hourly_file(spark, scratch):
 def test_zone_csv(spark, scratch):
     path = os.path.join(scratch, "zones.csv")
     with open(path, "w") as f:
-        f.write("LocationID,Borough,Zone,service_zone\n1,EWR,Newark Airport,EWR\n264,Unknown,N/A,N/A\n265,N/A,Outside of NYC,\n")
+        f.write("LocationID,Borough,Zone,service_zone\n1,North,Airport,Airports\n264,Unknown,N/A,N/A\n265,N/A,Outside,\n")
     df = ingest.read_zone_csv(spark, path)
     rows = {r.LocationID: r for r in df.collect()}
     assert dict(df.dtypes)["LocationID"] == "int"
