@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
+from tripmart.session import ensure_checkpoint_dir
 
 
 def pivot_counts(
@@ -22,7 +23,16 @@ def pivot_counts(
     col_values=None,
     fill: int | None = None,
 ) -> DataFrame:
-    """``rows`` x ``cols`` matrix of ``sum(value)``; ``fill`` replaces missing cells."""
+    """``rows`` x ``cols`` matrix of ``sum(value)``; ``fill`` replaces missing cells.
+
+    Without ``col_values`` Spark first runs a job to find the distinct column
+    labels, then the pivot itself; on a lazily defined mart both would
+    recompute its whole lineage back to the fact scan.  The (small,
+    aggregated) mart is therefore checkpointed once and both read that copy.
+    """
+    if col_values is None:
+        ensure_checkpoint_dir(mart.sparkSession)
+        mart = mart.checkpoint(eager=True)
     out = mart.groupBy(rows).pivot(cols, list(col_values) if col_values is not None else None).agg(F.sum(value))
     if fill is not None:
         out = out.na.fill(fill)

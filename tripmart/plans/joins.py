@@ -7,6 +7,11 @@ hourly series can span decades, a lookup can be fed the wrong file).  The
 check below counts at most ``max_rows + 1`` rows of the dimension; beyond the
 bound no hint is given and Spark's planner falls back to a shuffle join, where
 AQE's skew-join handling splits a hot fact key.
+
+The check is one extra job over the dimension.  On a published table (the
+publishing run writes the hourly series and the lookup to silver first) that
+is a cheap count; a dimension derived on the fly from a large table is
+computed once for the check and once for the join, so materialise it first.
 """
 
 from __future__ import annotations
