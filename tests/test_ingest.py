@@ -104,7 +104,7 @@ def test_payload_without_hourly_fails_or_is_routed(spark):
     )
     with pytest.raises(Exception, match="Unexpected hourly payload shape"):
         ingest.hourly_payload_to_rows(docs, "payload", VARS).collect()
-    assert ingest.hourly_payload_to_rows(docs, "payload", VARS, mode="drop").count() == 1
+    assert ingest.hourly_payload_to_rows(docs, "payload", VARS, mode="quarantine").count() == 1
     assert ingest.bad_payloads(docs, "payload", VARS).count() == 2
 
 

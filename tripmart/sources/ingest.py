@@ -166,14 +166,15 @@ def hourly_payload_to_rows(
     Each document's arrays are zipped element-wise and exploded, ``time``
     becomes ``weather_hour_local`` (a ``timestamp`` parsed from
     ``yyyy-MM-ddTHH:mm``).  A document without ``hourly`` or ``hourly.time``
-    fails the job (``mode='fail'``) or is left out (``mode='drop'``; use
-    ``bad_payloads`` to route those documents elsewhere).
+    fails the job (``mode='fail'``) or is left out (``mode='quarantine'``, also
+    spelled ``'drop'``); ``bad_payloads`` returns those documents for routing
+    to a quarantine table.
     """
     parsed, bad = _parse(df, json_col, variables)
     if mode == "fail":
         message = F.lit("Unexpected hourly payload shape: missing 'hourly' or 'hourly.time'")
         hourly = F.when(bad, F.raise_error(message)).otherwise(F.col("_payload.hourly"))
-    elif mode == "drop":
+    elif mode in ("quarantine", "drop"):
         parsed = parsed.filter(~bad)
         hourly = F.col("_payload.hourly")
     else:
