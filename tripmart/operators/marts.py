@@ -5,9 +5,9 @@ Spark's partial aggregation shrinks every map task's output to at most one
 row per group before the shuffle.  Averages of per-trip ratios (tip share,
 revenue per minute, speed) are means of ratios, not ratios of sums.
 
-Sums and means of amounts, precipitation, temperature and durations are
-computed exactly (``functions.exact``), so a published digit never depends on
-how the input happened to be split; the per-trip ratio means stay floating.
+Sums and means of amounts, precipitation, temperature, durations and per-trip
+ratios are computed exactly (``functions.exact``), so a published digit never
+depends on how the input happened to be split.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
-from tripmart.functions.exact import exact_avg, exact_avg_minutes, exact_sum, rounded_ratio
+from tripmart.functions.exact import exact_avg, exact_avg_minutes, exact_avg_scaled, exact_sum, rounded_ratio
 
 
 def _n() -> F.Column:
@@ -119,7 +119,7 @@ def payment_mix(itw: DataFrame) -> DataFrame:
             _n().alias("trip_count"),
             exact_avg(F.col("total_amount"), 2).alias("avg_fare"),
             exact_avg(F.col("tip_amount"), 2).alias("avg_tip"),
-            F.round(F.avg(X.ratio_where_positive("tip_amount", "fare_amount")) * 100, 1).alias("avg_tip_pct"),
+            exact_avg_scaled(X.ratio_where_positive("tip_amount", "fare_amount"), 100, 1).alias("avg_tip_pct"),
         )
         .orderBy(F.desc("trip_count"))
     )
@@ -133,7 +133,7 @@ def revenue_efficiency_by_hour(itw: DataFrame) -> DataFrame:
         .groupBy(X.hour_of_day("pickup_hour").alias("hour_of_day"))
         .agg(
             exact_avg_minutes(_seconds(), 1).alias("avg_trip_minutes"),
-            F.round(F.avg(X.ratio_where_positive("total_amount", "trip_minutes")), 2).alias("avg_revenue_per_minute"),
+            exact_avg_scaled(X.ratio_where_positive("total_amount", "trip_minutes"), 1, 2).alias("avg_revenue_per_minute"),
             exact_sum(F.col("total_amount"), 0).alias("total_revenue"),
             _n().alias("trip_count"),
         )
@@ -156,7 +156,7 @@ def weather_speed_impact(itw: DataFrame) -> DataFrame:
         .filter(F.col("speed_mph") < 60)
         .groupBy("is_precipitation", "temp_bucket", "day_type")
         .agg(
-            F.round(F.avg("speed_mph"), 1).alias("avg_speed_mph"),
+            exact_avg_scaled(F.col("speed_mph"), 1, 1).alias("avg_speed_mph"),
             _n().alias("trip_count"),
         )
         .orderBy("day_type", "temp_bucket", "is_precipitation")

@@ -57,6 +57,12 @@ def _xavg(value: str, digits: int) -> str:
     return _rratio(f"sum({_units(value)})", f"count({_units(value)}) * {UNITS}", digits)
 
 
+def _xavg_scaled(value: str, scale: int, digits: int) -> str:
+    """Exact ``round(avg(value) * scale, digits)`` from nanounits of a per-row ratio."""
+    u = _units(value, 9)
+    return _rratio(f"sum({u}) * {scale}", f"count({u}) * {10 ** 9}", digits)
+
+
 def _xminutes(digits: int) -> str:
     return _rratio(f"sum({SECS})", f"count({SECS}) * 60", digits)
 
@@ -188,20 +194,20 @@ m_payment AS (
            count(*) AS trip_count,
            {_xavg('total_amount', 2)} AS avg_fare,
            {_xavg('tip_amount', 2)} AS avg_tip,
-           round(avg(CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount ELSE NULL END) * 100, 1) AS avg_tip_pct
+           {_xavg_scaled('CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount ELSE NULL END', 100, 1)} AS avg_tip_pct
     FROM itw GROUP BY 1
 ),
 m_revenue AS (
     SELECT CAST(hour(pickup_hour) AS INTEGER) AS hour_of_day,
            {_xminutes(1)} AS avg_trip_minutes,
-           round(avg(CASE WHEN trip_minutes > 0 THEN total_amount / trip_minutes ELSE NULL END), 2) AS avg_revenue_per_minute,
+           {_xavg_scaled('CASE WHEN trip_minutes > 0 THEN total_amount / trip_minutes ELSE NULL END', 1, 2)} AS avg_revenue_per_minute,
            {_xsum('total_amount', 0)} AS total_revenue,
            count(*) AS trip_count
     FROM itw WHERE trip_minutes > 0 AND trip_minutes < 180 GROUP BY 1
 ),
 m_speed AS (
     SELECT is_precipitation, temp_bucket, day_type,
-           round(avg(speed_mph), 1) AS avg_speed_mph,
+           {_xavg_scaled('speed_mph', 1, 1)} AS avg_speed_mph,
            count(*) AS trip_count
     FROM (
         SELECT *, CASE WHEN trip_minutes > 0 THEN trip_distance / (trip_minutes / 60.0) ELSE NULL END AS speed_mph

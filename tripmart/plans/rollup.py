@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
-from tripmart.functions.exact import UNIT_DIGITS, rounded_ratio, units
+from tripmart.functions.exact import RATIO_DIGITS, UNIT_DIGITS, rounded_ratio, units
 from tripmart.operators.marts import with_conditions
 from tripmart.operators.staging import HOURLY_VARIABLES
 from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_all_if_bounded
@@ -68,13 +68,13 @@ def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
         *_sum_count("amount_units", units(amount)),
         *_sum_count("seconds", secs.cast("decimal(20,0)")),
         *_sum_count("tip_units", units(F.col("tip_amount"))),
-        *_sum_count("tip_ratio", X.ratio_where_positive("tip_amount", "fare_amount")),
+        *_sum_count("tip_ratio_units", units(X.ratio_where_positive("tip_amount", "fare_amount"), RATIO_DIGITS)),
         F.count_if(in_revenue_window).alias("rev_n"),
         *_sum_count("rev_seconds", F.when(in_revenue_window, secs.cast("decimal(20,0)"))),
-        *_sum_count("rev_per_minute", F.when(in_revenue_window, X.ratio_where_positive(amount, m))),
+        *_sum_count("rev_per_minute_units", units(F.when(in_revenue_window, X.ratio_where_positive(amount, m)), RATIO_DIGITS)),
         F.sum(F.when(in_revenue_window, units(amount))).alias("rev_amount_units"),
         F.count_if(in_speed_window).alias("speed_n"),
-        F.sum(F.when(in_speed_window, speed)).alias("speed_sum"),
+        F.sum(units(F.when(in_speed_window, speed), RATIO_DIGITS)).alias("speed_units_sum"),
     )
 
 
@@ -107,15 +107,16 @@ def enrich_rollup(
     })
 
 
-def _avg(prefix: str) -> Column:
-    return F.try_divide(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n"))
-
-
 def _exact_avg(prefix: str, digits: int) -> Column:
     """Exact mean from a units sum and its count (units of ``10**-UNIT_DIGITS``)."""
     return rounded_ratio(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n") * (10 ** UNIT_DIGITS), digits)
 
 
+def _exact_ratio_avg(prefix: str, scale: int, digits: int) -> Column:
+    """Exact ``round(mean * scale, digits)`` of a per-trip ratio carried in nanounits."""
+    return rounded_ratio(F.sum(f"{prefix}_sum") * scale, F.sum(f"{prefix}_n") * (10 ** RATIO_DIGITS), digits)
+
+
 def _exact_total(units_sum: Column, digits: int) -> Column:
     return rounded_ratio(units_sum, F.lit(10 ** UNIT_DIGITS), digits)
 
@@ -189,7 +190,7 @@ def payment_mix(r: DataFrame) -> DataFrame:
             _total_trips().alias("trip_count"),
             _exact_avg("amount_units", 2).alias("avg_fare"),
             _exact_avg("tip_units", 2).alias("avg_tip"),
-            F.round(_avg("tip_ratio") * 100, 1).alias("avg_tip_pct"),
+            _exact_ratio_avg("tip_ratio_units", 100, 1).alias("avg_tip_pct"),
         )
         .orderBy(F.desc("trip_count"))
     )
@@ -201,7 +202,7 @@ def revenue_efficiency_by_hour(r: DataFrame) -> DataFrame:
         .groupBy(X.hour_of_day("pickup_hour").alias("hour_of_day"))
         .agg(
             _exact_minutes("rev_seconds", 1).alias("avg_trip_minutes"),
-            F.round(_avg("rev_per_minute"), 2).alias("avg_revenue_per_minute"),
+            _exact_ratio_avg("rev_per_minute_units", 1, 2).alias("avg_revenue_per_minute"),
             _exact_total(F.sum("rev_amount_units"), 0).alias("total_revenue"),
             F.sum("rev_n").cast("bigint").alias("trip_count"),
         )
@@ -214,7 +215,7 @@ def weather_speed_impact(r: DataFrame) -> DataFrame:
         with_conditions(r.filter(F.col("speed_n") > 0))
         .groupBy("is_precipitation", "temp_bucket", "day_type")
         .agg(
-            F.round(F.try_divide(F.sum("speed_sum"), F.sum("speed_n")), 1).alias("avg_speed_mph"),
+            rounded_ratio(F.sum("speed_units_sum"), F.sum("speed_n") * (10 ** RATIO_DIGITS), 1).alias("avg_speed_mph"),
             F.sum("speed_n").cast("bigint").alias("trip_count"),
         )
         .orderBy("day_type", "temp_bucket", "is_precipitation")
