@@ -169,3 +169,11 @@ def test_survivor_is_independent_of_partitioning(spark):
         picks.append(sorted((r.a, r._source_file) for r in out.collect()))
     assert picks[0] == picks[1] == picks[2]
     assert len(picks[0]) == 40
+
+
+def test_string_survivor_order_is_honoured(spark):
+    df = spark.createDataFrame(
+        [(1, 5, "f-b"), (1, 1, "f-c"), (1, 9, "f-a"), (2, 3, "g")], "a int, _batch int, _src string"
+    )
+    out = {r.a: (r._batch, r._src) for r in G.drop_duplicate_rows(df, survivor_order="_src").collect()}
+    assert out == {1: (9, "f-a"), 2: (3, "g")}

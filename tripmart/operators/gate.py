@@ -208,7 +208,10 @@ def drop_duplicate_rows(
     keys = list(keys) if keys is not None else business_keys(df)
     meta = [c for c in df.columns if c not in keys]
     strings = [m for m in meta if not _fixed_width(df.schema[m].dataType)]
-    dictionary = _metadata_dictionary(df, strings, max_dictionary_rows) if strings else None
+    # Ordering survivors by a string column needs that string in the aggregate:
+    # honour it with the plain (sort-based) plan rather than reorder silently.
+    encode = bool(strings) and survivor_order not in strings
+    dictionary = _metadata_dictionary(df, strings, max_dictionary_rows) if encode else None
     source = df
     carried = meta
     if dictionary is not None:
