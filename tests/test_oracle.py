@@ -28,6 +28,7 @@ def test_query_matches_duckdb(spark, duck, name):
     assert result["columns_match"], (result.get("spark_columns"), result.get("duck_columns"))
     assert result["spark_rows"] == result["duck_rows"]
     assert result["ok"], result.get("examples")
+    assert result["exact"], "values agree only within tolerance, not exactly"
 
 
 def test_entry_smoke(spark):
