@@ -77,14 +77,18 @@ def enrich_trips(
     hourly: DataFrame,
     zones: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize_dims: bool = False,
 ) -> DataFrame:
     """Staged trips + 5 hourly variables + borough/zone + 3 derived columns (O-40).
 
-    Both dimensions are size-checked together in one job.
+    Both dimensions are size-checked together in one job; pass
+    ``materialize_dims`` when they are derived on the fly rather than read
+    from published tables.
     """
     hourly, zones = broadcast_all_if_bounded(
         [hourly.select("weather_hour_local", *HOURLY_VARIABLES), zones.select("location_id", "borough", "zone")],
         max_broadcast_rows,
+        materialize=materialize_dims,
     )
     with_hour = join_hourly(trips, hourly, max_broadcast_rows=None)
     with_zone = join_zones(with_hour, zones, max_broadcast_rows=None)

@@ -10,8 +10,9 @@ AQE's skew-join handling splits a hot fact key.
 
 The check is one extra job over the dimension.  On a published table (the
 publishing run writes the hourly series and the lookup to silver first) that
-is a cheap count; a dimension derived on the fly from a large table is
-computed once for the check and once for the join, so materialise it first.
+is a cheap count; a dimension derived on the fly from a large table would be
+computed once for the check and once for the join, so it is materialised
+first (``materialize=True``).
 """
 
 from __future__ import annotations
@@ -51,6 +52,21 @@ def within_bound(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
     return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
 
 
-def broadcast_all_if_bounded(frames: Sequence[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
-    """``broadcast_if_bounded`` for several dimensions, checked together in one job."""
+def broadcast_all_if_bounded(
+    frames: Sequence[DataFrame],
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize: bool = False,
+) -> list[DataFrame]:
+    """``broadcast_if_bounded`` for several dimensions, checked together in one job.
+
+    ``materialize`` writes each dimension once with a reliable checkpoint
+    first, for dimensions derived on the fly from large tables: the check
+    and the join then read that copy instead of each recomputing it, and an
+    unbounded dimension's copy feeds the shuffle join just the same.
+    """
+    if materialize:
+        from tripmart.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(frames[0].sparkSession)
+        frames = [f.checkpoint(eager=True) for f in frames]
     return [F.broadcast(f) if ok else f for f, ok in zip(frames, within_bound(frames, max_rows))]

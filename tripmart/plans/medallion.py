@@ -48,6 +48,7 @@ def enriched(
     raw_hourly: DataFrame,
     raw_zones: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize_dims: bool = False,
 ) -> DataFrame:
     """Staged valid trips with hourly context, location and derived columns."""
     return enrich.enrich_trips(
@@ -55,6 +56,7 @@ def enriched(
         staging.stage_weather(raw_hourly),
         staging.stage_zones(raw_zones),
         max_broadcast_rows=max_broadcast_rows,
+        materialize_dims=materialize_dims,
     )
 
 

@@ -83,6 +83,7 @@ def enrich_rollup(
     stg_weather: DataFrame,
     stg_zones: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize_dims: bool = False,
 ) -> DataFrame:
     """Left-join the hourly context and the location lookup to the rollup cells."""
     weather, zones = broadcast_all_if_bounded(
@@ -95,6 +96,7 @@ def enrich_rollup(
             ),
         ],
         max_broadcast_rows,
+        materialize=materialize_dims,
     )
     joined = (
         rollup.join(weather, rollup.pickup_hour == weather.w_hour, "left")
@@ -254,6 +256,7 @@ def enriched_rollup(
     stg_zones: DataFrame,
     materialize: bool = True,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize_dims: bool = False,
 ) -> DataFrame:
     """The rollup of the staged trips joined to both dimensions.
 
@@ -266,7 +269,7 @@ def enriched_rollup(
     rollup = hourly_rollup(stg_trips)
     if materialize:
         rollup = rollup.checkpoint(eager=True)
-    return enrich_rollup(rollup, stg_weather, stg_zones, max_broadcast_rows)
+    return enrich_rollup(rollup, stg_weather, stg_zones, max_broadcast_rows, materialize_dims)
 
 
 def build_marts(

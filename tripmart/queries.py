@@ -27,7 +27,11 @@ def _gate(spark: SparkSession, sf: str) -> medallion.GateResult:
 
 
 def _itw(spark: SparkSession, sf: str) -> DataFrame:
-    return medallion.enriched(_gate(spark, sf).valid, T.raw_hourly(spark, sf), T.raw_zones(spark, sf))
+    # The test dimensions are derived from `events` and `nation`/`region` on the
+    # fly, so they are materialised once before their size check.
+    return medallion.enriched(
+        _gate(spark, sf).valid, T.raw_hourly(spark, sf), T.raw_zones(spark, sf), materialize_dims=True
+    )
 
 
 def _stg_weather(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,7 +198,9 @@ class _Models:
     @property
     def enriched(self):
         if self._enriched is None:
-            self._enriched = rollup.enriched_rollup(self.stg_trips, self.stg_weather, self.stg_zones, materialize=True)
+            self._enriched = rollup.enriched_rollup(
+                self.stg_trips, self.stg_weather, self.stg_zones, materialize=True, materialize_dims=True
+            )
         return self._enriched
 
     def mart(self, name):
