@@ -148,3 +148,33 @@ def test_monthly_files_to_gold(spark, scratch):
     # most rows exist only in the first delivery; re-sent rows keep one deterministic copy
     assert "2024-01" in months and months <= {"2024-01", "2024-02"}
     assert spark.table("gold_files.weather_impact").count() == 16
+
+
+def test_readme_flow_from_files(spark, scratch):
+    """read_months + read_hourly (nanosecond file) + read_zone_csv -> publish_all, as in the README."""
+    import os
+
+    from tripmart.operators import staging
+    from tripmart.sources import ingest
+
+    raw = T.raw_trips(spark, SF01)
+    for batch, month in ((0, "2024-01"), (1, "2024-02")):
+        raw.filter(F.col("_ingest_batch") == batch).drop("_ingest_batch").write.parquet(
+            os.path.join(scratch, f"trips_{month}.parquet")
+        )
+    hourly_path = os.path.join(scratch, "weather_hourly.parquet")
+    T.raw_hourly(spark, SF01).toPandas().to_parquet(hourly_path, index=False)   # datetime64[ns] -> NANOS
+    zones_path = os.path.join(scratch, "zones_csv")
+    T.raw_zones(spark, SF01).coalesce(1).write.option("header", True).csv(zones_path)
+
+    trips = ingest.read_months(spark, ["2024-01", "2024-02"], os.path.join(scratch, "trips_{month}.parquet"))
+    hourly = ingest.read_hourly(spark, hourly_path, nanos=True)
+    zones = ingest.read_zone_csv(spark, zones_path)
+    run = medallion.publish_all(trips, hourly, zones, T.trip_rules(), silver_db="silver_readme", gold_db="gold_readme")
+
+    report = run.report.first()
+    assert (report.total_rows, report.deduped_rows, report.valid_rows) == (10_104, 10_000, 8_455)
+    assert all(r.passed for r in run.expectations.collect())
+    expected = {tuple(r) for r in T.raw_hourly(spark, SF01).collect()}
+    assert {tuple(r) for r in staging.stage_weather(hourly).collect()} == expected
+    assert spark.table("gold_readme.weather_impact").count() == 16
