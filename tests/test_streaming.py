@@ -33,6 +33,7 @@ def test_stream_gate_matches_batch_gate(spark, scratch):
     q.awaitTermination()
 
     stored = spark.read.parquet(table)
+    assert stored.filter(F.col("_source_file").isNull()).count() == 0      # provenance kept
     batch = medallion.gate(raw, T.trip_rules())
     assert after_first == 1_000
     assert stored.count() == batch.tagged.count() == 1_000

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from tripmart.functions import exprs as X
 from tripmart.operators import gate as G
-from tripmart.sources.ingest import path_exists
+from tripmart.sources.ingest import path_exists, with_ingest_metadata
 
 MONTH_COL = "_month"
 STATUS_COL = "_gate_status"
@@ -91,16 +91,21 @@ def start_gate_stream(
     pickup_col: str = "tpep_pickup_datetime",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    with_metadata: bool = True,
 ) -> StreamingQuery:
     """Run the gate over Parquet files landing in ``source_dir``.
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental run); otherwise the query keeps polling for new files.
+    ``with_metadata`` records each row's ``_source_file`` and ``_ingested_at``
+    as the batch loaders do; the ``_`` prefix keeps them out of the dedup keys.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
+    if with_metadata:
+        stream = with_ingest_metadata(stream)
     writer = (
         stream.writeStream.foreachBatch(make_batch_writer(table_path, rules, pickup_col))
         .option("checkpointLocation", checkpoint_location)
