@@ -52,3 +52,11 @@ def test_replayed_batch_adds_nothing(spark, scratch):
     write(raw, 0)
     write(raw, 0)                                            # the same batch again after a failure
     assert spark.read.parquet(table).count() == 1_000
+
+
+def test_new_rows_only_matches_null_keys(spark):
+    schema = "a int, b string, _copies bigint"
+    stored = spark.createDataFrame([(1, None, 1), (None, "x", 1)], schema).select("a", "b")
+    batch = spark.createDataFrame([(1, None, 2), (None, "x", 1), (None, None, 1), (2, "y", 1)], schema)
+    fresh = {(r.a, r.b) for r in S.new_rows_only(batch, stored, ["a", "b"]).collect()}
+    assert fresh == {(None, None), (2, "y")}
