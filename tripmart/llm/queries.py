@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, topk
+from tripmart.llm import bpe, decontaminate, quality, topk
 from tripmart.llm.tables import table
 
 
@@ -15,6 +15,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_report(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op5_bpe": op5_bpe,
     "op7_topk": op7_topk,
 }
