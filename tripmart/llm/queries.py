@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, quality, topk
+from tripmart.llm import bpe, decontaminate, quality, topk, toxicity
 from tripmart.llm.tables import table
 
 
@@ -28,11 +28,16 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op5_bpe": op5_bpe,
     "op7_topk": op7_topk,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB text of the queries that SQL can express.
