@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, quality, topk, toxicity
+from tripmart.llm import bpe, decontaminate, html_blocks, quality, topk, toxicity
 from tripmart.llm.tables import table
 
 
@@ -28,6 +28,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_bpe": op5_bpe,
     "op7_topk": op7_topk,
+    "op8_html": op8_html,
     "op10_toxicity": op10_toxicity,
 }
 
