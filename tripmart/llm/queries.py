@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, html_blocks, quality, topk, toxicity
+from tripmart.llm import bpe, decontaminate, html_blocks, quality, sanitise, topk, toxicity
 from tripmart.llm.tables import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.sanitise_report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +41,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op5_bpe": op5_bpe,
