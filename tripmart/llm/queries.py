@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, html_blocks, quality, sanitise, topk, toxicity
+from tripmart.llm import bpe, decontaminate, html_blocks, jaccard, quality, sanitise, topk, toxicity
 from tripmart.llm.tables import table
 
 
@@ -36,6 +36,10 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op7_topk": op7_topk,
     "op8_html": op8_html,
+    "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 

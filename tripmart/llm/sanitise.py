@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.bitmaps import asked, bitmap
 from tripmart.llm.tables import stored
 from tripmart.llm.textarrays import BYTE_VALUES, LOWER, WORD_BYTES, mix, text_chunks, word_hashes
 
@@ -46,8 +47,6 @@ WINDOW = 8
 MIN_CONTEXTS = 3
 REMOVE_SHARE = 0.8
 GENERALISE_SHARE = 0.6
-#: Bits of the broadcast term bitmap: 2 MB whatever the corpus.
-BITMAP_BITS = 1 << 24
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -174,28 +173,16 @@ def _arrow_schema() -> pa.Schema:
     return pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base", pa.string()), ("mentions", pa.list_(mention))])
 
 
-def _bitmap(terms: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap with the bit of every hash in ``column``, built from one row per byte at most."""
-    place = F.pmod(F.col(column), F.lit(bits))
-    rows = terms.groupBy((place / 8).cast("int").alias("byte")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))).alias("value")
-    ).toArrow()
-    out = np.zeros(bits // 8, np.uint8)
-    out[np.asarray(rows["byte"])] = np.asarray(rows["value"]).astype(np.uint8)
-    return out
-
-
-def document_counts(docs: DataFrame, terms: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n``: the documents that hold each term of ``terms(term)``."""
-    bitmap = _bitmap(terms, "term", bits)
+    marks = bitmap(terms, "term")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column(0)):
                 hashes, rows = word_hashes(LOWER[data], offsets, WORD_BYTES)
-                place = hashes.view(np.int64) % bits
-                asked = (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                hashes, rows = hashes[asked], rows[asked]
+                maybe = asked(marks, hashes)
+                hashes, rows = hashes[maybe], rows[maybe]
                 order = np.lexsort((rows, hashes))
                 hashes, rows = hashes[order], rows[order]
                 fresh = np.ones(len(hashes), bool)
