@@ -42,7 +42,7 @@ def bucket_count(docs: DataFrame) -> int:
     return max(LEAST_BUCKETS, -(-size // TEXT_PER_BUCKET))
 
 
-def parts_of(keys: np.ndarray, nodes: np.ndarray, extra: np.ndarray, kind: int, buckets: int) -> Iterator[dict]:
+def parts_of(keys: np.ndarray, nodes: np.ndarray, extra: np.ndarray | None, kind: int, buckets: int) -> Iterator[dict]:
     """One row per bucket with its keys (as 32 bits), nodes and extra values.
 
     Keys that agree in bucket and 32 bits but not in full only add candidates.
@@ -51,12 +51,13 @@ def parts_of(keys: np.ndarray, nodes: np.ndarray, extra: np.ndarray, kind: int,
         return
     place = (keys >> np.uint64(32)) % np.uint64(buckets)
     order = np.argsort(place.astype(np.uint16 if buckets < 1 << 16 else np.int64), kind="stable")
-    place, keys, nodes, extra = place[order], keys[order].astype(np.uint32), nodes[order], extra[order]
+    place, keys, nodes = place[order], keys[order].astype(np.uint32), nodes[order]
+    extra = extra[order] if extra is not None else None
     edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     for lo, hi in zip(edges, [*edges[1:], len(place)], strict=True):
         yield {
             "bucket": int(place[lo]), "kind": kind, "keys": keys[lo:hi].tobytes(),
-            "nodes": nodes[lo:hi].tobytes(), "extra": extra[lo:hi].tobytes(),
+            "nodes": nodes[lo:hi].tobytes(), "extra": extra[lo:hi].tobytes() if extra is not None else b"",
         }
 
 

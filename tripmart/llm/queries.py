@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, html_blocks, jaccard, quality, sanitise, topk, toxicity
+from tripmart.llm import bpe, decontaminate, html_blocks, jaccard, lines, quality, sanitise, topk, toxicity
 from tripmart.llm.tables import table
 
 
@@ -27,6 +27,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_report(table(spark, sf_dir, "documents"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op5_bpe": op5_bpe,
+    "op6_lines": op6_lines,
     "op7_topk": op7_topk,
     "op8_html": op8_html,
     "op9_jaccard": op9_jaccard,
