@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, html_blocks, jaccard, lines, quality, sanitise, topk, toxicity
+from tripmart.llm import bpe, decontaminate, html_blocks, jaccard, lines, quality, sanitise, suffixes, topk, toxicity
 from tripmart.llm.tables import table
 
 
@@ -23,6 +23,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
+    "op4_suffixes": op4_suffixes,
     "op5_bpe": op5_bpe,
     "op6_lines": op6_lines,
     "op7_topk": op7_topk,
