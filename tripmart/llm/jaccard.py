@@ -39,7 +39,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm import linking
@@ -60,6 +60,14 @@ MAX_SMALL = 20
 SHORT_LIST = 24
 
 
+_LAST_ID = (1 << 63) - 1
+
+
+def row_key() -> Column:
+    """What tells documents apart: their id and text."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
+
+
 def needed(size: int | np.ndarray, percent: int) -> int | np.ndarray:
     """The least overlap with a set that is similar and not larger."""
     return -(-size * percent // 100)
@@ -164,18 +172,17 @@ def _subset_keys(tokens: np.ndarray, boundary: int, percent: int) -> np.ndarray:
 
 
 def candidate_parts(docs: DataFrame, ranks: np.ndarray, boundary: int, buckets: int, width: int, percent: int) -> DataFrame:
-    """Key parts of all sets, and as info columns (id, size, node, has id) of every document."""
+    """Key parts of all sets, and as info columns (row key, id, size, node) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         emitted: set[int] = set()
         for batch in batches:
-            ids = batch.column(0)
-            id_values, has_id = np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid()).astype(np.int64)
+            ids, row_keys = np.asarray(batch.column(0).fill_null(_LAST_ID)), np.asarray(batch.column(2))
             columns, keys, nodes, sizes = [], [], [], []
             for lo, hi, found, starts in document_sets(batch.column(1), width):
                 size, node = np.diff(starts), set_hashes(found, starts)
-                columns.append((id_values[lo:hi], size, node, has_id[lo:hi]))
+                columns.append((row_keys[lo:hi], ids[lo:hi], size, node))
                 # a set seen before in this task has sent its keys
                 fresh = np.array([n > 0 and x not in emitted and not emitted.add(x) for x, n in zip(node.tolist(), size.tolist(), strict=True)], bool)
                 rank = ranks[((found >> np.uint64(8)) % np.uint64(len(ranks))).astype(np.int64)].astype(np.uint64)
@@ -199,7 +206,7 @@ def candidate_parts(docs: DataFrame, ranks: np.ndarray, boundary: int, buckets:
                 yield linking.part_batch(rows)
             number += 1
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, linking.PART_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text", row_key()).mapInArrow(run, linking.PART_SCHEMA)
 
 
 def list_edges(percent: int):
@@ -265,43 +272,65 @@ def similar_pairs(percent: int):
 
 
 def _set_contents(docs: DataFrame, marks: np.ndarray, width: int) -> DataFrame:
-    """``node, content`` of the documents whose (node, id) may be marked."""
+    """``node, row_key, content`` of the documents whose (node, row key) may be marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0).fill_null(0))
-            for lo, hi, found, starts in document_sets(batch.column(1), width):
+            row_keys = np.asarray(batch.column(1))
+            for lo, hi, found, starts in document_sets(batch.column(0), width):
                 node = set_hashes(found, starts)
-                wanted = np.flatnonzero(asked(marks, spread(node, ids[lo:hi])) & (np.diff(starts) > 0))
+                wanted = np.flatnonzero(asked(marks, spread(node, row_keys[lo:hi])) & (np.diff(starts) > 0))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(node[wanted]), pa.array(ids[lo:hi][wanted]),
+                    pa.array(node[wanted]), pa.array(row_keys[lo:hi][wanted]),
                     pa.array([found[starts[k]:starts[k + 1]].tobytes() for k in wanted], pa.binary()),
-                ], ["node", "id", "content"])
+                ], ["node", "row_key", "content"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "node long, id long, content binary")
+    return docs.select("text", row_key()).mapInArrow(run, "node long, row_key long, content binary")
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
+def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``row_key, doc_id, n_shingles, component_id, first`` of every row of ``docs(doc_id, text)``.
+
+    ``first`` is the row key of the component's first document, by id and then row key.
+    """
     ranks, by_size, list_length = frequency_ranks(docs, width)
     boundary = choose_boundary(by_size, list_length, percent)
     parts = candidate_parts(docs, ranks, boundary, linking.bucket_count(docs), width, percent)
     found = stored(linking.met(parts, list_edges(percent), "<i4"), "jaccard_candidates")
-    info = found.where("kind = 0").select(F.when(F.col("d") == 1, F.col("a")).alias("doc_id"), F.col("b").alias("n"), F.when(F.col("b") > 0, F.col("c")).alias("node"))
+    info = found.where("kind = 0").select(
+        F.col("a").alias("row_key"), F.col("b").alias("id"), F.col("c").alias("n"), F.when(F.col("c") > 0, F.col("d")).alias("node")
+    )
+    full = info.where("node is not null")
 
     near = linking.components(found.where("kind = 1").select("a", "b"))
     # each node is compared through one of its documents
-    chosen = info.where("node is not null").groupBy("node").agg(F.min("n").alias("n"), F.min(F.coalesce("doc_id", F.lit(0))).alias("id"))
-    chosen = chosen.join(near, "node").checkpoint()
+    chosen = full.groupBy("node").agg(F.min("n").alias("n"), F.min("row_key").alias("row_key")).join(near, "node").checkpoint()
     dealt = linking.cells(chosen.select(
         "node", "root", F.floor(F.log("n") / -math.log(percent / 100 - 0.001)).cast("int").alias("size_class"), (F.col("n") * 8).alias("bytes")
     ))
-    marks = bitmap(chosen.select(spread_column(F.col("node"), F.col("id")).alias("place")), "place")
-    contents = _set_contents(docs, marks, width).join(chosen.select("node", "id"), ["node", "id"]).dropDuplicates(["node"]).drop("id")
-    links = linking.verified(dealt.join(contents, "node"), similar_pairs(percent))
+    marks = bitmap(chosen.select(spread_column(F.col("node"), F.col("row_key")).alias("place")), "place")
+    contents = _set_contents(docs, marks, width).join(chosen.select("node", "row_key"), ["node", "row_key"]).dropDuplicates(["node"])
+    links = linking.verified(dealt.join(contents.drop("row_key"), "node"), similar_pairs(percent))
 
     of_node = linking.components(links).withColumnRenamed("root", "class")
-    least = info.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(of_node, "node", "left")
-    classes = least.groupBy(F.coalesce("class", "node").alias("class")).agg(F.min("least").alias("component_id"))
-    by_node = least.select("node", F.coalesce("class", "node").alias("class")).join(classes, "class").drop("class")
-    return info.join(by_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = full.groupBy("node").agg(F.min(F.struct("id", "row_key")).alias("least")).join(of_node, "node", "left")
+    least = least.withColumn("class", F.coalesce("class", "node"))
+    firsts = least.groupBy("class").agg(F.min("least").alias("first"))
+    by_node = least.select("node", "class").join(firsts, "class").drop("class")
+    own = F.coalesce("first", F.struct("id", "row_key"))
+    return info.join(by_node, "node", "left").select(
+        "row_key", F.nullif("id", F.lit(_LAST_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.nullif(own["id"], F.lit(_LAST_ID)).alias("component_id"), own["row_key"].alias("first"),
+    )
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
+    return classes(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The first document of each component, with all columns of ``docs``; of rows alike in id and text, one."""
+    kept = classes(docs, width, percent).where("row_key = first").select(F.col("row_key").alias("_row_key"))
+    keyed = docs.withColumn("_row_key", row_key())
+    return keyed.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(docs.columns)

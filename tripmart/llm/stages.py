@@ -8,15 +8,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate
+from tripmart.llm import bpe, decontaminate, jaccard, lines
+from tripmart.llm import quality as importance
 from tripmart.llm.tables import table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that importance resampling selects, as many as the labels say are good."""
+    model, least, _ = importance.cutoff(docs, table(spark, sf_dir, "labels"))
+    if least is None:
+        return docs.limit(0)  # no document has a token
+    return importance.scored(docs, model).where(F.col("_key") >= F.lit(least)).select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take repeated lines out of the texts; documents that have nothing else go."""
+    return lines.drop_repeated_lines(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, the one with the smallest id, of each group of near copies."""
+    return jaccard.drop_near_copies(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop every document that holds a passage of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("hits") > 0).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
+    found = decontaminate.contamination(keyed.select(F.col("_row_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("_row_key")).distinct()
+    return keyed.join(hit, "_row_key", "left_anti").select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
