@@ -13,9 +13,9 @@ from tripmart.llm import stages
 from tripmart.llm.tables import stored, table
 
 STAGES = [
-    # ("quality", stages.quality),
-    # ("line_dedup", stages.line_dedup),
-    # ("near_copies", stages.near_copies),
+    ("quality", stages.quality),
+    ("line_dedup", stages.line_dedup),
+    ("near_copies", stages.near_copies),
     ("decontamination", stages.decontamination),
     ("tokens", stages.tokens),
 ]
