@@ -257,8 +257,9 @@ class _WindowHashes:
 
 
 def _cuts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-    for lo, hi in zip(edges, np.append(edges[1:], len(bucket)), strict=True):
+    """(bucket, first, end) of each run of equal buckets."""
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for lo, hi in zip(edges, [*edges[1:], len(bucket)][:len(edges)], strict=True):
         yield int(bucket[lo]), int(lo), int(hi)
 
 
