@@ -1,5 +1,7 @@
 """Exact, order-independent aggregates."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from tripmart.functions import exact
@@ -43,3 +45,31 @@ def test_no_overflow_for_a_huge_group(spark):
     df = spark.range(1).select((units * F.lit(10**12)).alias("s"))
     row = df.select(exact.rounded_ratio(F.col("s"), F.lit(10**6) * F.lit(10**12), 2).alias("avg")).first()
     assert row.avg == 1000.0
+
+
+def _sums(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    row = df.agg(exact.exact_sum(F.col("x"), 2).alias("s"), exact.exact_avg(F.col("x"), 2).alias("a"),
+                 exact.exact_avg_scaled(F.col("x"), 1, 2).alias("r")).first()
+    return row.s, row.a, row.r
+
+
+def test_large_values_are_not_clipped(spark):
+    assert _sums(spark, [1e13, 1.0]) == (10_000_000_000_001.0, 5_000_000_000_000.5, 5_000_000_000_000.5)
+    assert _sums(spark, [-1e13, 1.0]) == (-9_999_999_999_999.0, -4_999_999_999_999.5, -4_999_999_999_999.5)
+    assert _sums(spark, [50 / 1e-9]) == (5e10, 5e10, 5e10)
+
+
+def test_nan_and_infinities_come_out_as_plain_aggregates_give_them(spark):
+    inf = float("inf")
+    assert all(math.isnan(v) for v in _sums(spark, [float("nan"), 10.0]))
+    assert _sums(spark, [inf, 1.0]) == (inf, inf, inf)
+    assert _sums(spark, [-inf, 1.0]) == (-inf, -inf, -inf)
+    assert all(math.isnan(v) for v in _sums(spark, [inf, -inf, 1.0]))
+
+
+def test_counts_of_any_size_are_widened_before_they_are_multiplied(spark):
+    n = F.lit(10**12).cast("bigint") * F.col("id")  # not folded
+    df = spark.range(1, 2).select(n.alias("n"))
+    row = df.select(exact.rounded_ratio(exact.wide(F.col("n")) * 3, exact.wide(F.col("n")) * 10**9, 9).alias("q")).first()
+    assert row.q == 3e-9

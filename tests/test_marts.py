@@ -189,3 +189,28 @@ def test_hot_hour_without_broadcast_uses_skew_join(spark):
     smj = [line for line in final_plan.splitlines() if "SortMergeJoin" in line and "pickup_hour" in line]
     assert smj and "skew=true" in smj[0]
     assert counts[5] == 3000 + 250 and sum(counts.values()) == 9000
+
+
+@pytest.mark.parametrize("trips", [10**10, 10**12])
+def test_rollup_marts_hold_very_many_trips_per_label(spark, trips):
+    """A rollup whose cells stand for ``trips`` trips of $10 and 600 s each."""
+    cell = spark.range(1, 2).select(
+        F.timestamp_seconds(F.lit(1_700_000_000)).alias("pickup_hour"), F.lit(1).alias("pickup_location_id"),
+        F.lit(1).alias("payment_type"), (F.lit(trips) * F.col("id")).alias("n"),
+    )
+    for name, unit in (("amount_units", 10**7), ("tip_units", 10**6), ("tip_ratio_units", 10**8), ("rev_per_minute_units", 10**9),
+                       ("rev_amount_units", 10**7), ("speed_units", 2 * 10**10), ("seconds", 600), ("rev_seconds", 600)):
+        cell = cell.withColumn(f"{name}_sum", (F.lit(unit).cast("decimal(38,0)") * F.col("n")).cast("decimal(38,0)"))
+        cell = cell.withColumn(f"{name}_n", F.col("n")).withColumn(f"{name}_special", F.lit(None).cast("double"))
+    cell = cell.withColumn("rev_n", F.col("n")).withColumn("speed_n", F.col("n"))
+    joined = cell.select(
+        "*", F.lit(5.0).alias("temperature_2m"), F.lit(0.0).alias("precipitation"), F.lit("Monday").alias("weekday"),
+        F.lit(False).alias("is_precipitation"), F.lit("X").alias("pickup_borough"),
+    )
+    payment = rollup.payment_mix(joined).first()
+    assert (payment.trip_count, payment.avg_fare, payment.avg_tip, payment.avg_tip_pct) == (trips, 10.0, 1.0, 10.0)
+    revenue = rollup.revenue_efficiency_by_hour(joined).first()
+    assert (revenue.avg_trip_minutes, revenue.avg_revenue_per_minute, revenue.total_revenue) == (10.0, 1.0, 10.0 * trips)
+    assert rollup.weather_speed_impact(joined).first().avg_speed_mph == 20.0
+    daily = rollup.daily_weather_ridership(joined).first()
+    assert (daily.total_revenue, daily.avg_temp_c) == (10.0 * trips, 5.0)

@@ -6,9 +6,14 @@ amounts, durations in whole seconds and published means of rounded values are
 decimal at heart, and their exact totals often fall precisely on a rounding
 tie (``x.xx5``), so a double sum can round either way from one cluster layout
 to the next.  These helpers quantise each value to integer units (micro-units
-by default), add them as ``DECIMAL`` (no overflow even when one group holds a
-third of all rows), and round the exact fraction half away from zero in
-integer arithmetic.  The result is identical for every partitioning.
+by default), add them as ``DECIMAL`` and round the exact fraction half away
+from zero in integer arithmetic.  The result is identical for every
+partitioning.
+
+Nothing is clipped: units hold 28 digits, sums and products 38, and a value
+beyond them raises under ANSI mode.  NaN and the infinities are kept out of the
+units; their own plain sum is carried beside and, where there is one, is the
+result, as it is that of a plain ``sum`` or ``avg``.
 """
 
 from __future__ import annotations
@@ -18,17 +23,39 @@ from pyspark.sql import functions as F
 
 UNIT_DIGITS = 6
 RATIO_DIGITS = 9
-_UNITS_TYPE = "decimal(20,0)"
+_UNITS_TYPE = "decimal(28,0)"
+_WIDE = "decimal(38,0)"
+#: Below this a double times a power of ten still has room for the half that rounds it.
+_PLAIN = float(2 ** 51)
+
+
+def is_special(value: Column) -> Column:
+    """Whether ``value`` is NaN or infinite (false for NULL)."""
+    x = value.cast("double")
+    return F.coalesce(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(False))
+
+
+def special(value: Column) -> Column:
+    """``value`` where it is NaN or infinite, else NULL: summed, it is what a plain sum of all values would be."""
+    return F.when(is_special(value), value.cast("double"))
+
+
+def wide(count: Column) -> Column:
+    """A count or sum as a 38-digit integer, so that multiplying it can't overflow 64 bits."""
+    return count.cast(_WIDE)
 
 
 def units(value: Column, unit_digits: int = UNIT_DIGITS) -> Column:
-    """``value`` as a whole number of ``10**-unit_digits`` units (exact integer decimal).
+    """``value`` as a whole number of ``10**-unit_digits`` units (exact integer decimal); NULL for NaN and infinities.
 
     ``floor(x * 10**d + 0.5)`` is plain floating-point arithmetic, several
-    times cheaper per row than ``round`` (which goes through a decimal), and
-    any engine evaluating the same expression gets the same integer.
+    times cheaper per row than ``round`` (which goes through a decimal).  It
+    passes through a 64-bit integer, so larger values, whole numbers of units
+    already, go to the decimal directly.
     """
-    return F.floor(value * float(10 ** unit_digits) + 0.5).cast(_UNITS_TYPE)
+    scaled = value.cast("double") * float(10 ** unit_digits)
+    plain = F.floor(scaled + 0.5).cast(_UNITS_TYPE)
+    return F.when(F.abs(scaled) < _PLAIN, plain).when(~is_special(value), scaled.cast(_UNITS_TYPE))
 
 
 def half_away_div(num: Column, den: Column) -> Column:
@@ -51,18 +78,20 @@ def rounded_ratio(num: Column, den: Column, digits: int) -> Column:
 
 def exact_sum(value: Column, digits: int, unit_digits: int = UNIT_DIGITS) -> Column:
     """Aggregate: ``round(sum(value), digits)`` computed exactly; NULL when no value is set."""
-    return rounded_ratio(F.sum(units(value, unit_digits)), F.lit(10 ** unit_digits), digits)
+    exact = rounded_ratio(F.sum(units(value, unit_digits)), F.lit(10 ** unit_digits), digits)
+    return F.coalesce(F.sum(special(value)), exact)
 
 
 def exact_avg(value: Column, digits: int, unit_digits: int = UNIT_DIGITS) -> Column:
     """Aggregate: ``round(avg(value), digits)`` computed exactly; NULL when no value is set."""
     u = units(value, unit_digits)
-    return rounded_ratio(F.sum(u), F.count(u) * (10 ** unit_digits), digits)
+    exact = rounded_ratio(F.sum(u), wide(F.count(u)) * (10 ** unit_digits), digits)
+    return F.coalesce(F.sum(special(value)), exact)
 
 
 def exact_avg_minutes(seconds: Column, digits: int) -> Column:
     """Aggregate: mean of whole-second durations, in minutes, rounded exactly."""
-    return rounded_ratio(F.sum(seconds.cast(_UNITS_TYPE)), F.count(seconds) * 60, digits)
+    return rounded_ratio(F.sum(seconds.cast(_UNITS_TYPE)), wide(F.count(seconds)) * 60, digits)
 
 
 def exact_avg_scaled(value: Column, scale: int, digits: int, unit_digits: int = RATIO_DIGITS) -> Column:
@@ -73,4 +102,5 @@ def exact_avg_scaled(value: Column, scale: int, digits: int, unit_digits: int =
     published digits), so the mean no longer depends on summation order.
     """
     u = units(value, unit_digits)
-    return rounded_ratio(F.sum(u) * scale, F.count(u) * (10 ** unit_digits), digits)
+    exact = rounded_ratio(wide(F.sum(u)) * scale, wide(F.count(u)) * (10 ** unit_digits), digits)
+    return F.coalesce(F.sum(special(value)), exact)

@@ -21,7 +21,7 @@ def _n() -> F.Column:
 
 def _pct(part: F.Column, whole: F.Column, digits: int = 2) -> F.Column:
     """Exact ``round(part * 100 / whole, digits)`` for integer counts; NULL when ``whole`` is 0."""
-    return exact.rounded_ratio(part * 100, whole, digits)
+    return exact.rounded_ratio(exact.wide(part) * 100, whole, digits)
 
 
 def quarantine_rate_by_month(tagged: DataFrame, ts_col: str = "pickup_ts", reason_col: str = REASON_COL) -> DataFrame:
@@ -141,7 +141,7 @@ def rounded_mean(value: F.Column, value_digits: int, digits: int) -> F.Column:
     would decide the digit; here the mean is an exact fraction.
     """
     u = exact.units(value, value_digits)
-    return exact.rounded_ratio(F.sum(u), F.count(u) * (10 ** value_digits), digits)
+    return exact.rounded_ratio(F.sum(u), exact.wide(F.count(u)) * (10 ** value_digits), digits)
 
 
 def mean_of_group_means(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions.exact import rounded_ratio
+from tripmart.functions.exact import rounded_ratio, wide
 from tripmart.functions.exprs import col
 from tripmart.plans.joins import has_at_most
 from tripmart.session import ensure_checkpoint_dir
@@ -262,7 +262,7 @@ def drop_null(df: DataFrame, column: str) -> DataFrame:
 
 def _pct(part: Column, whole: Column) -> Column:
     """Exact ``round(part * 100 / whole, 2)`` for counts; NULL when ``whole`` is 0."""
-    return rounded_ratio(part * 100, whole, 2)
+    return rounded_ratio(wide(part) * 100, whole, 2)
 
 
 def gate_report(

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
-from tripmart.functions.exact import RATIO_DIGITS, UNIT_DIGITS, rounded_ratio, units
+from tripmart.functions.exact import RATIO_DIGITS, UNIT_DIGITS, rounded_ratio, special, units, wide
 from tripmart.operators.marts import with_conditions
 from tripmart.operators.staging import HOURLY_VARIABLES
 from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_all_if_bounded
@@ -40,6 +40,11 @@ def _sum_count(prefix: str, value: Column) -> list[Column]:
     return [F.sum(value).alias(f"{prefix}_sum"), F.count(value).alias(f"{prefix}_n")]
 
 
+def _unit_sums(prefix: str, value: Column, digits: int = UNIT_DIGITS) -> list[Column]:
+    """Sum and count of the units of ``value``, and the sum of its NaN and infinite values (NULL without any)."""
+    return [*_sum_count(prefix, units(value, digits)), F.sum(special(value)).alias(f"{prefix}_special")]
+
+
 def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
     """Partial sums and counts of every enriched mart per (pickup hour, location, payment code).
 
@@ -65,16 +70,16 @@ def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
     in_speed_window = m.between(1, 180) & (F.col("trip_distance") > 0) & (speed < 60)
     return t.groupBy(*GRAIN).agg(
         F.count(F.lit(1)).alias("n"),
-        *_sum_count("amount_units", units(amount)),
-        *_sum_count("seconds", secs.cast("decimal(20,0)")),
-        *_sum_count("tip_units", units(F.col("tip_amount"))),
-        *_sum_count("tip_ratio_units", units(X.ratio_where_positive("tip_amount", "fare_amount"), RATIO_DIGITS)),
+        *_unit_sums("amount_units", amount),
+        *_sum_count("seconds", secs.cast("decimal(28,0)")),
+        *_unit_sums("tip_units", F.col("tip_amount")),
+        *_unit_sums("tip_ratio_units", X.ratio_where_positive("tip_amount", "fare_amount"), RATIO_DIGITS),
         F.count_if(in_revenue_window).alias("rev_n"),
-        *_sum_count("rev_seconds", F.when(in_revenue_window, secs.cast("decimal(20,0)"))),
-        *_sum_count("rev_per_minute_units", units(F.when(in_revenue_window, X.ratio_where_positive(amount, m)), RATIO_DIGITS)),
-        F.sum(F.when(in_revenue_window, units(amount))).alias("rev_amount_units"),
+        *_sum_count("rev_seconds", F.when(in_revenue_window, secs.cast("decimal(28,0)"))),
+        *_unit_sums("rev_per_minute_units", F.when(in_revenue_window, X.ratio_where_positive(amount, m)), RATIO_DIGITS),
+        *_unit_sums("rev_amount_units", F.when(in_revenue_window, amount)),
         F.count_if(in_speed_window).alias("speed_n"),
-        F.sum(units(F.when(in_speed_window, speed), RATIO_DIGITS)).alias("speed_units_sum"),
+        *_unit_sums("speed_units", F.when(in_speed_window, speed), RATIO_DIGITS),
     )
 
 
@@ -109,22 +114,28 @@ def enrich_rollup(
     })
 
 
-def _exact_avg(prefix: str, digits: int) -> Column:
-    """Exact mean from a units sum and its count (units of ``10**-UNIT_DIGITS``)."""
-    return rounded_ratio(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n") * (10 ** UNIT_DIGITS), digits)
+def _or_special(prefix: str, exact: Column) -> Column:
+    """The exact result, unless NaN or infinite values took part."""
+    return F.coalesce(F.sum(f"{prefix}_special"), exact)
+
+
+def _exact_avg(prefix: str, digits: int, scale: int = 1, unit_digits: int = UNIT_DIGITS) -> Column:
+    """Exact ``round(mean * scale, digits)`` from a units sum and its count."""
+    count = wide(F.sum(f"{prefix}_n")) * (10 ** unit_digits)
+    return _or_special(prefix, rounded_ratio(wide(F.sum(f"{prefix}_sum")) * scale, count, digits))
 
 
 def _exact_ratio_avg(prefix: str, scale: int, digits: int) -> Column:
-    """Exact ``round(mean * scale, digits)`` of a per-trip ratio carried in nanounits."""
-    return rounded_ratio(F.sum(f"{prefix}_sum") * scale, F.sum(f"{prefix}_n") * (10 ** RATIO_DIGITS), digits)
+    """The same of a per-trip ratio carried in nanounits."""
+    return _exact_avg(prefix, digits, scale, RATIO_DIGITS)
 
 
-def _exact_total(units_sum: Column, digits: int) -> Column:
-    return rounded_ratio(units_sum, F.lit(10 ** UNIT_DIGITS), digits)
+def _exact_total(prefix: str, digits: int) -> Column:
+    return _or_special(prefix, rounded_ratio(F.sum(f"{prefix}_sum"), F.lit(10 ** UNIT_DIGITS), digits))
 
 
 def _exact_minutes(prefix: str, digits: int) -> Column:
-    return rounded_ratio(F.sum(f"{prefix}_sum"), F.sum(f"{prefix}_n") * 60, digits)
+    return rounded_ratio(F.sum(f"{prefix}_sum"), wide(F.sum(f"{prefix}_n")) * 60, digits)
 
 
 def _total_trips() -> Column:
@@ -141,16 +152,18 @@ def trips_by_hour_weekday(r: DataFrame) -> DataFrame:
 
 def daily_weather_ridership(r: DataFrame) -> DataFrame:
     """Trip-weighted hourly measures: each cell's value counts once per trip in it."""
-    temp, n = F.col("temperature_2m"), F.col("n")
+    temp, rain, n = F.col("temperature_2m"), F.col("precipitation"), wide(F.col("n"))
     return (
         r.groupBy(X.calendar_date("pickup_hour").alias("trip_date"))
         .agg(
             _total_trips().alias("trip_count"),
-            _exact_total(F.sum("amount_units_sum"), 2).alias("total_revenue"),
-            rounded_ratio(
-                F.sum(units(temp) * n), F.sum(F.when(temp.isNotNull(), n)) * (10 ** UNIT_DIGITS), 1
-            ).alias("avg_temp_c"),
-            _exact_total(F.sum(units(F.col("precipitation")) * n), 1).alias("total_precip_mm"),
+            _exact_total("amount_units", 2).alias("total_revenue"),
+            F.coalesce(F.sum(special(temp)), rounded_ratio(
+                F.sum(units(temp) * n), wide(F.sum(F.when(temp.isNotNull(), n))) * (10 ** UNIT_DIGITS), 1
+            )).alias("avg_temp_c"),
+            F.coalesce(F.sum(special(rain)), rounded_ratio(
+                F.sum(units(rain) * n), F.lit(10 ** UNIT_DIGITS), 1
+            )).alias("total_precip_mm"),
         )
         .orderBy("trip_date")
     )
@@ -179,7 +192,7 @@ def demand_by_borough(r: DataFrame) -> DataFrame:
         .agg(
             _total_trips().alias("trip_count"),
             _exact_avg("amount_units", 2).alias("avg_fare"),
-            _exact_total(F.sum("amount_units_sum"), 2).alias("total_revenue"),
+            _exact_total("amount_units", 2).alias("total_revenue"),
         )
         .orderBy("pickup_borough", "hour_of_day")
     )
@@ -205,7 +218,7 @@ def revenue_efficiency_by_hour(r: DataFrame) -> DataFrame:
         .agg(
             _exact_minutes("rev_seconds", 1).alias("avg_trip_minutes"),
             _exact_ratio_avg("rev_per_minute_units", 1, 2).alias("avg_revenue_per_minute"),
-            _exact_total(F.sum("rev_amount_units"), 0).alias("total_revenue"),
+            _exact_total("rev_amount_units", 0).alias("total_revenue"),
             F.sum("rev_n").cast("bigint").alias("trip_count"),
         )
         .orderBy("hour_of_day")
@@ -217,7 +230,7 @@ def weather_speed_impact(r: DataFrame) -> DataFrame:
         with_conditions(r.filter(F.col("speed_n") > 0))
         .groupBy("is_precipitation", "temp_bucket", "day_type")
         .agg(
-            rounded_ratio(F.sum("speed_units_sum"), F.sum("speed_n") * (10 ** RATIO_DIGITS), 1).alias("avg_speed_mph"),
+            _exact_ratio_avg("speed_units", 1, 1).alias("avg_speed_mph"),
             F.sum("speed_n").cast("bigint").alias("trip_count"),
         )
         .orderBy("day_type", "temp_bucket", "is_precipitation")
