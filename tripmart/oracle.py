@@ -28,49 +28,25 @@ def _trips_select(batch: int, where: str = "") -> str:
     FROM events {where}"""
 
 
-def _half_away(num: str, den: str) -> str:
-    """Integer ``round(num / den)`` half away from zero; NULL unless ``den > 0``."""
-    return (
-        f"(CASE WHEN ({den}) > 0 THEN (CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
-        f"((2 * abs({num}) + ({den})) // (2 * ({den}))) END)"
-    )
-
-
-UNITS = 10 ** 6
 SECS = "(epoch_us(dropoff_ts) // 1000000 - epoch_us(pickup_ts) // 1000000)"
 
 
-def _units(value: str, digits: int = 6) -> str:
-    return f"CAST(floor(({value}) * {float(10 ** digits)} + 0.5) AS BIGINT)"
-
-
-def _rratio(num: str, den: str, digits: int) -> str:
-    """``round(num / den, digits)`` half away from zero for integer ``num``, ``den``, as DOUBLE."""
-    return f"(CAST({_half_away(f'({num}) * {10 ** digits}', den)} AS DOUBLE) / {float(10 ** digits)})"
-
-
 def _xsum(value: str, digits: int) -> str:
-    return _rratio(f"sum({_units(value)})", str(UNITS), digits)
-
-
-def _xavg(value: str, digits: int) -> str:
-    return _rratio(f"sum({_units(value)})", f"count({_units(value)}) * {UNITS}", digits)
+    return f"round(sum({value}), {digits})"
 
 
-def _xavg_scaled(value: str, scale: int, digits: int) -> str:
-    """Exact ``round(avg(value) * scale, digits)`` from nanounits of a per-row ratio."""
-    u = _units(value, 9)
-    return _rratio(f"sum({u}) * {scale}", f"count({u}) * {10 ** 9}", digits)
+def _xavg(value: str, digits: int, scale: int = 1) -> str:
+    return f"round(avg({value})" + (f" * {scale}" if scale != 1 else "") + f", {digits})"
 
 
 def _xminutes(digits: int) -> str:
-    return _rratio(f"sum({SECS})", f"count({SECS}) * 60", digits)
+    return f"round(avg({SECS}) / 60, {digits})"
 
 
-def _rounded_mean(value: str, value_digits: int = 1, digits: int = 2) -> str:
-    """Exact mean of values with ``value_digits`` decimals, rounded half-up to ``digits``."""
-    u = _units(value, value_digits)
-    return _rratio(f"sum({u})", f"count({u}) * {10 ** value_digits}", digits)
+def _ratio(part: str, whole: str, digits: int, scale: int = 1) -> str:
+    """A rounded ratio of counts; NULL for an empty whole."""
+    times = f" * {float(scale)}" if scale != 1 else ""
+    return f"round(({part}){times} / nullif({whole}, 0), {digits})"
 
 
 BUSINESS = (
@@ -171,7 +147,7 @@ m_impact AS (
     SELECT day_type, is_precipitation, temp_bucket,
            count(*) AS total_trips,
            count(DISTINCT pickup_hour) AS distinct_hours,
-           {_rratio('count(*)', 'count(DISTINCT pickup_hour)', 1)} AS avg_trips_per_hour
+           {_ratio('count(*)', 'count(DISTINCT pickup_hour)', 1)} AS avg_trips_per_hour
     FROM cond GROUP BY 1, 2, 3
 ),
 m_borough AS (
@@ -194,20 +170,20 @@ m_payment AS (
            count(*) AS trip_count,
            {_xavg('total_amount', 2)} AS avg_fare,
            {_xavg('tip_amount', 2)} AS avg_tip,
-           {_xavg_scaled('CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount ELSE NULL END', 100, 1)} AS avg_tip_pct
+           {_xavg('CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount END', 1, 100)} AS avg_tip_pct
     FROM itw GROUP BY 1
 ),
 m_revenue AS (
     SELECT CAST(hour(pickup_hour) AS INTEGER) AS hour_of_day,
            {_xminutes(1)} AS avg_trip_minutes,
-           {_xavg_scaled('CASE WHEN trip_minutes > 0 THEN total_amount / trip_minutes ELSE NULL END', 1, 2)} AS avg_revenue_per_minute,
+           {_xavg('CASE WHEN trip_minutes > 0 THEN total_amount / trip_minutes END', 2)} AS avg_revenue_per_minute,
            {_xsum('total_amount', 0)} AS total_revenue,
            count(*) AS trip_count
     FROM itw WHERE trip_minutes > 0 AND trip_minutes < 180 GROUP BY 1
 ),
 m_speed AS (
     SELECT is_precipitation, temp_bucket, day_type,
-           {_xavg_scaled('speed_mph', 1, 1)} AS avg_speed_mph,
+           {_xavg('speed_mph', 1)} AS avg_speed_mph,
            count(*) AS trip_count
     FROM (
         SELECT *, CASE WHEN trip_minutes > 0 THEN trip_distance / (trip_minutes / 60.0) ELSE NULL END AS speed_mph
@@ -235,7 +211,7 @@ orders_trend AS (
 
 
 def _pct(part: str, whole: str, digits: int = 2) -> str:
-    return _rratio(f"({part}) * 100", whole, digits)
+    return _ratio(part, whole, digits, 100)
 
 
 def _summary(name: str, failing_sql: str) -> str:
@@ -386,26 +362,26 @@ FINAL = {
             FROM valid
         ) c""",
     "borough_summary": f"""
-        SELECT pickup_borough, total_trips, {_rratio('revenue_cents', '100', 0)} AS total_revenue,
+        SELECT pickup_borough, total_trips, round(revenue, 0) AS total_revenue,
                {_pct('total_trips', 'sum(total_trips) OVER ()', 1)} AS trip_share_pct,
-               {_pct('revenue_cents', 'sum(revenue_cents) OVER ()', 1)} AS revenue_share_pct
+               {_pct('revenue', 'sum(revenue) OVER ()', 1)} AS revenue_share_pct
         FROM (
             SELECT pickup_borough, CAST(sum(trip_count) AS BIGINT) AS total_trips,
-                   sum({_units('total_revenue', 2)}) AS revenue_cents
+                   sum(total_revenue) AS revenue
             FROM m_borough GROUP BY 1
         ) s ORDER BY total_trips DESC""",
     "dry_vs_wet": f"""
         SELECT dry AS dry_avg_trips_per_hour, wet AS wet_avg_trips_per_hour,
-               {_rratio(f"({_units('wet', 2)} - {_units('dry', 2)}) * 100", _units('dry', 2), 2)} AS change_pct
+               {_pct('wet - dry', 'dry')} AS change_pct
         FROM (
-            SELECT coalesce({_rounded_mean('CASE WHEN NOT is_precipitation THEN avg_trips_per_hour END')}, 0.0) AS dry,
-                   coalesce({_rounded_mean('CASE WHEN is_precipitation THEN avg_trips_per_hour END')}, 0.0) AS wet
+            SELECT coalesce({_xavg('CASE WHEN NOT is_precipitation THEN avg_trips_per_hour END', 2)}, 0.0) AS dry,
+                   coalesce({_xavg('CASE WHEN is_precipitation THEN avg_trips_per_hour END', 2)}, 0.0) AS wet
             FROM m_impact
         ) m""",
     "temp_by_daytype": f"""
         SELECT b.temp_bucket,
-               {_rounded_mean("CASE WHEN day_type = 'weekday' THEN avg_trips_per_hour END")} AS weekday,
-               {_rounded_mean("CASE WHEN day_type = 'weekend' THEN avg_trips_per_hour END")} AS weekend
+               {_xavg("CASE WHEN day_type = 'weekday' THEN avg_trips_per_hour END", 2)} AS weekday,
+               {_xavg("CASE WHEN day_type = 'weekend' THEN avg_trips_per_hour END", 2)} AS weekend
         FROM {BUCKETS_VALUES}
         LEFT JOIN m_impact m ON m.temp_bucket = b.temp_bucket
         GROUP BY b.temp_bucket, b.rank ORDER BY b.rank""",
@@ -432,7 +408,7 @@ FINAL = {
     "expect_values": _union(VALUES),
     "expect_match_rate": f"""
         SELECT total, matched_rows,
-               {_rratio('matched_rows', 'total', 4)} AS match_rate,
+               {_ratio('matched_rows', 'total', 4)} AS match_rate,
                CAST(0.95 AS DOUBLE) AS threshold,
                NOT (matched_rows < total * 0.95) AS passed
         FROM (SELECT count(*) AS total, count(temperature_2m) AS matched_rows FROM itw) m""",
