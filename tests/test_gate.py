@@ -177,3 +177,24 @@ def test_string_survivor_order_is_honoured(spark):
     )
     out = {r.a: (r._batch, r._src) for r in G.drop_duplicate_rows(df, survivor_order="_src").collect()}
     assert out == {1: (9, "f-a"), 2: (3, "g")}
+
+
+def test_string_metadata_survives_in_any_row_order(spark):
+    rows = [(1, "fB", 5), (1, "fA", 5), (1, "fC", 7), (2, "fD", None), (2, "fE", None), (3, "fF", None), (3, "fG", 9)]
+    found = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k int, _source_file string, _batch int").repartition(3, "_source_file")
+        found.add(tuple(sorted(tuple(r) for r in G.drop_duplicate_rows(df, copies_col="_copies").collect())))
+    assert len(found) == 1
+    by_key = {r[0]: r for r in next(iter(found))}
+    assert by_key[1][2] == 5 and by_key[1][1] in ("fA", "fB")
+    assert by_key[2][1] in ("fD", "fE") and by_key[2][2] is None      # a NULL order keeps its metadata
+    assert by_key[3][1:3] == ("fG", 9)                                # and comes last
+
+
+def test_dedup_takes_one_plan_for_any_number_of_files(spark):
+    df = spark.range(2000).select((F.col("id") % 7).alias("k"), F.concat(F.lit("file"), "id").alias("_source_file"))
+    out = G.drop_duplicate_rows(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert out.count() == 7 and out.select("_source_file").distinct().count() == 7

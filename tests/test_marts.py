@@ -108,7 +108,8 @@ def test_payment_labels_and_tip_ratio(spark, dims):
 
 def test_broadcast_only_within_bound(spark, dims):
     weather, _ = dims
-    assert joins.has_at_most(weather, 4) and not joins.has_at_most(weather, 3)
+    assert joins.within_bound([weather], 4) == [True] and joins.within_bound([weather], 3) == [False]
+    assert joins.within_bound([weather], 4, max_bytes=10) == [False]
     hinted = joins.broadcast_if_bounded(weather, 10)
     unhinted = joins.broadcast_if_bounded(weather, 2)
     assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()

@@ -5,10 +5,11 @@ import pytest
 from tests.oracle_check import compare, duck_connection
 from tests.conftest import SF01
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tripmart.oracle import oracle_sql
+from tripmart.queries import QUERIES
 
 SQL = oracle_sql()
-QUERIES = queries()
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +17,8 @@ def duck():
     return duck_connection(SF01)
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(SQL)
-    assert rows_only == {"file_row_counts"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -36,10 +35,3 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["day_type", "is_precipitation", "temp_bucket", "total_trips", "distinct_hours", "avg_trips_per_hour"]
-
-
-def test_file_row_counts(spark):
-    rows = QUERIES["file_row_counts"](spark, SF01).collect()
-    assert len(rows) == 1
-    assert rows[0]["_source_file"].endswith("events.parquet")
-    assert rows[0]["row_count"] == 10_000

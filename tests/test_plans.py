@@ -41,7 +41,38 @@ def test_rollup_reads_only_the_valid_partition(spark):
     )
     assert result.report.first().valid_rows == 859
     checked = spark.table("silver_plans.trips_checked")
-    valid = checked.filter(F.col("_gate_status") == "valid").drop("rejection_reason", "_copies", "_gate_status")
+    valid = spark.table("silver_plans.trips_input")
+    assert valid.count() + spark.table("silver_plans.quarantine").count() == checked.count()
+    assert valid.columns == [c for c in T.raw_trips(spark, SF001).columns]
     plan = _plan(rollup.hourly_rollup(staging.stage_trips(valid)))
     assert "PartitionFilters: [isnotnull(_gate_status" in plan or "_gate_status=valid" in plan
     assert "passenger_count" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_marts_run_no_jobs_while_they_are_built(spark):
+    """Built from a path read before, a mart query submits nothing."""
+    names = ("trips_by_hour_weekday", "daily_ridership", "weather_impact", "demand_by_borough", "payment_mix",
+             "revenue_efficiency", "speed_impact", "borough_summary", "dry_vs_wet", "temp_by_daytype", "pivot_hour_weekday",
+             "pivot_speed", "expect_match_rate")
+    QUERIES["payment_mix"](spark, SF001)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "mart queries")
+    try:
+        for name in names:
+            QUERIES[name](spark, SF001)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setJobGroup("default", "")
+
+
+def test_two_databases_do_not_disturb_each_other(spark):
+    hourly, zones, rules = T.raw_hourly(spark, SF001), T.raw_zones(spark, SF001), T.trip_rules()
+    raw = T.raw_trips(spark, SF001)
+    medallion.publish_all(raw, hourly, zones, rules, silver_db="silver_one", gold_db="gold_one")
+    n = spark.table("silver_one.trips_input").count()
+    medallion.publish_all(raw.filter("payment_type = 1"), hourly, zones, rules, silver_db="silver_two", gold_db="gold_two")
+    other = spark.newSession()
+    assert other.table("silver_one.trips_input").count() == n > other.table("silver_two.trips_input").count()
+    for view in ("stg_trips", "stg_weather", "stg_zone_lookup", "stg_quarantine", "int_trips_weather", "quarantine"):
+        assert other.table(f"silver_one.{view}").count() > 0
+    assert other.table("silver_one.int_trips_weather").columns == QUERIES["enriched_trips"](spark, SF001).columns

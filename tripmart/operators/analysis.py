@@ -185,6 +185,6 @@ def temp_by_daytype(impact: DataFrame) -> DataFrame:
     )
     buckets = category_frame(impact, "temp_bucket", X.TEMPERATURE_BUCKET_ORDER)
     return (
-        F.broadcast(buckets).join(pivoted, "temp_bucket", "left")
+        buckets.join(F.broadcast(pivoted), "temp_bucket", "left")
         .orderBy(X.category_rank("temp_bucket", X.TEMPERATURE_BUCKET_ORDER))
     )

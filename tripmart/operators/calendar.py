@@ -6,10 +6,9 @@ like any other table instead of being one array in one row.
 
 from __future__ import annotations
 
-import calendar as _cal
 import logging
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +16,20 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 
+def _month_start(label: str, ahead: int = 0) -> date:
+    """First day of the month of a ``yyyy-MM`` label, or of one ``ahead`` months later."""
+    first = date.fromisoformat(f"{label}-01")
+    months = first.year * 12 + first.month - 1 + ahead
+    return date(months // 12, months % 12 + 1, 1)
+
+
 def month_bounds(months: Sequence[str]) -> tuple[str, str]:
     """First day of the first listed month and last day of the last one (O-14).
 
-    The list order is taken as given: the bounds come from its ends.
+    The list order is taken as given: the bounds come from its ends.  The last
+    day is the one before the month after.
     """
-    y0, m0 = map(int, months[0].split("-"))
-    y1, m1 = map(int, months[-1].split("-"))
-    return f"{y0:04d}-{m0:02d}-01", f"{y1:04d}-{m1:02d}-{_cal.monthrange(y1, m1)[1]:02d}"
+    return _month_start(months[0]).isoformat(), (_month_start(months[-1], 1) - timedelta(days=1)).isoformat()
 
 
 def month_bounds_of(df: DataFrame, ts_col: str) -> DataFrame:
@@ -44,8 +49,9 @@ def month_bounds_of(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def expected_hours(start_date: str, end_date: str) -> int:
-    """Hours in the inclusive day range ``[start_date, end_date]``."""
-    return ((date.fromisoformat(end_date) - date.fromisoformat(start_date)).days + 1) * 24
+    """Length of the hour spine of the inclusive day range ``[start_date, end_date]``."""
+    after = datetime.fromisoformat(end_date) + timedelta(days=1)
+    return int((after - datetime.fromisoformat(start_date)) / timedelta(hours=1))
 
 
 def hour_spine(spark: SparkSession, start_date: str, end_date: str, name: str = "hour") -> DataFrame:
@@ -73,7 +79,7 @@ def check_hourly_completeness(df: DataFrame, start_date: str, end_date: str) ->
     row = hourly_completeness(df, start_date, end_date).first()
     if not row["complete"]:
         log.warning(
-            "Hourly row count %d does not match expected %d for %s to %s",
+            "incomplete hourly series: %d of %d hours present between %s and %s",
             row["actual_rows"], row["expected_rows"], start_date, end_date,
         )
     return bool(row["complete"])

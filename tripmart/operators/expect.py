@@ -8,9 +8,9 @@ and ``run_expectations`` stacks several summaries into one result with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.exact import rounded_ratio
@@ -77,9 +77,19 @@ def summarize(name: str, failing: DataFrame) -> DataFrame:
     )
 
 
-def run_expectations(checks: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Summaries of several expectations as one DataFrame (O-90)."""
-    summaries = [summarize(name, failing) for name, failing in checks]
+def summarize_counts(df: DataFrame, failing: Mapping[str, Column]) -> DataFrame:
+    """The summaries of several expectations on one model from one aggregate over it.
+
+    ``failing`` gives, per expectation name, the aggregate that counts its failing rows.
+    """
+    counts = df.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"c{k}") for k, c in enumerate(failing.values())])
+    rows = [F.struct(F.lit(name).alias("expectation"), F.col(f"c{k}").alias("failing_rows")) for k, name in enumerate(failing)]
+    return counts.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failing_rows") == 0)
+
+
+def run_expectations(checks: Sequence[tuple[str, DataFrame]], summaries: Sequence[DataFrame] = ()) -> DataFrame:
+    """Summaries of several expectations as one DataFrame (O-90), after those in ``summaries``."""
+    summaries = [*summaries, *(summarize(name, failing) for name, failing in checks)]
     out = summaries[0]
     for s in summaries[1:]:
         out = out.unionByName(s)

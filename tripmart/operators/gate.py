@@ -19,8 +19,6 @@ from pyspark.sql import types as T
 
 from tripmart.functions.exact import rounded_ratio, wide
 from tripmart.functions.exprs import col
-from tripmart.plans.joins import has_at_most
-from tripmart.session import ensure_checkpoint_dir
 
 REASON_COL = "rejection_reason"
 METADATA_PREFIX = "_"
@@ -136,51 +134,40 @@ _FIXED_WIDTH = (
     T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
     T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType,
 )
-_CODE = "_meta_code"
+_CODES = ("_meta_code", "_meta_code_2")
+_TIE_SLOTS = 2 ** 62
+#: Above every order key: where a NULL order stands.
+_LAST = 10 ** 38 - 1
 
 
 def _fixed_width(data_type: T.DataType) -> bool:
     return isinstance(data_type, _FIXED_WIDTH)
 
 
-def _metadata_dictionary(df: DataFrame, columns: Sequence[str], max_rows: int) -> DataFrame | None:
-    """``(code, value...)`` for the distinct combinations of ``columns``, or None.
-
-    The combinations of ingest metadata are few (one per source file), so the
-    dictionary is small; it is checkpointed once, and rejected when it
-    exceeds ``max_rows`` or when two combinations share a 64-bit code.
-    """
-    combos = df.select(F.xxhash64(*columns).alias(_CODE), *columns).distinct()
-    if not has_at_most(combos, max_rows):
-        return None
-    ensure_checkpoint_dir(df.sparkSession)
-    combos = combos.checkpoint(eager=True)
-    collided = combos.groupBy(_CODE).count().filter(F.col("count") > 1)
-    if collided.limit(1).count() > 0:
-        return None
-    return combos
-
-
-_TIE_SLOTS = 2 ** 32
+def _order_base(order: Column, data_type: T.DataType) -> Column | None:
+    """A 64-bit integer that orders as ``order`` does, or None for a type that has none."""
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return order.cast("long")
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(order.cast("timestamp"))
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(order)
+    if isinstance(data_type, T.DecimalType) and data_type.precision <= 18:
+        return (order * F.lit(10 ** data_type.scale)).cast("long")
+    return None
 
 
-def _tie_broken(order: Column, data_type: T.DataType, code: Column) -> Column:
-    """``order`` with ties broken by the metadata code, as one fixed-width decimal key.
+def _survivor_key(order: Column, data_type: T.DataType, tie: Column) -> Column:
+    """One fixed-width key: by ``order``, NULL last, then by 62 bits of the hash of all metadata.
 
-    Copies loaded together share an ingest timestamp; without a tie-break
-    the survivor among them would depend on the order rows arrive in.  The
-    key is ``order * 2**32 + (code mod 2**32)`` for integral, date and
-    timestamp orders (other types keep ``order`` alone).
+    Floating-point and wide decimal orders can't share a decimal with the
+    hash: there, copies that agree in the order may yield any of them.
     """
-    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        base = order
-    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        base = F.unix_micros(order.cast("timestamp"))
-    elif isinstance(data_type, T.DateType):
-        base = F.unix_date(order)
-    else:
-        return order
-    return base.cast("decimal(38,0)") * _TIE_SLOTS + F.pmod(code, F.lit(_TIE_SLOTS))
+    base = _order_base(order, data_type)
+    if base is None:
+        return F.coalesce(order, F.lit(float("inf")).cast(data_type) if isinstance(data_type, (T.FloatType, T.DoubleType)) else order)
+    whole = base.cast("decimal(38,0)") * F.lit(_TIE_SLOTS).cast("decimal(38,0)") + F.pmod(tie, F.lit(_TIE_SLOTS))
+    return F.coalesce(whole.cast("decimal(38,0)"), F.lit(str(_LAST)).cast("decimal(38,0)") - F.pmod(tie, F.lit(_TIE_SLOTS)))
 
 
 def drop_duplicate_rows(
@@ -188,19 +175,22 @@ def drop_duplicate_rows(
     keys: Sequence[str] | None = None,
     survivor_order: str | None = None,
     copies_col: str | None = None,
-    max_dictionary_rows: int = 200_000,
 ) -> DataFrame:
     """Keep one row per distinct ``keys`` tuple.
 
-    Metadata columns (those outside ``keys``) come from one deterministic
-    survivor: the copy with the smallest ``survivor_order`` (default: the
-    first fixed-width metadata column), ties broken by the string metadata.  Every aggregate buffer is kept
+    Metadata columns (those outside ``keys``) come from one survivor: the copy
+    with the smallest ``survivor_order`` (default: the first fixed-width
+    metadata column), a NULL order last, ties broken by a hash of all
+    metadata; the same one in whatever order the rows arrive (but see
+    ``_survivor_key`` for floating-point orders).  Every aggregate buffer is
     fixed-width, so Spark plans a ``HashAggregate`` with partial aggregation
     on the map side: a group of copies, however large, collapses inside each
     map task before the shuffle.  String metadata (file paths, month labels)
-    would force a sort-based aggregate, so it travels through the dedup as a
-    64-bit dictionary code and is decoded afterwards by a broadcast join
-    against the (checked, small) dictionary of its distinct values.
+    would force a sort-based aggregate, so it travels through the dedup as
+    128 bits of hashes and is decoded afterwards by a join with its distinct
+    values, one plan however many there are; the planner picks the join.
+    Ordering survivors by a string column needs that string in the aggregate
+    and takes the sort-based plan.
     ``copies_col`` adds the number of raw rows each output row stands for,
     from which the gate report derives the pre-dedup total without a second
     scan.
@@ -208,32 +198,25 @@ def drop_duplicate_rows(
     keys = list(keys) if keys is not None else business_keys(df)
     meta = [c for c in df.columns if c not in keys]
     strings = [m for m in meta if not _fixed_width(df.schema[m].dataType)]
-    # Ordering survivors by a string column needs that string in the aggregate:
-    # honour it with the plain (sort-based) plan rather than reorder silently.
-    encode = bool(strings) and survivor_order not in strings
-    dictionary = _metadata_dictionary(df, strings, max_dictionary_rows) if encode else None
-    source = df
-    carried = meta
-    if dictionary is not None:
-        source = df.withColumn(_CODE, F.xxhash64(*strings))
-        carried = [m for m in meta if m not in strings] + [_CODE]
-    aggs: list[Column] = []
-    if carried:
-        fixed = [m for m in carried if m != _CODE]
-        order = survivor_order if survivor_order in carried else (fixed[0] if fixed else carried[0])
-        order_key = F.col(order)
-        if dictionary is not None and order != _CODE:
-            order_key = _tie_broken(order_key, source.schema[order].dataType, F.col(_CODE))
-        for m in carried:
-            aggs.append(F.min_by(m, order_key).alias(m))
-    if copies_col:
-        aggs.append(F.count(F.lit(1)).alias(copies_col))
-    if not aggs:
-        return df.select(*keys).distinct()
-    out = source.groupBy(*keys).agg(*aggs)
-    if dictionary is not None:
-        out = out.join(F.broadcast(dictionary), _CODE, "left").drop(_CODE)
+    counted = [F.count(F.lit(1)).alias(copies_col)] if copies_col else []
     ordered = list(df.columns) + ([copies_col] if copies_col else [])
+    if not meta:
+        return df.groupBy(*keys).agg(*counted).select(*ordered) if counted else df.select(*keys).distinct()
+    if survivor_order in strings:
+        kept = [F.min_by(m, F.col(survivor_order)).alias(m) for m in meta]
+        return df.groupBy(*keys).agg(*kept, *counted).select(*ordered)
+
+    codes = [F.xxhash64(*strings), F.xxhash64(F.lit(1), *strings)] if strings else []
+    source = df.withColumns(dict(zip(_CODES, codes)))
+    fixed = [m for m in meta if m not in strings]
+    order = survivor_order or (fixed[0] if fixed else None)
+    tie = F.xxhash64(*meta)
+    key = _survivor_key(F.col(order), df.schema[order].dataType, tie) if order else tie
+    carried = fixed + list(_CODES[:len(codes)])
+    out = source.groupBy(*keys).agg(*[F.min_by(m, key).alias(m) for m in carried], *counted)
+    if strings:
+        values = source.select(*_CODES, *strings).distinct()
+        out = out.join(values, list(_CODES), "left").drop(*_CODES)
     return out.select(*ordered)
 
 

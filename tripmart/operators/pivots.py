@@ -76,6 +76,6 @@ def pivot_speed(speed: DataFrame, day_type: str | None = None) -> DataFrame:
              for d in day_types for b in X.TEMPERATURE_BUCKET_ORDER]
     grid = speed.sparkSession.range(1).select(F.inline(F.array(*pairs)))
     return (
-        F.broadcast(grid).join(pivoted, ["day_type", "temp_bucket"], "left")
+        grid.join(F.broadcast(pivoted), ["day_type", "temp_bucket"], "left")
         .orderBy("day_type", X.category_rank("temp_bucket", X.TEMPERATURE_BUCKET_ORDER))
     )

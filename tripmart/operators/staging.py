@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 HOURLY_VARIABLES = ("temperature_2m", "precipitation", "snowfall", "wind_speed_10m", "weather_code")
 
 
-def stage_trips(df: DataFrame) -> DataFrame:
-    """Trip facts under model names; both timestamps cast to ``timestamp``."""
+def stage_trips(df: DataFrame, *others: str) -> DataFrame:
+    """Trip facts under model names; both timestamps cast to ``timestamp``; ``others`` are kept as they are."""
     return df.select(
         F.col("VendorID").alias("vendor_id"),
         F.col("tpep_pickup_datetime").cast("timestamp").alias("pickup_ts"),
@@ -22,6 +22,7 @@ def stage_trips(df: DataFrame) -> DataFrame:
         F.col("fare_amount"),
         F.col("tip_amount"),
         F.col("total_amount"),
+        *others,
     )
 
 

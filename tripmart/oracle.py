@@ -32,11 +32,11 @@ SECS = "(epoch_us(dropoff_ts) // 1000000 - epoch_us(pickup_ts) // 1000000)"
 
 
 def _xsum(value: str, digits: int) -> str:
-    return f"round(sum({value}), {digits})"
+    return f"(round(sum({value}), {digits}) + 0.0)"  # a rounded zero has no sign
 
 
 def _xavg(value: str, digits: int, scale: int = 1) -> str:
-    return f"round(avg({value})" + (f" * {scale}" if scale != 1 else "") + f", {digits})"
+    return f"(round(avg({value})" + (f" * {scale}" if scale != 1 else "") + f", {digits}) + 0.0)"
 
 
 def _xminutes(digits: int) -> str:
@@ -46,7 +46,7 @@ def _xminutes(digits: int) -> str:
 def _ratio(part: str, whole: str, digits: int, scale: int = 1) -> str:
     """A rounded ratio of counts; NULL for an empty whole."""
     times = f" * {float(scale)}" if scale != 1 else ""
-    return f"round(({part}){times} / nullif({whole}, 0), {digits})"
+    return f"(round(({part}){times} / nullif({whole}, 0), {digits}) + 0.0)"
 
 
 BUSINESS = (
@@ -86,13 +86,13 @@ tagged AS (SELECT * EXCLUDE (_copies) FROM checked),
 valid AS (SELECT * EXCLUDE (rejection_reason) FROM tagged WHERE rejection_reason IS NULL),
 quarantine AS (SELECT * FROM tagged WHERE rejection_reason IS NOT NULL),
 hourly_raw AS (
-    SELECT date_trunc('hour', ts) AS weather_hour_local,
-           avg(value) - 40 AS temperature_2m,
-           min(value) / 100 AS precipitation,
+    SELECT CASE WHEN epoch_us(ts) // 3600000000 % 13 <> 5 THEN date_trunc('hour', ts) END AS weather_hour_local,
+           avg(value) FILTER (WHERE event_type = 'error') - 40 AS temperature_2m,
+           min(value) FILTER (WHERE event_type = 'error') / 100 AS precipitation,
            CAST(0.0 AS DOUBLE) AS snowfall,
-           max(value) AS wind_speed_10m,
-           count(*) AS weather_code
-    FROM events WHERE event_type = 'error' GROUP BY 1
+           max(value) FILTER (WHERE event_type = 'error') AS wind_speed_10m,
+           count(*) FILTER (WHERE event_type = 'error') AS weather_code
+    FROM events GROUP BY 1
 ),
 stg_weather AS (
     SELECT weather_hour_local, temperature_2m, precipitation, snowfall, wind_speed_10m, weather_code
@@ -269,8 +269,10 @@ def _union(checks) -> str:
     return "\nUNION ALL\n".join(_summary(n, q) for n, q in checks)
 
 
+# --- Fixed values: labels of the published pivots. ---
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 BUCKETS = ("freezing", "cold", "mild", "warm")
+# --- end of fixed values ---
 BUCKETS_VALUES = "(VALUES " + ", ".join(f"('{b}', {i})" for i, b in enumerate(BUCKETS, 1)) + ") b(temp_bucket, rank)"
 SPEED_GRID_VALUES = (
     "(VALUES "
@@ -424,7 +426,42 @@ FINAL = {
         ) s
         WHERE NOT EXISTS (SELECT 1 FROM stg_weather w WHERE w.weather_hour_local = s.missing_hour)
         ORDER BY 1""",
-    "hourly_payload_rows": "SELECT * FROM stg_weather",
+    "hourly_payload_rows": """
+        SELECT * REPLACE (CASE WHEN day(weather_hour_local) % 7 <> 2 THEN snowfall END AS snowfall)
+        FROM stg_weather WHERE day(weather_hour_local) % 7 NOT IN (3, 4)""",
+    "bad_payload_days": """
+        SELECT CAST(weather_hour_local AS DATE) AS day
+        FROM stg_weather WHERE day(weather_hour_local) % 7 IN (3, 4) GROUP BY 1""",
+    "file_row_counts": "SELECT 'events.parquet' AS file_name, count(*) AS row_count FROM events",
+    "expectation_failures": """
+        SELECT 'not_null:raw_trips.tpep_pickup_datetime' AS expectation, count(*) AS failing_rows, count(*) = 0 AS passed
+        FROM raw_trips WHERE tpep_pickup_datetime IS NULL
+        UNION ALL
+        SELECT 'unique:orders.o_custkey', count(*), count(*) = 0
+        FROM (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1) u
+        UNION ALL
+        SELECT 'accepted_values:events.event_type', count(*), count(*) = 0
+        FROM (SELECT event_type FROM events WHERE event_type IS NOT NULL AND event_type NOT IN ('click', 'view') GROUP BY 1) v
+        UNION ALL
+        SELECT 'match_rate:raw_trips.tpep_dropoff_datetime', count(*), count(*) = 0
+        FROM (SELECT count(*) AS total, count(tpep_dropoff_datetime) AS matched_rows FROM raw_trips) m
+        WHERE matched_rows < total * 0.999""",
+    "read_months": """
+        SELECT strftime(o_orderdate, '%Y') AS month, count(*) AS row_count, count(DISTINCT o_custkey) AS customers
+        FROM orders GROUP BY 1""",
+    "load_months": """
+        SELECT strftime(o_orderdate, '%Y') AS month, count(*) AS row_count,
+               CASE WHEN strftime(o_orderdate, '%Y') = (SELECT max(strftime(o_orderdate, '%Y')) FROM orders)
+                    THEN 'forced' ELSE 'skipped' END AS second_run
+        FROM orders GROUP BY 1""",
+    "read_zone_csv": """
+        SELECT CAST(n_nationkey AS INTEGER) AS "LocationID", r_name AS "Borough",
+               CASE WHEN n_nationkey % 5 = 0 THEN 'N/A' ELSE n_name END AS "Zone",
+               CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE r_name END AS service_zone
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "publish_table": """
+        SELECT coalesce(strftime(pickup_ts, '%Y-%m'), 'unknown_month') AS trip_month, count(*) AS trips
+        FROM stg_trips GROUP BY 1""",
 }
 
 

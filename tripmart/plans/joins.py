@@ -4,9 +4,10 @@ A dimension (hourly context, location lookup) is broadcast to every task of
 the fact scan, so the fact is joined without being shuffled.  That is only
 safe while the dimension is small, and nothing in the data guarantees it (an
 hourly series can span decades, a lookup can be fed the wrong file).  The
-check below counts at most ``max_rows + 1`` rows of the dimension; beyond the
-bound no hint is given and Spark's planner falls back to a shuffle join, where
-AQE's skew-join handling splits a hot fact key.
+check below counts the dimension's rows and bytes, one partial row per
+partition; beyond either bound no hint is given and Spark's planner falls back
+to a shuffle join, where AQE's skew-join handling splits a hot fact key.  The
+rows of the result are the same either way.
 
 The check is one extra job over the dimension.  On a published table (the
 publishing run writes the hourly series and the lookup to silver first) that
@@ -20,36 +21,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # An hourly series of 20 years is 175,320 rows; a location lookup has a few hundred.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
+#: What all rows of a broadcast side may take together.
+DEFAULT_MAX_BROADCAST_BYTES = 128 << 20
 
-    The ``limit`` lets the job stop once the bound is exceeded instead of
-    counting a large input to the end.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: its strings' lengths and a word for every other column."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return reduce(lambda a, b: a + b, texts, F.lit(8 * (len(df.columns) + 2))).cast("long")
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is within ``max_rows``, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
+def within_bound(frames: Sequence[DataFrame], max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> list[bool]:
+    """For each frame, whether its rows and bytes are within the bounds: one Spark job for all of them."""
+    sizes = [f.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(f)).alias("bytes")).withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)]
+    found = {r["_frame"]: r for r in reduce(DataFrame.unionByName, sizes).collect()}
+    return [found[i]["rows"] <= max_rows and (found[i]["bytes"] or 0) <= max_bytes for i in range(len(frames))]
 
-def within_bound(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
-    """For each frame, whether it has at most ``max_rows`` rows: one Spark job for all of them.
 
-    The per-frame counts are capped at ``max_rows + 1`` by ``limit``, so the
-    job returns at most one small row per frame.
-    """
-    capped = [f.limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
-    counts = {r["_frame"]: r["count"] for r in reduce(DataFrame.unionByName, capped).groupBy("_frame").count().collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when its rows and bytes are within the bounds, else ``df`` unchanged."""
+    return F.broadcast(df) if within_bound([df], max_rows)[0] else df
 
 
 def broadcast_all_if_bounded(

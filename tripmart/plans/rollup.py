@@ -14,7 +14,8 @@ to the dimensions and scanning the fact once per mart:
 2. the rollup (bounded by hours x locations x payment codes, independent of
    the trip count) is materialised once with a reliable checkpoint;
 3. the hourly context and the location lookup are left-joined to the rollup,
-   not to the trips, so the joins touch one row per cell.  A duplicated
+   not to the trips, so the joins touch one row per cell, whichever join the
+   planner picks.  A duplicated
    dimension key multiplies the cell exactly as it would multiply its trips;
 4. each mart is a small aggregate over the joined rollup.
 
@@ -31,7 +32,7 @@ from tripmart.functions import exprs as X
 from tripmart.functions.exact import RATIO_DIGITS, UNIT_DIGITS, rounded_ratio, special, units, wide
 from tripmart.operators.marts import with_conditions
 from tripmart.operators.staging import HOURLY_VARIABLES
-from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_all_if_bounded
+from tripmart.session import ensure_checkpoint_dir
 
 GRAIN = ("pickup_hour", "pickup_location_id", "payment_type")
 
@@ -45,18 +46,28 @@ def _unit_sums(prefix: str, value: Column, digits: int = UNIT_DIGITS) -> list[Co
     return [*_sum_count(prefix, units(value, digits)), F.sum(special(value)).alias(f"{prefix}_special")]
 
 
-def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
+def hourly_rollup(stg_trips: DataFrame, reason_col: str | None = None) -> DataFrame:
     """Partial sums and counts of every enriched mart per (pickup hour, location, payment code).
 
     Amounts are carried as exact integer units and durations as whole
     seconds (``functions.exact``), so the marts derived from the rollup
-    publish the same digits as the per-trip plans.
+    publish the same digits as the per-trip plans.  With ``reason_col`` the
+    trips are gated ones: the reason joins the grain, and measures are taken of
+    the valid trips (reason NULL) only.
     """
     seconds = X.seconds_between("pickup_ts", "dropoff_ts")
+    by = [*GRAIN, *([reason_col] if reason_col else [])]
+    if reason_col:
+        ok = F.col(reason_col).isNull()
+        measures = ("trip_distance", "fare_amount", "tip_amount", "total_amount")
+        stg_trips = stg_trips.withColumns({c: F.when(ok, F.col(c)) for c in measures})
+        seconds = F.when(ok, seconds)
     t = stg_trips.select(
         X.hour_bucket("pickup_ts").alias("pickup_hour"),
         "pickup_location_id",
         "payment_type",
+        *by[len(GRAIN):],
+        F.col("dropoff_ts").isNull().alias("no_dropoff"),
         "trip_distance",
         "fare_amount",
         "tip_amount",
@@ -68,8 +79,9 @@ def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
     in_revenue_window = (m > 0) & (m < 180)
     speed = X.speed_mph("trip_distance", "trip_minutes")
     in_speed_window = m.between(1, 180) & (F.col("trip_distance") > 0) & (speed < 60)
-    return t.groupBy(*GRAIN).agg(
+    return t.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_if("no_dropoff").alias("no_dropoff_n"),
         *_unit_sums("amount_units", amount),
         *_sum_count("seconds", secs.cast("decimal(28,0)")),
         *_unit_sums("tip_units", F.col("tip_amount")),
@@ -83,25 +95,11 @@ def hourly_rollup(stg_trips: DataFrame) -> DataFrame:
     )
 
 
-def enrich_rollup(
-    rollup: DataFrame,
-    stg_weather: DataFrame,
-    stg_zones: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    materialize_dims: bool = False,
-) -> DataFrame:
+def enrich_rollup(rollup: DataFrame, stg_weather: DataFrame, stg_zones: DataFrame) -> DataFrame:
     """Left-join the hourly context and the location lookup to the rollup cells."""
-    weather, zones = broadcast_all_if_bounded(
-        [
-            stg_weather.select(F.col("weather_hour_local").alias("w_hour"), *HOURLY_VARIABLES),
-            stg_zones.select(
-                F.col("location_id").alias("z_id"),
-                F.col("borough").alias("pickup_borough"),
-                F.col("zone").alias("pickup_zone"),
-            ),
-        ],
-        max_broadcast_rows,
-        materialize=materialize_dims,
+    weather = stg_weather.select(F.col("weather_hour_local").alias("w_hour"), *HOURLY_VARIABLES)
+    zones = stg_zones.select(
+        F.col("location_id").alias("z_id"), F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone")
     )
     joined = (
         rollup.join(weather, rollup.pickup_hour == weather.w_hour, "left")
@@ -263,35 +261,32 @@ def match_rate(enriched: DataFrame, threshold: float, column: str = "temperature
     )
 
 
-def enriched_rollup(
-    stg_trips: DataFrame,
-    stg_weather: DataFrame,
-    stg_zones: DataFrame,
-    materialize: bool = True,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    materialize_dims: bool = False,
-) -> DataFrame:
+def enriched_rollup(stg_trips: DataFrame, stg_weather: DataFrame, stg_zones: DataFrame, materialize: bool = True) -> DataFrame:
     """The rollup of the staged trips joined to both dimensions.
 
     With ``materialize`` the rollup is written once to the session's
     checkpoint directory (a shared file system on a cluster), which also cuts
     the lineage back to the fact scan; everything built on it reads that copy.
-    Without it, the rollup stays lazy; several marts in one plan still share
-    its shuffle through Spark's exchange reuse.
+    Without it nothing runs until the result is used; several marts in one
+    plan still share its shuffle through Spark's exchange reuse.
     """
     rollup = hourly_rollup(stg_trips)
     if materialize:
+        ensure_checkpoint_dir(rollup.sparkSession)
         rollup = rollup.checkpoint(eager=True)
-    return enrich_rollup(rollup, stg_weather, stg_zones, max_broadcast_rows, materialize_dims)
+    return enrich_rollup(rollup, stg_weather, stg_zones)
 
 
-def build_marts(
-    stg_trips: DataFrame,
-    stg_weather: DataFrame,
-    stg_zones: DataFrame,
-    materialize: bool = True,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> dict[str, DataFrame]:
+def build_marts(stg_trips: DataFrame, stg_weather: DataFrame, stg_zones: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
     """The seven enriched marts from one scan of the staged trips."""
-    enriched = enriched_rollup(stg_trips, stg_weather, stg_zones, materialize, max_broadcast_rows)
+    enriched = enriched_rollup(stg_trips, stg_weather, stg_zones, materialize)
     return {name: fn(enriched) for name, fn in ROLLUP_MARTS.items()}
+
+
+def quarantine_trend(cells: DataFrame, reason_col: str = "rejection_reason") -> DataFrame:
+    """``dq_quarantine_trend`` from the cells of gated trips."""
+    return (
+        cells.filter(F.col(reason_col).isNotNull())
+        .groupBy(X.month_label_or_unknown("pickup_hour").alias("trip_month"), reason_col)
+        .agg(F.sum("n").alias("quarantined_count"))
+    )

@@ -1,11 +1,16 @@
 """Registered queries: one per operator group of the inventory, over the shared test tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-column names equal those of the matching DuckDB text in ``tripmart.oracle``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame whose column names
+equal those of the matching DuckDB text in ``tripmart.oracle``.  Most are lazy.
+Jobs run while building: ``enriched_trips`` (writes its derived dimensions and
+measures them before it broadcasts them), the pivots whose columns come from
+the data, the expectation suites (write the mart rollup once) and the
+input/output queries, which write files first.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +20,7 @@ from tripmart.functions import exprs as X
 from tripmart.operators import analysis, calendar, expect, gate as G, marts, pivots, staging
 from tripmart.plans import medallion, rollup
 from tripmart.session import ensure_checkpoint_dir
-from tripmart.sources import ingest, testdata as T
+from tripmart.sources import catalog, ingest, testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +39,13 @@ def _itw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _rolled(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan that is published: trips aggregated once, dimensions joined to the cells."""
+    return rollup.enriched_rollup(
+        staging.stage_trips(_gate(spark, sf).valid), _stg_weather(spark, sf), staging.stage_zones(T.raw_zones(spark, sf)), materialize=False
+    )
+
+
 def _stg_weather(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stage_weather(T.raw_hourly(spark, sf))
 
@@ -102,7 +114,7 @@ def enriched_trips(spark, sf):
 # ---------------------------------------------------------------- marts
 
 def _mart(fn):
-    return lambda spark, sf: fn(_itw(spark, sf))
+    return lambda spark, sf: fn(_rolled(spark, sf))
 
 
 def quarantine_trend(spark, sf):
@@ -146,80 +158,68 @@ def ratio_outliers(spark, sf):
 
 
 def borough_summary(spark, sf):
-    return analysis.borough_summary(marts.demand_by_borough(_itw(spark, sf)))
+    return analysis.borough_summary(rollup.demand_by_borough(_rolled(spark, sf)))
 
 
 def dry_vs_wet(spark, sf):
-    return analysis.mean_of_group_means(marts.weather_impact(_itw(spark, sf)))
+    return analysis.mean_of_group_means(rollup.weather_impact(_rolled(spark, sf)))
 
 
 def temp_by_daytype(spark, sf):
-    return analysis.temp_by_daytype(marts.weather_impact(_itw(spark, sf)))
+    return analysis.temp_by_daytype(rollup.weather_impact(_rolled(spark, sf)))
 
 
 def pivot_hour_weekday(spark, sf):
-    return pivots.pivot_hour_weekday(marts.trips_by_hour_weekday(_itw(spark, sf)))
+    return pivots.pivot_hour_weekday(rollup.trips_by_hour_weekday(_rolled(spark, sf)))
 
 
 def pivot_hour_borough(spark, sf):
-    return pivots.pivot_hour_borough(marts.demand_by_borough(_itw(spark, sf)))
+    return pivots.pivot_hour_borough(rollup.demand_by_borough(_rolled(spark, sf)))
 
 
 def pivot_speed(spark, sf):
-    return pivots.pivot_speed(marts.weather_speed_impact(_itw(spark, sf)))
+    return pivots.pivot_speed(rollup.weather_speed_impact(_rolled(spark, sf)))
 
 
 # ---------------------------------------------------------------- expectations
 
 class _Models:
-    """The models a test suite reads, materialised once per query.
+    """What a test suite reads: one rollup of all gated trips, the dimensions, and the marts over them.
 
-    Data tests run against built models: the gated rows and the mart rollup
-    are written once with a reliable checkpoint, so every test branch plans
-    against a small relation instead of repeating the whole lineage, and the
-    fact is scanned once.  Marts are built on first use.
+    The rollup carries the rejection reason in its grain, so one pass over the
+    trips gives the marts, the quarantine trend and the NULL counts of
+    ``stg_trips``.  It is bounded by hours x locations x codes x reasons and
+    written once; nothing at trip grain is.
     """
 
     def __init__(self, spark, sf):
         ensure_checkpoint_dir(spark)
-        checked = _gate(spark, sf).tagged.checkpoint(eager=True)
-        valid, quarantine = G.split(checked)
-        self.stg_trips = staging.stage_trips(valid)
-        self.stg_weather = _stg_weather(spark, sf)
+        gated = _gate(spark, sf).tagged
+        staged = staging.stage_trips(gated, G.REASON_COL)
+        self.cells = rollup.hourly_rollup(staged, G.REASON_COL).checkpoint(eager=True)
+        self.valid = self.cells.filter(F.col(G.REASON_COL).isNull()).drop(G.REASON_COL)
+        self.stg_weather = _stg_weather(spark, sf).checkpoint(eager=True)
         self.stg_zones = staging.stage_zones(T.raw_zones(spark, sf))
-        self._quarantine = quarantine
-        self._enriched = None
-        self._marts = {}
-
-    @property
-    def trend(self):
-        return marts.dq_quarantine_trend(staging.stage_quarantine(self._quarantine))
-
-    @property
-    def enriched(self):
-        if self._enriched is None:
-            self._enriched = rollup.enriched_rollup(
-                self.stg_trips, self.stg_weather, self.stg_zones, materialize=True, materialize_dims=True
-            )
-        return self._enriched
+        self.enriched = rollup.enrich_rollup(self.valid, self.stg_weather, self.stg_zones)
 
     def mart(self, name):
-        if name not in self._marts:
-            self._marts[name] = rollup.ROLLUP_MARTS[name](self.enriched)
-        return self._marts[name]
+        return rollup.ROLLUP_MARTS[name](self.enriched)
 
 
-def _not_null_checks(m: _Models):
+def _not_null_summaries(m: _Models):
+    null = lambda c: F.count_if(F.col(c).isNull())
+    marts_of = {
+        "trips_by_hour_weekday": "hour_of_day", "daily_weather_ridership": "trip_date", "demand_by_borough": "pickup_borough",
+        "payment_mix": "payment_type_label", "revenue_efficiency_by_hour": "hour_of_day",
+    }
     return [
-        ("not_null:stg_trips.pickup_ts", expect.expect_not_null(m.stg_trips, "pickup_ts")),
-        ("not_null:stg_trips.dropoff_ts", expect.expect_not_null(m.stg_trips, "dropoff_ts")),
-        ("not_null:stg_weather.weather_hour_local", expect.expect_not_null(m.stg_weather, "weather_hour_local")),
-        ("not_null:trips_by_hour_weekday.hour_of_day", expect.expect_not_null(m.mart("trips_by_hour_weekday"), "hour_of_day")),
-        ("not_null:daily_weather_ridership.trip_date", expect.expect_not_null(m.mart("daily_weather_ridership"), "trip_date")),
-        ("not_null:demand_by_borough.pickup_borough", expect.expect_not_null(m.mart("demand_by_borough"), "pickup_borough")),
-        ("not_null:dq_quarantine_trend.trip_month", expect.expect_not_null(m.trend, "trip_month")),
-        ("not_null:payment_mix.payment_type_label", expect.expect_not_null(m.mart("payment_mix"), "payment_type_label")),
-        ("not_null:revenue_efficiency_by_hour.hour_of_day", expect.expect_not_null(m.mart("revenue_efficiency_by_hour"), "hour_of_day")),
+        expect.summarize_counts(m.valid, {
+            "not_null:stg_trips.pickup_ts": F.sum(F.when(F.col("pickup_hour").isNull(), F.col("n"))),
+            "not_null:stg_trips.dropoff_ts": F.sum("no_dropoff_n"),
+        }),
+        expect.summarize_counts(m.stg_weather, {"not_null:stg_weather.weather_hour_local": null("weather_hour_local")}),
+        expect.summarize_counts(rollup.quarantine_trend(m.cells), {"not_null:dq_quarantine_trend.trip_month": null("trip_month")}),
+        *(expect.summarize_counts(m.mart(name), {f"not_null:{name}.{key}": null(key)}) for name, key in marts_of.items()),
     ]
 
 
@@ -246,7 +246,7 @@ def _match_rate_check(m: _Models):
 
 
 def expect_not_null(spark, sf):
-    return expect.run_expectations(_not_null_checks(_Models(spark, sf)))
+    return expect.run_expectations([], _not_null_summaries(_Models(spark, sf)))
 
 
 def expect_unique(spark, sf):
@@ -257,13 +257,24 @@ def expect_values(spark, sf):
     return expect.run_expectations(_value_checks(_Models(spark, sf)))
 
 
+def expectation_failures(spark, sf):
+    """Each kind of expectation on raw tables that break it."""
+    trips, events, orders = T.raw_trips(spark, sf), T.table(spark, sf, "events"), T.table(spark, sf, "orders")
+    return expect.run_expectations([
+        ("not_null:raw_trips.tpep_pickup_datetime", expect.expect_not_null(trips, "tpep_pickup_datetime")),
+        ("unique:orders.o_custkey", expect.expect_unique(orders, "o_custkey")),
+        ("accepted_values:events.event_type", expect.expect_values(events, "event_type", ["click", "view"])),
+        ("match_rate:raw_trips.tpep_dropoff_datetime", expect.expect_match_rate(trips, "tpep_dropoff_datetime", 0.999)),
+    ])
+
+
 def expect_match_rate(spark, sf):
-    return expect.match_rate(_itw(spark, sf), "temperature_2m", T.MATCH_RATE_THRESHOLD)
+    return rollup.match_rate(_rolled(spark, sf), T.MATCH_RATE_THRESHOLD)
 
 
 def run_expectations(spark, sf):
     m = _Models(spark, sf)
-    return expect.run_expectations(_not_null_checks(m) + _unique_checks(m) + _value_checks(m) + _match_rate_check(m))
+    return expect.run_expectations(_unique_checks(m) + _value_checks(m) + _match_rate_check(m), _not_null_summaries(m))
 
 
 # ---------------------------------------------------------------- calendar and ingest
@@ -278,16 +289,68 @@ def missing_hours(spark, sf):
 
 def hourly_payload_rows(spark, sf):
     docs = T.hourly_payload_documents(_stg_weather(spark, sf))
-    rows = ingest.hourly_payload_to_rows(docs, "payload", T.HOURLY_PAYLOAD_TYPES)
-    return rows.withColumn("weather_code", F.col("weather_code").cast("bigint"))
+    return ingest.hourly_payload_to_rows(docs, "payload", T.HOURLY_PAYLOAD_TYPES, mode="quarantine")
+
+
+def bad_payload_days(spark, sf):
+    docs = T.hourly_payload_documents(_stg_weather(spark, sf))
+    return ingest.bad_payloads(docs, "payload", T.HOURLY_PAYLOAD_TYPES).select("day")
 
 
 def file_row_counts(spark, sf):
     events = ingest.with_ingest_metadata(T.table(spark, sf, "events"))
-    return ingest.file_row_counts(events)
+    counts = ingest.file_row_counts(events)
+    return counts.select(F.element_at(F.split("_source_file", "/"), -1).alias("file_name"), "row_count")
+
+
+# ---------------------------------------------------------------- input and output (files written from the tables first)
+
+def _order_files(spark, sf) -> tuple[str, list[str]]:
+    """All orders as one file set per year, below the session's shared folder: path template and years."""
+    path = f"{ensure_checkpoint_dir(spark)}/orders-{uuid.uuid4().hex}"
+    orders = T.table(spark, sf, "orders").withColumn("year", F.date_format("o_orderdate", "yyyy"))
+    orders.write.partitionBy("year").parquet(path)
+    years = [r[0] for r in spark.read.parquet(path).select(F.col("year").cast("string")).distinct().orderBy("year").collect()]
+    return f"{path}/year={{month}}", years
+
+
+def read_months(spark, sf):
+    template, years = _order_files(spark, sf)
+    rows = ingest.read_months(spark, years, template)
+    return rows.groupBy(F.col("_month").alias("month")).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_custkey").alias("customers"))
+
+
+def load_months(spark, sf):
+    """Loaded twice: the second run skips every stored part, then the last one is forced."""
+    template, years = _order_files(spark, sf)
+    target = template.replace("/year={month}", "-bronze")
+    ingest.load_months(spark, years, template, target)
+    again = ingest.load_months(spark, years, template, target)
+    forced = ingest.load_months(spark, years[-1:], template, target, force=True)
+    second = F.when(F.col("month").isin(forced.loaded), "forced").when(F.col("month").isin(again.skipped), "skipped")
+    rows = spark.read.schema("o_orderkey long, _month string").parquet(target)
+    return rows.groupBy(F.col("_month").alias("month")).agg(F.count(F.lit(1)).alias("row_count")).withColumn("second_run", second)
+
+
+def read_zone_csv(spark, sf):
+    zones = T.raw_zones(spark, sf)
+    zones = zones.withColumn("Zone", F.when(F.col("LocationID") % 5 == 0, "N/A").otherwise(F.col("Zone")))
+    zones = zones.withColumn("service_zone", F.when(F.col("LocationID") % 7 != 0, F.col("service_zone")))
+    path = f"{ensure_checkpoint_dir(spark)}/zones-{uuid.uuid4().hex}"
+    zones.write.option("header", True).csv(path)
+    return ingest.read_zone_csv(spark, path)
+
+
+def publish_table(spark, sf):
+    """The staged trips published, published again over themselves, and read back through the catalog."""
+    trips = staging.stage_trips(_gate(spark, sf).valid).withColumn("trip_month", X.month_label_or_unknown("pickup_ts"))
+    name = f"published_{uuid.uuid4().hex[:12]}.stg_trips"
+    catalog.publish_table(trips.withColumn("trip_month", F.lit("draft")), name, ["trip_month"])
+    catalog.publish_table(trips, name, ["trip_month"])
+    return catalog.read_table(spark, name).groupBy("trip_month").agg(F.count(F.lit(1)).alias("trips"))
 
 
-weather_impact_query = _mart(marts.weather_impact)
+weather_impact_query = _mart(rollup.weather_impact)
 
 QUERIES: dict[str, Query] = {
     "dedup_rows": dedup_rows,
@@ -302,14 +365,14 @@ QUERIES: dict[str, Query] = {
     "stg_zones": stg_zones,
     "stg_quarantine": stg_quarantine,
     "enriched_trips": enriched_trips,
-    "trips_by_hour_weekday": _mart(marts.trips_by_hour_weekday),
-    "daily_ridership": _mart(marts.daily_weather_ridership),
+    "trips_by_hour_weekday": _mart(rollup.trips_by_hour_weekday),
+    "daily_ridership": _mart(rollup.daily_weather_ridership),
     "weather_impact": weather_impact_query,
-    "demand_by_borough": _mart(marts.demand_by_borough),
+    "demand_by_borough": _mart(rollup.demand_by_borough),
     "quarantine_trend": quarantine_trend,
-    "payment_mix": _mart(marts.payment_mix),
-    "revenue_efficiency": _mart(marts.revenue_efficiency_by_hour),
-    "speed_impact": _mart(marts.weather_speed_impact),
+    "payment_mix": _mart(rollup.payment_mix),
+    "revenue_efficiency": _mart(rollup.revenue_efficiency_by_hour),
+    "speed_impact": _mart(rollup.weather_speed_impact),
     "quarantine_rate_by_month": quarantine_rate_by_month,
     "quarantine_for_month": quarantine_for_month,
     "reason_share_by_month": reason_share_by_month,
@@ -332,5 +395,11 @@ QUERIES: dict[str, Query] = {
     "hourly_completeness": hourly_completeness,
     "missing_hours": missing_hours,
     "hourly_payload_rows": hourly_payload_rows,
+    "bad_payload_days": bad_payload_days,
     "file_row_counts": file_row_counts,
+    "expectation_failures": expectation_failures,
+    "read_months": read_months,
+    "load_months": load_months,
+    "read_zone_csv": read_zone_csv,
+    "publish_table": publish_table,
 }

@@ -1,13 +1,16 @@
 """Catalog tables and views (O-9..O-12).
 
-Tables are Parquet (no table-format jar is assumed), replaced as a whole on
-each publish, in databases named exactly as given (``bronze``, ``silver``,
-``gold``).  A publish goes through Spark's file commit protocol, so a task
-lost mid-write is retried without leaving partial output behind.
+A published name is a view over one version of its data: a Parquet folder
+written in full below the database's location before the view is pointed at
+it.  A write that fails leaves the version before it in place, and readers
+that have begun keep theirs.  Databases are named exactly as given
+(``bronze``, ``silver``, ``gold``), and views of one never refer to another's.
+Old versions stay until ``drop_old_versions`` is called.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -21,25 +24,51 @@ def ensure_database(spark: SparkSession, name: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
 
-def publish_table(
-    df: DataFrame,
-    name: str,
-    partition_by: Sequence[str] | None = None,
-    path: str | None = None,
-    mode: str = "overwrite",
-) -> DataFrame:
-    """Write ``df`` as the table ``name`` (full overwrite by default) and return a reader of it (O-10, O-12)."""
+def _database(name: str) -> str:
+    return name.rsplit(".", 1)[0] if "." in name else "default"
+
+
+def _versions_folder(spark: SparkSession, name: str) -> str:
+    """Where the versions of a published name are kept."""
+    return f"{spark.catalog.getDatabase(_database(name)).locationUri}/_versions/{name.rsplit('.', 1)[-1]}"
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def publish_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a new version of ``name``, point the name at it and return a reader of it (O-10, O-12).
+
+    ``path`` keeps the versions there instead of in the database's location.
+    """
     spark = df.sparkSession
     ensure_database(spark, name)
-    writer = df.write.mode(mode).format("parquet")
+    version = f"{path or _versions_folder(spark, name)}/{uuid.uuid4().hex}"
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    writer.save(version)
+    _point(spark, name, f"SELECT * FROM parquet.`{version}`")
     return spark.table(name)
 
 
+def _point(spark: SparkSession, name: str, select: str) -> None:
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table that was not published here; drop or rename it first")
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS {select}")
+
+
+def drop_old_versions(spark: SparkSession, name: str, keep: int = 2, path: str | None = None) -> int:
+    """Delete all but the newest ``keep`` versions of a published name; returns how many went."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path or _versions_folder(spark, name))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted(fs.listStatus(folder), key=lambda s: -s.getModificationTime()) if fs.exists(folder) else []
+    for status in found[max(1, keep):]:
+        fs.delete(status.getPath(), True)
+    return max(0, len(found) - max(1, keep))
+
+
 def publish_tables(
     frames: Mapping[str, DataFrame],
     partition_by: Mapping[str, Sequence[str]] | None = None,
@@ -61,10 +90,15 @@ def publish_tables(
         return {name: future.result() for name, future in futures.items()}
 
 
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Register ``df`` as a session view (the staging and intermediate layers, O-11)."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+def publish_view(spark: SparkSession, name: str, select: str) -> DataFrame:
+    """Publish ``select`` over published names as the persistent view ``name`` (O-11).
+
+    Views of any session on the same catalog read it; it follows the names it
+    reads when they are published anew.
+    """
+    ensure_database(spark, name)
+    _point(spark, name, select)
+    return spark.table(name)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -13,14 +13,17 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.session import ensure_checkpoint_dir
+
 log = logging.getLogger(__name__)
 
 MONTH_COL = "_month"
 HOUR_COL = "weather_hour_local"
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 PAYLOAD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 ZONE_CSV_SCHEMA = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
 
@@ -70,12 +73,12 @@ def read_months(
     paths = month_paths(template, months)
     missing = [m for m, p in paths.items() if not path_exists(spark, p)]
     if missing and on_missing == "raise":
-        raise FileNotFoundError(f"Missing {len(missing)}/{len(months)} months: {missing}")
+        raise FileNotFoundError(f"no file for {missing} ({len(missing)} of {len(months)} months)")
     if missing:
-        log.error("Skipping %d missing months: %s", len(missing), missing)
+        log.error("no file for %s, reading the other months", missing)
     present = {m: p for m, p in paths.items() if m not in missing}
     if not present:
-        raise FileNotFoundError(f"None of the {len(months)} months is present: {missing}")
+        raise FileNotFoundError(f"no file for any of {missing}")
     frames = [
         with_ingest_metadata(spark.read.parquet(p)).withColumn(MONTH_COL, F.lit(m))
         for m, p in present.items()
@@ -111,7 +114,7 @@ def load_months(
     ]
     todo = [m for m in months if m not in missing and m not in skipped]
     for m in skipped:
-        log.info("Month %s already loaded at %s, skipping", m, table_path)
+        log.info("%s holds %s, kept as it is", table_path, m)
     if todo:
         frames = [
             with_ingest_metadata(spark.read.parquet(paths[m])).withColumn(MONTH_COL, F.lit(m)) for m in todo
@@ -124,7 +127,7 @@ def load_months(
             .parquet(table_path)
         )
     if missing:
-        raise RuntimeError(f"Failed to load {len(missing)}/{len(months)} months: {missing}")
+        raise RuntimeError(f"no file for {missing}; the other months are stored")
     return LoadResult(loaded=todo, skipped=skipped)
 
 
@@ -143,16 +146,43 @@ def _spark_type(name: str | T.DataType) -> T.DataType:
 
 
 def payload_schema(variables: Mapping[str, str]) -> T.StructType:
-    """``{"hourly": {"time": [str], <var>: [<type>], ...}}``."""
-    fields = [T.StructField("time", T.ArrayType(T.StringType()))]
-    fields += [T.StructField(v, T.ArrayType(_spark_type(t))) for v, t in variables.items()]
-    return T.StructType([T.StructField("hourly", T.StructType(fields))])
+    """``{"hourly": {"time": [text], <var>: [text], ...}}``: elements are read as text and cast afterwards."""
+    texts = T.ArrayType(T.StringType())
+    return T.StructType([T.StructField("hourly", T.StructType([T.StructField(n, texts) for n in ("time", *variables)]))])
+
+
+def _parse(df: DataFrame, json_col: str, variables: Mapping[str, str]) -> DataFrame:
+    """``df`` with ``_rows`` (an array of hours) and ``_fault`` (what is wrong with the document, or NULL)."""
+    parsed = df.withColumn("_h", F.from_json(F.col(json_col), payload_schema(variables))["hourly"])
+    time = F.col("_h.time")
+    faults = F.when(F.col("_h").isNull(), F.lit("no object of hourly arrays")).when(time.isNull(), F.lit("no time array"))
+    faults = faults.when(
+        F.exists(time, lambda t: F.try_to_timestamp(t, F.lit(PAYLOAD_TIME_FORMAT)).isNull()), F.lit("a time that is none")
+    )
+    values = {}
+    for name, kind in variables.items():
+        texts, data_type = F.col(f"_h.`{name}`"), _spark_type(kind)
+        given = F.get_json_object(F.col(json_col), f"$.hourly.{name}")
+        faults = faults.when(texts.isNull() & given.isNotNull() & (given != "null"), F.lit(f"{name} is no array"))
+        faults = faults.when(F.size(texts) != F.size(time), F.lit(f"{name} and time differ in length"))
+        faults = faults.when(_holds_other_than(texts, data_type), F.lit(f"{name} holds a value of another type"))
+        # a variable that was not delivered is NULL for every hour
+        values[name] = F.coalesce(F.transform(texts, _caster(data_type)), F.transform(time, _caster_to_null(data_type)))
+    hours = F.arrays_zip(F.transform(time, lambda t: F.try_to_timestamp(t, F.lit(PAYLOAD_TIME_FORMAT))).alias(HOUR_COL),
+                         *[v.alias(n) for n, v in values.items()])
+    return parsed.withColumns({"_fault": faults, "_rows": hours}).drop("_h")
+
+
+def _caster(data_type: T.DataType):
+    return lambda x: x.try_cast(data_type)
 
 
-def _parse(df: DataFrame, json_col: str, variables: Mapping[str, str]) -> tuple[DataFrame, F.Column]:
-    parsed = df.withColumn("_payload", F.from_json(F.col(json_col), payload_schema(variables)))
-    bad = F.col("_payload.hourly").isNull() | F.col("_payload.hourly.time").isNull()
-    return parsed, bad
+def _caster_to_null(data_type: T.DataType):
+    return lambda x: F.lit(None).cast(data_type)
+
+
+def _holds_other_than(texts: Column, data_type: T.DataType) -> Column:
+    return F.exists(texts, lambda x: x.isNotNull() & x.try_cast(data_type).isNull())
 
 
 def hourly_payload_to_rows(
@@ -165,47 +195,52 @@ def hourly_payload_to_rows(
 
     Each document's arrays are zipped element-wise and exploded, ``time``
     becomes ``weather_hour_local`` (a ``timestamp`` parsed from
-    ``yyyy-MM-ddTHH:mm``).  A document without ``hourly`` or ``hourly.time``
-    fails the job (``mode='fail'``) or is left out (``mode='quarantine'``, also
-    spelled ``'drop'``); ``bad_payloads`` returns those documents for routing
-    to a quarantine table.
+    ``yyyy-MM-ddTHH:mm``).  A variable that a document lacks is NULL in all its
+    hours.  A document without the hourly object or its times, with a time
+    that is none, with arrays of different lengths, or with a value of another
+    type fails the job (``mode='fail'``) or is left out as a whole
+    (``mode='quarantine'``, also spelled ``'drop'``); ``bad_payloads`` returns
+    those documents, so every hour is either a row or in one of them.
     """
-    parsed, bad = _parse(df, json_col, variables)
+    parsed = _parse(df, json_col, variables)
     if mode == "fail":
-        message = F.lit("Unexpected hourly payload shape: missing 'hourly' or 'hourly.time'")
-        hourly = F.when(bad, F.raise_error(message)).otherwise(F.col("_payload.hourly"))
+        message = F.concat(F.lit("hourly payload can't be read: "), F.col("_fault"))
+        rows = F.when(F.col("_fault").isNotNull(), F.raise_error(message)).otherwise(F.col("_rows"))
     elif mode in ("quarantine", "drop"):
-        parsed = parsed.filter(~bad)
-        hourly = F.col("_payload.hourly")
+        parsed = parsed.filter(F.col("_fault").isNull())
+        rows = F.col("_rows")
     else:
         raise ValueError(f"unknown mode: {mode!r}")
-    names = ["time", *variables]
-    zipped = parsed.select(hourly.alias("h")).select(F.inline(F.arrays_zip(*[F.col(f"h.{n}") for n in names])))
-    return zipped.toDF(*names).select(
-        F.to_timestamp("time", PAYLOAD_TIME_FORMAT).alias(HOUR_COL), *variables
-    )
+    return parsed.select(F.inline(rows)).toDF(HOUR_COL, *variables)
 
 
 def bad_payloads(df: DataFrame, json_col: str, variables: Mapping[str, str]) -> DataFrame:
-    """Documents that lack ``hourly`` or ``hourly.time`` (the quarantine side of O-6)."""
-    parsed, bad = _parse(df, json_col, variables)
-    return parsed.filter(bad).drop("_payload")
+    """Documents that ``hourly_payload_to_rows`` can't read, with the reason in ``_fault`` (the quarantine side of O-6)."""
+    return _parse(df, json_col, variables).filter(F.col("_fault").isNotNull()).drop("_rows")
 
 
 def read_hourly(spark: SparkSession, path: str, hour_col: str = HOUR_COL, nanos: bool = False) -> DataFrame:
     """Hourly Parquet file; ``nanos=True`` reads nanosecond timestamps (O-7).
 
     Files written from ``datetime64[ns]`` columns store ``TIMESTAMP(NANOS)``,
-    which Spark refuses by default.  With ``nanos=True`` the session reads them
-    as epoch nanoseconds (``spark.sql.legacy.parquet.nanosAsLong``) and the
-    hour column is turned back into a timestamp at microsecond precision.
+    which Spark refuses by default.  With ``nanos=True`` the file is read once
+    as epoch nanoseconds (``spark.sql.legacy.parquet.nanosAsLong``), turned
+    back into a timestamp at microsecond precision and checkpointed, since
+    Spark looks the setting up whenever it plans a scan; the setting itself is
+    put back.
     """
-    if nanos:
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.parquet(path)
-    if isinstance(df.schema[hour_col].dataType, T.LongType):
-        df = df.withColumn(hour_col, F.timestamp_micros(F.expr(f"`{hour_col}` div 1000")))
-    return df
+    if not nanos:
+        return spark.read.parquet(path)
+    before = spark.conf.get(NANOS_AS_LONG)
+    spark.conf.set(NANOS_AS_LONG, "true")
+    try:
+        df = spark.read.parquet(path)
+        if not isinstance(df.schema[hour_col].dataType, T.LongType):
+            return df
+        ensure_checkpoint_dir(spark)
+        return df.withColumn(hour_col, F.timestamp_micros(F.expr(f"`{hour_col}` div 1000"))).checkpoint(eager=True)
+    finally:
+        spark.conf.set(NANOS_AS_LONG, before)
 
 
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:

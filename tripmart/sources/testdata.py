@@ -2,7 +2,7 @@
 
 ``events`` is the only test table with a time of day, so it stands in for the
 trip fact (with a re-delivered batch for duplicates and deterministic NULLs),
-its ``error`` events rolled up per hour stand in for the hourly context, and
+the same events rolled up per hour stand in for the hourly context, and
 ``nation`` joined to ``region`` stands in for the location lookup.  ``orders``
 spans 80 months and feeds the month-level operators.  Every frame reads its
 whole table; the modulo expressions only shape values, never drop rows.
@@ -69,14 +69,20 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly context: ``error`` events rolled up per hour."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    return events.groupBy(F.date_trunc("hour", "ts").alias("weather_hour_local")).agg(
-        (F.avg("value") - 40).alias("temperature_2m"),
-        (F.min("value") / 100).alias("precipitation"),
+    """Hourly context: all events rolled up per hour, measures from its ``error`` events.
+
+    An hour without error events has NULL measures; every thirteenth hour has
+    lost its key, so its events meet in one row with a NULL hour.
+    """
+    events = table(spark, sf_dir, "events")
+    lost = F.floor(F.unix_timestamp("ts") / 3600) % 13 == 5
+    error = F.when(F.col("event_type") == "error", F.col("value"))
+    return events.groupBy(F.when(~lost, F.date_trunc("hour", "ts")).alias("weather_hour_local")).agg(
+        (F.avg(error) - 40).alias("temperature_2m"),
+        (F.min(error) / 100).alias("precipitation"),
         F.lit(0.0).alias("snowfall"),
-        F.max("value").alias("wind_speed_10m"),
-        F.count(F.lit(1)).alias("weather_code"),
+        F.max(error).alias("wind_speed_10m"),
+        F.count(error).alias("weather_code"),
     )
 
 
@@ -128,15 +134,25 @@ def hourly_payload_documents(hourly: DataFrame, hour_col: str = "weather_hour_lo
     """One parallel-array JSON document per day of an hourly series.
 
     Mirrors the shape an hourly weather API returns, cut per day so that a
-    document holds at most one day of hours.
+    document holds at most one day of hours.  Some days are delivered badly:
+    by day of the month modulo 7, day 2 lacks the snowfall array, day 3 has one
+    hour too few in an array and day 4 a word among its numbers.
     """
     variables = list(HOURLY_PAYLOAD_TYPES)
     per_day = hourly.groupBy(F.to_date(hour_col).alias("day")).agg(
         F.sort_array(F.collect_list(F.struct(hour_col, *variables))).alias("r")
     )
-    arrays = [F.transform("r", lambda x: F.date_format(x[hour_col], "yyyy-MM-dd'T'HH:mm")).alias("time")]
-    arrays += [F.transform("r", _field(v)).alias(v) for v in variables]
-    return per_day.select("day", F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("payload"))
+    kind = F.dayofmonth("day") % 7
+    arrays = {v: F.transform("r", _field(v)) for v in variables}
+    arrays["snowfall"] = F.when(kind != 2, arrays["snowfall"])
+    arrays["wind_speed_10m"] = F.when(kind == 3, F.slice(arrays["wind_speed_10m"], 2, 24)).otherwise(arrays["wind_speed_10m"])
+    words = F.transform(arrays["precipitation"], lambda x: x.cast("string"))
+    document = lambda **other: F.to_json(F.struct(F.struct(
+        F.transform("r", lambda x: F.date_format(x[hour_col], "yyyy-MM-dd'T'HH:mm")).alias("time"),
+        *[(arrays | other)[v].alias(v) for v in variables],
+    ).alias("hourly")))
+    broken = document(precipitation=F.concat(F.array(F.lit("dry")), F.slice(words, 2, 24)))
+    return per_day.select("day", F.when(kind == 4, broken).otherwise(document()).alias("payload"))
 
 
 def tagged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ to the month partitions the batch touches; a full-row duplicate shares its
 pickup time, hence its month, with the original.  What is left is appended,
 partitioned by month and gate status.
 
-Exactly-once: the file source records processed files in the checkpoint, the
-append commits atomically, and a replayed batch finds its own rows already
-stored and adds nothing.  ``_copies`` counts the copies within the batch that
+Once per row: the file source records processed files in the checkpoint, and a
+replayed batch finds its own rows already stored and adds the rest.  A plain
+Parquet append is not atomic: a reader may see part of a batch while it is
+written.  ``_copies`` counts the copies within the batch that
 first delivered a row; copies arriving in later batches are dropped uncounted.
 """
 
