@@ -309,8 +309,9 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
         "node", "root", F.floor(F.log("n") / -math.log(percent / 100 - 0.001)).cast("int").alias("size_class"), (F.col("n") * 8).alias("bytes")
     ))
     marks = bitmap(chosen.select(spread_column(F.col("node"), F.col("row_key")).alias("place")), "place")
-    contents = _set_contents(docs, marks, width).join(chosen.select("node", "row_key"), ["node", "row_key"]).dropDuplicates(["node"])
-    links = linking.verified(dealt.join(contents.drop("row_key"), "node"), similar_pairs(percent))
+    # the sets move twice: to their cells' rows and with them to the cells
+    members = dealt.join(chosen.select("node", "row_key"), "node").join(_set_contents(docs, marks, width), ["node", "row_key"])
+    links = linking.verified(members, similar_pairs(percent))
 
     of_node = linking.components(links).withColumnRenamed("root", "class")
     least = full.groupBy("node").agg(F.min(F.struct("id", "row_key")).alias("least")).join(of_node, "node", "left")

@@ -196,12 +196,17 @@ def verified(members: DataFrame, links_of: Callable[[list[bytes], int, Union], I
     ``links_of(contents, split, seen)`` yields index pairs of similar nodes: of all
     pairs if ``split`` is 0, else of those across the split.  It may leave out
     pairs that ``seen`` has connected.  Links that connect nothing new are
-    dropped, so a cell returns fewer links than it has nodes.
+    dropped, so a cell returns fewer links than it has nodes.  A node that
+    comes twice (from repeated rows) counts once.
     """
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("root", "ascending"), ("side", "ascending"), ("node", "ascending")])
         root, side, node = (np.asarray(group[c]) for c in ("root", "side", "node"))
+        fresh = np.ones(len(node), bool)
+        fresh[1:] = (node[1:] != node[:-1]) | (side[1:] != side[:-1])
+        if not fresh.all():
+            group, root, side, node = group.filter(pa.array(fresh)), root[fresh], side[fresh], node[fresh]
         content = group["content"].to_pylist()
         edges = np.flatnonzero(np.concatenate([[True], root[1:] != root[:-1]]))
         a, b = [], []
