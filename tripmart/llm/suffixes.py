@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.textarrays import Hasher, chunks, flat, mix
+from tripmart.llm.textarrays import CHUNK_BYTES, Hasher, chunks, flat, mix
 
 LENGTH = 50
 SEED = 20
@@ -202,12 +202,14 @@ class Batch:
         return np.flatnonzero(several & ~matched)
 
     def window_runs(self, number: int, groups: np.ndarray) -> Iterator[dict]:
-        hasher_of = _WindowHashes(self.data, self.length)
+        heads = self.head[groups]
+        hashes = window_hashes(self.data, self.length, self.start[heads], self.windows[heads])
+        at = np.concatenate([[0], np.cumsum(self.windows[heads])])
         for bucket, lo, hi in _cuts(self.bucket[groups]):
-            head = self.head[groups[lo:hi]]
-            counts = self.windows[head]
-            hashes = hasher_of(self.start[head], counts)
-            yield _run(number, bucket, self.docs, (self.key[head] >> np.uint64(32)).astype(np.uint32), hashes, self.doc[head], counts)
+            head, mine = heads[lo:hi], hashes[at[lo]:at[hi]]
+            low, high = (mine & _LOW).astype("<u4"), ((mine >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2")
+            seeds = (self.key[head] >> np.uint64(32)).astype(np.uint32)
+            yield _run(number, bucket, self.docs, seeds, low.tobytes() + high.tobytes(), self.doc[head], self.windows[head])
 
     def marks(self, matched: np.ndarray, groups: np.ndarray, rows: list[dict]) -> np.ndarray:
         """Which bytes go, from the groups' flags and the flags of contested windows."""
@@ -234,26 +236,21 @@ class Batch:
         return np.cumsum(change[:-1]) > 0
 
 
-class _WindowHashes:
-    """48-bit hashes of windows, chunk by chunk so that memory stays bounded."""
-
-    def __init__(self, data: np.ndarray, length: int) -> None:
-        self.data, self.length = data, length
-
-    def __call__(self, start: np.ndarray, counts: np.ndarray) -> bytes:
-        total = int(counts.sum())
-        begin = np.repeat(start, counts) + np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-        order = np.argsort(begin, kind="stable")
-        out = np.zeros(total, np.uint64)
-        at, step = 0, 1 << 20
-        while at < total:
-            base = int(begin[order[at]])
-            end = int(np.searchsorted(begin[order], base + step))
-            some = order[at:end]
-            piece = Hasher(self.data[base:int(begin[some[-1]]) + self.length])
-            out[some] = piece.spans(begin[some] - base, begin[some] - base + self.length)
-            at = end
-        return (out & _LOW).astype("<u4").tobytes() + ((out >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes()
+def window_hashes(data: np.ndarray, length: int, start: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The hash of each of ``counts`` windows from each start on, in that order; a megabyte of text at a time."""
+    total = int(counts.sum())
+    begin = np.repeat(start, counts) + np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
+    order = np.argsort(begin, kind="stable")
+    placed = begin[order]
+    out = np.zeros(total, np.uint64)
+    at = 0
+    while at < total:
+        base = int(placed[at])
+        end = int(np.searchsorted(placed, base + CHUNK_BYTES))
+        piece = Hasher(data[base:int(placed[end - 1]) + length])
+        out[order[at:end]] = piece.spans(placed[at:end] - base, placed[at:end] - base + length)
+        at = end
+    return out
 
 
 def _cuts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
