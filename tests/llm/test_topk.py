@@ -2,10 +2,7 @@ import math
 import random
 
 import pytest
-from tests.conftest import SF01
-from tests.oracle_check import compare, duck_connection
 from tripmart.llm import topk
-from tripmart.llm.queries import ORACLE_SQL, QUERIES
 
 
 def by_pairs(rows, k, asks):
@@ -51,8 +48,3 @@ def test_empty_tables(spark):
     assert topk.exact_top_k(v, v.limit(0)).collect() == []
     assert topk.exact_top_k(v.limit(0), v.limit(0)).collect() == []
     assert topk.exact_top_k(v, v).collect() == []
-
-
-def test_query_matches_duckdb(spark):
-    result = compare(spark, duck_connection(SF01), "op7_topk", QUERIES["op7_topk"], ORACLE_SQL["op7_topk"], SF01)
-    assert result["ok"] and result["exact"], result

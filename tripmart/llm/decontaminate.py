@@ -166,7 +166,7 @@ def search(index: DataFrame, phrases: _Phrases, slop: int = 0) -> DataFrame:
                     length = int(phrases.length[n])
                     rarest = np.argsort(sizes[n, :length], kind="stable")
                     lists = [postings[bounds[k]:bounds[k + 1]] for k in at[phrases.at[n, rarest]]]
-                    for allowed, into in ((slop, near), (0, items)):
+                    for allowed, into in ((slop, near), (0, items)) if slop else ((0, items),):
                         found = _starts(lists, phrases.offset[n, rarest], allowed)
                         doc = np.searchsorted(word_starts, found, "right") - 1
                         whole = found + length <= word_starts[np.minimum(doc + 1, n_docs)]
@@ -177,6 +177,7 @@ def search(index: DataFrame, phrases: _Phrases, slop: int = 0) -> DataFrame:
                             np.add.at(marks, found[whole] + length, -1)
                         if not len(found):
                             break  # no proximity match, hence no exact one
+                near = near if slop else items
                 hit = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
                 cut = np.searchsorted(hit, word_starts)
                 yield pa.RecordBatch.from_pydict({
@@ -229,10 +230,10 @@ def contamination(
     return union.groupBy("shard", "place", "doc_id", "n_words").agg(*merged).drop("shard", "place")
 
 
-def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 2) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` and ``n_near``, the items matched by proximity."""
-    return contamination(docs, benchmark, window, slop).select(
+def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` from the exact matches."""
+    return contamination(docs, benchmark, window, slop=0).select(
         "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("hits") > 0).alias("contaminated"), F.size("near").cast("long").alias("n_near"),
+        (F.size("hits") > 0).alias("contaminated"),
     )

@@ -67,6 +67,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB text of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), items AS (
+            SELECT CAST(item_id AS VARCHAR) AS item,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), starts AS (
+            SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM items WHERE len(words) > 0
+        ), windows AS (
+            SELECT DISTINCT item, words[pos:pos + 9] AS win FROM starts
+        ), placed AS (
+            SELECT rid, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+            FROM docs JOIN (SELECT DISTINCT len(win) AS size FROM windows) s ON len(words) >= size
+        ), matches AS (
+            SELECT rid, pos, size, item FROM placed JOIN windows ON words[pos:pos + size - 1] = win
+        ), hits AS (
+            SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + size)) AS place FROM matches) m GROUP BY rid
+        ), found AS (
+            SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT rid, item FROM matches) m GROUP BY rid
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (rid) LEFT JOIN found USING (rid)
+    """,
+    "op4_suffixes": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+        ), grams AS (
+            SELECT rid, doc_id, pos, substr(h, 2 * pos + 1, 100) AS gram
+            FROM (SELECT *, unnest(range(0, greatest(n - 49, 0))) AS pos FROM docs) g
+        ), firsts AS (
+            SELECT gram, min(doc_id) AS least FROM grams GROUP BY gram
+        ), gone AS (
+            SELECT DISTINCT rid, unnest(range(pos, pos + 50)) AS place FROM grams JOIN firsts USING (gram) WHERE least < doc_id
+        ), bytes AS (
+            SELECT d.rid, d.place, substr(h, 2 * d.place + 1, 2) AS byte, g.place IS NOT NULL AS removed
+            FROM (SELECT rid, h, unnest(range(0, n)) AS place FROM docs) d LEFT JOIN gone g ON g.rid = d.rid AND g.place = d.place
+        ), runs AS (
+            SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY rid ORDER BY place), false) AS begins FROM bytes
+        ), kept AS (
+            SELECT rid, count(*) FILTER (WHERE removed) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+                   string_agg(byte, '' ORDER BY place) FILTER (WHERE NOT removed) AS kept
+            FROM runs GROUP BY rid
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (rid)
+    """,
     "op7_topk": """
         WITH usable AS (
             SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
@@ -85,4 +139,25 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op9_jaccard": r"""
+        WITH RECURSIVE docs AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT rid, words[pos:pos + 3] AS shingle
+            FROM (SELECT rid, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS pos FROM docs WHERE len(words) > 0) s
+        ), sizes AS (
+            SELECT rid, count(*) AS n FROM shingles GROUP BY rid
+        ), common AS (
+            SELECT a.rid AS a, b.rid AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.rid <> b.rid GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM common c JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+        ), reached AS (
+            SELECT rid AS a, rid AS b FROM docs UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        )
+        SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+        FROM reached r JOIN docs d ON d.rid = r.a JOIN docs o ON o.rid = r.b LEFT JOIN sizes s ON s.rid = r.a
+        GROUP BY d.rid, d.doc_id
+    """,
 }
