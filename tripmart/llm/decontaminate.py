@@ -147,7 +147,8 @@ def search(index: DataFrame, phrases: _Phrases, slop: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):  # one shard at a time
+                row = batch.slice(k, 1).to_pylist()[0]
                 word_starts = np.frombuffer(row["word_starts"], "<i8")
                 terms = np.frombuffer(row["terms"], "<u8")
                 bounds = np.frombuffer(row["list_starts"], "<i8")

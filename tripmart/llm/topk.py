@@ -42,6 +42,8 @@ from tripmart.session import ensure_checkpoint_dir
 GROUP_ROWS = 8192
 BLOCK_ROWS = 2048
 LISTS = 4
+#: Distinct vector lengths up to which their few numbers each are broadcast.
+MAX_BROADCAST_WIDTHS = 10_000
 
 _CELL = "query_id long, query_key long, list int, vec_id long, score long"
 
@@ -115,10 +117,12 @@ def exact_top_k(
     )
     ensure_checkpoint_dir(vectors.sparkSession)
     plan = plan.checkpoint()
+    if plan.count() <= MAX_BROADCAST_WIDTHS:
+        plan = F.broadcast(plan)
     key = F.xxhash64("vec_id", "v")
 
     def dealt(side: DataFrame, own: str, other: str, seed: int) -> DataFrame:
-        mine = side.withColumn("width", F.size("v")).join(F.broadcast(plan), "width")
+        mine = side.withColumn("width", F.size("v")).join(plan, "width")
         return mine.select(
             "width", "vec_id", "v", (F.col("cutoff") if "cutoff" in side.columns else F.lit(None).cast("long")).alias("cutoff"),
             key.alias("key"), F.lit(seed == 2).alias("asks"),

@@ -23,7 +23,8 @@ smallest hashed ids, whose ids are broadcast; the chosen features are at most
 
 Defined results: a null or empty text has no features and gets the chain's base
 probabilities; without labels, or with one class only, probabilities are 0 or
-the class's share; conflicting labels of one document count as toxic; repeated
+the class's share; conflicting labels of one document count as toxic, and of
+documents that repeat a labelled id the smallest text is trained on; repeated
 documents are scored each for itself; an empty table gives an empty result;
 further columns are not read.
 """
@@ -146,7 +147,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFram
     """``doc_id, text, y`` of the bounded sample of labelled documents."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def choose_features(labelled: DataFrame, max_features: int = MAX_FEATURES) -> np.ndarray:
