@@ -3,9 +3,10 @@
 Each micro-batch (the files that arrived since the last one) goes through the
 same operators as the batch gate: dedup on the business keys within the
 batch, first-failure tagging.  Rows already stored by an earlier batch are
-then removed with a null-safe anti-join against the silver table, restricted
-to the month partitions the batch touches; a full-row duplicate shares its
-pickup time, hence its month, with the original.  What is left is appended,
+then removed with an anti-join against the silver table on a stored 64-bit
+hash of the business keys (and the keys themselves, null-safe), restricted to
+the month partitions and the pickup times the batch spans; a full-row
+duplicate shares its pickup time with the original.  What is left is appended,
 partitioned by month and gate status.
 
 Once per row: the file source records processed files in the checkpoint, and a
@@ -31,6 +32,7 @@ from tripmart.sources.ingest import path_exists, with_ingest_metadata
 MONTH_COL = "_month"
 STATUS_COL = "_gate_status"
 COPIES_COL = "_copies"
+KEY_HASH_COL = "_key_hash"
 
 
 def gate_batch(batch: DataFrame, rules: Sequence[G.Rule], pickup_col: str, keys: Sequence[str]) -> DataFrame:
@@ -40,16 +42,23 @@ def gate_batch(batch: DataFrame, rules: Sequence[G.Rule], pickup_col: str, keys:
     return checked.withColumns({
         MONTH_COL: X.month_label_or_unknown(pickup_col),
         STATUS_COL: F.when(reason.isNull(), F.lit("valid")).otherwise(F.lit("quarantine")),
+        KEY_HASH_COL: F.xxhash64(*keys),
     })
 
 
 def new_rows_only(checked: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``checked`` whose business keys are not stored yet (NULL keys compare equal)."""
-    cond = None
+    """Rows of ``checked`` whose business keys are not stored yet (NULL keys compare equal).
+
+    Both sides carry the hash of the keys (it is added where it is missing): it
+    deals and sorts the join as one long; the keys only settle what shares a
+    hash.
+    """
+    columns = checked.columns
+    checked, stored = (df if KEY_HASH_COL in df.columns else df.withColumn(KEY_HASH_COL, F.xxhash64(*keys)) for df in (checked, stored))
+    cond = checked[KEY_HASH_COL] == stored[KEY_HASH_COL]
     for k in keys:
-        c = checked[k].eqNullSafe(stored[k])
-        cond = c if cond is None else cond & c
-    return checked.join(stored, cond, "left_anti")
+        cond = cond & checked[k].eqNullSafe(stored[k])
+    return checked.join(stored, cond, "left_anti").select(columns)
 
 
 def make_batch_writer(
@@ -70,10 +79,12 @@ def make_batch_writer(
             # The months a batch touches are few (bounded by the calendar).  Only
             # their partition directories are listed and read, never the whole
             # table, which on a large table holds a great many files.
-            months = [r[MONTH_COL] for r in checked.select(MONTH_COL).distinct().collect()]
-            stored_dirs = [d for d in (f"{table_path}/{MONTH_COL}={m}" for m in months) if path_exists(spark, d)]
+            span = checked.agg(F.collect_set(MONTH_COL).alias("months"), F.min(pickup_col).alias("low"), F.max(pickup_col).alias("high")).first()
+            stored_dirs = [d for d in (f"{table_path}/{MONTH_COL}={m}" for m in span["months"]) if path_exists(spark, d)]
             if stored_dirs:
-                stored = spark.read.option("basePath", table_path).parquet(*stored_dirs).select(*business)
+                stored = spark.read.option("basePath", table_path).parquet(*stored_dirs).select(*business, KEY_HASH_COL)
+                pickup = F.col(pickup_col)
+                stored = stored.filter(pickup.isNull() | pickup.between(F.lit(span["low"]), F.lit(span["high"])))
                 out = new_rows_only(checked, stored, business)
             out.write.mode("append").partitionBy(MONTH_COL, STATUS_COL).parquet(table_path)
         finally:
