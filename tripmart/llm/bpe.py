@@ -46,7 +46,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 ROLLING_BYTES = 16
 #: One place in so many is a chunk border.
 MEAN_CHUNK = 512
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 16 << 20
 
 _AGREED = re.compile(r"(?<=\S)(?=[ \n])")
 
@@ -71,6 +71,11 @@ class ByteBpe:
         self.held = 0
         self.encoded_bytes = 0
 
+    def forget(self) -> None:
+        """Empty the chunk dictionary: what a task held does not stay in its worker."""
+        self.known.clear()
+        self.held = 0
+
     def plain(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian 32-bit integers, without any reuse."""
         self.encoded_bytes += len(text)
@@ -101,8 +106,7 @@ class ByteBpe:
             if last > first.start():
                 found = (text[:first.start()], self.plain(text[first.start():last]), text[last:])
         if self.held > CACHE_BYTES:
-            self.known.clear()
-            self.held = 0
+            self.forget()
         self.known[raw] = found
         self.held += 3 * len(raw) + 200
         return found
@@ -198,6 +202,7 @@ def encode(docs: DataFrame, path: str | None = None, column: str = "text") -> Da
         for batch in batches:
             ids = [np.frombuffer(x, "<u4").astype(np.int32) for _, _, x in _encoded(content, batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        _tokenizer(content).forget()
 
     return docs.select("doc_id", column).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>")
 
@@ -231,6 +236,7 @@ def round_trip_report(docs: DataFrame, path: str | None = None) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        _tokenizer(content).forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -51,8 +51,8 @@ from tripmart.llm.textarrays import LOWER, NON_SPACE_BYTES, mix, shingles, text_
 WIDTH = 4
 #: The threshold as a whole number of hundredths: comparisons stay exact.
 PERCENT = 85
-#: Counters that order shingles by frequency: 16 MB once reduced to a byte each.
-SKETCH = 1 << 24
+#: counters that order shingles by frequency: 8 MB once reduced to a byte each.
+SKETCH = 1 << 23
 SKETCH_SLICES = 64
 #: The largest boundary tried between small and large sets.
 MAX_SMALL = 20
@@ -101,15 +101,15 @@ def frequency_ranks(docs: DataFrame, width: int = WIDTH, sketch: int = SKETCH) -
     part = sketch // SKETCH_SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(sketch, np.uint32)
+        counts = np.zeros(sketch, np.uint16)
         by_size = np.zeros(MAX_SMALL + 2, np.int64)
         for batch in batches:
             for _, _, found, starts in document_sets(batch.column(0), width):
                 place, times = np.unique((found >> np.uint64(8)) % np.uint64(sketch), return_counts=True)
-                counts[place] += times.astype(np.uint32)
+                counts[place] = np.minimum(counts[place] + times, 65535).astype(np.uint16)
                 by_size += np.bincount(np.minimum(np.diff(starts), MAX_SMALL + 1), minlength=MAX_SMALL + 2)
         rows = [{"slice": -1, "counts": by_size.tobytes()}]
-        rows += [{"slice": k, "counts": zlib.compress(np.minimum(counts[k * part:(k + 1) * part], 65535).astype("<u2").tobytes(), 1)} for k in range(SKETCH_SLICES)]
+        rows += [{"slice": k, "counts": zlib.compress(counts[k * part:(k + 1) * part].tobytes(), 1)} for k in range(SKETCH_SLICES)]
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("slice", pa.int32()), ("counts", pa.binary())]))
 
     def add(group: pa.Table) -> pa.Table:

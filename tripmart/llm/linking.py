@@ -140,7 +140,8 @@ def cells(nodes: DataFrame, block_rows: int = BLOCK_ROWS, block_bytes: int = BLO
     sizes = nodes.groupBy("root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1")
     is_small = (F.col("n") <= block_rows) & (F.col("bytes") <= block_bytes)
     sizes = sizes.select("root", "n", "bytes", is_small.alias("small")).checkpoint()
-    packs = max(1, int((sizes.where("small").agg(F.sum("bytes")).first()[0] or 0) // block_bytes) + 1)
+    total = sizes.where("small").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
+    packs = max((total["bytes"] or 0) // block_bytes, (total["n"] or 0) // block_rows) + 1
     placed = nodes.join(sizes.select("root", "small"), "root")
     packed = placed.where("small").select(
         "node", "root", F.concat(F.lit("p"), F.pmod(F.xxhash64("root"), F.lit(packs)).cast("string")).alias("cell"), F.lit(0).alias("side")

@@ -237,7 +237,7 @@ class Batch:
 
 
 def window_hashes(data: np.ndarray, length: int, start: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The hash of each of ``counts`` windows from each start on, in that order; a megabyte of text at a time."""
+    """The hash of each of ``counts`` windows from each start on, in that order; a chunk of text at a time."""
     total = int(counts.sum())
     begin = np.repeat(start, counts) + np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
     order = np.argsort(begin, kind="stable")

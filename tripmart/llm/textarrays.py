@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled by one round of numpy calls; bounds a task's memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -84,17 +84,16 @@ class Hasher:
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A string or binary column as (bytes, offsets); a null is an empty text."""
+    """A string or binary column as (bytes, offsets), without copying the bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        column = column.fill_null("").cast(pa.large_string()).cast(pa.large_binary())
-    else:
-        column = column.fill_null(b"").cast(pa.large_binary())
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    if column.null_count:
+        column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
