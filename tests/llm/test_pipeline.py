@@ -76,3 +76,21 @@ def test_stages_take_empty_tables(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.collect() == []
+
+
+def test_near_copies_are_those_of_five_word_shingles_at_four_fifths(spark):
+    rng = random.Random(13)
+    plain = [prose(rng, 100, 10**6).split() for _ in range(6)]
+    rows = [(k, " ".join(words)) for k, words in enumerate(plain)]
+    for k, words in enumerate(plain):  # so many separate words replaced: 86/106 with two, 81/111 with three
+        changed = list(words)
+        for at in (20, 50, 80)[:2 + k % 2]:
+            changed[at] = "changed"
+        rows.append((10 + k, " ".join(changed)))
+    rows += [(20, "only four words here"), (21, "only four words here"), (22, None), (23, "")]
+    sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for i, t in rows}
+    copies = {j for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert copies == {10, 12, 14, 21}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    unique = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, None)
+    assert {r.doc_id for r in unique.collect()} == set(sets) - copies

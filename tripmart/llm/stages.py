@@ -27,8 +27,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one with the smallest id, of each group of near copies."""
-    return jaccard.drop_near_copies(docs)
+    """Keep one document, the one with the smallest id, of each group of near copies (5-word shingles, Jaccard 0.8)."""
+    return jaccard.drop_near_copies(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
