@@ -94,3 +94,13 @@ def test_near_copies_are_those_of_five_word_shingles_at_four_fifths(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     unique = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, None)
     assert {r.doc_id for r in unique.collect()} == set(sets) - copies
+
+
+def test_decontamination_drops_proximity_matches_too(spark, folder):
+    rng = random.Random(17)
+    words = table(spark, folder, "benchmark").where("item_id = 1").first().text.split()
+    passage = " ".join(words[:6] + ["gap"] + words[6:13])  # no ten words of the item in a row
+    rows = [(1, f"{prose(rng, 15)} {passage} {prose(rng, 15)}"), (2, " ".join(words[:12])), (3, prose(rng, 40)), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, folder)
+    assert {r.doc_id for r in clean.collect()} == {3, 4}

@@ -10,9 +10,10 @@ A search looks up the terms of a phrase in every shard.  A phrase of which a
 term is missing is out at once.  Otherwise the terms are taken from the rarest
 in that shard on: the rarest list, shifted back by the term's place in the
 phrase, gives the possible starts, and each further list, shifted likewise,
-thins them out.  With ``slop`` 0 what remains are exact phrase matches; with a
-larger ``slop`` every term may stand that many words from its place, which is
-a proximity match.
+thins them out.  With ``slop`` 0 what remains are exact phrase matches.  A
+proximity match needs a start in one document, from which every term stands at
+most ``slop`` words from its place; the start may lie up to ``slop`` words
+outside the document, and which term is looked up first makes no difference.
 
 Terms are 64-bit hashes of the lower-cased words.
 
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.tables import stored
@@ -125,8 +126,10 @@ class _Phrases:
 
 
 def _starts(lists: list[np.ndarray], offsets: np.ndarray, slop: int) -> np.ndarray:
-    """Start places common to the shifted lists, which come rarest first."""
+    """Start places from which each list has a posting at most ``slop`` from its offset; lists come rarest first."""
     found = lists[0].astype(np.int64) - offsets[0]
+    if slop:
+        found = np.unique(found[:, None] + np.arange(-slop, slop + 1))
     for postings, offset in zip(lists[1:], offsets[1:], strict=True):
         if not len(found):
             break
@@ -144,6 +147,8 @@ def search(index: DataFrame, phrases: _Phrases, slop: int = 0) -> DataFrame:
     matched exactly, ``near`` those matched with every word at most ``slop``
     places from where the phrase has it (and all inside the document).
     """
+    # documents set apart by this much have no proximity match across their border
+    gap = phrases.at.shape[1] + 2 * slop + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,6 +159,10 @@ def search(index: DataFrame, phrases: _Phrases, slop: int = 0) -> DataFrame:
                 bounds = np.frombuffer(row["list_starts"], "<i8")
                 postings = np.frombuffer(row["postings"], "<i4")
                 n_docs = len(row["doc_ids"])
+                if slop:
+                    of_posting = np.searchsorted(word_starts, postings, "right")
+                    apart = postings + of_posting * gap
+                    apart_starts = word_starts[:-1] + np.arange(1, n_docs + 1) * gap - slop
                 at = np.searchsorted(terms, phrases.terms)
                 known = at < len(terms)
                 known[known] = terms[at[known]] == phrases.terms[known]
@@ -166,18 +175,20 @@ def search(index: DataFrame, phrases: _Phrases, slop: int = 0) -> DataFrame:
                 for n in np.flatnonzero(sizes.min(axis=1, initial=1 << 60) > 0) if len(sizes) else ():
                     length = int(phrases.length[n])
                     rarest = np.argsort(sizes[n, :length], kind="stable")
-                    lists = [postings[bounds[k]:bounds[k + 1]] for k in at[phrases.at[n, rarest]]]
-                    for allowed, into in ((slop, near), (0, items)) if slop else ((0, items),):
-                        found = _starts(lists, phrases.offset[n, rarest], allowed)
-                        doc = np.searchsorted(word_starts, found, "right") - 1
-                        whole = found + length <= word_starts[np.minimum(doc + 1, n_docs)]
-                        for d in np.unique(doc[whole]):
-                            into.setdefault(int(d), set()).update(phrases.items[n])
-                        if not allowed:
-                            np.add.at(marks, found[whole], 1)
-                            np.add.at(marks, found[whole] + length, -1)
+                    bounded = [slice(bounds[k], bounds[k + 1]) for k in at[phrases.at[n, rarest]]]
+                    if slop:
+                        found = _starts([apart[b] for b in bounded], phrases.offset[n, rarest], slop)
                         if not len(found):
-                            break  # no proximity match, hence no exact one
+                            continue  # no proximity match, hence no exact one
+                        for d in np.unique(np.searchsorted(apart_starts, found, "right") - 1):
+                            near.setdefault(int(d), set()).update(phrases.items[n])
+                    found = _starts([postings[b] for b in bounded], phrases.offset[n, rarest], 0)
+                    doc = np.searchsorted(word_starts, found, "right") - 1
+                    whole = found + length <= word_starts[np.minimum(doc + 1, n_docs)]
+                    for d in np.unique(doc[whole]):
+                        items.setdefault(int(d), set()).update(phrases.items[n])
+                    np.add.at(marks, found[whole], 1)
+                    np.add.at(marks, found[whole] + length, -1)
                 near = near if slop else items
                 hit = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
                 cut = np.searchsorted(hit, word_starts)
@@ -238,3 +249,15 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int =
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+def proximity_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 2) -> DataFrame:
+    """The columns of ``decontamination_report`` from the exact matches, and ``n_near, near_sha256`` of the items matched by proximity."""
+    def digest(items: str) -> Column:
+        return F.sha2(F.array_join(F.array_sort(items), ",").cast("binary"), 256)
+
+    return contamination(docs, benchmark, window, slop).select(
+        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        digest("items").alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"), digest("near").alias("near_sha256"),
+    )

@@ -19,6 +19,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.proximity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,6 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
+#: Further queries of an operator: its first one's columns are fixed by its SQL, these have more.
+MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_proximity": op2_proximity}
+
 #: DuckDB text of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": r"""

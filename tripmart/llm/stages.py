@@ -32,10 +32,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop every document that holds a passage of a benchmark item."""
+    """Drop every document that holds a passage of a benchmark item, exactly or by proximity."""
     keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
     found = decontaminate.contamination(keyed.select(F.col("_row_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("_row_key")).distinct()
+    hit = found.where((F.size("hits") > 0) | (F.size("near") > 0)).select(F.col("doc_id").alias("_row_key")).distinct()
     return keyed.join(hit, "_row_key", "left_anti").select(docs.columns)
 
 
