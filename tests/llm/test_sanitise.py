@@ -74,3 +74,17 @@ def test_words_that_name_an_entity_in_several_contexts_are_reported(spark):
         assert "Zorro" not in sanitise.redact(text, out[k].spans) and "bob" not in sanitise.redact(text, out[k].spans)
     assert all(out[10 + k].n_terms == 0 for k in range(80))
     assert all(out[200 + k].n_terms == 0 for k in range(9))
+
+
+def test_an_entity_of_two_documents_or_one_is_judged(spark):
+    rng = random.Random(7)
+    filler = [f"f{k}" for k in range(60)]
+    words = lambda n: " ".join(rng.choices(filler, k=n))
+    rows = [(k, f"Zorro bob@x.org {words(20)}") for k in range(2)]
+    rows += [(5, f"{words(20)} sue@y.org Silver {words(20)} elsewhere")]  # what one text holds counts beside the mention only
+    rows += [(10 + k, words(40)) for k in range(600)]
+    out = {r.doc_id: r for r in sanitise.sanitise_report(frame(spark, rows)).collect()}
+    assert all(":0:5" in out[k].spans and out[k].n_terms == 1 for k in range(2))
+    start = rows[2][1].index("Silver")
+    assert out[5].spans.endswith(f"generalise:{start}:{start + 6}") and out[5].n_terms == 1
+    assert all(out[10 + k].n_terms == 0 for k in range(600))

@@ -3,22 +3,27 @@
 Base spans are e-mail addresses, IP addresses, card and phone numbers found by
 pattern.  Removing them is not enough where the words next to an address or
 number name its owner wherever it is mentioned.  So every distinct value (an
-entity) is measured against the words near its mentions, over the whole
-corpus: with p the share of documents, a term t reveals an entity e by
+entity) is measured against the words of the documents that mention it, over the
+whole corpus: with p the share of documents, a term t reveals an entity e by
 
     PMI(e, t) = log(p(e, t) / (p(e) p(t)))
 
 out of the IC(e) = -log p(e) there is to learn.  A term that reveals
-``REMOVE_SHARE`` of it is to be removed near that entity, one above
-``GENERALISE_SHARE`` to be replaced by something more general; both are
-reported as spans of their own.  Copies of one text prove nothing, so a term
-counts only if it stands near the entity in ``MIN_CONTEXTS`` different
-contexts, a context being the words around a mention.
-
-Terms are 64-bit hashes of the lower-cased words within ``WINDOW`` words of a
-mention.  How many documents hold a term is counted over all documents; a
-fixed-size bitmap of the terms in question, which is what is broadcast, keeps
-that count small, and an exact join follows it.
+``REMOVE_SHARE`` of it is to be removed near that entity, one
+above ``GENERALISE_SHARE`` to be replaced by something more general; both are
+reported as spans of their own.
+
+Every entity and every such term is judged, by an estimate that its support
+corrects: with s contexts that hold both, PMI is lowered by 2 log(1 + ``DOUBT``
+/ s), once for each of the two shares it rests on.  Copies of one text prove
+nothing, so contexts count, a context being the words within ``WINDOW`` words
+of a document's mention.  What a single context holds says nothing but that it
+was written once, so there only the terms within that window are judged.
+
+Terms are 64-bit hashes of the lower-cased words outside base spans.  Entities
+of a single context need no second scan; the documents of the others are read
+again for their terms, found by a fixed-size bitmap, which is what is
+broadcast, and an exact join that follows it.  So are the documents that hold a term.
 
 Defined results: a null or empty text has no spans; repeated rows are reported
 each for itself but count as documents each; null ids are kept; an empty table
@@ -44,7 +49,8 @@ from tripmart.llm.textarrays import BYTE_VALUES, LOWER, WORD_BYTES, mix, text_ch
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 8
-MIN_CONTEXTS = 3
+#: The squared one-sided 90 percent quantile of the normal distribution, as in Wilson's bound for s of s.
+DOUBT = 1.64
 REMOVE_SHARE = 0.8
 GENERALISE_SHARE = 0.6
 
@@ -115,35 +121,48 @@ def _hash_terms(words: list[str]) -> np.ndarray:
 _MENTION = "struct<entity:string,context:bigint,terms:array<struct<term:bigint,start:int,stop:int>>>"
 _FOUND = (
     "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    f"mentions array<{_MENTION}>"
+    f"mentions array<{_MENTION}>, row_key long"
 )
 
 
-def _mentions(text: str, spans: dict[str, list[tuple[int, int]]], window: int) -> list[dict]:
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts = [s for s, _ in words]
+def _visible(words: list[tuple[int, int]], spans: dict[str, list[tuple[int, int]]]) -> np.ndarray:
+    """Whether each word lies outside all base spans, of which there is one at least: inside they are hidden anyway."""
     hidden = sorted(x for found in spans.values() for x in found)
     hidden_starts = np.array([s for s, _ in hidden])
     hidden_ends = np.maximum.accumulate([e for _, e in hidden])
+    starts, ends = np.array(words, np.int64).reshape(-1, 2).T
+    k = np.searchsorted(hidden_starts, ends) - 1
+    return (k < 0) | (hidden_ends[k] <= starts)
+
+
+def _mentions(text: str, spans: dict[str, list[tuple[int, int]]], window: int) -> list[dict]:
+    words = [m.span() for m in _WORD.finditer(text)]
+    starts = [s for s, _ in words]
+    visible = _visible(words, spans)
     out = []
     for kind in KINDS:
         for start, end in spans[kind]:
             first, last = np.searchsorted(starts, [start, end])
-            near = []
-            for s, e in [*words[max(0, first - window):first], *words[last:last + window]]:
-                k = int(np.searchsorted(hidden_starts, e)) - 1  # words of other base spans are hidden anyway
-                if k < 0 or hidden_ends[k] <= s:
-                    near.append((s, e))
+            near = [words[k] for k in (*range(max(0, first - window), first), *range(last, min(last + window, len(words)))) if visible[k]]
             if near:
                 terms = _hash_terms([text[s:e] for s, e in near])
                 context = int(mix(terms * BYTE_VALUES[:len(terms)]).sum(dtype=np.uint64).view(np.int64))
-                out.append({
-                    "entity": _value(kind, text[start:end]), "context": context,
-                    "terms": [{"term": int(t), "start": s, "stop": e} for t, (s, e) in zip(terms.view(np.int64).tolist(), near, strict=True)],
-                })
+            else:  # no words beside it: the whole text is the context
+                terms = np.zeros(0, np.uint64)
+                context = int.from_bytes(hashlib.sha256(text.encode()).digest()[:8], "little", signed=True)
+            out.append({
+                "entity": _value(kind, text[start:end]), "context": context,
+                "terms": [{"term": int(t), "start": s, "stop": e} for t, (s, e) in zip(terms.view(np.int64).tolist(), near, strict=True)],
+            })
     return out
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, row_key``: rows alike in id and text have one key, and the same spans."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    return docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+
+
 def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Base spans of every document and the words near each."""
 
@@ -161,16 +180,16 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             arrays = [pa.array(c, schema.field(k + 2).type) for k, c in enumerate(columns)]
             rows = pa.array(np.arange(row, row + batch.num_rows))
             row += batch.num_rows
-            yield pa.RecordBatch.from_arrays([rows, batch.column(0), *arrays], names=schema.names)
+            yield pa.RecordBatch.from_arrays([rows, batch.column(0), *arrays, batch.column(2)], names=schema.names)
 
     schema = _arrow_schema()
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _FOUND)
+    return _keyed(docs).mapInArrow(run, _FOUND)
 
 
 def _arrow_schema() -> pa.Schema:
     term = pa.struct([("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
     mention = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("terms", pa.list_(term))])
-    return pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base", pa.string()), ("mentions", pa.list_(mention))])
+    return pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base", pa.string()), ("mentions", pa.list_(mention)), ("row_key", pa.int64())])
 
 
 def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -194,24 +213,62 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counts.join(terms.select("term").distinct(), "term", "left_semi")
 
 
+def document_terms(docs: DataFrame, rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """``row_key, words``: the words outside base spans, each with its ``term, start, stop``, of rows that may be among ``rows(row_key)``.
+
+    With ``terms(term)`` only words that may be among them; without, each term once and without its place.
+    """
+    row_marks, term_marks = bitmap(rows, "row_key"), bitmap(terms, "term") if terms is not None else None
+    kind = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))
+
+    def words_of(text: str) -> list[dict]:
+        words, spans = [m.span() for m in _WORD.finditer(text)], base_spans(text)
+        if any(spans.values()):
+            visible = _visible(words, spans)
+            words = [w for w, seen in zip(words, visible.tolist(), strict=True) if seen]
+        if not words:
+            return []
+        found = _hash_terms([text[s:e] for s, e in words])
+        if term_marks is None:
+            return [{"term": t} for t in np.unique(found.view(np.int64)).tolist()]
+        wanted = np.flatnonzero(asked(term_marks, found))
+        return [{"term": int(found[k].view(np.int64)), "start": words[k][0], "stop": words[k][1]} for k in wanted]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = np.flatnonzero(asked(row_marks, np.asarray(batch.column(2)).view(np.uint64)))
+            for lo in range(0, len(wanted), 256):
+                some = pa.array(wanted[lo:lo + 256])
+                words = pa.array([words_of(t.as_py() or "") for t in batch.column(1).take(some)], kind)
+                yield pa.RecordBatch.from_arrays([batch.column(2).take(some), words], ["row_key", "words"])
+
+    return _keyed(docs).mapInArrow(run, "row_key long, words array<struct<term:bigint,start:int,stop:int>>")
+
+
 def disclosing_terms(
-    docs: DataFrame, found: DataFrame, min_contexts: int = MIN_CONTEXTS,
-    remove_share: float = REMOVE_SHARE, generalise_share: float = GENERALISE_SHARE,
+    docs: DataFrame, found: DataFrame, remove_share: float = REMOVE_SHARE, generalise_share: float = GENERALISE_SHARE, doubt: float = DOUBT,
 ) -> DataFrame:
     """``entity, term, action``: the terms that give an entity away, and whether to remove or generalise them."""
-    mentions = found.select(F.col("row").alias("doc"), F.explode("mentions").alias("m"))
-    mentions = mentions.select("doc", "m.entity", "m.context", F.col("m.terms.term").alias("terms"))
-    entities = mentions.groupBy("entity").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("n_entity")
-    ).where(F.col("contexts") >= min_contexts)
-    near = mentions.join(entities, "entity").select("entity", "n_entity", "doc", "context", F.explode(F.array_distinct("terms")).alias("term"))
-    pairs = near.groupBy("entity", "n_entity", "term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("n_both")
-    ).where(F.col("contexts") >= min_contexts)
-    pairs = stored(pairs, "near_terms")
+    mentions = found.select("row", "row_key", F.explode("mentions").alias("m")).select("row", "row_key", "m.entity", "m.context", F.col("m.terms.term").alias("terms"))
+    # a document's context is one of its mentions': copies have the same
+    holders = mentions.groupBy("entity", "row", "row_key").agg(F.min("context").alias("context"))
+    entities = stored(holders.groupBy("entity").agg(F.count_distinct("context").alias("contexts"), F.count("*").alias("n_entity")), "entities")
+
+    several = holders.join(entities.where("contexts > 1"), "entity").select("row_key", "entity", "context").distinct()
+    several = stored(several, "entity_rows")
+    whole = document_terms(docs, several).join(several.groupBy("row_key").agg(F.collect_list(F.struct("entity", "context")).alias("e")), "row_key")
+    whole = whole.select(F.explode("e").alias("e"), "words.term").select("e.*", F.explode("term").alias("term"))
+    whole = whole.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
+    whole = whole.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support")).where("support > 1")
+
+    near = mentions.select("row", "entity", F.explode("terms").alias("term")).distinct()
+    near = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.lit(1).cast("long").alias("support"))
+    # the whole documents' figures, where there are any, are the larger ones
+    pairs = whole.unionByName(near).groupBy("entity", "term").agg(F.max("n_both").alias("n_both"), F.max("support").alias("support"))
+    pairs = stored(pairs.join(entities, "entity"), "entity_terms")
     total = found.count()
     counted = pairs.join(document_counts(docs, pairs), "term")
-    pmi = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n")))
+    pmi = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n"))) - 2 * F.log1p(F.lit(doubt) / F.col("support"))
     ic = F.log(F.lit(float(total)) / F.col("n_entity"))
     share = F.when(ic > 0, pmi / ic)
     return counted.select(
@@ -222,7 +279,7 @@ def disclosing_terms(
 def sanitise_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` and ``n_terms``, the disclosing terms."""
     found = stored(find(docs, window), "personal_data")
-    terms = disclosing_terms(docs, found)
+    terms = stored(disclosing_terms(docs, found), "disclosing_terms")
     near = found.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", F.explode("m.terms").alias("t"))
     marked = near.select("row", "entity", "t.*").join(terms, ["entity", "term"])
     # one action a span: the stronger of what its entities ask for
