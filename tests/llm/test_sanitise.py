@@ -76,11 +76,25 @@ def test_words_that_name_an_entity_in_several_contexts_are_reported(spark):
     assert all(out[200 + k].n_terms == 0 for k in range(9))
 
 
+def test_a_revealing_term_far_from_the_mention_is_found_and_marked_everywhere(spark):
+    rng = random.Random(6)
+    filler = [f"f{k}" for k in range(60)]
+    words = lambda n: " ".join(rng.choices(filler, k=n))
+    rows = [(k, f"Zorro {words(30)} bob@x.org {words(30)} Zorro {words(20)} zorro") for k in range(6)]
+    rows += [(10 + k, words(30)) for k in range(80)]
+    out = {r.doc_id: r for r in sanitise.sanitise_report(frame(spark, rows)).collect()}
+    for k in range(6):
+        text = dict(rows)[k]
+        assert all(f"remove:{m.start()}:{m.end()}" in out[k].spans for m in re.finditer("zorro", text.lower()))
+        assert out[k].n_terms == 3 and "zorro" not in sanitise.redact(text, out[k].spans).lower()
+    assert all(out[10 + k].n_terms == 0 for k in range(80))
+
+
 def test_an_entity_of_two_documents_or_one_is_judged(spark):
     rng = random.Random(7)
     filler = [f"f{k}" for k in range(60)]
     words = lambda n: " ".join(rng.choices(filler, k=n))
-    rows = [(k, f"Zorro bob@x.org {words(20)}") for k in range(2)]
+    rows = [(k, f"Zorro {words(20)} bob@x.org {words(20)}") for k in range(2)]
     rows += [(5, f"{words(20)} sue@y.org Silver {words(20)} elsewhere")]  # what one text holds counts beside the mention only
     rows += [(10 + k, words(40)) for k in range(600)]
     out = {r.doc_id: r for r in sanitise.sanitise_report(frame(spark, rows)).collect()}

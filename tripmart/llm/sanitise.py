@@ -9,9 +9,9 @@ whole corpus: with p the share of documents, a term t reveals an entity e by
     PMI(e, t) = log(p(e, t) / (p(e) p(t)))
 
 out of the IC(e) = -log p(e) there is to learn.  A term that reveals
-``REMOVE_SHARE`` of it is to be removed near that entity, one
+``REMOVE_SHARE`` of it is to be removed from the documents of that entity, one
 above ``GENERALISE_SHARE`` to be replaced by something more general; both are
-reported as spans of their own.
+reported as spans of their own, wherever the term stands in those documents.
 
 Every entity and every such term is judged, by an estimate that its support
 corrects: with s contexts that hold both, PMI is lowered by 2 log(1 + ``DOUBT``
@@ -23,7 +23,8 @@ was written once, so there only the terms within that window are judged.
 Terms are 64-bit hashes of the lower-cased words outside base spans.  Entities
 of a single context need no second scan; the documents of the others are read
 again for their terms, found by a fixed-size bitmap, which is what is
-broadcast, and an exact join that follows it.  So are the documents that hold a term.
+broadcast, and an exact join that follows it.  So are the documents that hold a
+term, and those in which one has to go.
 
 Defined results: a null or empty text has no spans; repeated rows are reported
 each for itself but count as documents each; null ids are kept; an empty table
@@ -280,18 +281,19 @@ def sanitise_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` and ``n_terms``, the disclosing terms."""
     found = stored(find(docs, window), "personal_data")
     terms = stored(disclosing_terms(docs, found), "disclosing_terms")
-    near = found.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", F.explode("m.terms").alias("t"))
-    marked = near.select("row", "entity", "t.*").join(terms, ["entity", "term"])
-    # one action a span: the stronger of what its entities ask for
-    spans = marked.groupBy("row", "start", "stop").agg(F.max("action").alias("action"))
-    per_row = spans.groupBy("row").agg(
+    held = found.select("row_key", F.explode("mentions").alias("m")).select("row_key", "m.entity").distinct()
+    # one action a term of a row: the stronger of what its entities ask for
+    asked_for = stored(held.join(terms, "entity").groupBy("row_key", "term").agg(F.max("action").alias("action")), "terms_of_rows")
+    words = document_terms(docs, asked_for, terms).select("row_key", F.explode("words").alias("w")).select("row_key", "w.*").distinct()
+    spans = words.join(asked_for, ["row_key", "term"])
+    per_row = spans.groupBy("row_key").agg(
         F.count("*").alias("n_terms"),
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("action", "start", "stop"))),
             lambda s: F.concat_ws(":", s["action"], s["start"], s["stop"]),
         ), ",").alias("extra"),
     )
-    return found.drop("mentions").join(per_row, "row", "left").select(
+    return found.drop("mentions").join(per_row, "row_key", "left").select(
         "doc_id", *(f"n_{k}" for k in KINDS), F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
         F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "extra").alias("spans"), F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
     )
