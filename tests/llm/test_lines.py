@@ -114,3 +114,11 @@ def test_lines_are_split_and_trimmed():
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     got = [(int(r), int(n), data[s:e].tobytes()) for s, e, r, n in zip(*lines.split_lines(data, offsets), strict=True)]
     assert got == [(r, n, x.strip(b" \t\r")) for r, t in enumerate(raw) for n, x in enumerate(t.split(b"\n"))]
+
+
+def test_short_lines_that_repeat_are_dropped(spark):
+    rows = [(1, "Read more\nfirst text\n\nx"), (2, "second text\n Read more\r\n\n\nx"), (3, "Read more"), (4, "Read mor\n"), (5, "é\n\u00a0\né")]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in lines.line_report(frame(spark, rows)).collect()}
+    kept = {1: rows[0][1], 2: "second text\n\n", 3: "", 4: rows[3][1], 5: "é\n\u00a0"}
+    dropped = {1: 0, 2: 2, 3: 1, 4: 0, 5: 1}
+    assert got == {i: (t.count("\n") + 1, dropped[i], hashlib.sha256(kept[i].encode()).hexdigest()) for i, t in rows}

@@ -1,7 +1,7 @@
 """Line dedup by an edit-distance join on partitioned segments.
 
 A line is trimmed of spaces, tabs and carriage returns.  Lines below
-``LEAST_BYTES`` are never dropped.  From ``NEAR_BYTES`` on, lines within an edit
+``LEAST_BYTES``, the empty ones, are never dropped.  From ``NEAR_BYTES`` on, lines within an edit
 distance of ``EDITS`` bytes are linked; shorter ones only when equal.  Linked
 lines form classes, and of a class the first line stays, in the order of
 (doc_id, line number); the others are dropped from their texts.
@@ -44,7 +44,7 @@ from tripmart.llm.tables import stored
 from tripmart.llm.textarrays import Hasher, mix, text_chunks
 
 EDITS = 2
-LEAST_BYTES = 16
+LEAST_BYTES = 1
 NEAR_BYTES = 40
 
 _BLANK = np.zeros(256, bool)
