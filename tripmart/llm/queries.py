@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, html_blocks, jaccard, lines, quality, sanitise, suffixes, topk, toxicity
+from tripmart.llm import (
+    bpe, decontaminate, hard_negatives, html_blocks, jaccard, lines, packing, periodic_runs, quality, sanitise, suffixes, topk, toxicity,
+)
 from tripmart.llm.tables import table
 
 
@@ -56,6 +58,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.labelled_vectors(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -67,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_runs": op11_runs,
+    "op12_packing": op12_packing,
+    "op13_negatives": op13_negatives,
 }
 
 #: Further queries of an operator: its first one's columns are fixed by its SQL, these have more.
@@ -167,4 +186,68 @@ ORACLE_SQL: dict[str, str] = {
         FROM reached r JOIN docs d ON d.rid = r.a JOIN docs o ON o.rid = r.b LEFT JOIN sizes s ON s.rid = r.a
         GROUP BY d.rid, d.doc_id
     """,
+    "op11_runs": r"""
+        WITH RECURSIVE ids AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS given FROM documents
+        ), bits(b, c, k) AS (
+            SELECT b, b, 0 FROM range(256) t(b)
+            UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8
+        ), crc_table AS (
+            SELECT list(c ORDER BY b) AS crc FROM bits WHERE k = 8
+        ), hashed AS (
+            SELECT rid, doc_id, given, len(given) AS n,
+                   xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                   lambda h, x: xor(h // 256, crc[xor(h, x) % 256 + 1])), 4294967295) AS h
+            FROM ids, crc_table
+        ), planned AS (
+            SELECT *, h % 10 = 0 AND n > 0 AS planted, h // 10 % n AS a, 1 + (n - h // 10 % n) // (3 + h // 10 % 8) AS p FROM hashed
+        ), docs AS (
+            SELECT rid, doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: given[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1])
+                                        ELSE given END AS words
+            FROM planned
+        ), placed AS (
+            SELECT rid, unnest(words) AS word, unnest(range(n)) AS i FROM docs
+        ), equal AS (
+            SELECT x.rid, y.i - x.i AS q, x.i FROM placed x JOIN placed y ON x.rid = y.rid AND x.word = y.word AND x.i < y.i
+        ), grouped AS (
+            SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM equal
+        ), stretches AS (
+            SELECT rid, min(i) AS s, count(*) + q AS len, q FROM grouped GROUP BY rid, q, island HAVING count(*) + q >= greatest(12, 2 * q)
+        ), runs AS (
+            SELECT rid, s, len, min(q) AS q FROM stretches GROUP BY rid, s, len
+        ), listed AS (
+            SELECT rid, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS names FROM runs GROUP BY rid
+        ), best AS (
+            SELECT rid, s, len, q FROM runs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY len DESC, s, q) = 1
+        ), gone AS (
+            SELECT DISTINCT rid, unnest(range(s + q, s + len)) AS i FROM runs
+        ), kept AS (
+            SELECT p.rid, string_agg(word, ' ' ORDER BY p.i) AS text FROM placed p ANTI JOIN gone g ON p.rid = g.rid AND p.i = g.i GROUP BY p.rid
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(len AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+               CAST(1000 * len // q AS BIGINT) AS exponent_milli, sha256(coalesce(names, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+        FROM docs LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
+    """,
+    "op13_negatives": """
+        WITH usable AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+            FROM usable a JOIN usable c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+            WHERE a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), mined AS (
+            SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+            FROM positives p JOIN scored s USING (anchor_id)
+            WHERE s.label <> p.anchor_label AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 3
+    """,
 }
