@@ -5,10 +5,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tests.llm.helpers import EXTRA, frame, mixed_rows
 from tokenizers import Tokenizer
 from tripmart.llm import packing
+from tripmart.llm.textarrays import flat
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,14 @@ def library():
 
 
 def own():
-    return packing.WordTokens(packing._content(None))
+    """A function from texts to their ids by the operator's own way."""
+    tokens = packing.WordTokens(packing._content(None))
+
+    def encode(texts):
+        ids, bounds = tokens.encode(*flat(pa.array(texts, pa.string())))
+        return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+
+    return encode
 
 
 def best_fill(lengths, room):
@@ -75,18 +84,18 @@ def test_ids_equal_the_library(library):
         texts.append(" ".join(f"a{c}b {c} {c}. E{c}'s" for c in points[k:k + 24]))
     alphabet = ["a", "É", "é", "İ", "Σ", "ß", " ", "\n", " ", "\u0085", "\x1c", "'s", "'LL", ".", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "7", "日本", "¼", "%%%", "‍"]
     texts += ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(3000)]
-    for text, ids in zip(texts, tokens.encode([t.encode() for t in texts]), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == library(text), repr(text)
+    for text, ids in zip(texts, tokens(texts), strict=True):
+        assert ids == library(text), repr(text)
 
 
 def test_a_full_dictionary_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_BYTES", 3000)
+    monkeypatch.setattr(packing, "DICTIONARY_WORDS", 50)
     tokens = own()
     rng = random.Random(3)
     for _ in range(60):
         texts = [" ".join(f"word{rng.randrange(60)}{rng.choice(['', ',', '!'])}" for _ in range(20)) for _ in range(3)]
-        for text, ids in zip(texts, tokens.encode([t.encode() for t in texts]), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == library(text)
+        assert tokens(texts) == [library(t) for t in texts]
+    assert tokens([]) == [] and tokens(["", " \n"]) == [[], []]
 
 
 def check(rows, out, library, capacity):

@@ -20,7 +20,8 @@ sequences as the method finds:
 
 Tokens: white space never joins two pieces of the tokenizer's splitting rule,
 so the ids of a text are those of its words one after another, and a task
-encodes a repeated word once (as long as it is in use, ``CACHE_BYTES``).
+encodes a repeated word once (``DICTIONARY_WORDS``).  Words are compared by
+64-bit hashes.
 
 Defined results: a null or empty text is its end id alone, a piece of length
 1; repeated rows and null ids are packed each for themselves; ties of equal
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +44,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripmart.llm.tables import stored
-from tripmart.llm.textarrays import text_chunks
+from tripmart.llm.textarrays import NON_SPACE_BYTES, Hasher, chunks, runs, text_chunks
 
 CAPACITY = 4096
 #: The id that ends every document.
 END_ID = 1
-#: Of one of the two dictionaries of a task.
-CACHE_BYTES = 48 << 20
+#: Bytes of text whose words are looked up together.
+CHUNK_BYTES = 8 << 20
+#: Words from which on a task's dictionary is emptied, some 50 bytes each.
+DICTIONARY_WORDS = 2_000_000
 
 Pattern = tuple[int, list[tuple[int, int]]]
 
@@ -129,8 +133,8 @@ class Plan:
 class WordTokens:
     """Ids of texts by a tokenizer whose pieces never span white space, with a dictionary of words.
 
-    Words new to the dictionary are encoded in one call a chunk of texts.  Once
-    it is full it becomes the older one, and what is still in use moves on from there.
+    The dictionary is a table sorted by the words' hashes; the words of a chunk
+    of texts are looked up, and their ids gathered, by array operations.
     """
 
     def __init__(self, content: str) -> None:
@@ -138,60 +142,85 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.held = 0
+        self.forget()
 
     def forget(self) -> None:
         """Empty the dictionary: what a task held does not stay in its worker."""
-        self.known, self.older, self.held = {}, {}, 0
-
-    def _keep(self, word: bytes, ids: bytes) -> None:
-        self.known[word] = ids
-        self.held += 200 + len(word) + len(ids)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Put all of ``words`` into the dictionary."""
-        if self.held > CACHE_BYTES:
-            self.known, self.older, self.held = {}, self.known, 0
-        split, atoms = {}, set()
+        self.known = np.zeros(0, np.uint64)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _tokenise(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each of these."""
+        mixed, ids = [], {}
+        tokenize = self.tokenizer.model.tokenize
         for word in words:
-            if word in self.known:
-                continue
-            if word in self.older:
-                self._keep(word, self.older[word])
-                continue
-            # a piece of the splitting rule ends between a letter or digit and the signs at a word's end
-            stem = word.rstrip(_SIGNS)
-            if stem and len(stem) < len(word) and stem[-1] in _ALNUM and b"<|" not in word:
-                split[word] = (stem, word[len(stem):])
-                atoms.update(split[word])
+            text = word.decode()
+            if not text.isascii():
+                text = text.lower()
+            # lower-case Latin letters alone are one piece, and normalised as they are
+            if text.isalpha() and (text.islower() if text.isascii() else max(text) < _NOT_LATIN):
+                shown = text if text.isascii() else text.encode().decode("latin-1").translate(_SHOWN)
+                ids[word] = array("I", [token.id for token in tokenize(shown)]).tobytes()
             else:
-                atoms.add(word)
-        mixed = []
-        for atom in atoms:
-            if atom in self.known:
-                continue
-            if atom in self.older:
-                self._keep(atom, self.older[atom])
-                continue
-            text = atom.decode().lower()
-            # Latin letters alone are one piece, and normalised as they are
-            if text.isalpha() and max(text) < _NOT_LATIN:
-                found = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(_SHOWN))
-                self._keep(atom, np.array([token.id for token in found], "<u4").tobytes())
-            else:
-                mixed.append(atom)
-        for atom, found in zip(mixed, self.tokenizer.encode_batch_fast([a.decode() for a in mixed], add_special_tokens=False), strict=True):
-            self._keep(atom, np.array(found.ids, "<u4").tobytes())
-        for word, (stem, signs) in split.items():
-            self._keep(word, self.known[stem] + self.known[signs])
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of a chunk of texts as little-endian 32-bit integers; words end at space and the control white space."""
-        words = [text.split() for text in texts]
-        self.learn(set().union(*words))
-        return [b"".join(map(self.known.__getitem__, mine)) for mine in words]
+                mixed.append(word)
+        for word, found in zip(mixed, self.tokenizer.encode_batch_fast([w.decode() for w in mixed], add_special_tokens=False), strict=True):
+            ids[word] = array("I", found.ids).tobytes()
+        return ids
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Put new words into the dictionary."""
+        parts = []
+        for word in words:
+            # a piece of the splitting rule ends between a letter or digit and the signs at a word's end
+            stem, signs = word.rstrip(_SIGNS), b""
+            if len(stem) != len(word):
+                if stem and stem[-1] in _ALNUM and b"<|" not in word:
+                    signs = word[len(stem):]
+                else:
+                    stem = word
+            if stem.isalpha():  # ASCII letters
+                stem = stem.lower()
+            parts.append((stem, signs))
+        ids = self._tokenise(list({part for pair in parts for part in pair}))
+        found = [ids[stem] + ids[signs] if signs else ids[stem] for stem, signs in parts]
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = len(self.ids) + np.cumsum(count) - count
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.uint32)])
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a chunk, one after another, and each text's bounds in them.
+
+        Words end at space and the control white space.
+        """
+        if len(self.known) > DICTIONARY_WORDS:
+            self.forget()
+        hashes, starts, ends, rows = [], [], [], []
+        for lo, hi in chunks(offsets):
+            begin = offsets[lo]
+            part = data[begin:offsets[hi]]
+            a, b, row = runs(part, offsets[lo:hi + 1] - begin, NON_SPACE_BYTES)
+            hashes.append(Hasher(part).spans(a, b))
+            for column, values in zip((starts, ends, rows), (a + begin, b + begin, row + lo), strict=True):
+                column.append(values)
+        starts, ends, rows = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (starts, ends, rows))
+        distinct, example, word = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, distinct)
+        is_known = at < len(self.known)
+        is_known[is_known] = self.known[at[is_known]] == distinct[is_known]
+        new = example[~is_known]
+        if len(new):
+            raw = data.tobytes()
+            self._learn(distinct[~is_known], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            at = np.searchsorted(self.known, distinct)
+        first, count = self.first[at][word], self.count[at][word]
+        before = np.concatenate([[0], np.cumsum(count)])
+        ids = self.ids[np.repeat(first - before[:-1], count) + np.arange(before[-1])]
+        return ids, before[np.searchsorted(rows, np.arange(len(offsets)))]
 
 
 #: ASCII signs, none of them letter or digit, and the ASCII letters and digits.
@@ -239,10 +268,10 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
         for batch in batches:
             rows = []
             numbers = batch.column(0).to_pylist()
-            for lo, hi, data, at in text_chunks(batch.column(1)):
-                raw = data.tobytes()
-                for number, ids in zip(numbers[lo:hi], tokenizer.encode([raw[a:b] for a, b in zip(at[:-1], at[1:])]), strict=True):
-                    ids += end
+            for lo, hi, data, at in text_chunks(batch.column(1), CHUNK_BYTES):
+                found, bounds = tokenizer.encode(data, at)
+                for number, a, b in zip(numbers[lo:hi], bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    ids = found[a:b].astype("<u4").tobytes() + end
                     for k, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start:start + 4 * capacity]
                         n = len(part) // 4
@@ -267,7 +296,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = per_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     kept = [c for c in parts.columns if c not in ("task", "rank")]
-    ranked = parts.join(before, ["task", "length"]).select(*kept, (F.col("before") + F.col("rank")).alias("rank"))
+    # no broadcast: the counts grow with the tasks
+    ranked = parts.join(before.hint("merge"), ["task", "length"]).select(*kept, (F.col("before") + F.col("rank")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
