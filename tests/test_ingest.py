@@ -190,6 +190,27 @@ def test_a_failed_publish_keeps_the_old_data(spark):
     assert spark.table("gold_unit.kept").count() == 3
 
 
+def test_clean_up_keeps_what_the_name_reads(spark):
+    name = "gold_unit.cleaned"
+    catalog.publish_table(spark.range(3), name)
+    catalog.publish_table(spark.range(4), name)
+    folder, fs = catalog._folder(spark, catalog._versions_folder(spark, name))
+    for number in range(2):  # what a driver that died in a write leaves: newer, incomplete
+        fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:032x}"))
+    broken = spark.range(3).select(F.raise_error(F.lit("stop")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        catalog.publish_table(broken, name)
+    assert len(fs.listStatus(folder)) == 4                              # the failed write removed its own
+    assert catalog.drop_old_versions(spark, name, keep=2) == 2
+    assert spark.table(name).count() == 4
+    assert catalog.drop_old_versions(spark, name, keep=1) == 1
+    assert spark.table(name).count() == 4
+    catalog.publish_table(spark.range(0), name)                         # an empty version is live, too
+    assert catalog.drop_old_versions(spark, name, keep=1) == 1
+    assert spark.table(name).count() == 0
+    assert catalog.drop_old_versions(spark, "gold_unit.never") == 0
+
+
 def test_path_exists(spark, scratch):
     assert ingest.path_exists(spark, scratch)
     assert not ingest.path_exists(spark, os.path.join(scratch, "nope"))

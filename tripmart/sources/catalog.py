@@ -10,12 +10,15 @@ Old versions stay until ``drop_old_versions`` is called.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+_VERSION = re.compile(r"parquet\.`[^`]*/([0-9a-f]{32})`")
+
 
 def ensure_database(spark: SparkSession, name: str) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` for a qualified table name's database."""
@@ -33,6 +36,12 @@ def _versions_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.catalog.getDatabase(_database(name)).locationUri}/_versions/{name.rsplit('.', 1)[-1]}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
@@ -48,7 +57,12 @@ def publish_table(df: DataFrame, name: str, partition_by: Sequence[str] | None =
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(version)
+    try:
+        writer.save(version)
+    except Exception:
+        folder, fs = _folder(spark, version)
+        fs.delete(folder, True)  # nothing reads it
+        raise
     _point(spark, name, f"SELECT * FROM parquet.`{version}`")
     return spark.table(name)
 
@@ -59,14 +73,32 @@ def _point(spark: SparkSession, name: str, select: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS {select}")
 
 
+def _live_version(spark: SparkSession, name: str) -> str | None:
+    """The folder that a published name reads now."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = _VERSION.search(spark.sql(f"SHOW CREATE TABLE {_quoted(name)}").first()[0])
+    return found and found.group(1)
+
+
 def drop_old_versions(spark: SparkSession, name: str, keep: int = 2, path: str | None = None) -> int:
-    """Delete all but the newest ``keep`` versions of a published name; returns how many went."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path or _versions_folder(spark, name))
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = sorted(fs.listStatus(folder), key=lambda s: -s.getModificationTime()) if fs.exists(folder) else []
-    for status in found[max(1, keep):]:
-        fs.delete(status.getPath(), True)
-    return max(0, len(found) - max(1, keep))
+    """Delete versions of a published name; returns how many went.
+
+    The version that the name reads always stays, whatever its age, and so do
+    the newest complete others up to ``keep`` in all.  What a failed write left
+    (a folder without its success mark) goes first.
+    """
+    folder, fs = _folder(spark, path or _versions_folder(spark, name))
+    if not fs.exists(folder):
+        return 0
+    live = _live_version(spark, name)
+    others = [s.getPath() for s in sorted(fs.listStatus(folder), key=lambda s: -s.getModificationTime()) if s.getPath().getName() != live]
+    whole = [p for p in others if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    kept = {p.getName() for p in whole[:max(1, keep) - (live is not None)]}
+    gone = [p for p in others if p.getName() not in kept]
+    for version in gone:
+        fs.delete(version, True)
+    return len(gone)
 
 
 def publish_tables(
