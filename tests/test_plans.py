@@ -76,3 +76,9 @@ def test_two_databases_do_not_disturb_each_other(spark):
     for view in ("stg_trips", "stg_weather", "stg_zone_lookup", "stg_quarantine", "int_trips_weather", "quarantine"):
         assert other.table(f"silver_one.{view}").count() > 0
     assert other.table("silver_one.int_trips_weather").columns == QUERIES["enriched_trips"](spark, SF001).columns
+
+
+def test_payloads_are_parsed_once(spark):
+    for name in ("hourly_payload_rows", "bad_payload_days"):
+        plan = _plan(QUERIES[name](spark, SF001)).lower()
+        assert plan.count("parsejson") == 1 and "get_json_object" not in plan and "from_json" not in plan

@@ -10,10 +10,10 @@ quarantine branches are filters, and the report is one more aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,14 +259,30 @@ def gate_report(
     Percentages use the deduplicated count as denominator.  ``flag_null_col``
     is a flag-only metric: rows with it NULL stay valid and are only counted.
     """
+    counts = tagged.agg(*[c.alias(name) for name, c in report_counts(copies_col, reason_col, flag_null_col).items()])
+    return _report(counts, flag_null_col)
+
+
+def report_counts(copies_col: str, reason_col: str = REASON_COL, flag_null_col: str = "passenger_count") -> dict[str, Column]:
+    """The aggregates that the report is made of; they can be observed while the tagged rows are written."""
     reason = F.col(reason_col)
-    counts = tagged.agg(
-        F.sum(copies_col).cast("bigint").alias("total_rows"),
-        F.count(F.lit(1)).alias("deduped_rows"),
-        F.count_if(reason.isNull()).alias("valid_rows"),
-        F.count_if(reason.isNotNull()).alias("quarantined_rows"),
-        F.count_if(F.col(flag_null_col).isNull()).alias("null_flag_rows"),
-    )
+    return {
+        "total_rows": F.sum(copies_col).cast("bigint"),
+        "deduped_rows": F.count(F.lit(1)),
+        "valid_rows": F.count_if(reason.isNull()),
+        "quarantined_rows": F.count_if(reason.isNotNull()),
+        "null_flag_rows": F.count_if(F.col(flag_null_col).isNull()),
+    }
+
+
+def report_of_counts(spark: SparkSession, counts: Mapping[str, int], flag_null_col: str = "passenger_count") -> DataFrame:
+    """``gate_report`` from counts that have been taken.  Without any row the total is NULL, as its sum is."""
+    names = ("total_rows", "deduped_rows", "valid_rows", "quarantined_rows", "null_flag_rows")
+    values = {n: counts[n] if n != "total_rows" or counts["deduped_rows"] else None for n in names}
+    return _report(spark.range(1, numPartitions=1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in values.items()]), flag_null_col)
+
+
+def _report(counts: DataFrame, flag_null_col: str) -> DataFrame:
     return counts.select(
         "total_rows",
         (F.col("total_rows") - F.col("deduped_rows")).alias("duplicate_rows"),
@@ -279,6 +295,20 @@ def gate_report(
     )
 
 
+def reason_counts(rules: Sequence[Rule], reason_col: str = REASON_COL) -> dict[str, Column]:
+    """Rows per rejection reason, one aggregate each; the labels are those of the rules."""
+    return {label: F.count_if(F.col(reason_col) == label) for label, _ in rules}
+
+
+def breakdown_of_counts(spark: SparkSession, counts: Mapping[str, int], reason_col: str = REASON_COL) -> DataFrame:
+    """``quarantine_breakdown`` from counts that have been taken."""
+    found = sorted(((n, label) for label, n in counts.items() if n), key=lambda x: (-x[0], x[1]))
+    rows = [F.struct(F.lit(label).alias(reason_col), F.lit(n).cast("bigint").alias("quarantined_count")) for n, label in found]
+    if not rows:
+        return spark.createDataFrame([], f"{reason_col} string, quarantined_count bigint")
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
 def quarantine_breakdown(quarantine: DataFrame, reason_col: str = REASON_COL) -> DataFrame:
     """Quarantined rows per reason, largest first (O-33)."""
     return (

@@ -9,15 +9,17 @@ size-checked dimensions by broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
-from tripmart.operators import enrich, expect, gate as G, marts as M, staging
+from tripmart.operators import enrich, expect, gate as G, observed, staging
 from tripmart.plans import rollup
 from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS
+from tripmart.session import stored
 from tripmart.sources.catalog import publish_tables, publish_view
 
 COPIES_COL = "_copies"
@@ -109,17 +111,20 @@ def publish_all(
     gold_db: str = "gold",
     match_rate_threshold: float = 0.95,
     pickup_col: str = "tpep_pickup_datetime",
+    dropoff_col: str = "tpep_dropoff_datetime",
 ) -> PublishResult:
-    """Bronze -> silver -> gold in three passes over the fact data.
+    """Bronze -> silver -> gold: two passes over the fact data, one that writes it and one that reads it.
 
     1. Gate: dedup + tag, written once as ``silver.trips_checked`` partitioned
        by pickup month and ``_gate_status``; ``silver.trips_input`` and
        ``silver.quarantine`` are persistent views of its partitions, so both
        branches come from one computation.  The staged models and the enriched
-       fact are views over those.
-    2. Report and breakdown: read back from that table (three columns).
-    3. Marts: one scan of the valid partitions into the hourly rollup, then
-       the seven enriched marts and the quarantine trend as gold tables.
+       fact are views over those.  The report, the breakdown and the tests of
+       the trips are counts observed by that write.
+    2. Rollup: one scan of that table into hourly cells, with the rejection
+       reason in the grain.  The marts and the quarantine trend are aggregates
+       of the stored cells; their tests are observed while the joined cells
+       are stored and the marts are written.
 
     The written silver table cuts the lineage: a lost executor during the
     mart stage recomputes from silver, not from bronze.
@@ -128,55 +133,71 @@ def publish_all(
     result = gate(raw, rules)
     reason = F.col(G.REASON_COL)
     status = F.when(reason.isNull(), F.lit("valid")).otherwise(F.lit("quarantine"))
+    reasons = G.reason_counts(rules)
+    checked, gate_counts = observed.watch(
+        result.checked.withColumns({MONTH_COL: X.month_label_or_unknown(pickup_col), STATUS_COL: status}),
+        {**G.report_counts(COPIES_COL), **{f"reason:{label}": c for label, c in reasons.items()},
+         "not_null:stg_trips.pickup_ts": F.count_if(reason.isNull() & F.col(pickup_col).isNull()),
+         "not_null:stg_trips.dropoff_ts": F.count_if(reason.isNull() & F.col(dropoff_col).isNull())},
+    )
+    hourly, hourly_counts = observed.watch(
+        G.drop_null(raw_hourly, "weather_hour_local"), {"not_null:stg_weather.weather_hour_local": observed.nulls("weather_hour_local")})
     checked_name = f"{silver_db}.trips_checked"
     silver = publish_tables(
-        {
-            checked_name: result.checked.withColumns({MONTH_COL: X.month_label_or_unknown(pickup_col), STATUS_COL: status}),
-            f"{silver_db}.weather_input": G.drop_null(raw_hourly, "weather_hour_local"),
-            f"{silver_db}.zone_lookup": raw_zones,
-        },
+        {checked_name: checked, f"{silver_db}.weather_input": hourly, f"{silver_db}.zone_lookup": raw_zones},
         partition_by={checked_name: [MONTH_COL, STATUS_COL]},
     )
-    checked = silver[checked_name]
-    valid = publish_view(spark, f"{silver_db}.trips_input", f"""
-        SELECT * EXCEPT (`{G.REASON_COL}`, `{COPIES_COL}`, `{MONTH_COL}`, `{STATUS_COL}`) FROM `{silver_db}`.trips_checked WHERE `{STATUS_COL}` = 'valid'""")
-    quarantine = publish_view(spark, f"{silver_db}.quarantine", f"""
-        SELECT * EXCEPT (`{COPIES_COL}`, `{MONTH_COL}`, `{STATUS_COL}`) FROM `{silver_db}`.trips_checked WHERE `{STATUS_COL}` = 'quarantine'""")
-    for name, select in staging_views(silver_db).items():
-        publish_view(spark, f"{silver_db}.{name}", select)
-
-    report = G.gate_report(checked, COPIES_COL)
-    breakdown = G.quarantine_breakdown(quarantine)
-
+    taken = gate_counts.get()
+    report = G.report_of_counts(spark, taken)
+    breakdown = G.breakdown_of_counts(spark, {label: taken[f"reason:{label}"] for label in reasons})
+
+    with ThreadPoolExecutor(1) as pool:  # catalog calls, while the cells are computed
+        views = pool.submit(_publish_views, spark, silver_db)
+        cells = stored(rollup.hourly_rollup(staging.stage_trips(silver[checked_name], G.REASON_COL), G.REASON_COL), "cells")
+        views.result()
     stg_weather, stg_zones = spark.table(f"{silver_db}.stg_weather"), spark.table(f"{silver_db}.stg_zone_lookup")
-    stg_trips = staging.stage_trips(valid)
-    joined = rollup.enriched_rollup(stg_trips, stg_weather, stg_zones)
+    joined, cell_counts = rollup.stored_enriched(cells, stg_weather, stg_zones)
     built = {name: fn(joined) for name, fn in rollup.ROLLUP_MARTS.items()}
-    built["dq_quarantine_trend"] = M.dq_quarantine_trend(staging.stage_quarantine(quarantine))
-    published = publish_tables({f"{gold_db}.{name}": df for name, df in built.items()})
+    built["dq_quarantine_trend"] = rollup.quarantine_trend(cells)
+    watched = {name: observed.watch(df, _mart_tests(name)) if _mart_tests(name) else (df, None) for name, df in built.items()}
+    published = publish_tables({f"{gold_db}.{name}": df for name, (df, _) in watched.items()})
     gold = {name: published[f"{gold_db}.{name}"] for name in built}
 
-    matched = rollup.match_rate(joined, match_rate_threshold).filter(~F.col("passed"))
-    day_types = ["weekday", "weekend"]
+    failing = {name: n for name, n in taken.items() if name.startswith("not_null:")}
+    for counts in (hourly_counts, *(c for _, c in watched.values() if c)):
+        failing.update(counts.get())
+    failing[MATCH_RATE_TEST] = rollup.failing_match_rate(cell_counts.get(), match_rate_threshold)
+    day_types = [X.DAY_TYPE_WEEKDAY, X.DAY_TYPE_WEEKEND]
     checks = [
-        ("not_null:stg_weather.weather_hour_local", expect.expect_not_null(stg_weather, "weather_hour_local")),
         ("unique:stg_weather.weather_hour_local", expect.expect_unique(stg_weather, "weather_hour_local")),
         ("unique:stg_zones.location_id", expect.expect_unique(stg_zones, "location_id")),
-        ("not_null:trips_by_hour_weekday.hour_of_day", expect.expect_not_null(gold["trips_by_hour_weekday"], "hour_of_day")),
-        ("not_null:daily_weather_ridership.trip_date", expect.expect_not_null(gold["daily_weather_ridership"], "trip_date")),
         ("unique:daily_weather_ridership.trip_date", expect.expect_unique(gold["daily_weather_ridership"], "trip_date")),
-        ("accepted_values:weather_impact.day_type", expect.expect_values(gold["weather_impact"], "day_type", day_types)),
-        ("not_null:demand_by_borough.pickup_borough", expect.expect_not_null(gold["demand_by_borough"], "pickup_borough")),
-        ("not_null:dq_quarantine_trend.trip_month", expect.expect_not_null(gold["dq_quarantine_trend"], "trip_month")),
-        ("not_null:payment_mix.payment_type_label", expect.expect_not_null(gold["payment_mix"], "payment_type_label")),
-        ("not_null:revenue_efficiency_by_hour.hour_of_day", expect.expect_not_null(gold["revenue_efficiency_by_hour"], "hour_of_day")),
         ("unique:revenue_efficiency_by_hour.hour_of_day", expect.expect_unique(gold["revenue_efficiency_by_hour"], "hour_of_day")),
+        ("accepted_values:weather_impact.day_type", expect.expect_values(gold["weather_impact"], "day_type", day_types)),
         ("accepted_values:weather_speed_impact.day_type", expect.expect_values(gold["weather_speed_impact"], "day_type", day_types)),
-        ("match_rate:int_trips_weather.temperature_2m", matched),
     ]
-    # the NULL counts of the trips are in the rollup already
-    trip_nulls = expect.summarize_counts(joined, {
-        "not_null:stg_trips.pickup_ts": F.sum(F.when(F.col("pickup_hour").isNull(), F.col("n"))),
-        "not_null:stg_trips.dropoff_ts": F.sum("no_dropoff_n"),
-    })
-    return PublishResult(report, breakdown, gold, expect.run_expectations(checks, [trip_nulls]))
+    return PublishResult(report, breakdown, gold, expect.run_expectations(checks, [observed.summaries(spark, failing)]))
+
+
+def _publish_views(spark: SparkSession, silver_db: str) -> None:
+    """Both branches of the gated trips, then what reads them."""
+    own = f"`{G.REASON_COL}`, `{COPIES_COL}`, `{MONTH_COL}`, `{STATUS_COL}`"
+    source = f"FROM `{silver_db}`.trips_checked WHERE `{STATUS_COL}` ="
+    publish_view(spark, f"{silver_db}.trips_input", f"SELECT * EXCEPT ({own}) {source} 'valid'")
+    publish_view(spark, f"{silver_db}.quarantine", f"SELECT * EXCEPT (`{COPIES_COL}`, `{MONTH_COL}`, `{STATUS_COL}`) {source} 'quarantine'")
+    for name, select in staging_views(silver_db).items():
+        publish_view(spark, f"{silver_db}.{name}", select)
+
+
+MATCH_RATE_TEST = "match_rate:int_trips_weather.temperature_2m"
+#: Key columns of the marts that must not be NULL.
+MART_KEYS = {
+    "trips_by_hour_weekday": "hour_of_day", "daily_weather_ridership": "trip_date", "demand_by_borough": "pickup_borough",
+    "dq_quarantine_trend": "trip_month", "payment_mix": "payment_type_label", "revenue_efficiency_by_hour": "hour_of_day",
+}
+
+
+def _mart_tests(mart: str) -> dict[str, Column]:
+    """The not-null test of a mart's key, to be observed while the mart is written."""
+    key = MART_KEYS.get(mart)
+    return {f"not_null:{mart}.{key}": observed.nulls(key)} if key else {}

@@ -25,14 +25,17 @@ association order of floating-point sums.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
 from tripmart.functions.exact import RATIO_DIGITS, UNIT_DIGITS, rounded_ratio, special, units, wide
+from tripmart.operators import observed
 from tripmart.operators.marts import with_conditions
 from tripmart.operators.staging import HOURLY_VARIABLES
-from tripmart.session import ensure_checkpoint_dir
+from tripmart.session import ensure_checkpoint_dir, stored
 
 GRAIN = ("pickup_hour", "pickup_location_id", "payment_type")
 
@@ -246,6 +249,19 @@ ROLLUP_MARTS = {
 }
 
 
+def mart_keys(r: DataFrame, mart: str) -> DataFrame:
+    """The key columns of a mart's rows, without its measures: what the tests of the keys read."""
+    if mart == "daily_weather_ridership":
+        return r.select(X.calendar_date("pickup_hour").alias("trip_date")).distinct()
+    if mart == "revenue_efficiency_by_hour":
+        return r.filter(F.col("rev_n") > 0).select(X.hour_of_day("pickup_hour").alias("hour_of_day")).distinct()
+    if mart == "weather_impact":
+        return with_conditions(r).select("day_type", "is_precipitation", "temp_bucket").distinct()
+    if mart == "weather_speed_impact":
+        return with_conditions(r.filter(F.col("speed_n") > 0)).select("is_precipitation", "temp_bucket", "day_type").distinct()
+    raise ValueError(f"no tested keys in {mart!r}")
+
+
 def match_rate(enriched: DataFrame, threshold: float, column: str = "temperature_2m") -> DataFrame:
     """Share of trips whose hour found context, from the joined rollup (same columns as ``expect.match_rate``)."""
     counts = enriched.agg(
@@ -277,6 +293,26 @@ def enriched_rollup(stg_trips: DataFrame, stg_weather: DataFrame, stg_zones: Dat
     return enrich_rollup(rollup, stg_weather, stg_zones)
 
 
+def match_counts(column: str = "temperature_2m") -> dict[str, Column]:
+    """Trips in all and trips whose hour found context, as aggregates of the joined cells."""
+    return {"total": F.sum("n"), "matched_rows": F.sum(F.when(F.col(column).isNotNull(), F.col("n")))}
+
+
+def failing_match_rate(counts: Mapping[str, int], threshold: float) -> int:
+    """1 if fewer than ``threshold`` of the trips matched, else 0."""
+    return int(counts["matched_rows"] < counts["total"] * float(threshold))
+
+
+def stored_enriched(
+    cells: DataFrame, stg_weather: DataFrame, stg_zones: DataFrame, more: Mapping[str, Column] | None = None,
+    reason_col: str = "rejection_reason",
+) -> tuple[DataFrame, observed.Counts]:
+    """The valid cells of gated trips joined to both dimensions, stored once for all marts, with the match counts of that write."""
+    valid = cells.filter(F.col(reason_col).isNull()).drop(reason_col)
+    joined, counts = observed.watch(enrich_rollup(valid, stg_weather, stg_zones), {**match_counts(), **(more or {})})
+    return stored(joined, "enriched_cells"), counts
+
+
 def build_marts(stg_trips: DataFrame, stg_weather: DataFrame, stg_zones: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
     """The seven enriched marts from one scan of the staged trips."""
     enriched = enriched_rollup(stg_trips, stg_weather, stg_zones, materialize)
@@ -289,4 +325,5 @@ def quarantine_trend(cells: DataFrame, reason_col: str = "rejection_reason") ->
         cells.filter(F.col(reason_col).isNotNull())
         .groupBy(X.month_label_or_unknown("pickup_hour").alias("trip_month"), reason_col)
         .agg(F.sum("n").alias("quarantined_count"))
+        .orderBy("trip_month", reason_col)
     )

@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
-from tripmart.operators import analysis, calendar, expect, gate as G, marts, pivots, staging
+from tripmart.operators import analysis, calendar, expect, gate as G, marts, observed, pivots, staging
 from tripmart.plans import medallion, rollup
-from tripmart.session import ensure_checkpoint_dir
+from tripmart.session import ensure_checkpoint_dir, stored
 from tripmart.sources import catalog, ingest, testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,44 +190,42 @@ class _Models:
     The rollup carries the rejection reason in its grain, so one pass over the
     trips gives the marts, the quarantine trend and the NULL counts of
     ``stg_trips``.  It is bounded by hours x locations x codes x reasons and
-    written once; nothing at trip grain is.
+    stored once; nothing at trip grain is.  The not-null tests and the match
+    rate are counts observed by the writes of the cells and the hours.
     """
 
     def __init__(self, spark, sf):
-        ensure_checkpoint_dir(spark)
-        gated = _gate(spark, sf).tagged
-        staged = staging.stage_trips(gated, G.REASON_COL)
-        self.cells = rollup.hourly_rollup(staged, G.REASON_COL).checkpoint(eager=True)
-        self.valid = self.cells.filter(F.col(G.REASON_COL).isNull()).drop(G.REASON_COL)
-        self.stg_weather = _stg_weather(spark, sf).checkpoint(eager=True)
+        staged = staging.stage_trips(_gate(spark, sf).tagged, G.REASON_COL)
+        valid = F.col(G.REASON_COL).isNull()
+        cells, trips = observed.watch(rollup.hourly_rollup(staged, G.REASON_COL), {
+            "not_null:stg_trips.pickup_ts": F.sum(F.when(valid & F.col("pickup_hour").isNull(), F.col("n"))),
+            "not_null:stg_trips.dropoff_ts": F.sum(F.when(valid, F.col("no_dropoff_n"))),
+            "not_null:dq_quarantine_trend.trip_month": observed.any_null(X.month_label_or_unknown("pickup_hour"), ~valid),
+        })
+        hours, weather = observed.watch(_stg_weather(spark, sf), {"not_null:stg_weather.weather_hour_local": observed.nulls("weather_hour_local")})
+        with ThreadPoolExecutor(2) as pool:  # two independent writes
+            self.cells, self.stg_weather = pool.map(stored, (cells, hours), ("cells", "hours"))
         self.stg_zones = staging.stage_zones(T.raw_zones(spark, sf))
-        self.enriched = rollup.enrich_rollup(self.valid, self.stg_weather, self.stg_zones)
-
-    def mart(self, name):
-        return rollup.ROLLUP_MARTS[name](self.enriched)
-
-
-def _not_null_summaries(m: _Models):
-    null = lambda c: F.count_if(F.col(c).isNull())
-    marts_of = {
-        "trips_by_hour_weekday": "hour_of_day", "daily_weather_ridership": "trip_date", "demand_by_borough": "pickup_borough",
-        "payment_mix": "payment_type_label", "revenue_efficiency_by_hour": "hour_of_day",
-    }
-    return [
-        expect.summarize_counts(m.valid, {
-            "not_null:stg_trips.pickup_ts": F.sum(F.when(F.col("pickup_hour").isNull(), F.col("n"))),
-            "not_null:stg_trips.dropoff_ts": F.sum("no_dropoff_n"),
-        }),
-        expect.summarize_counts(m.stg_weather, {"not_null:stg_weather.weather_hour_local": null("weather_hour_local")}),
-        expect.summarize_counts(rollup.quarantine_trend(m.cells), {"not_null:dq_quarantine_trend.trip_month": null("trip_month")}),
-        *(expect.summarize_counts(m.mart(name), {f"not_null:{name}.{key}": null(key)}) for name, key in marts_of.items()),
-    ]
+        hour, date, label = X.hour_of_day("pickup_hour"), X.calendar_date("pickup_hour"), X.payment_label("payment_type")
+        self.enriched, joined = rollup.stored_enriched(self.cells, self.stg_weather, self.stg_zones, {
+            "not_null:trips_by_hour_weekday.hour_of_day": observed.any_null(hour),
+            "not_null:daily_weather_ridership.trip_date": observed.any_null(date),
+            "not_null:demand_by_borough.pickup_borough": observed.any_null(F.col("pickup_borough"), F.col("pickup_borough").isNotNull()),
+            "not_null:payment_mix.payment_type_label": observed.any_null(label),
+            "not_null:revenue_efficiency_by_hour.hour_of_day": observed.any_null(hour, F.col("rev_n") > 0),
+        })
+        counts = {**trips.get(), **weather.get(), **joined.get()}
+        self.not_null = {name: n for name, n in counts.items() if name.startswith("not_null:")}
+        self.match_rate = {medallion.MATCH_RATE_TEST: rollup.failing_match_rate(counts, T.MATCH_RATE_THRESHOLD)}
+
+    def mart_keys(self, name):
+        return rollup.mart_keys(self.enriched, name)
 
 
 def _unique_checks(m: _Models):
     return [
-        ("unique:daily_weather_ridership.trip_date", expect.expect_unique(m.mart("daily_weather_ridership"), "trip_date")),
-        ("unique:revenue_efficiency_by_hour.hour_of_day", expect.expect_unique(m.mart("revenue_efficiency_by_hour"), "hour_of_day")),
+        ("unique:daily_weather_ridership.trip_date", expect.expect_unique(m.mart_keys("daily_weather_ridership"), "trip_date")),
+        ("unique:revenue_efficiency_by_hour.hour_of_day", expect.expect_unique(m.mart_keys("revenue_efficiency_by_hour"), "hour_of_day")),
         ("unique:stg_weather.weather_hour_local", expect.expect_unique(m.stg_weather, "weather_hour_local")),
         ("unique:stg_zones.location_id", expect.expect_unique(m.stg_zones, "location_id")),
     ]
@@ -235,18 +234,13 @@ def _unique_checks(m: _Models):
 def _value_checks(m: _Models):
     day_types = [X.DAY_TYPE_WEEKDAY, X.DAY_TYPE_WEEKEND]
     return [
-        ("accepted_values:weather_impact.day_type", expect.expect_values(m.mart("weather_impact"), "day_type", day_types)),
-        ("accepted_values:weather_speed_impact.day_type", expect.expect_values(m.mart("weather_speed_impact"), "day_type", day_types)),
+        ("accepted_values:weather_impact.day_type", expect.expect_values(m.mart_keys("weather_impact"), "day_type", day_types)),
+        ("accepted_values:weather_speed_impact.day_type", expect.expect_values(m.mart_keys("weather_speed_impact"), "day_type", day_types)),
     ]
 
 
-def _match_rate_check(m: _Models):
-    failing = rollup.match_rate(m.enriched, T.MATCH_RATE_THRESHOLD).filter(~F.col("passed"))
-    return [("match_rate:int_trips_weather.temperature_2m", failing)]
-
-
 def expect_not_null(spark, sf):
-    return expect.run_expectations([], _not_null_summaries(_Models(spark, sf)))
+    return observed.summaries(spark, _Models(spark, sf).not_null)
 
 
 def expect_unique(spark, sf):
@@ -274,7 +268,7 @@ def expect_match_rate(spark, sf):
 
 def run_expectations(spark, sf):
     m = _Models(spark, sf)
-    return expect.run_expectations(_unique_checks(m) + _value_checks(m) + _match_rate_check(m), _not_null_summaries(m))
+    return expect.run_expectations(_unique_checks(m) + _value_checks(m), [observed.summaries(spark, {**m.not_null, **m.match_rate})])
 
 
 # ---------------------------------------------------------------- calendar and ingest

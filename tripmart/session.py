@@ -8,8 +8,9 @@ daylight-saving change.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -105,3 +106,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "before running on a cluster"
         )
     return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the checkpoint directory and return a scan of it.
+
+    Cuts the lineage like ``checkpoint()``, but compressed and by column, so a
+    reader takes only what it needs.  A lost executor loses nothing of it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -145,44 +145,51 @@ def _spark_type(name: str | T.DataType) -> T.DataType:
     return name if isinstance(name, T.DataType) else _TYPES[name]
 
 
-def payload_schema(variables: Mapping[str, str]) -> T.StructType:
-    """``{"hourly": {"time": [text], <var>: [text], ...}}``: elements are read as text and cast afterwards."""
-    texts = T.ArrayType(T.StringType())
-    return T.StructType([T.StructField("hourly", T.StructType([T.StructField(n, texts) for n in ("time", *variables)]))])
-
-
 def _parse(df: DataFrame, json_col: str, variables: Mapping[str, str]) -> DataFrame:
-    """``df`` with ``_rows`` (an array of hours) and ``_fault`` (what is wrong with the document, or NULL)."""
-    parsed = df.withColumn("_h", F.from_json(F.col(json_col), payload_schema(variables))["hourly"])
-    time = F.col("_h.time")
-    faults = F.when(F.col("_h").isNull(), F.lit("no object of hourly arrays")).when(time.isNull(), F.lit("no time array"))
-    faults = faults.when(
-        F.exists(time, lambda t: F.try_to_timestamp(t, F.lit(PAYLOAD_TIME_FORMAT)).isNull()), F.lit("a time that is none")
-    )
+    """``df`` with ``_rows`` (an array of hours) and ``_fault`` (what is wrong with the document, or NULL).
+
+    Each step is a projection that the next one reads several times, which
+    Catalyst therefore keeps apart: a document is parsed once, into a variant,
+    and every element is cast once.
+    """
+    names = ["time", *variables]
+    parsed = df.withColumn("_doc", F.try_parse_json(F.col(json_col)))
+    texts = {n: F.expr(f"try_variant_get(_doc, \"$.hourly['{n}']\", 'array<string>')") for n in names}
+    given = {n: F.expr(f"try_variant_get(_doc, \"$.hourly['{n}']\", 'variant')") for n in variables}
+    parsed = parsed.withColumns({
+        "_is_object": F.expr("try_variant_get(_doc, '$.hourly', 'variant')").isNotNull(),
+        **{f"_text_{k}": texts[n] for k, n in enumerate(names)},
+        **{f"_given_{k}": given[n].isNotNull() & ~F.is_variant_null(given[n]) for k, n in enumerate(names) if k},
+    })
+    kinds = [None, *(_spark_type(kind) for kind in variables.values())]
+    parsed = parsed.withColumns({f"_cast_{k}": F.transform(f"_text_{k}", _caster(kind)) for k, kind in enumerate(kinds)})
+
+    time, hours = F.col("_text_0"), F.col("_cast_0")
+    faults = F.when(~F.col("_is_object"), F.lit("no object of hourly arrays")).when(time.isNull(), F.lit("no time array"))
+    faults = faults.when(F.exists(hours, lambda t: t.isNull()), F.lit("a time that is none"))
     values = {}
-    for name, kind in variables.items():
-        texts, data_type = F.col(f"_h.`{name}`"), _spark_type(kind)
-        given = F.get_json_object(F.col(json_col), f"$.hourly.{name}")
-        faults = faults.when(texts.isNull() & given.isNotNull() & (given != "null"), F.lit(f"{name} is no array"))
-        faults = faults.when(F.size(texts) != F.size(time), F.lit(f"{name} and time differ in length"))
-        faults = faults.when(_holds_other_than(texts, data_type), F.lit(f"{name} holds a value of another type"))
+    for k, name in enumerate(variables, 1):
+        text, cast = F.col(f"_text_{k}"), F.col(f"_cast_{k}")
+        faults = faults.when(text.isNull() & F.col(f"_given_{k}"), F.lit(f"{name} is no array"))
+        faults = faults.when(F.size(text) != F.size(time), F.lit(f"{name} and time differ in length"))
+        faults = faults.when(_nulls(cast) > _nulls(text), F.lit(f"{name} holds a value of another type"))
         # a variable that was not delivered is NULL for every hour
-        values[name] = F.coalesce(F.transform(texts, _caster(data_type)), F.transform(time, _caster_to_null(data_type)))
-    hours = F.arrays_zip(F.transform(time, lambda t: F.try_to_timestamp(t, F.lit(PAYLOAD_TIME_FORMAT))).alias(HOUR_COL),
-                         *[v.alias(n) for n, v in values.items()])
-    return parsed.withColumns({"_fault": faults, "_rows": hours}).drop("_h")
+        values[name] = F.coalesce(cast, F.transform(time, _caster_to_null(kinds[k])))
+    rows = F.arrays_zip(hours.alias(HOUR_COL), *[v.alias(n) for n, v in values.items()])
+    return parsed.select(*df.columns, faults.alias("_fault"), rows.alias("_rows"))
 
 
-def _caster(data_type: T.DataType):
-    return lambda x: x.try_cast(data_type)
+def _caster(data_type: T.DataType | None):
+    """A cast of an array's texts; to a time without a type."""
+    return lambda x: x.try_cast(data_type) if data_type else F.try_to_timestamp(x, F.lit(PAYLOAD_TIME_FORMAT))
 
 
 def _caster_to_null(data_type: T.DataType):
     return lambda x: F.lit(None).cast(data_type)
 
 
-def _holds_other_than(texts: Column, data_type: T.DataType) -> Column:
-    return F.exists(texts, lambda x: x.isNotNull() & x.try_cast(data_type).isNull())
+def _nulls(array: Column) -> Column:
+    return F.size(F.filter(array, lambda x: x.isNull()))
 
 
 def hourly_payload_to_rows(
@@ -207,8 +214,8 @@ def hourly_payload_to_rows(
         message = F.concat(F.lit("hourly payload can't be read: "), F.col("_fault"))
         rows = F.when(F.col("_fault").isNotNull(), F.raise_error(message)).otherwise(F.col("_rows"))
     elif mode in ("quarantine", "drop"):
-        parsed = parsed.filter(F.col("_fault").isNull())
-        rows = F.col("_rows")
+        # no filter: it would be pushed below the parse and repeat it
+        rows = F.when(F.col("_fault").isNull(), F.col("_rows"))
     else:
         raise ValueError(f"unknown mode: {mode!r}")
     return parsed.select(F.inline(rows)).toDF(HOUR_COL, *variables)
@@ -216,7 +223,9 @@ def hourly_payload_to_rows(
 
 def bad_payloads(df: DataFrame, json_col: str, variables: Mapping[str, str]) -> DataFrame:
     """Documents that ``hourly_payload_to_rows`` can't read, with the reason in ``_fault`` (the quarantine side of O-6)."""
-    return _parse(df, json_col, variables).filter(F.col("_fault").isNotNull()).drop("_rows")
+    parsed = _parse(df, json_col, variables)
+    # as above, exploded and not filtered
+    return parsed.select(*df.columns, F.explode(F.when(F.col("_fault").isNotNull(), F.array("_fault"))).alias("_fault"))
 
 
 def read_hourly(spark: SparkSession, path: str, hour_col: str = HOUR_COL, nanos: bool = False) -> DataFrame:
