@@ -175,6 +175,7 @@ def drop_duplicate_rows(
     keys: Sequence[str] | None = None,
     survivor_order: str | None = None,
     copies_col: str | None = None,
+    weight_col: str | None = None,
 ) -> DataFrame:
     """Keep one row per distinct ``keys`` tuple.
 
@@ -193,13 +194,15 @@ def drop_duplicate_rows(
     and takes the sort-based plan.
     ``copies_col`` adds the number of raw rows each output row stands for,
     from which the gate report derives the pre-dedup total without a second
-    scan.
+    scan; with ``weight_col`` a row stands for that many already, and the
+    column is dropped.
     """
     keys = list(keys) if keys is not None else business_keys(df)
-    meta = [c for c in df.columns if c not in keys]
+    meta = [c for c in df.columns if c not in keys and c != weight_col]
     strings = [m for m in meta if not _fixed_width(df.schema[m].dataType)]
-    counted = [F.count(F.lit(1)).alias(copies_col)] if copies_col else []
-    ordered = list(df.columns) + ([copies_col] if copies_col else [])
+    copies = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    counted = [copies.alias(copies_col)] if copies_col else []
+    ordered = [c for c in df.columns if c != weight_col] + ([copies_col] if copies_col else [])
     if not meta:
         return df.groupBy(*keys).agg(*counted).select(*ordered) if counted else df.select(*keys).distinct()
     if survivor_order in strings:

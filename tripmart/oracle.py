@@ -446,6 +446,9 @@ FINAL = {
         SELECT 'match_rate:raw_trips.tpep_dropoff_datetime', count(*), count(*) = 0
         FROM (SELECT count(*) AS total, count(tpep_dropoff_datetime) AS matched_rows FROM raw_trips) m
         WHERE matched_rows < total * 0.999""",
+    "dedup_bucketed": f"""
+        SELECT {BUSINESS}, count(*) AS _copies, '2024-0' || min((PULocationID + _ingest_batch) % 3 + 1) AS file_month
+        FROM raw_trips GROUP BY ALL""",
     "read_months": """
         SELECT strftime(o_orderdate, '%Y') AS month, count(*) AS row_count, count(DISTINCT o_custkey) AS customers
         FROM orders GROUP BY 1""",

@@ -37,9 +37,12 @@ class GateResult:
     quarantine: DataFrame
 
 
-def gate(raw: DataFrame, rules: Sequence[G.Rule], keys: Sequence[str] | None = None) -> GateResult:
-    """Dedup on the business keys, then tag with the first failing rule and split."""
-    deduped = G.drop_duplicate_rows(raw, keys=keys, copies_col=COPIES_COL)
+def gate(raw: DataFrame, rules: Sequence[G.Rule], keys: Sequence[str] | None = None, weight_col: str | None = None) -> GateResult:
+    """Dedup on the business keys, then tag with the first failing rule and split.
+
+    ``weight_col`` counts the raw rows that a row of ``raw`` stands for already.
+    """
+    deduped = G.drop_duplicate_rows(raw, keys=keys, copies_col=COPIES_COL, weight_col=weight_col)
     checked = G.tag_first_failure(deduped, rules)
     tagged = checked.drop(COPIES_COL)
     valid, quarantine = G.split(tagged)

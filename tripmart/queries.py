@@ -21,7 +21,7 @@ from tripmart.functions import exprs as X
 from tripmart.operators import analysis, calendar, expect, gate as G, marts, observed, pivots, staging
 from tripmart.plans import medallion, rollup
 from tripmart.session import ensure_checkpoint_dir, stored
-from tripmart.sources import catalog, ingest, testdata as T
+from tripmart.sources import bucketed, catalog, ingest, testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -326,6 +326,26 @@ def load_months(spark, sf):
     return rows.groupBy(F.col("_month").alias("month")).agg(F.count(F.lit(1)).alias("row_count")).withColumn("second_run", second)
 
 
+def _delivered_months(spark, sf) -> str:
+    """All trips as three monthly deliveries, below the session's shared folder: a path template."""
+    path = f"{ensure_checkpoint_dir(spark)}/deliveries-{uuid.uuid4().hex}"
+    number = (F.col("PULocationID") + F.col("_ingest_batch")) % 3 + 1
+    trips = T.raw_trips(spark, sf).withColumn("month", F.concat(F.lit("2024-0"), number.cast("string"))).drop("_ingest_batch")
+    trips.write.partitionBy("month").parquet(path)
+    return f"{path}/month={{month}}"
+
+
+def dedup_bucketed(spark, sf):
+    """Bucketed bronze, its third month loaded later; every survivor names the file that it came from."""
+    template, months = _delivered_months(spark, sf), ["2024-01", "2024-02", "2024-03"]
+    name = f"bronze_{uuid.uuid4().hex[:12]}.trips"
+    bucketed.load_bucketed(spark, months[:2], template, name, buckets=8)
+    bucketed.load_bucketed(spark, months, template, name, buckets=8)
+    names = bucketed.file_names(spark, [template.format(month=m) for m in months])
+    rows = bucketed.with_file_names(bucketed.deduplicated(spark.table(name)), names)
+    return rows.withColumn("file_month", F.regexp_extract("_source_file", "month=([0-9-]+)", 1)).drop("_source_file", "_month", "_ingested_at")
+
+
 def read_zone_csv(spark, sf):
     zones = T.raw_zones(spark, sf)
     zones = zones.withColumn("Zone", F.when(F.col("LocationID") % 5 == 0, "N/A").otherwise(F.col("Zone")))
@@ -348,6 +368,7 @@ weather_impact_query = _mart(rollup.weather_impact)
 
 QUERIES: dict[str, Query] = {
     "dedup_rows": dedup_rows,
+    "dedup_bucketed": dedup_bucketed,
     "duplicate_count": duplicate_count,
     "tag_first_failure": tag_first_failure,
     "valid_rows": valid_rows,
