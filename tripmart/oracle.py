@@ -468,5 +468,9 @@ FINAL = {
 }
 
 
+FINAL["weather_impact_merged"] = FINAL["weather_impact"]
+FINAL["daily_ridership_merged"] = FINAL["daily_ridership"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: PREFIX + final for name, final in FINAL.items()}

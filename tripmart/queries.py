@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
 from tripmart.operators import analysis, calendar, expect, gate as G, marts, observed, pivots, staging
-from tripmart.plans import medallion, rollup
+from tripmart.plans import medallion, monthly, rollup
 from tripmart.session import ensure_checkpoint_dir, stored
 from tripmart.sources import bucketed, catalog, ingest, testdata as T
 
@@ -335,6 +335,25 @@ def _delivered_months(spark, sf) -> str:
     return f"{path}/month={{month}}"
 
 
+def _half_months(spark, sf):
+    """The partials of all trips, the last half-month refreshed after the others, and the dimensions."""
+    raw, calendar = T.raw_trips(spark, sf), monthly.HalfMonths()
+    weather, zones = stored(_stg_weather(spark, sf), "hours"), staging.stage_zones(T.raw_zones(spark, sf))
+    store = f"{ensure_checkpoint_dir(spark)}/monthly-{uuid.uuid4().hex}"
+    parts = monthly.touched_parts(raw, calendar=calendar)
+    for some in (parts[:-1], parts[-1:]):
+        stores = monthly.refresh_months(raw, weather, zones, T.trip_rules(), some, store, calendar=calendar)
+    return stores, weather, zones
+
+
+def weather_impact_merged(spark, sf):
+    return monthly.weather_impact_of_sets(_half_months(spark, sf)[0].hours)
+
+
+def daily_ridership_merged(spark, sf):
+    return monthly.merged_marts(*_half_months(spark, sf))["daily_weather_ridership"]
+
+
 def dedup_bucketed(spark, sf):
     """Bucketed bronze, its third month loaded later; every survivor names the file that it came from."""
     template, months = _delivered_months(spark, sf), ["2024-01", "2024-02", "2024-03"]
@@ -367,6 +386,8 @@ def publish_table(spark, sf):
 weather_impact_query = _mart(rollup.weather_impact)
 
 QUERIES: dict[str, Query] = {
+    "weather_impact_merged": weather_impact_merged,
+    "daily_ridership_merged": daily_ridership_merged,
     "dedup_rows": dedup_rows,
     "dedup_bucketed": dedup_bucketed,
     "duplicate_count": duplicate_count,
