@@ -55,7 +55,7 @@ def test_rollup_reads_only_the_valid_partition(spark):
 
 def test_marts_run_no_jobs_while_they_are_built(spark):
     """Built from a path read before, a mart query submits nothing."""
-    names = ("trips_by_hour_weekday", "daily_ridership", "weather_impact", "demand_by_borough", "payment_mix",
+    names = ("enriched_trips", "trips_by_hour_weekday", "daily_ridership", "weather_impact", "demand_by_borough", "payment_mix",
              "revenue_efficiency", "speed_impact", "borough_summary", "dry_vs_wet", "temp_by_daytype", "pivot_hour_weekday",
              "pivot_speed", "expect_match_rate")
     QUERIES["payment_mix"](spark, SF001)
@@ -86,3 +86,27 @@ def test_payloads_are_parsed_once(spark):
     for name in ("hourly_payload_rows", "bad_payload_days"):
         plan = _plan(QUERIES[name](spark, SF001)).lower()
         assert plan.count("parsejson") == 1 and "get_json_object" not in plan and "from_json" not in plan
+
+
+def test_a_dimension_too_large_to_broadcast_is_joined_with_its_hot_key_split(spark):
+    from tripmart.operators import enrich
+
+    trips = spark.range(300_000).select(
+        F.when(F.col("id") % 3 > 0, F.timestamp_seconds(F.lit(1704067200))).otherwise(F.timestamp_seconds(1704067200 + F.col("id") % 900 * 3600)).alias("pickup_ts"),
+        F.col("id").alias("payload"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    hours = spark.range(900).select(F.timestamp_seconds(1704067200 + F.col("id") * 3600).alias("weather_hour_local"),
+                                    *[F.col("id").cast("double").alias(v) for v in staging.HOURLY_VARIABLES])
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000000", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500000"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = enrich.join_hourly(trips, hours, max_broadcast_rows=None)
+        assert joined.agg(F.count("temperature_2m"), F.sum("payload")).first() == (300_000, 299_999 * 150_000)
+        assert "SortMergeJoin" in _plan(joined)
+        final = joined._jdf.queryExecution().executedPlan()
+        joined._jdf.queryExecution().toRdd().count()
+        assert "skew=true" in final.toString(), final.toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -3,9 +3,9 @@
 Both joins keep left-join semantics: a trip without a matching hour or
 location keeps its row with NULL context, and a dimension key that occurs
 twice fans the trip out (use ``expect_unique`` on the dimension keys first).
-Each dimension is broadcast only after its size is checked
-(``plans.joins.broadcast_if_bounded``), so the fact side is never shuffled for
-enrichment while the dimensions stay small.
+A dimension is broadcast by the planner, from its size, or after a check of its
+rows and bytes (``plans.joins.broadcast_if_bounded``), so the fact side is never
+shuffled for enrichment while the dimensions stay small.
 """
 
 from __future__ import annotations
@@ -76,20 +76,21 @@ def enrich_trips(
     trips: DataFrame,
     hourly: DataFrame,
     zones: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     materialize_dims: bool = False,
 ) -> DataFrame:
     """Staged trips + 5 hourly variables + borough/zone + 3 derived columns (O-40).
 
-    Both dimensions are size-checked together in one job; pass
-    ``materialize_dims`` when they are derived on the fly rather than read
-    from published tables.
+    Nothing runs while this is built: the planner takes the joins from the
+    dimensions' sizes (of a published table, its files), and broadcasts below
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond it AQE splits a hot key.
+    With ``max_broadcast_rows`` both dimensions are counted first, in one job,
+    and hinted when within that bound; ``materialize_dims`` stores them before,
+    when they are derived on the fly rather than read from published tables.
     """
-    hourly, zones = broadcast_all_if_bounded(
-        [hourly.select("weather_hour_local", *HOURLY_VARIABLES), zones.select("location_id", "borough", "zone")],
-        max_broadcast_rows,
-        materialize=materialize_dims,
-    )
+    hourly, zones = hourly.select("weather_hour_local", *HOURLY_VARIABLES), zones.select("location_id", "borough", "zone")
+    if max_broadcast_rows is not None:
+        hourly, zones = broadcast_all_if_bounded([hourly, zones], max_broadcast_rows, materialize=materialize_dims)
     with_hour = join_hourly(trips, hourly, max_broadcast_rows=None)
     with_zone = join_zones(with_hour, zones, max_broadcast_rows=None)
     return add_trip_attributes(with_zone)

@@ -468,6 +468,30 @@ FINAL = {
 }
 
 
+FINAL["load_changed_months"] = """
+        SELECT strftime(o_orderdate, '%Y') AS month, count(*) * CASE WHEN is_last THEN 2 ELSE 1 END AS row_count, 'skipped' AS second_run,
+               CASE WHEN is_last THEN 'loaded' ELSE 'skipped' END AS third_run
+        FROM (SELECT o_orderdate, year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) AS is_last FROM orders) o
+        GROUP BY 1, is_last"""
+FINAL["nanosecond_hours"] = "SELECT * FROM stg_weather"
+FINAL["month_bounds_of_list"] = """
+        SELECT strftime(min(date_trunc('month', pickup_ts)), '%Y-%m-%d') AS start_date,
+               strftime(last_day(CAST(max(pickup_ts) AS DATE)), '%Y-%m-%d') AS end_date
+        FROM orders_tagged"""
+FINAL["published_enriched_view"] = FINAL["enriched_trips"]
+FINAL["published_marts"] = " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, count(*) AS n_rows, CAST(sum({total}) AS BIGINT) AS total FROM {table}"
+    for mart, table, total in (
+        ("trips_by_hour_weekday", "m_hour_weekday", "trip_count"), ("daily_weather_ridership", "m_daily", "trip_count"),
+        ("weather_impact", "m_impact", "total_trips"), ("demand_by_borough", "m_borough", "trip_count"),
+        ("payment_mix", "m_payment", "trip_count"), ("revenue_efficiency_by_hour", "m_revenue", "trip_count"),
+        ("weather_speed_impact", "m_speed", "trip_count"), ("dq_quarantine_trend", "m_trend", "quarantined_count"),
+    ))
+FINAL["payment_mix_in_order"] = "SELECT *, row_number() OVER (ORDER BY trip_count DESC, payment_type_label) AS position FROM m_payment"
+FINAL["daily_ridership_in_order"] = "SELECT *, row_number() OVER (ORDER BY trip_date NULLS FIRST) AS position FROM m_daily"
+FINAL["quarantine_breakdown_in_order"] = """
+        SELECT *, row_number() OVER (ORDER BY quarantined_count DESC, rejection_reason) AS position
+        FROM (SELECT rejection_reason, count(*) AS quarantined_count FROM quarantine GROUP BY 1) q"""
 FINAL["weather_impact_merged"] = FINAL["weather_impact"]
 FINAL["daily_ridership_merged"] = FINAL["daily_ridership"]
 

@@ -3,7 +3,7 @@
 ``gate`` deduplicates once (``HashAggregate`` with partial aggregation), tags
 the survivors, and derives the valid and quarantine branches as filters of
 that one result.  ``enriched`` stages the valid trips and joins the two
-size-checked dimensions by broadcast.
+dimensions, by broadcast while their sizes allow it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tripmart.functions import exprs as X
 from tripmart.operators import enrich, expect, gate as G, observed, staging
 from tripmart.plans import rollup
-from tripmart.plans.joins import DEFAULT_MAX_BROADCAST_ROWS
 from tripmart.session import stored
 from tripmart.sources.catalog import publish_tables, publish_view
 
@@ -53,7 +52,7 @@ def enriched(
     valid: DataFrame,
     raw_hourly: DataFrame,
     raw_zones: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     materialize_dims: bool = False,
 ) -> DataFrame:
     """Staged valid trips with hourly context, location and derived columns."""

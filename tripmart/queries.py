@@ -2,10 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame whose column names
 equal those of the matching DuckDB text in ``tripmart.oracle``.  Most are lazy.
-Jobs run while building: ``enriched_trips`` (writes its derived dimensions and
-measures them before it broadcasts them), the pivots whose columns come from
-the data, the expectation suites (write the mart rollup once) and the
-input/output queries, which write files first.
+Jobs run while building: the pivots whose columns come from the data, the
+expectation suites (which write the mart rollup once), the monthly partials and
+the input/output queries, which write files first.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from tripmart.functions import exprs as X
 from tripmart.operators import analysis, calendar, expect, gate as G, marts, observed, pivots, staging
 from tripmart.plans import medallion, monthly, rollup
 from tripmart.session import ensure_checkpoint_dir, stored
-from tripmart.sources import bucketed, catalog, ingest, testdata as T
+from tripmart.sources import bucketed, catalog, ingest, ordered, testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +33,7 @@ def _gate(spark: SparkSession, sf: str) -> medallion.GateResult:
 
 
 def _itw(spark: SparkSession, sf: str) -> DataFrame:
-    # The test dimensions are derived from `events` and `nation`/`region` on the
-    # fly, so they are materialised once before their size check.
-    return medallion.enriched(
-        _gate(spark, sf).valid, T.raw_hourly(spark, sf), T.raw_zones(spark, sf), materialize_dims=True
-    )
+    return medallion.enriched(_gate(spark, sf).valid, T.raw_hourly(spark, sf), T.raw_zones(spark, sf))
 
 
 def _rolled(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,6 +361,75 @@ def dedup_bucketed(spark, sf):
     return rows.withColumn("file_month", F.regexp_extract("_source_file", "month=([0-9-]+)", 1)).drop("_source_file", "_month", "_ingested_at")
 
 
+def load_changed_months(spark, sf):
+    """Loaded; loaded again, all equal; then one year's files are written anew and loaded alone."""
+    template, years = _order_files(spark, sf)
+    target = template.replace("/year={month}", "-bronze")
+    ingest.load_changed_months(spark, years, template, target)
+    again = ingest.load_changed_months(spark, years, template, target)
+    last = T.table(spark, sf, "orders").filter(F.date_format("o_orderdate", "yyyy") == years[-1])
+    last.unionByName(last).write.mode("overwrite").parquet(template.format(month=years[-1]))
+    changed = ingest.load_changed_months(spark, years, template, target)
+    counts = ingest.partition_row_counts(spark, target).select(F.col("_month").cast("string").alias("month"), "row_count")
+    return counts.withColumns({"second_run": F.when(F.col("month").isin(again.skipped), "skipped").otherwise("loaded"),
+                               "third_run": F.when(F.col("month").isin(changed.loaded), "loaded").otherwise("skipped")})
+
+
+def nanosecond_hours(spark, sf):
+    """The hourly series through a file with nanosecond timestamps."""
+    path = f"{ensure_checkpoint_dir(spark)}/hourly-{uuid.uuid4().hex}"
+    T.write_nanosecond_files(_stg_weather(spark, sf), path)
+    return ingest.read_hourly(spark, path, nanos=True)
+
+
+def month_bounds_of_list(spark, sf):
+    """Bounds of the months of the orders, given as a list of labels."""
+    labels = T.tagged_orders(spark, sf).select(X.month_label("pickup_ts").alias("m")).distinct().orderBy("m")
+    start, end = calendar.month_bounds([r[0] for r in labels.collect()])
+    return spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
+
+
+def _published(spark, sf) -> tuple[str, str]:
+    """All trips through the publishing run: the names of its two databases."""
+    tag = uuid.uuid4().hex[:12]
+    medallion.publish_all(T.raw_trips(spark, sf), T.raw_hourly(spark, sf), T.raw_zones(spark, sf), T.trip_rules(),
+                          silver_db=f"silver_{tag}", gold_db=f"gold_{tag}")
+    return f"silver_{tag}", f"gold_{tag}"
+
+
+def published_enriched_view(spark, sf):
+    return catalog.read_table(spark, f"{_published(spark, sf)[0]}.int_trips_weather")
+
+
+def published_marts(spark, sf):
+    """Rows of every gold table, and its trips or quarantined rows in all."""
+    gold = _published(spark, sf)[1]
+    totals = {"weather_impact": "total_trips", "dq_quarantine_trend": "quarantined_count"}
+    rows = [
+        spark.table(f"{gold}.{name}").agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"), F.sum(totals.get(name, "trip_count")).alias("total"))
+        for name in (*rollup.ROLLUP_MARTS, "dq_quarantine_trend")
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _in_order(df, *order):
+    """``df`` published in this order and read back with positions."""
+    name = f"ordered_{uuid.uuid4().hex[:12]}.rows"
+    return ordered.in_order(ordered.publish_ordered(df, name, *order, partitions=4))
+
+
+def payment_mix_in_order(spark, sf):
+    return _in_order(rollup.payment_mix(_rolled(spark, sf)), F.desc("trip_count"), "payment_type_label")
+
+
+def daily_ridership_in_order(spark, sf):
+    return _in_order(rollup.daily_weather_ridership(_rolled(spark, sf)), "trip_date")
+
+
+def quarantine_breakdown_in_order(spark, sf):
+    return _in_order(quarantine_breakdown(spark, sf), F.desc("quarantined_count"), G.REASON_COL)
+
+
 def read_zone_csv(spark, sf):
     zones = T.raw_zones(spark, sf)
     zones = zones.withColumn("Zone", F.when(F.col("LocationID") % 5 == 0, "N/A").otherwise(F.col("Zone")))
@@ -390,6 +455,14 @@ QUERIES: dict[str, Query] = {
     "daily_ridership_merged": daily_ridership_merged,
     "dedup_rows": dedup_rows,
     "dedup_bucketed": dedup_bucketed,
+    "load_changed_months": load_changed_months,
+    "nanosecond_hours": nanosecond_hours,
+    "month_bounds_of_list": month_bounds_of_list,
+    "published_enriched_view": published_enriched_view,
+    "published_marts": published_marts,
+    "payment_mix_in_order": payment_mix_in_order,
+    "daily_ridership_in_order": daily_ridership_in_order,
+    "quarantine_breakdown_in_order": quarantine_breakdown_in_order,
     "duplicate_count": duplicate_count,
     "tag_first_failure": tag_first_failure,
     "valid_rows": valid_rows,

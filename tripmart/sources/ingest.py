@@ -58,6 +58,33 @@ def file_row_counts(df: DataFrame, file_col: str = "_source_file") -> DataFrame:
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("row_count")).orderBy(file_col)
 
 
+V1_SOURCES = "spark.sql.sources.useV1SourceList"
+FOOTER_COUNTS = "spark.sql.parquet.aggregatePushdown"
+
+
+def partition_row_counts(spark: SparkSession, table_path: str, partition_col: str | None = None) -> DataFrame:
+    """Rows per partition of a Parquet table from its file footers alone (O-3): no data page is read.
+
+    The count is pushed into the scan by Spark's second Parquet reader, which
+    two settings select; they are looked up while the query is planned, so the
+    one row a partition is checkpointed and the settings are put back.
+    """
+    ensure_checkpoint_dir(spark)
+    partition_col = partition_col or MONTH_COL
+    before = {key: spark.conf.get(key) for key in (V1_SOURCES, FOOTER_COUNTS)}
+    try:
+        spark.conf.set(V1_SOURCES, ",".join(s for s in before[V1_SOURCES].split(",") if s != "parquet"))
+        spark.conf.set(FOOTER_COUNTS, "true")
+        return footer_counts(spark.read.parquet(table_path), partition_col).checkpoint(eager=True)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def footer_counts(df: DataFrame, partition_col: str) -> DataFrame:
+    return df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def read_months(
     spark: SparkSession,
     months: Sequence[str],
@@ -131,6 +158,52 @@ def load_months(
     return LoadResult(loaded=todo, skipped=skipped)
 
 
+FILES_SCHEMA = f"path string, length bigint, modified timestamp, {MONTH_COL} string"
+
+
+def source_files(spark: SparkSession, months: Sequence[str], template: str) -> DataFrame:
+    """``path, length, modified, _month`` of every source file of the months that have any: a listing, no file is opened."""
+    found = [(m, p) for m, p in month_paths(template, months).items() if path_exists(spark, p)]
+    listed = [
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(p).select(
+            "path", "length", F.col("modificationTime").alias("modified"), F.lit(m).alias(MONTH_COL))
+        for m, p in found
+    ]
+    return reduce(DataFrame.unionByName, listed) if listed else spark.createDataFrame([], FILES_SCHEMA)
+
+
+def changed_months(files: DataFrame, stored_files: DataFrame) -> list[str]:
+    """Months of which a file is new, gone, or another than the one that was loaded."""
+    names = ["path", "length", "modified", MONTH_COL]
+    months = files.select(MONTH_COL).distinct()
+    known = stored_files.select(*names).join(months, MONTH_COL, "left_semi")  # months not asked for stay as they are
+    new = files.join(known, names, "left_anti").select(MONTH_COL)
+    gone = known.join(files, names, "left_anti").select(MONTH_COL)
+    return sorted(r[0] for r in new.unionByName(gone).distinct().collect())
+
+
+def load_changed_months(spark: SparkSession, months: Sequence[str], template: str, table_path: str) -> LoadResult:
+    """``load_months`` that looks at the files, not at the table's folders (O-4).
+
+    Next to the table, ``<table_path>_files`` keeps path, length and time of
+    every file that was loaded.  A month with a new, removed or rewritten file
+    is loaded again; the others are skipped.  The list of a month is written
+    after its rows, so a load that fails in between is repeated.
+    """
+    known_path = f"{table_path}_files"
+    files = source_files(spark, months, template)
+    known = spark.read.schema(FILES_SCHEMA).parquet(known_path) if path_exists(spark, known_path) else spark.createDataFrame([], FILES_SCHEMA)
+    todo = changed_months(files, known)
+    done = load_months(spark, todo, template, table_path, force=True) if todo else LoadResult([], [])
+    if todo:
+        fresh = files.filter(F.col(MONTH_COL).isin(todo))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH_COL).parquet(known_path)
+    missing = [m for m, p in month_paths(template, months).items() if not path_exists(spark, p)]
+    if missing:
+        raise RuntimeError(f"no file for {missing}; the other months are stored")
+    return LoadResult(loaded=done.loaded, skipped=[m for m in months if m not in todo])
+
+
 _TYPES = {
     "double": T.DoubleType(),
     "float": T.FloatType(),
