@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.helpers import prose
 from tests.llm.test_bpe import library  # noqa: F401
 from tests.llm.test_decontaminate import by_windows
@@ -104,3 +105,16 @@ def test_decontamination_drops_proximity_matches_too(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     clean = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, folder)
     assert {r.doc_id for r in clean.collect()} == {3, 4}
+
+
+def test_stages_keep_every_column_whatever_its_name(spark, folder):
+    clash = {"_row_key": "long", "_key": "string", "_weight": "string", "_drop": "string", "_target": "string", "bucket": "string", "Row_Key": "long", "drop": "int"}
+    docs = table(spark, folder, "documents").where("doc_id < 130 OR doc_id > 155")
+    for k, (name, kind) in enumerate(clash.items()):
+        docs = docs.withColumn(name, (F.col("doc_id") * 10 + k).cast(kind))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.dtypes == docs.dtypes, name
+        rows = out.collect()
+        assert rows and all(str(r[c]) == str(r.doc_id * 10 + k) for r in rows for k, c in enumerate(clash)), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tripmart.llm import linking
 from tripmart.llm.bitmaps import asked, bitmap, spread, spread_column
 from tripmart.llm.linking import Union
-from tripmart.llm.tables import stored
+from tripmart.llm.tables import free_name, stored
 from tripmart.llm.textarrays import LOWER, NON_SPACE_BYTES, mix, shingles, text_chunks, word_hashes
 
 WIDTH = 4
@@ -332,6 +332,6 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
 def drop_near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The first document of each component, with all columns of ``docs``; of rows alike in id and text, one."""
-    kept = classes(docs, width, percent).where("row_key = first").select(F.col("row_key").alias("_row_key"))
-    keyed = docs.withColumn("_row_key", row_key())
-    return keyed.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(docs.columns)
+    key = free_name(docs, "_row_key")
+    kept = classes(docs, width, percent).where("row_key = first").select(F.col("row_key").alias(key))
+    return docs.withColumn(key, row_key()).join(kept, key, "left_semi").dropDuplicates([key]).select(docs.columns)

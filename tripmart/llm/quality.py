@@ -101,8 +101,8 @@ def fit(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS, max_target: in
     return np.log((target + SMOOTHING) / (target.sum() + SMOOTHING * buckets)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * buckets))
 
 
-def scored(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """``docs`` with ``_weight`` (log importance) and ``_key`` (weight plus Gumbel noise), null without tokens."""
+def scored(docs: DataFrame, model: np.ndarray, weight_col: str = "_weight", key_col: str = "_key") -> DataFrame:
+    """``docs`` with the log importance and the key (that plus Gumbel noise), null without tokens."""
     buckets = len(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,10 +112,10 @@ def scored(docs: DataFrame, model: np.ndarray) -> DataFrame:
                 gram, row = _grams(data, offsets, buckets)
                 total = np.bincount(row, model[gram], minlength=hi - lo)
                 weight[lo:hi] = np.where(np.bincount(row, minlength=hi - lo) > 0, total, np.nan)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight, from_pandas=True)], [*batch.schema.names, "_weight"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight, from_pandas=True)], [*batch.schema.names, weight_col])
 
     uniform = (F.pmod(F.xxhash64(F.lit("gumbel"), "doc_id"), F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
-    return docs.mapInArrow(run, f"{_ddl(docs)}, _weight double").withColumn("_key", F.col("_weight") - F.log(-F.log(uniform)))
+    return docs.mapInArrow(run, f"{_ddl(docs)}, `{weight_col}` double").withColumn(key_col, F.col(weight_col) - F.log(-F.log(uniform)))
 
 
 def _ddl(df: DataFrame) -> str:
