@@ -17,6 +17,14 @@ def distance(a, b):
     return row[-1]
 
 
+def limit(chars):
+    """One edit from 20 characters on, and one more with every doubling."""
+    edits = 0
+    while chars >= 20:
+        chars, edits = chars / 2, edits + 1
+    return edits
+
+
 def by_pairs(rows):
     """Numbers of the lines to drop of every distinct (id, text)."""
     places = {}
@@ -34,7 +42,9 @@ def by_pairs(rows):
     for i, a in enumerate(names):
         for j in range(i):
             b = names[j]
-            if min(len(a), len(b)) >= lines.NEAR_BYTES and abs(len(a) - len(b)) <= 2 and find(i) != find(j) and distance(a, b) <= 2:
+            x, y = a.decode(), b.decode()
+            edits = limit(min(len(x), len(y)))
+            if abs(len(x) - len(y)) <= edits and find(i) != find(j) and distance(x, y) <= edits:
                 up[find(i)] = find(j)
     by_class = {}
     for i, a in enumerate(names):
@@ -85,27 +95,83 @@ def test_banded_distance_equals_the_full_one():
     for _ in range(600):
         one = bytes(rng.choice(b"ab") for _ in range(rng.randrange(13)))
         others = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(13))) for _ in range(6)]
-        for edits in (0, 1, 2, 3):
-            got = lines.within_edits(np.frombuffer(one, np.uint8), [np.frombuffer(o, np.uint8) for o in others], edits)
-            assert got.tolist() == [distance(one, o) <= edits for o in others]
+        allowed = [rng.randrange(5) for _ in others]
+        got = lines.within_edits(np.frombuffer(one, np.uint8), [np.frombuffer(o, np.uint8) for o in others], np.array(allowed))
+        assert got.tolist() == [distance(one, o) <= k for o, k in zip(others, allowed, strict=True)]
+    for edits in (7, 15, 16, 20):  # wider than 32 diagonals, too
+        one = [rng.randrange(3) for _ in range(120)]
+        others = []
+        for k in range(30):
+            other = list(one)
+            for _ in range(k):
+                at = rng.randrange(len(other))
+                other[at:at + rng.randrange(2)] = [rng.randrange(3)] * rng.randrange(2)
+            others.append(other)
+        got = lines.within_edits(np.array(one, np.int32), [np.array(o, np.int32) for o in others], np.full(30, edits))
+        assert got.tolist() == [distance(one, o) <= edits for o in others]
+
+
+def edited(rng, line, edits, alphabet):
+    """``line`` after so many random edits of single characters."""
+    line = list(line)
+    for _ in range(edits):
+        at = rng.randrange(len(line))
+        line[at:at + rng.randrange(2)] = rng.choice(alphabet) if rng.random() < 0.6 else ""
+    return "".join(line)
+
+
+def keys_of(texts):
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    bounds = np.cumsum([0, *map(len, texts)])
+    held = {(kind, line): set() for kind in (1, 2) for line in range(len(texts))}
+    for kind, keys, which in lines.segment_keys(Hasher(data), chars, bounds[:-1], np.diff(bounds)):
+        for key, line in zip(keys.tolist(), which.tolist(), strict=True):
+            held[kind, line].add(key)
+    return held
+
+
+def test_limits_and_classes(spark):
+    assert lines.edit_limit(np.arange(6000)).tolist() == [limit(n) for n in range(6000)]
+    table = spark.range(6000).select("id", lines._size_class(F.col("id")).alias("c"))
+    classes = [r.c for r in table.orderBy("id").collect()]
+    assert all(0 <= classes[n + limit(n)] - classes[n] <= 1 for n in range(5900)) and classes == sorted(classes)
 
 
-def test_lines_within_the_edits_share_a_segment():
+def test_lines_within_the_limit_share_a_segment_at_every_length():
     rng = random.Random(5)
-    for _ in range(1000):
-        a = bytes(rng.choice(b"abc") for _ in range(rng.randrange(8, 15)))
-        b = bytearray(a)
-        for _ in range(rng.randrange(3)):
-            at = rng.randrange(len(b))
-            b[at:at + rng.randrange(2)] = bytes(rng.choice(b"abc") for _ in range(rng.randrange(2)))
-        if distance(a, bytes(b)) > 2 or min(len(a), len(b)) < 6:
+    pairs = 0
+    for n in [1, 19, 20, 21, 39, 40, 41, 79, 80, 81, 100, 159, 160, 161, 300, 321, 640, 1279, 1281, 2560, 5000] * 12:
+        alphabet = rng.choice(["ab", "abcé日𝄞"])
+        a = "".join(rng.choice(alphabet) for _ in range(n))
+        b = edited(rng, a, rng.randint(0, limit(n) + 1), alphabet)
+        x, y = sorted((a, b), key=len)
+        if x == y or not x or len(y) - len(x) > limit(len(x)):
             continue
-        data = np.frombuffer(a + bytes(b), np.uint8)
-        held = {(kind, line): set() for kind in (1, 2) for line in (0, 1)}
-        for kind, keys, which in lines.segment_keys(Hasher(data), np.array([0, len(a)]), np.array([len(a), len(data)]), 2, 6):
-            for key, line in zip(keys.tolist(), which.tolist(), strict=True):
-                held[kind, line].add(key)
-        assert held[2, 0] & held[1, 1] or held[2, 1] & held[1, 0]
+        allowed = limit(len(x))
+        code = lambda t: np.array([ord(c) for c in t], np.int32)
+        if lines.within_edits(code(x), [code(y)], np.array([allowed]))[0]:
+            assert n > 1000 or distance(x, y) <= allowed
+            held = keys_of([x, y])
+            assert held[1, 0] & held[2, 1], (n, len(x), len(y))
+            pairs += 1
+        elif n <= 1000:
+            assert distance(x, y) > allowed
+    assert pairs > 80
+
+
+def test_long_and_foreign_lines_are_near(spark):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh éß日") for _ in range(n)).strip() for n in (25, 45, 90, 350, 2000, 5000)]
+    rows = [(k, t) for k, t in enumerate(base)]
+    rows += [(10 + k, edited(rng, t, limit(len(t)) - 1, "xyzü")) for k, t in enumerate(base)]
+    rows += [(20 + k, edited(rng, t, 4 * limit(len(t)) + 6, "0123456789")) for k, t in enumerate(base)]
+    rows += [(30, base[1].replace(base[1][20], "語", 1))]  # one character, three bytes
+    got = {r.doc_id: r.n_dropped for r in lines.line_report(frame(spark, rows)).collect()}
+    drop = by_pairs([r for r in rows if len(r[1]) < 1000])
+    assert {i: n for i, n in got.items() if n} == {i: 1 for i, t in rows if (i, t) in drop} | {14: 1, 15: 1}
+    assert all(got[10 + k] == 1 for k in range(1, 6)) and got[30] == 1
 
 
 def test_lines_are_split_and_trimmed():

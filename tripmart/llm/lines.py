@@ -1,21 +1,22 @@
 """Line dedup by an edit-distance join on partitioned segments.
 
-A line is trimmed of spaces, tabs and carriage returns.  Lines below
-``LEAST_BYTES``, the empty ones, are never dropped.  From ``NEAR_BYTES`` on, lines within an edit
-distance of ``EDITS`` bytes are linked; shorter ones only when equal.  Linked
-lines form classes, and of a class the first line stays, in the order of
+A line is trimmed of spaces, tabs and carriage returns; empty lines are never
+dropped.  Equal lines are linked, and so are lines whose edit distance, in
+characters, is at most the limit of the shorter one: ``edit_limit``, none below
+20 characters, 1 up to 39, 2 up to 79, and one more with every doubling.
+Linked lines form classes, and of a class the first line stays, in the order of
 (doc_id, line number); the others are dropped from their texts.
 
-Candidates come from segments.  A line is cut into ``EDITS`` + 1 even segments.
-If two lines are within ``EDITS`` edits, some segment of the shorter one stands
-unchanged in the longer one.  Each line is indexed by (its length, segment
-number, segment) and probes the index for every length up to ``EDITS`` below its
-own, only with the substrings that a segment can have moved to: for segment i,
-not further than i - 1 edits on its left and EDITS - i + 1 on its right allow.
+Candidates come from segments.  A line with limit k is cut into k + 1 even
+segments.  If another line is not shorter and within k edits, some segment
+stands unchanged in it.  Each line is indexed by (its length, segment number,
+segment) and probes the index for every shorter length whose limit allows the
+difference, only with the substrings that a segment can have moved to: for
+segment i, not further than i edits on its left and k - i on its right allow.
 
 Distinct lines are the nodes of the join; candidates are connected, dealt into
 bounded cells and compared there (see ``linking``) by banded bit-parallel edit
-distance: one small integer per number of edits holds, as bits, which of the
+distance: one integer per number of edits holds, as bits, which of the
 diagonals of the band are reachable, and each character updates all pairs of a
 line at once.
 
@@ -23,7 +24,8 @@ Defined results: a null or empty text has no lines that can be dropped and
 comes back as it is; rows that repeat an id and a text are treated alike; null
 ids come last in the order; an empty table gives an empty result.  Lines are
 told apart by 64-bit hashes.  Other columns of ``docs`` pass through
-``drop_repeated_lines`` and are not read by ``line_report``.
+``drop_repeated_lines``, whatever their names, and are not read by
+``line_report``.
 """
 
 from __future__ import annotations
@@ -40,12 +42,15 @@ from pyspark.sql import functions as F
 from tripmart.llm import linking
 from tripmart.llm.bitmaps import asked, bitmap, spread, spread_column
 from tripmart.llm.linking import Union
-from tripmart.llm.tables import stored
+from tripmart.llm.tables import free_name, stored
 from tripmart.llm.textarrays import Hasher, mix, text_chunks
 
-EDITS = 2
 LEAST_BYTES = 1
-NEAR_BYTES = 40
+#: Half the characters from which on one edit is allowed.
+EDIT_CHARS = 10
+#: Lines of 2**32 bytes don't exist in a text, so no limit is beyond this.
+MOST_EDITS = 31
+_LIMIT_STARTS = EDIT_CHARS << np.arange(1, MOST_EDITS + 1, dtype=np.int64)
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0D]] = True
@@ -86,28 +91,39 @@ def segments(length: np.ndarray, pieces: int) -> tuple[np.ndarray, np.ndarray]:
     return number * base + np.maximum(0, number - (pieces - more)), size
 
 
-def segment_keys(hasher: Hasher, starts: np.ndarray, ends: np.ndarray, edits: int, near_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(1 to index or 2 to probe, keys, line index) of the lines long enough to have near lines."""
-    lines = np.flatnonzero(ends - starts >= near_bytes)
-    starts, length = starts[lines], (ends - starts)[lines]
-    for shorter in range(edits + 1):
+def edit_limit(chars: np.ndarray) -> np.ndarray:
+    """Edits that a line of so many characters may be away from one that is not shorter."""
+    return np.searchsorted(_LIMIT_STARTS, chars, "right")
+
+
+def segment_keys(hasher: Hasher, chars: np.ndarray, first: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(1 to index or 2 to probe, keys, line index) of the lines that may have near ones.
+
+    ``chars`` holds where each character begins, ``first`` and ``length`` which
+    characters a line has.
+    """
+    most = edit_limit(length)
+    for shorter in range(int(most.max(initial=0)) + 1):
         other = length - shorter
-        at, size = segments(other, edits + 1)
-        for i in range(edits + 1):
-            low = max(-i, shorter - (edits - i))
-            high = min(i, shorter + (edits - i))
-            for move in range(low, high + 1):
-                begin = at[i] + move
-                fits = (other >= near_bytes) & (begin >= 0) & (begin + size[i] <= length)
-                begin = starts[fits] + begin[fits]
-                name = (other[fits] * (edits + 1) + i).astype(np.uint64)
-                keys = mix(hasher.spans(begin, begin + size[i][fits]) + name * np.uint64(0x9E3779B97F4A7C15))
-                yield 2, keys, lines[fits]
-                if shorter == 0 and move == 0:
-                    yield 1, keys, lines[fits]
-
-
-def _parts(docs: DataFrame, buckets: int, edits: int, least_bytes: int, near_bytes: int) -> DataFrame:
+        limit = edit_limit(other)
+        for edits in range(max(1, shorter), int(limit.max(initial=0)) + 1):
+            lines = np.flatnonzero(limit == edits)
+            at, size = segments(other[lines], edits + 1)
+            for i in range(edits + 1):
+                low = max(-i, shorter - (edits - i))
+                high = min(i, shorter + (edits - i))
+                name = mix((other[lines] * (edits + 1) + i).astype(np.uint64))
+                for move in range(low, high + 1):
+                    begin = at[i] + move
+                    fits = (begin >= 0) & (begin + size[i] <= length[lines])
+                    begin = first[lines[fits]] + begin[fits]
+                    keys = mix(hasher.spans(chars[begin], chars[begin + size[i][fits]]) + name[fits])
+                    yield 2, keys, lines[fits]
+                    if shorter == 0 and move == 0:
+                        yield 1, keys, lines[fits]
+
+
+def _parts(docs: DataFrame, buckets: int, least_bytes: int) -> DataFrame:
     """Segment keys of all lines, and as info columns (row key, doc_id, line number, line hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,11 +143,14 @@ def _parts(docs: DataFrame, buckets: int, edits: int, least_bytes: int, near_byt
                 fresh, first = np.unique(node, return_index=True)
                 first = first[~np.isin(fresh, emitted)]
                 emitted = np.union1d(emitted, fresh)  # one batch sends a line's keys once
-                for kind, keys, which in segment_keys(hasher, starts[first], ends[first], edits, near_bytes):
+                chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+                begin = np.searchsorted(chars, starts[first])
+                length = np.searchsorted(chars, ends[first]) - begin
+                for kind, keys, which in segment_keys(hasher, chars, begin, length):
                     keyed[kind].append((keys, node[first][which]))
             if info:
                 rows_out = [linking.info_part(number, *(np.concatenate(c) for c in zip(*info, strict=True)))]
-                for kind, found in keyed.items():
+                for kind, found in ((k, f) for k, f in keyed.items() if f):
                     keys, nodes = (np.concatenate(c) for c in zip(*found, strict=True))
                     rows_out += linking.parts_of(keys, nodes, None, kind, buckets)
                 yield linking.part_batch(rows_out)
@@ -158,46 +177,54 @@ def _segment_edges(by_kind: dict) -> tuple[np.ndarray, np.ndarray]:
     return probing[hit], hub[at[hit]]
 
 
-def within_edits(one: np.ndarray, others: list[np.ndarray], edits: int) -> np.ndarray:
-    """Whether each of ``others`` is within ``edits`` edits of ``one`` (byte arrays), in a band of diagonals."""
+def within_edits(one: np.ndarray, others: list[np.ndarray], edits: np.ndarray) -> np.ndarray:
+    """Whether each of ``others`` is within its number of ``edits`` of ``one`` (arrays of characters), in a band of diagonals."""
     m, n = len(one), np.array([len(o) for o in others])
     out = np.abs(n - m) <= edits
     keep = np.flatnonzero(out)
     if not len(keep):
         return out
-    longest = int(n[keep].max())
-    width = 2 * edits + 1
-    text = np.full((len(keep), longest), 257, np.int16)
+    # what all of them begin with alike costs nothing
+    alike = min(m, int(n[keep].min()))
+    for k in keep:
+        differ = np.flatnonzero(one[:alike] != others[k][:alike])
+        alike = int(differ[0]) if len(differ) else alike
+    one, m, lengths, allowed = one[alike:], m - alike, n[keep] - alike, edits[keep]
+    most, longest = int(allowed.max()), int(lengths.max())
+    width = 2 * most + 1
+    kind = np.uint32 if width <= 32 else np.uint64
+    text = np.full((len(keep), longest), -1, np.int32)
     for row, k in enumerate(keep):
-        text[row, :n[k]] = others[k]
-    # bit b of a mask after t characters: t + b - edits characters of ``one`` are matched
-    padded = np.full(longest + 2 * width + m, 258, np.int16)
-    padded[edits:edits + m] = one
-    equal = np.zeros((len(keep), longest), np.uint32)
+        text[row, :lengths[row]] = others[k][alike:]
+    # bit b of a mask after t characters: t + b - most characters of ``one`` are matched
+    padded = np.full(longest + 2 * width + m, -2, np.int32)
+    padded[most:most + m] = one
+    equal = np.zeros((longest, len(keep)), kind)
     for b in range(width):
-        equal |= (text == padded[None, b:b + longest]).astype(np.uint32) << np.uint32(b)
-    band = np.uint32((1 << width) - 1)
-    one_bit = np.uint32(1)
-    state = [np.full(len(keep), (1 << edits + k + 1) - (1 << edits), np.uint32) for k in range(edits + 1)]
+        equal |= (text == padded[None, b:b + longest]).T.astype(kind) << kind(b)
+    band = kind((1 << width) - 1)
+    one_bit = kind(1)
+    state = [np.full(len(keep), ((1 << most + k + 1) - (1 << most)) & int(band), kind) for k in range(most + 1)]
     fine = np.zeros(len(keep), bool)
-    lengths = n[keep]
 
     def capture(t: int) -> None:
+        place = m - t + most
+        reached = np.zeros(len(keep), bool)
+        for k in range(most + 1):
+            reached |= (state[k] >> kind(place) & one_bit == 1) & (allowed >= k) if 0 <= place < width else False
         done = lengths == t
-        if done.any():
-            reached = np.bitwise_or.reduce(state)
-            fine[done] = (reached[done] >> np.uint32(m - t + edits)) & one_bit == 1
+        fine[done] = reached[done]
 
     ends = set(lengths.tolist())
     for t in range(longest):
         if t in ends:
             capture(t)
-        match = equal[:, t]
+        match = equal[t]
         fresh = [state[0] & match]
-        for k in range(1, edits + 1):
+        for k in range(1, most + 1):
             fresh.append(((state[k] & match) | state[k - 1] | (state[k - 1] >> one_bit) | (fresh[k - 1] << one_bit)) & band)
         state = fresh
-        if not state[edits].any():
+        if not state[most].any():
             break
     else:
         capture(longest)
@@ -205,23 +232,38 @@ def within_edits(one: np.ndarray, others: list[np.ndarray], edits: int) -> np.nd
     return out
 
 
-def near_lines(edits: int):
-    def links(contents: list[bytes], split: int, seen: Union) -> Iterator[tuple[int, int]]:
-        lines = [np.frombuffer(c, np.uint8) for c in contents]
-        length = np.array([len(c) for c in lines])
-        counts = np.stack([np.bincount(c, minlength=256) for c in lines]).astype(np.int32)
-        for i in range(split or len(lines)):
-            later = np.arange(split or i + 1, len(lines))
-            later = later[np.abs(length[later] - length[i]) <= edits]
-            # an edit changes at most two byte counts by one each
-            later = later[np.abs(counts[later] - counts[i]).sum(axis=1) <= 2 * edits]
-            later = [j for j in later.tolist() if seen.find(i) != seen.find(j)]
-            if later:
-                for j, near in zip(later, within_edits(lines[i], [lines[j] for j in later], edits).tolist(), strict=True):
-                    if near:
-                        yield i, j
-
-    return links
+def near_lines(contents: list[bytes], split: int, seen: Union) -> Iterator[tuple[int, int]]:
+    """Index pairs of lines that are within the limit of the shorter one."""
+    lines = [np.frombuffer(c.decode().encode("utf-32-le"), "<i4") for c in contents]
+    length = np.array([len(c) for c in lines])
+    limit = edit_limit(length)
+    counts = np.stack([np.bincount(c & 0xFF, minlength=256) for c in lines]).astype(np.int32)
+    for i in range(split or len(lines)):
+        later = np.arange(split or i + 1, len(lines))
+        allowed = np.minimum(limit[later], limit[i])
+        # an edit changes at most two character counts by one each
+        able = (np.abs(length[later] - length[i]) <= allowed) & (np.abs(counts[later] - counts[i]).sum(axis=1) <= 2 * allowed)
+        later = [j for j in later[able].tolist() if seen.find(i) != seen.find(j)]
+        if later:
+            allowed = np.minimum(limit[later], limit[i])
+            for j, near in zip(later, within_edits(lines[i], [lines[j] for j in later], allowed).tolist(), strict=True):
+                if near:
+                    yield i, j
+
+
+def _size_class(chars: Column) -> Column:
+    """Classes of lengths: two lines within their limit are in the same or in neighbouring ones.
+
+    Between two doublings a class is as wide as the limit and one more; the
+    last one takes what is left over, so no pair skips a class.
+    """
+    classes, before = F.lit(0), 1
+    for k in range(1, MOST_EDITS + 1):
+        start = int(_LIMIT_STARTS[k - 1])
+        n = start // (k + 1)  # of the lengths from ``start`` to twice that
+        classes = F.when(chars >= start, F.least(F.floor((chars - start) / (k + 1)), F.lit(n - 1)) + before).otherwise(classes)
+        before += n
+    return classes.cast("long")
 
 
 def _line_contents(docs: DataFrame, marks: np.ndarray, least_bytes: int) -> DataFrame:
@@ -244,10 +286,10 @@ def _line_contents(docs: DataFrame, marks: np.ndarray, least_bytes: int) -> Data
     return docs.select("text", _key(docs).alias("row_key")).mapInArrow(run, "node long, row_key long, line long, content binary")
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, least_bytes: int = LEAST_BYTES, near_bytes: int = NEAR_BYTES) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """``row_key, drop``: per row (by the hash of its id and text) the numbers of the lines to drop."""
     buckets = linking.bucket_count(docs)
-    found = stored(linking.met(_parts(docs, buckets, edits, least_bytes, near_bytes), _segment_edges, "<i1"), "line_candidates")
+    found = stored(linking.met(_parts(docs, buckets, least_bytes), _segment_edges, "<i1"), "line_candidates")
     info = found.where("kind = 0").select(F.col("a").alias("row_key"), F.col("b").alias("id"), F.col("c").alias("line"), F.col("d").alias("node"))
 
     near = linking.components(found.where("kind = 1").select("a", "b"))
@@ -257,9 +299,9 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_bytes: int = LEAST
     marks = bitmap(place.select(spread_column(F.col("node"), F.col("row_key"), F.col("line")).alias("place")), "place")
     contents = _line_contents(docs, marks, least_bytes).join(place, ["node", "row_key", "line"]).dropDuplicates(["node"])
     contents = stored(contents.select("node", "root", "content"), "line_contents")
-    size = F.length("content")
-    dealt = linking.cells(contents.select("node", "root", (size / (edits + 1)).cast("int").alias("size_class"), size.cast("long").alias("bytes")))
-    links = linking.verified(dealt.join(contents.select("node", "content"), "node"), near_lines(edits))
+    chars = F.length(F.col("content").cast("string"))
+    dealt = linking.cells(contents.select("node", "root", _size_class(chars).alias("size_class"), F.length("content").cast("long").alias("bytes")))
+    links = linking.verified(dealt.join(contents.select("node", "content"), "node"), near_lines)
 
     of_node = linking.components(links).withColumnRenamed("root", "class")
     classed = info.join(of_node, "node", "left").select("row_key", "id", "line", F.coalesce("class", "node").alias("class"))
@@ -267,6 +309,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_bytes: int = LEAST
     many = classed.groupBy("class").agg(
         F.min(F.struct("id", "row_key", "line")).alias("first"), F.max(F.struct("id", "row_key", "line")).alias("last")
     ).where("first <> last")
+    many = stored(many, "line_classes")  # a table of its own, so that the join can split a class that many lines share
     extra = classed.join(many, "class").where(F.struct("id", "row_key", "line") != F.col("first"))
     return extra.groupBy("row_key").agg(F.array_sort(F.collect_set("line")).alias("drop"))
 
@@ -286,24 +329,25 @@ def drop_repeated_lines(docs: DataFrame, drop_emptied: bool = True, **limits: in
     With ``drop_emptied``, rows that lose all their text go.
     """
     columns = docs.columns
-    keyed = docs.withColumn("_row_key", _key(docs)).join(repeated_lines(docs, **limits).withColumnsRenamed({"row_key": "_row_key", "drop": "_drop"}), "_row_key", "left")
+    key, drop = free_name(docs, "_row_key"), free_name(docs, "_drop")
+    keyed = docs.withColumn(key, _key(docs)).join(repeated_lines(docs, **limits).withColumnsRenamed({"row_key": key, "drop": drop}), key, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_without(t.as_py(), d.as_py())[0] for t, d in zip(batch.column("text"), batch.column("_drop"), strict=True)]
-            emptied = np.array([d.is_valid and not (t or "").strip() for t, d in zip(texts, batch.column("_drop"), strict=True)], bool)
+            texts = [_without(t.as_py(), d.as_py())[0] for t, d in zip(batch.column("text"), batch.column(drop), strict=True)]
+            emptied = np.array([d.is_valid and not (t or "").strip() for t, d in zip(texts, batch.column(drop), strict=True)], bool)
             table = pa.Table.from_batches([batch]).select(columns)
             table = table.set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
             if "n_chars" in columns:
                 kind = table.schema.field("n_chars").type
-                changed = [len(t) if d.is_valid else n.as_py() for t, d, n in zip(texts, batch.column("_drop"), batch.column("n_chars"), strict=True)]
+                changed = [len(t) if d.is_valid else n.as_py() for t, d, n in zip(texts, batch.column(drop), batch.column("n_chars"), strict=True)]
                 table = table.set_column(columns.index("n_chars"), "n_chars", pa.array(changed, kind))
             if drop_emptied:
                 table = table.filter(pa.array(~emptied))
             yield from table.combine_chunks().to_batches()
 
     ddl = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    return keyed.select(*columns, "_drop").mapInArrow(run, ddl)
+    return keyed.select(*columns, drop).mapInArrow(run, ddl)
 
 
 def line_report(docs: DataFrame, **limits: int) -> DataFrame:
