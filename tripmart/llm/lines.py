@@ -3,7 +3,8 @@
 A line is trimmed of spaces, tabs and carriage returns; empty lines are never
 dropped.  Equal lines are linked, and so are lines whose edit distance, in
 characters, is at most the limit of the shorter one: ``edit_limit``, none below
-20 characters, 1 up to 39, 2 up to 79, and one more with every doubling.
+20 characters, 1 up to 39, 2 up to 319, 3 up to 1279, and one more with every
+fourfold length.
 Linked lines form classes, and of a class the first line stays, in the order of
 (doc_id, line number); the others are dropped from their texts.
 
@@ -46,11 +47,8 @@ from tripmart.llm.tables import free_name, stored
 from tripmart.llm.textarrays import Hasher, mix, text_chunks
 
 LEAST_BYTES = 1
-#: Half the characters from which on one edit is allowed.
-EDIT_CHARS = 10
-#: Lines of 2**32 bytes don't exist in a text, so no limit is beyond this.
-MOST_EDITS = 31
-_LIMIT_STARTS = EDIT_CHARS << np.arange(1, MOST_EDITS + 1, dtype=np.int64)
+#: Characters from which on a line may be 1, 2, 3 ... edits away; on to lengths that no text has.
+LIMIT_STARTS = np.array([20, 40, *(80 << 2 * k for k in range(1, 20))], np.int64)
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0D]] = True
@@ -93,7 +91,7 @@ def segments(length: np.ndarray, pieces: int) -> tuple[np.ndarray, np.ndarray]:
 
 def edit_limit(chars: np.ndarray) -> np.ndarray:
     """Edits that a line of so many characters may be away from one that is not shorter."""
-    return np.searchsorted(_LIMIT_STARTS, chars, "right")
+    return np.searchsorted(LIMIT_STARTS, chars, "right")
 
 
 def segment_keys(hasher: Hasher, chars: np.ndarray, first: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -254,13 +252,13 @@ def near_lines(contents: list[bytes], split: int, seen: Union) -> Iterator[tuple
 def _size_class(chars: Column) -> Column:
     """Classes of lengths: two lines within their limit are in the same or in neighbouring ones.
 
-    Between two doublings a class is as wide as the limit and one more; the
-    last one takes what is left over, so no pair skips a class.
+    Among lengths of one limit a class is as wide as the limit and one more;
+    the last one takes what is left over, so no pair skips a class.
     """
     classes, before = F.lit(0), 1
-    for k in range(1, MOST_EDITS + 1):
-        start = int(_LIMIT_STARTS[k - 1])
-        n = start // (k + 1)  # of the lengths from ``start`` to twice that
+    starts = LIMIT_STARTS.tolist()
+    for k, (start, end) in enumerate(zip(starts, [*starts[1:], 4 * starts[-1]], strict=True), 1):
+        n = (end - start) // (k + 1)
         classes = F.when(chars >= start, F.least(F.floor((chars - start) / (k + 1)), F.lit(n - 1)) + before).otherwise(classes)
         before += n
     return classes.cast("long")
