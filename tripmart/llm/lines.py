@@ -47,6 +47,8 @@ from tripmart.llm.tables import free_name, stored
 from tripmart.llm.textarrays import Hasher, mix, text_chunks
 
 LEAST_BYTES = 1
+#: Bytes of text whose keys a task holds before it sends them.
+SENT_BYTES = 4 << 20
 #: Characters from which on a line may be 1, 2, 3 ... edits away; on to lengths that no text has.
 LIMIT_STARTS = np.array([20, 40, *(80 << 2 * k for k in range(1, 20))], np.int64)
 
@@ -121,6 +123,15 @@ def segment_keys(hasher: Hasher, chars: np.ndarray, first: np.ndarray, length: n
                         yield 1, keys, lines[fits]
 
 
+def _sent(number: int, info: list, keyed: dict[int, list], buckets: int) -> pa.RecordBatch:
+    rows = [linking.info_part(number, *(np.concatenate(c) for c in zip(*info, strict=True)))]
+    for kind, found in keyed.items():
+        if found:
+            keys, nodes = (np.concatenate(c) for c in zip(*found, strict=True))
+            rows += linking.parts_of(keys, nodes, None, kind, buckets)
+    return linking.part_batch(rows)
+
+
 def _parts(docs: DataFrame, buckets: int, least_bytes: int) -> DataFrame:
     """Segment keys of all lines, and as info columns (row key, doc_id, line number, line hash)."""
 
@@ -129,9 +140,9 @@ def _parts(docs: DataFrame, buckets: int, least_bytes: int) -> DataFrame:
         for batch in batches:
             ids = np.asarray(batch.column(0).fill_null(_LAST_ID))
             row_keys = np.asarray(batch.column(2))
-            info, keyed = [], {1: [], 2: []}
+            info, keyed, held = [], {1: [], 2: []}, 0
             emitted = np.zeros(0, np.int64)
-            for lo, _, data, offsets in text_chunks(batch.column(1)):
+            for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 starts, ends, rows, line = split_lines(data, offsets)
                 long = ends - starts >= least_bytes
                 starts, ends, rows, line = starts[long], ends[long], rows[long] + lo, line[long]
@@ -146,13 +157,10 @@ def _parts(docs: DataFrame, buckets: int, least_bytes: int) -> DataFrame:
                 length = np.searchsorted(chars, ends[first]) - begin
                 for kind, keys, which in segment_keys(hasher, chars, begin, length):
                     keyed[kind].append((keys, node[first][which]))
-            if info:
-                rows_out = [linking.info_part(number, *(np.concatenate(c) for c in zip(*info, strict=True)))]
-                for kind, found in ((k, f) for k, f in keyed.items() if f):
-                    keys, nodes = (np.concatenate(c) for c in zip(*found, strict=True))
-                    rows_out += linking.parts_of(keys, nodes, None, kind, buckets)
-                yield linking.part_batch(rows_out)
-            number += 1
+                held += len(data)
+                if held >= SENT_BYTES or hi == batch.num_rows:
+                    yield _sent(number, info, keyed, buckets)
+                    info, keyed, held, number = [], {1: [], 2: []}, 0, number + 1
 
     return docs.select(F.col("doc_id").cast("long"), "text", _key(docs).alias("row_key")).mapInArrow(run, linking.PART_SCHEMA)
 
