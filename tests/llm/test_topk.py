@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from tripmart.llm import topk
 
@@ -48,3 +49,34 @@ def test_empty_tables(spark):
     assert topk.exact_top_k(v, v.limit(0)).collect() == []
     assert topk.exact_top_k(v.limit(0), v.limit(0)).collect() == []
     assert topk.exact_top_k(v, v).collect() == []
+
+
+def cells(rng, n, width, spread):
+    """Vectors whose lengths and whose slices' lengths differ by powers of ``spread``."""
+    scale = spread ** rng.normal(size=(n, 4)).repeat(width // 4, axis=1)
+    return np.floor(256 * rng.normal(size=(n, width)) * scale)
+
+
+@pytest.mark.parametrize("spread, share", [(1.0, 1.1), (3.0, 0.6)])
+def test_the_phases_take_fewer_products_than_all_pairs(spread, share):
+    """Where slices differ in length, thresholds rule out the tails of the lists; elsewhere the head is all there is to add."""
+    rng = np.random.default_rng(5)
+    rows, ids = cells(rng, 6000, 32, spread), np.arange(6000)
+    asks = ids[::30]
+    queries = rows[asks]
+    line, at, scores, first = topk.gathered(asks, queries, ids, rows, 5, head=64)
+    exact = queries @ rows.T
+    assert (scores == exact[line, at]).all() and (asks[line] != ids[at]).all()
+    cutoffs = [int(np.sort(scores[line == k])[-5]) for k in range(len(asks))]
+    line, at, scores, second = topk.sufficient(asks, queries, ids, rows, cutoffs, 5)
+    exact[np.arange(len(asks)), asks] = -np.inf
+    for k in range(len(asks)):
+        best = np.lexsort((ids, -exact[k]))[:5]
+        assert at[line == k].tolist() == best.tolist() and scores[line == k].tolist() == exact[k, best].tolist()
+    assert first + second < share * queries.shape[0] * rows.size
+
+
+def test_a_cell_without_cutoffs_gives_all_it_has():
+    rows = np.array([[1.0, 2.0], [0.0, 0.0], [-3.0, 1.0]])
+    line, at, scores, _ = topk.sufficient(np.array([7]), np.array([[1.0, -1.0]]), np.array([1, 2, 7]), rows, [None], 5)
+    assert (line.tolist(), at.tolist(), scores.tolist()) == ([0, 0], [1, 0], [0.0, -1.0])
