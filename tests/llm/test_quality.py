@@ -1,6 +1,12 @@
+import itertools
 import math
 import random
+import re
+import struct
+from collections import Counter
 
+import pytest
+import xxhash
 from tests.llm.helpers import frame, mixed_rows, prose
 from tripmart.llm import quality
 
@@ -57,3 +63,58 @@ def test_every_kind_of_row_and_empty_tables(spark):
     assert quality.importance_sample(frame(spark, []), labels_of(spark, labels)).collect() == []
     everything = quality.importance_sample(frame(spark, rows), labels_of(spark, [])).collect()
     assert all(r.selected == (r.log_weight is not None) for r in everything)
+
+
+def by_hand(rows, labels, share):
+    """The whole query in plain Python, with n-grams themselves in place of their buckets."""
+
+    def grams(text):
+        tokens = re.findall(r"[a-z0-9]+|[^a-z0-9\s]+", (text or "").lower())
+        pairs = list(itertools.pairwise(tokens))
+        return [*tokens, *pairs, *("again:" for a, b in pairs if a == b)]
+
+    def noise(doc_id):
+        seed = xxhash.xxh64_intdigest(b"gumbel", seed=42)
+        value = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=seed)
+        value -= (value >> 63) << 64
+        return -math.log(-math.log((value % ((1 << 52) - 1) + 0.5) / 2.0**52))
+
+    good = {i for i, q in labels if q == 1}
+    raw = Counter(g for _, text in rows for g in grams(text))
+    target = Counter(g for i, text in rows if i in good for g in grams(text))
+    bottom = [math.log(sum(c.values()) + quality.BUCKETS) for c in (target, raw)]
+    ratio = {g: (math.log(target[g] + 1) - bottom[0]) - (math.log(raw[g] + 1) - bottom[1]) if target else 0.0 for g in raw}
+    weights = [(i, sum(ratio[g] for g in grams(text)) if grams(text) else None) for i, text in rows]
+    keys = [(i, w, None if w is None else w + noise(i)) for i, w in weights]
+    known = sorted((key for *_, key in keys if key is not None), reverse=True)
+    least = known[math.ceil(len(known) * share) - 1]
+    return sorted((i, w is not None and key >= least, w, key) for i, w, key in keys)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 1.0])
+def test_the_whole_query_equals_plain_counting(spark, share):
+    rng = random.Random(8)
+    words = ["river", "stone", "Bread", "and", "9", "!?", "--"]
+    rows = [(k, " ".join(rng.choice(words[:4] if k % 3 else words) for _ in range(rng.randint(1, 30)))) for k in range(60)]
+    rows += [(70, rows[1][1]), (71, rows[1][1]), (1, rows[1][1])]  # copies, one of them of a whole row
+    rows += [(80, "river " * 3000), (81, "stone!?" * 900)]
+    labels = [(k, int(k % 3 > 0)) for k in range(40)] + [(80, 1), (1, 1), (999, 1)]
+    out = quality.importance_sample(frame(spark, rows), labels_of(spark, labels), share).collect()
+    got = sorted((r.doc_id, r.selected, r.log_weight, r.key) for r in out)
+    for a, b in zip(got, by_hand(rows, labels, share), strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("share", [0.3, 0.9])
+def test_ties_with_the_kth_key_are_all_selected(spark, share):
+    rows, labels = [(5, "a river of stones")] * 4 + [(6, "###"), (7, "### ###")], [(5, 1)]
+    out = quality.importance_sample(frame(spark, rows), labels_of(spark, labels), share).collect()
+    assert sorted((r.doc_id, r.selected) for r in out) == [x[:2] for x in by_hand(rows, labels, share)]
+    assert len({r.selected for r in out if r.doc_id == 5}) == 1
+
+
+def test_every_good_label_counts_and_buckets_grow(spark):
+    rows = [(k, f"w{k}") for k in range(300)]
+    model = quality.fit(frame(spark, rows), labels_of(spark, [(k, 1) for k in range(300)] * 2))
+    assert abs(model).max() < 1e-12  # target and raw are the same texts, whatever their number
+    assert [quality.buckets_for(n) for n in (0, 65_535, 65_536, 500_000, 10**12)] == [1 << 14, 1 << 14, 1 << 15, 1 << 17, 1 << 18]

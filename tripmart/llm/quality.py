@@ -15,9 +15,12 @@ The k-th largest key is found by counting the keys in equal bins, then those of
 the bin that holds rank k in equal bins again, until that bin holds one value:
 a few small counts, no sort and no collected rows.
 
-The target model is counted over at most ``MAX_TARGET`` labelled documents,
-those with the smallest hashed ids, whose ids are broadcast; raw counts, scores
-and the cutoff cover all documents.
+Both models cover all they are about: the target model every document that is
+labelled good, found by a join that Spark plans by the size of the labels, the
+raw model every document.  The buckets grow with the corpus, one for every
+``DOCS_PER_BUCKET`` documents in powers of two from ``BUCKETS`` on, up to
+``MAX_BUCKETS``, which bounds the model that every task receives (2 MB) and what
+a task sends of its counts; beyond, more n-grams share a bucket.
 
 Defined results: a null, empty or blank text has no tokens, a null weight and is
 never selected, nor counted in k; documents that tie with the k-th key are all
@@ -40,7 +43,8 @@ from tripmart.llm.tables import stored
 from tripmart.llm.textarrays import BYTE_VALUES, LOWER, NON_SPACE_BYTES, WORD_BYTES, Hasher, mix, text_chunks
 
 BUCKETS = 1 << 14
-MAX_TARGET = 20_000
+DOCS_PER_BUCKET = 4
+MAX_BUCKETS = 1 << 18
 #: Added to every bucket of either model.
 SMOOTHING = 1.0
 
@@ -70,35 +74,42 @@ def _grams(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndar
     return (grams % np.uint64(buckets)).astype(np.int64), np.concatenate([rows, rows[1:][same_text], rows[1:][again]])
 
 
-def bucket_counts(docs: DataFrame, flag: str, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, target, raw``: n-grams of flagged and of all rows of ``docs(text, <flag>)``."""
+def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, n``: the n-grams of all rows of ``texts(text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, buckets), np.int64)
+        counts = np.zeros(buckets, np.int64)
         for batch in batches:
-            flags = np.asarray(batch.column(1).fill_null(False))
-            for lo, hi, data, offsets in text_chunks(batch.column(0)):
-                gram, row = _grams(data, offsets, buckets)
-                counts[1] += np.bincount(gram, minlength=buckets)
-                counts[0] += np.bincount(gram[flags[lo:hi][row]], minlength=buckets)
-        full = np.flatnonzero(counts[1])
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(counts[0][full]), pa.array(counts[1][full])], ["bucket", "target", "raw"])
+            for _, _, data, offsets in text_chunks(batch.column(0)):
+                counts += np.bincount(_grams(data, offsets, buckets)[0], minlength=buckets)
+        full = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(counts[full])], ["bucket", "n"])
+
+    return texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def buckets_for(documents: int) -> int:
+    """The buckets of the models for that many documents: a power of two."""
+    return min(MAX_BUCKETS, max(BUCKETS, 1 << (documents // DOCS_PER_BUCKET).bit_length()))
+
 
-    parts = docs.select("text", flag).mapInArrow(run, "bucket long, target long, raw long")
-    return parts.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
+def _probabilities(texts: DataFrame, buckets: int) -> np.ndarray:
+    """Log probability of each bucket, smoothed; none for texts without n-grams."""
+    found = bucket_counts(texts, buckets).toArrow()  # at most one row a bucket
+    counts = np.zeros(buckets)
+    counts[np.asarray(found["bucket"])] = np.asarray(found["n"])
+    return np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * buckets)) if counts.any() else np.zeros(0)
 
 
-def fit(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS, max_target: int = MAX_TARGET) -> np.ndarray:
+def fit(docs: DataFrame, good: DataFrame, buckets: int | None = None) -> np.ndarray:
     """Log ratio of target to raw probability per bucket; ``good(doc_id)`` names the target documents."""
-    sample = good.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target)
-    flagged = docs.join(F.broadcast(sample.withColumn("_target", F.lit(True))), "doc_id", "left")
-    rows = bucket_counts(flagged, "_target", buckets).collect()  # at most one row a bucket
-    target, raw = np.zeros(buckets), np.zeros(buckets)
-    for row in rows:
-        target[row["bucket"]], raw[row["bucket"]] = row["target"], row["raw"]
-    if not target.sum():
+    buckets = buckets or buckets_for(docs.count())
+    # stored, so that the join knows the size of the ids and may split a hot one
+    ids = stored(good.where("doc_id is not null").select("doc_id").distinct(), "good_ids")
+    target = _probabilities(docs.join(ids, "doc_id", "left_semi"), buckets)
+    if not len(target):
         return np.zeros(buckets)
-    return np.log((target + SMOOTHING) / (target.sum() + SMOOTHING * buckets)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * buckets))
+    return target - _probabilities(docs, buckets)
 
 
 def scored(docs: DataFrame, model: np.ndarray, weight_col: str = "_weight", key_col: str = "_key") -> DataFrame:
