@@ -3,9 +3,11 @@
 A page is read once into a flat list of text blocks: the text between two tags
 that begin or end a block.  Each block is described by its words and link
 density, the same of its neighbours before and after, and by where it stands
-(innermost container of a known kind, heading, list item, form control).  A
+(heading, list item, innermost container whose name tells something).  A
 decision tree, trained on the small labelled table of ``labelled_pages``,
-tells the article's blocks from the rest.
+tells the article's blocks from the rest.  A container of the frame settles
+it; anywhere else links and words of a block and its neighbours do, so lists of
+links go from inside an article, too, and no named container is needed.
 
 Scripts, styles, comments and the head give no blocks.  Character references
 are decoded once, white space inside a block becomes one space, and blocks are
@@ -182,7 +184,7 @@ class Node:
     high: Node | None = None
 
 
-def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, min_leaf: int = 2) -> Node:
+def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, min_leaf: int = 3) -> Node:
     """Grow a tree by the largest drop in Gini impurity."""
     node = Node(float(y.mean()) if len(y) else 0.0)
     if depth == 0 or len(y) < 2 * min_leaf or node.share in (0.0, 1.0):
