@@ -17,10 +17,9 @@ a few small counts, no sort and no collected rows.
 
 Both models cover all they are about: the target model every document that is
 labelled good, found by a join that Spark plans by the size of the labels, the
-raw model every document.  The buckets grow with the corpus, one for every
-``DOCS_PER_BUCKET`` documents in powers of two from ``BUCKETS`` on, up to
-``MAX_BUCKETS``, which bounds the model that every task receives (2 MB) and what
-a task sends of its counts; beyond, more n-grams share a bucket.
+raw model every document.  The number of buckets is fixed: a task sends at most
+a count per bucket, so that counts grow with the input alone, and every task
+receives the model (half a megabyte).
 
 Defined results: a null, empty or blank text has no tokens, a null weight and is
 never selected, nor counted in k; documents that tie with the k-th key are all
@@ -42,9 +41,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.tables import stored
 from tripmart.llm.textarrays import BYTE_VALUES, LOWER, NON_SPACE_BYTES, WORD_BYTES, Hasher, mix, text_chunks
 
-BUCKETS = 1 << 14
-DOCS_PER_BUCKET = 4
-MAX_BUCKETS = 1 << 18
+BUCKETS = 1 << 16
 #: Added to every bucket of either model.
 SMOOTHING = 1.0
 
@@ -88,11 +85,6 @@ def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def buckets_for(documents: int) -> int:
-    """The buckets of the models for that many documents: a power of two."""
-    return min(MAX_BUCKETS, max(BUCKETS, 1 << (documents // DOCS_PER_BUCKET).bit_length()))
-
-
 def _probabilities(texts: DataFrame, buckets: int) -> np.ndarray:
     """Log probability of each bucket, smoothed; none for texts without n-grams."""
     found = bucket_counts(texts, buckets).toArrow()  # at most one row a bucket
@@ -101,9 +93,8 @@ def _probabilities(texts: DataFrame, buckets: int) -> np.ndarray:
     return np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * buckets)) if counts.any() else np.zeros(0)
 
 
-def fit(docs: DataFrame, good: DataFrame, buckets: int | None = None) -> np.ndarray:
+def fit(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Log ratio of target to raw probability per bucket; ``good(doc_id)`` names the target documents."""
-    buckets = buckets or buckets_for(docs.count())
     # stored, so that the join knows the size of the ids and may split a hot one
     ids = stored(good.where("doc_id is not null").select("doc_id").distinct(), "good_ids")
     target = _probabilities(docs.join(ids, "doc_id", "left_semi"), buckets)
