@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tripmart.llm import hard_negatives
 
@@ -78,6 +79,61 @@ def test_pruning_keeps_what_reaches_the_threshold_and_saves_products():
         assert index.products < 2000  # a third of the rows
 
 
+def a_cell(asks, rows, **more):
+    """One task's table: the rows' (ids, labels, vectors) and the anchors', which keep further columns."""
+    ids, labels, vectors = (np.concatenate(column) for column in zip(asks, rows, strict=True))
+    own, other = len(asks[0]), len(rows[0])
+    columns = {name: pa.array(values + [None] * other, pa.list_(pa.struct([("positive_id", pa.int64()), ("score", pa.int64())]))) for name, values in more.items()}
+    return pa.table({"vec_id": ids, "label": labels, "key": ids, "v": pa.array(list(vectors), pa.list_(pa.float64())), "asks": [True] * own + [False] * other, **columns})
+
+
+def test_anchors_go_through_a_bucket_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = np.floor(256 * rng.normal(size=(3000, 16)))
+    ids, labels = np.arange(3000), np.arange(3000) % 3
+    calls = []
+    step = hard_negatives.LengthBuckets._feasible
+    monkeypatch.setattr(hard_negatives.LengthBuckets, "_feasible", lambda self, *args: calls.append(1) or step(self, *args))
+    asks = (ids[:600], labels[:600], vectors[:600])
+    found = hard_negatives._find_positives(a_cell(*[tuple(column[labels[:len(column)] == 0] for column in side) for side in (asks, (ids, labels, vectors))]), 5)
+    scores = vectors @ vectors.T
+    positives = {}
+    for a in range(0, 600, 3):
+        same = [i for i in range(0, 3000, 3) if i != a]
+        positives[a] = sorted((-scores[a, i], i) for i in same)[:5]
+    assert sorted((r["anchor_id"], -r["score"], r["positive_id"]) for r in found.to_pylist()) == sorted((a, s, i) for a, best in positives.items() for s, i in best)
+
+    first = tuple(column[labels[:600] == 0] for column in asks)
+    given = [[{"positive_id": i, "score": int(-s)} for s, i in positives[a]] for a in first[0]]
+    mined = hard_negatives._find_negatives(a_cell(first, (ids, labels, vectors), positives=given), 3, 50, 95)
+    expected = []
+    for a, best in positives.items():
+        for n, (s, p) in enumerate(best):
+            band = sorted((-scores[a, i], i) for i in range(3000) if i % 3 and -50 * s <= 100 * scores[a, i] <= -95 * s)
+            expected += [(a, a, n, p, -s, i, -t) for t, i in band[:3]]
+    assert sorted(tuple(r.values()) for r in mined.to_pylist()) == sorted(expected)
+    # 200 anchors of one label: some buckets of 1,000 and of 3,000 rows, not 200 times as many steps
+    assert 0 < len(calls) < 100
+
+
+@pytest.mark.parametrize("narrow", [1, hard_negatives.NARROW, 10**6])  # every range read row by row, or none
+@pytest.mark.parametrize("spread", [0.02, 1.0])
+def test_narrow_and_wide_ranges_lose_no_row(monkeypatch, spread, narrow):
+    monkeypatch.setattr(hard_negatives, "NARROW", narrow)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 12))
+    size = np.exp(rng.normal(0, 0.4, size=(4000, 1)))
+    rows = np.floor(256 * size * (centres[rng.integers(0, 40, 4000)] + spread * rng.normal(size=(4000, 12))))
+    queries = rows[:100]
+    index = hard_negatives.LengthBuckets(np.arange(4000), np.zeros(4000, int), rows, np.abs(queries).max())
+    scores = queries @ rows.T
+    least = np.partition(scores, -15, axis=1)[:, -15]
+    least[:3] = [-np.inf, 0, np.inf]
+    got = [pair for lines, places, found in index.all_reaching(queries, lambda: least) for pair in zip(lines, index.ids[places], found, strict=True)]
+    assert sorted(got) == [(a, i, scores[a, i]) for a, i in zip(*np.nonzero(scores >= least[:, None]), strict=True)]
+    assert index.products < 8000 + 98 * 4000 / 10
+
+
 def test_empty_tables(spark):
     vectors = table(spark, [(1, [1.0], 1), (2, [1.0], 1)])
     assert mined(vectors, "false") == []

@@ -13,9 +13,15 @@ threshold:
   the shortest of their ranges is read off the sorted list, the other ranges
   are intersected with it, and what remains of the vectors outside the focus
   coordinates bounds the rest of the cosine;
+* where even the shortest range holds much of the bucket, the ranges save
+  nothing: the last bound, which implies all of them, is taken of the whole
+  bucket at once;
 * the candidates left are verified by their exact integer score, and the
   threshold rises with what is found.
 
+Anchors go through a bucket many at a time, so that what is done for one anchor
+alone is the verification of its candidates.
+
 Two passes: the positives of each anchor (its k best rows of the same label;
 the threshold is the k-th best so far), then, for each positive, the best rows
 of other labels inside the score band below it (the threshold is the lowest
@@ -57,6 +63,10 @@ LENGTH_RATIO = 0.8
 LEAST_BUCKET_ROWS = 64
 #: Share of an anchor's coordinates, its largest ones, that candidates are pruned by.
 FOCUS_SHARE = 0.5
+#: Anchors that go through a bucket together.
+TOGETHER = 256
+#: Part of a bucket, one in so many rows, up to which a range is read row by row.
+NARROW = 16
 #: Rows of the dealing plan up to which it is broadcast: two numbers a row.
 MAX_BROADCAST_PLAN = 100_000
 #: What rounding may cost a cosine.
@@ -104,79 +114,136 @@ class LengthBuckets:
                 end += LEAST_BUCKET_ROWS
             end = min(end, limit)
             unit = self.rows[begin:end] / np.maximum(length[begin:end, None], 1e-300)
-            lists = np.argsort(unit, axis=0, kind="stable")
-            self.buckets.append((begin, end, length[begin], unit, lists, np.take_along_axis(unit, lists, 0)))
+            lists = np.ascontiguousarray(np.argsort(unit, axis=0, kind="stable").T)
+            self.buckets.append((begin, end, length[begin], unit, lists, np.take_along_axis(unit.T, lists, 1)))
             begin = end
         self.all = np.arange(len(length))
         if not self.exact_floats:
             self.rows = np.frompyfunc(int, 1, 1)(self.rows)
 
     def reaching(self, query: np.ndarray, threshold: Callable[[], float | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places, scores), bucket by bucket, of every row whose score reaches ``threshold()``, and of a few others.
+        """(places, scores), bucket by bucket, of every row whose score reaches ``threshold()``; None is none."""
+
+        def thresholds() -> np.ndarray:
+            least = threshold()
+            return np.array([-np.inf if least is None else least], np.float64)
+
+        for _, places, scores in self.all_reaching(query[None], thresholds):
+            yield places, scores
 
-        The threshold is asked for anew before each bucket; None is none.
+    def all_reaching(self, queries: np.ndarray, thresholds: Callable[[], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(lines, places, scores), bucket by bucket, of every query and row whose score reaches the query's threshold.
+
+        ``thresholds()``, one a query, is asked for anew before each bucket; -inf is none.  Beyond exact floats all rows come.
         """
-        size = float(np.sqrt((query * query).sum()))
         if not self.exact_floats:
-            query = np.frompyfunc(int, 1, 1)(query)
-            yield self.all, self.rows @ query
+            for line, query in enumerate(np.frompyfunc(int, 1, 1)(queries)):
+                self.products += len(self.all)
+                yield np.full(len(self.all), line), self.all, self.rows @ query
             return
-        unit = query / max(size, 1e-300)
-        focus = np.argsort(-np.abs(unit), kind="stable")[:int(np.ceil(FOCUS_SHARE * len(unit)))]
-        q = unit[focus]
-        rest = np.sqrt(max(0.0, 1.0 - float(q @ q)))
+        size = np.sqrt((queries * queries).sum(1))
+        unit = queries / np.maximum(size[:, None], 1e-300)
+        focus = np.argsort(-np.abs(unit), axis=1, kind="stable")[:, :int(np.ceil(FOCUS_SHARE * unit.shape[1]))]
         for begin, end, longest, rows, lists, values in self.buckets:
-            least = threshold()
-            if least is None or least <= 0:
-                places = self.all[begin:end]
-            else:
-                if size * longest * (1 + _SLACK) < least:
-                    return  # the buckets after it hold shorter vectors
-                cosine = min(1.0, least / (size * longest)) - _SLACK
-                places = self._feasible(rows, lists, values, focus, q, rest, cosine) + begin
-            self.products += len(places)
-            yield places, self.rows[places] @ query
-
-    def _feasible(self, rows, lists, values, focus, q, rest, cosine) -> np.ndarray:
-        width = np.sqrt(max(0.0, 1 - cosine * cosine) * np.maximum(0.0, 1 - q * q))
-        low = np.where(-q >= cosine, -1.0, q * cosine - width) - _SLACK
-        high = np.where(q >= cosine, 1.0, q * cosine + width) + _SLACK
-        first = [int(np.searchsorted(values[:, f], a, "left")) for f, a in zip(focus, low)]
-        last = [int(np.searchsorted(values[:, f], b, "right")) for f, b in zip(focus, high)]
-        shortest = min(range(len(focus)), key=lambda k: last[k] - first[k], default=None)
-        if shortest is None:
-            return np.arange(len(rows))
-        found = lists[first[shortest]:last[shortest], focus[shortest]]
-        part = rows[found][:, focus]
-        inside = ((part >= low) & (part <= high)).all(1)
-        found, part = found[inside], part[inside]
+            least = thresholds()
+            active = size * longest * (1 + _SLACK) >= least
+            if not active.any():
+                return  # the buckets after it hold shorter vectors
+            found = []
+            whole = np.flatnonzero(active & (least <= 0))
+            if len(whole):
+                self.products += len(whole) * (end - begin)
+                scores = queries[whole] @ self.rows[begin:end].T
+                line, at = np.nonzero(scores >= least[whole, None])
+                found.append((whole[line], at + begin, scores[line, at]))
+            pruned = np.flatnonzero(active & (least > 0))
+            if len(pruned):
+                cosine = np.minimum(1.0, least[pruned] / (size[pruned] * longest)) - _SLACK
+                lines, places = self._feasible(rows, lists, values, unit[pruned], focus[pruned], cosine)
+                edges = np.searchsorted(lines, np.arange(len(pruned) + 1))
+                places += begin
+                self.products += len(places)
+                for line, first, last in zip(pruned, edges[:-1], edges[1:], strict=True):
+                    at = places[first:last]
+                    scores = self.rows[at] @ queries[line]
+                    reached = scores >= least[line]
+                    found.append((np.full(np.count_nonzero(reached), line), at[reached], scores[reached]))
+            yield tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+    def _feasible(self, rows, lists, values, unit, focus, cosine) -> tuple[np.ndarray, np.ndarray]:
+        """(lines, places in the bucket), lines ascending, of the rows that may have the cosine, or more, with a query."""
+        own = np.arange(len(unit))[:, None]
+        focused = np.zeros(unit.shape, bool)
+        focused[own, focus] = True
+        q = np.where(focused, unit, 0.0)
+        rest = np.sqrt(np.maximum(0.0, 1.0 - (q * q).sum(1)))
+        c = cosine[:, None]
+        width = np.sqrt(np.maximum(0.0, 1 - c * c) * np.maximum(0.0, 1 - q * q))
+        low = np.where(-q >= c, -1.0, q * c - width) - _SLACK
+        high = np.where(q >= c, 1.0, q * c + width) + _SLACK
+        first, last = np.zeros(unit.shape, np.int64), np.full(unit.shape, len(rows))
+        cut = focused & ((low > values[:, 0]) | (high < values[:, -1]))
+        for f in np.flatnonzero(cut.any(0)):
+            some = cut[:, f]
+            first[some, f] = np.searchsorted(values[f], low[some, f], "left")
+            last[some, f] = np.searchsorted(values[f], high[some, f], "right")
+        shortest = (last - first).argmin(1)
+        first, last = first[own[:, 0], shortest], last[own[:, 0], shortest]
+        count = np.maximum(0, last - first)
+        narrow = count * NARROW <= len(rows)
+        wide = np.flatnonzero(~narrow)
         # the rest of the cosine is at most the product of what is left of both lengths
-        beyond = rest * np.sqrt(np.maximum(0.0, 1 - (part * part).sum(1)))
-        return found[part @ q + beyond >= cosine - _SLACK]
+        beyond = rest[wide, None] * np.sqrt(np.maximum(0.0, 1 - focused[wide].astype(np.float64) @ (rows * rows).T))
+        line, places = np.nonzero(q[wide] @ rows.T + beyond >= c[wide] - _SLACK)
+        lines = wide[line]
+        if narrow.any():
+            count = np.where(narrow, count, 0)
+            line = np.repeat(own[:, 0], count)
+            place = lists[shortest[line], first[line] + np.arange(len(line)) - (np.cumsum(count) - count)[line]]
+            at = focus[line]
+            part = rows[place[:, None], at]
+            inside = ((part >= low[line[:, None], at]) & (part <= high[line[:, None], at])).all(1)
+            line, place, part, at = line[inside], place[inside], part[inside], at[inside]
+            beyond = rest[line] * np.sqrt(np.maximum(0.0, 1 - (part * part).sum(1)))
+            may = (part * unit[line[:, None], at]).sum(1) + beyond >= cosine[line] - _SLACK
+            lines, places = np.concatenate([lines, line[may]]), np.concatenate([places, place[may]])
+            order = np.argsort(lines, kind="stable")
+            lines, places = lines[order], places[order]
+        return lines, places
+
+
+def _in_order(lines: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places by line, then falling score, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (lines[i], -scores[i], ids[i])), int)
+    return np.lexsort((ids, -scores, lines))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to the smaller id."""
-    if scores.dtype == object:
-        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], int)
-    return np.lexsort((ids, -scores))[:k]
+def _nth(lines: np.ndarray) -> np.ndarray:
+    """The number of each place among those of its line, from 0; ``lines`` ascend."""
+    return np.arange(len(lines)) - np.searchsorted(lines, lines)
 
 
 class _Kept:
-    """The k best (score, id) so far."""
+    """The k best (score, id) so far of each of ``n`` lines."""
 
-    def __init__(self, k: int) -> None:
-        self.k, self.scores, self.ids = k, np.zeros(0), np.zeros(0, np.int64)
+    def __init__(self, k: int, n: int) -> None:
+        self.k, self.n = k, n
+        self.lines, self.scores, self.ids = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        if len(ids):
-            scores, ids = np.concatenate([self.scores.astype(scores.dtype), scores]), np.concatenate([self.ids, ids])
-            at = _best(scores, ids, self.k)
-            self.scores, self.ids = scores[at], ids[at]
+    def add(self, lines: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        if len(lines):
+            lines, scores, ids = np.concatenate([self.lines, lines]), np.concatenate([self.scores.astype(scores.dtype), scores]), np.concatenate([self.ids, ids])
+            order = _in_order(lines, scores, ids)
+            order = order[_nth(lines[order]) < self.k]
+            self.lines, self.scores, self.ids = lines[order], scores[order], ids[order]
 
-    def least(self):
-        """The score that another row has to reach, or None."""
-        return self.scores[-1] if len(self.ids) == self.k else None
+    def least(self) -> np.ndarray:
+        """The score that another row has to reach, one a line; -inf is any."""
+        out = np.full(self.n, -np.inf)
+        last = _nth(self.lines) == self.k - 1
+        out[self.lines[last]] = self.scores[last]
+        return out
 
 
 def _anchors(cell: pa.Table) -> tuple[pa.Table, LengthBuckets, np.ndarray] | None:
@@ -192,56 +259,70 @@ _POSITIVES = "anchor_id long, anchor_key long, positive_id long, score long"
 _NEGATIVES = "anchor_id long, anchor_key long, nth int, positive_id long, positive_score long, negative_id long, negative_score long"
 
 
-def _rows(records: list[tuple], schema: str) -> pa.Table:
+def _rows(parts: list[tuple], schema: str) -> pa.Table:
+    """The columns of all ``parts``, one after another."""
     names = [field.split() for field in schema.split(", ")]
-    columns = list(zip(*records, strict=True)) if records else [[]] * len(names)
+    columns = [[x for part in column for x in part.tolist()] for column in zip(*parts, strict=True)] if parts else [[]] * len(names)
     kind = {"long": pa.int64(), "int": pa.int32()}
-    return pa.table({name: pa.array(list(c), kind[t]) for (name, t), c in zip(names, columns, strict=True)})
+    return pa.table({name: pa.array([int(x) for x in c], kind[t]) for (name, t), c in zip(names, columns, strict=True)})
 
 
 def _find_positives(cell: pa.Table, k: int) -> pa.Table:
     """Per anchor the k best other rows of the cell, whose rows have all the anchor's label."""
     found = _anchors(cell)
-    records = []
+    parts = []
     if found:
         asks, index, queries = found
-        for anchor, key, query in zip(asks["vec_id"].to_pylist(), asks["key"].to_pylist(), queries, strict=True):
-            kept = _Kept(k)
-            for places, scores in index.reaching(query, kept.least):
+        anchors, keys = np.asarray(asks["vec_id"]), np.asarray(asks["key"])
+        for lo in range(0, len(queries), TOGETHER):
+            some = slice(lo, lo + TOGETHER)
+            anchor, key, query = anchors[some], keys[some], queries[some]
+            kept = _Kept(k, len(query))
+            for lines, places, scores in index.all_reaching(query, kept.least):
                 ids = index.ids[places]
-                other = ids != anchor
-                kept.add(scores[other], ids[other])
-            records += [(anchor, key, int(i), int(s)) for i, s in zip(kept.ids, kept.scores, strict=True)]
-    return _rows(records, _POSITIVES)
+                other = ids != anchor[lines]
+                kept.add(lines[other], scores[other], ids[other])
+            parts.append((anchor[kept.lines], key[kept.lines], kept.ids, kept.scores))
+    return _rows(parts, _POSITIVES)
 
 
 def _find_negatives(cell: pa.Table, k: int, low: int, high: int) -> pa.Table:
     """Per anchor and positive the k best rows of the cell of another label inside the band below the positive."""
     found = _anchors(cell)
-    records = []
+    parts = []
     if found:
         asks, index, queries = found
-        columns = (asks[c].to_pylist() for c in ("vec_id", "key", "label", "positives"))
-        for anchor, key, label, positives, query in zip(*columns, queries, strict=True):
-            # whole scores between low and high percent of the positive's
-            bands = [(n, p["positive_id"], p["score"], -(-low * p["score"] // 100), high * p["score"] // 100) for n, p in enumerate(positives)]
-            open_bands = [(*band, _Kept(k)) for band in bands if band[3] <= band[4]]
-            if not open_bands:
-                continue
-
-            def needed(open_bands=open_bands):
-                return min(least if (kept := band[5].least()) is None else kept for band in open_bands for least in [band[3]])
-
-            for places, scores in index.reaching(query, needed):
+        anchors, keys, labels = (np.asarray(asks[c]) for c in ("vec_id", "key", "label"))
+        positives = asks["positives"].to_pylist()
+        for lo in range(0, len(queries), TOGETHER):
+            some = slice(lo, lo + TOGETHER)
+            anchor, key, label, query, lists = anchors[some], keys[some], labels[some], queries[some], positives[some]
+            nths = range(max(map(len, lists)))
+            # whole scores between low and high percent of the positive's; (inf, -inf) for none
+            bands = [[(-(-low * p[n]["score"] // 100), high * p[n]["score"] // 100) if n < len(p) else (np.inf, -np.inf) for p in lists] for n in nths]
+            bands = [[band if band[0] <= band[1] else (np.inf, -np.inf) for band in column] for column in bands]
+            kind = np.float64 if index.exact_floats else object  # there every score is exact as a float, and so is every edge that one may equal
+            edges = [(np.array([band[0] for band in column], kind), np.array([band[1] for band in column], kind)) for column in bands]
+            kept = [_Kept(k, len(query)) for _ in nths]
+
+            def needed(edges=edges, kept=kept):
+                return np.min([np.maximum(least, best.least()) for (least, _), best in zip(edges, kept, strict=True)], axis=0)
+
+            for lines, places, scores in index.all_reaching(query, needed):
                 ids = index.ids[places]
-                other = (index.labels[places] != label) & (ids != anchor) & (scores >= min(band[3] for band in open_bands))
-                scores, ids = scores[other], ids[other]
-                for _, _, _, least, most, kept in open_bands:
-                    inside = (scores >= least) & (scores <= most)
-                    kept.add(scores[inside], ids[inside])
-            for n, positive, score, _, _, kept in open_bands:
-                records += [(anchor, key, n, positive, score, int(i), int(s)) for i, s in zip(kept.ids, kept.scores, strict=True)]
-    return _rows(records, _NEGATIVES)
+                other = (index.labels[places] != label[lines]) & (ids != anchor[lines])
+                lines, scores, ids = lines[other], scores[other], ids[other]
+                order = _in_order(lines, scores, ids)
+                lines, scores, ids = lines[order], scores[order], ids[order]
+                for (least, most), best in zip(edges, kept, strict=True):
+                    inside = np.flatnonzero((scores >= least[lines]) & (scores <= most[lines]))
+                    inside = inside[_nth(lines[inside]) < k]
+                    best.add(lines[inside], scores[inside], ids[inside])
+            for n, best in zip(nths, kept, strict=True):
+                chosen = [lists[line][n] for line in best.lines]
+                positive, score = (np.array([p[c] for p in chosen], np.int64) for c in ("positive_id", "score"))
+                parts.append((anchor[best.lines], key[best.lines], np.full(len(chosen), n), positive, score, best.ids, best.scores))
+    return _rows(parts, _NEGATIVES)
 
 
 # ---------------------------------------------------------------- dealing
