@@ -114,3 +114,29 @@ def test_small_sets_share_a_subset_with_each_similar_one():
         both = len(np.intersect1d(a, b))
         if len(b) and max(n, len(b)) <= 18 and 100 * both >= 85 * (n + len(b) - both):
             assert len(np.intersect1d(jaccard._subset_keys(np.sort(a), 18, 85), jaccard._subset_keys(b, 18, 85)))
+
+
+def test_documents_that_share_lines_only_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(8)
+    lines = [prose(rng, 12, 10**6) for _ in range(30)]
+    rows = [(k, "\n".join([prose(rng, 60, 10**6), *rng.sample(lines, 2), prose(rng, 60, 10**6)])) for k in range(200)]
+    rows += [(200 + k, rows[k][1] + " more") for k in range(3)]
+    ranks, cells, compared = jaccard.frequency_ranks, linking.cells, []
+    # far fewer counters than shingles, as in a large corpus: each counts several shingles
+    monkeypatch.setattr(jaccard, "frequency_ranks", lambda docs, width: ranks(docs, width, sketch=256))
+    monkeypatch.setattr(linking, "cells", lambda nodes: compared.append(nodes.count()) or cells(nodes))
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted(by_pairs(rows)) and sum(i != c for i, _, c in got) == 3
+    assert compared[0] < 20  # the copies and their originals, not all that share a line
+
+
+def test_keys_of_the_rarest_shingles_meet_across_batches(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SEND_BYTES", 1 << 10)
+    rows = case(60, seed=9)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(by_pairs(rows), key=str)
+
+
+def test_counts_are_coded_in_order():
+    codes = jaccard.count_code(np.array([1, 2, 63, 64, 65, 100, 1000, 10**6, 10**12]))
+    assert codes.dtype == np.uint8 and (np.diff(codes.astype(int)) >= 0).all() and codes[2] < codes[3] < codes[5] < codes[6] < codes[7]

@@ -15,11 +15,18 @@ threshold t.  Candidates come by size:
 * The boundary s is where enumerating and list scanning, at the measured set
   sizes and list lengths, cost least in total.
 
-Document counts are kept in ``SKETCH`` counters of shingle hashes, counted over
-all documents; they only order the shingles, so sharing a counter costs time,
-never a link.  Candidates are then connected, dealt into bounded cells and
-compared exactly (see ``linking``): in a cell, overlaps are counted by
-enumerating pairs in its short lists and by matrix products over its long ones.
+The counts are exact, as with counts that chance lifts documents that have
+nothing to do with each other share listed shingles, and the more there are the
+more do, until all candidates hang together.  Shingles meet by hash, and only
+those that a second document holds return to the batch of documents that they
+came from (``shared_keys``, ``listed_keys``): what doesn't return is in one
+document, comes first in the order and finds nobody, so most documents list
+nothing.  ``SKETCH`` counters give the list lengths for the boundary, and which
+shingles are alone in their counter and needn't be sent.
+
+Candidates are then connected, dealt into bounded cells and compared exactly
+(see ``linking``): in a cell, overlaps are counted by enumerating pairs in its
+short lists and by matrix products over its long ones.
 
 Defined results: a document without words or text has an empty set and links
 with nothing; one with fewer words than a shingle has one shingle of all its
@@ -51,9 +58,13 @@ from tripmart.llm.textarrays import LOWER, NON_SPACE_BYTES, mix, shingles, text_
 WIDTH = 4
 #: The threshold as a whole number of hundredths: comparisons stay exact.
 PERCENT = 85
-#: counters that order shingles by frequency: 8 MB once reduced to a byte each.
+#: Counters of shingles: 8 MB once reduced to a byte each.
 SKETCH = 1 << 23
 SKETCH_SLICES = 64
+#: A shingle whose counter has this rank is in one document.
+ALONE = 8
+#: Bytes of text whose shingles are sent at once.
+SEND_BYTES = 4 << 20
 #: The largest boundary tried between small and large sets.
 MAX_SMALL = 20
 #: Lists up to this length are enumerated pair by pair when overlaps are counted.
@@ -132,8 +143,12 @@ def frequency_ranks(docs: DataFrame, width: int = WIDTH, sketch: int = SKETCH) -
             by_size = np.frombuffer(row["ranks"], np.int64)
         else:
             ranks[row["slice"] * part:(row["slice"] + 1) * part] = np.frombuffer(row["ranks"], np.uint8)
-    total = sum(row["rows"] for row in rows)
-    return ranks, by_size, sum(row["squares"] for row in rows) / total if total else 0.0
+    return ranks, by_size, mean_list(sum(row["rows"] for row in rows), sum(row["squares"] for row in rows), sketch)
+
+
+def mean_list(total: float, squares: float, sketch: int) -> float:
+    """The mean list length of a shingle, from the counters' sum and sum of squares less what sharing a counter adds."""
+    return max(1.0, (squares - total * total / sketch) / (1 - 1 / sketch) / total) if total else 0.0
 
 
 def subset_sizes(size: int, boundary: int, percent: int) -> list[int]:
@@ -172,43 +187,137 @@ def _subset_keys(tokens: np.ndarray, boundary: int, percent: int) -> np.ndarray:
 
 
 def candidate_parts(docs: DataFrame, ranks: np.ndarray, boundary: int, buckets: int, width: int, percent: int) -> DataFrame:
-    """Key parts of all sets, and as info columns (row key, id, size, node) of every document."""
+    """Subset keys of small sets, the shingles of large ones, and as info columns (row key, id, size, node) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         emitted: set[int] = set()
+        columns, keys, nodes, sizes, tokens, owners = [], [], [], [], [], []
+        rows = held = 0
+
+        def send() -> pa.RecordBatch:
+            parts = [linking.info_part(number, *(np.concatenate(c) for c in zip(*columns, strict=True)))]
+            if keys:
+                parts += linking.parts_of(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes).astype("<i4"), 1, buckets)
+            parts += _token_parts(number, np.concatenate(tokens), np.concatenate(owners), rows, buckets)
+            for held_back in (columns, keys, nodes, sizes, tokens, owners):
+                held_back.clear()
+            return linking.part_batch(parts)
+
         for batch in batches:
             ids, row_keys = np.asarray(batch.column(0).fill_null(_LAST_ID)), np.asarray(batch.column(2))
-            columns, keys, nodes, sizes = [], [], [], []
             for lo, hi, found, starts in document_sets(batch.column(1), width):
                 size, node = np.diff(starts), set_hashes(found, starts)
                 columns.append((row_keys[lo:hi], ids[lo:hi], size, node))
                 # a set seen before in this task has sent its keys
                 fresh = np.array([n > 0 and x not in emitted and not emitted.add(x) for x, n in zip(node.tolist(), size.tolist(), strict=True)], bool)
-                rank = ranks[((found >> np.uint64(8)) % np.uint64(len(ranks))).astype(np.int64)].astype(np.uint64)
-                ordered = (rank << np.uint64(56)) | (found >> np.uint64(8))
-                listed = fresh & (size >= needed(boundary + 1, percent))
-                for k in np.flatnonzero(listed):
-                    ordered[starts[k]:starts[k + 1]].sort()
-                prefix = np.where(listed, size - needed(size, percent) + 1, 0)
-                where = np.repeat(starts[:-1], prefix) + np.arange(prefix.sum()) - np.repeat(np.cumsum(prefix) - prefix, prefix)
-                keys.append(mix(ordered[where]))
-                nodes.append(np.repeat(node, prefix))
-                sizes.append(np.repeat(size, prefix))
+                sent = np.repeat(fresh & (size >= needed(boundary + 1, percent)), size)
+                sent &= ranks[((found >> np.uint64(8)) % np.uint64(len(ranks))).astype(np.int64)] > ALONE
+                tokens.append(mix(found[sent]))
+                owners.append(np.repeat(np.arange(rows, rows + hi - lo), size)[sent])
                 for k in np.flatnonzero(fresh & (size <= boundary)):
                     own = _subset_keys(found[starts[k]:starts[k + 1]], boundary, percent)
                     keys.append(own)
                     nodes.append(np.full(len(own), node[k]))
                     sizes.append(np.full(len(own), size[k]))
-            if columns:
-                rows = [linking.info_part(number, *(np.concatenate(c) for c in zip(*columns, strict=True)))]
-                rows += linking.parts_of(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes).astype("<i4"), 1, buckets)
-                yield linking.part_batch(rows)
-            number += 1
+                rows, held = rows + hi - lo, held + 8 * len(found)
+                if held > SEND_BYTES:
+                    yield send()
+                    rows, held, number = 0, 0, number + 1
+        if columns:
+            yield send()
 
     return docs.select(F.col("doc_id").cast("long"), "text", row_key()).mapInArrow(run, linking.PART_SCHEMA)
 
 
+def _token_parts(number: int, tokens: np.ndarray, owners: np.ndarray, rows: int, buckets: int) -> Iterator[dict]:
+    """One row per bucket with the shingles (as 32 bits) of a batch and the place of their document in it."""
+    for row in linking.parts_of(tokens, owners.astype("<u2" if rows <= 1 << 16 else "<u4"), None, 2, buckets):
+        yield row | {"extra": np.int64(number).tobytes()}
+
+
+def _places(row: dict) -> np.ndarray:
+    return np.frombuffer(row["nodes"], "<u2" if 2 * len(row["nodes"]) == len(row["keys"]) else "<u4")
+
+
+def shared_keys(parts: DataFrame) -> DataFrame:
+    """The parts without subset keys and shingles that only one document sent; shingles return to their batch, with their counts."""
+
+    def run(group: pa.Table) -> pa.Table:
+        bucket = group["bucket"][0].as_py()
+        if bucket < 0:
+            return group
+        rows, out = group.to_pylist(), []
+        subsets = [r for r in rows if r["kind"] == 1]
+        if subsets:
+            keys, nodes, sizes = (np.concatenate([np.frombuffer(r[c], t) for r in subsets]) for c, t in (("keys", "<u4"), ("nodes", "<i8"), ("extra", "<i4")))
+            order = np.lexsort((nodes, keys))
+            keys, nodes, sizes = keys[order], nodes[order], sizes[order]
+            first, length = _groups(keys)
+            several = np.repeat(nodes[first] != nodes[first + length - 1], length)
+            if several.any():
+                out.append({"bucket": bucket, "kind": 1, "keys": keys[several].tobytes(), "nodes": nodes[several].tobytes(), "extra": sizes[several].tobytes()})
+        listed = [r for r in rows if r["kind"] == 2]
+        if listed:
+            each = [np.frombuffer(r["keys"], "<u4") for r in listed]
+            keys = np.concatenate(each)
+            order = np.argsort(keys)
+            _, length = _groups(keys[order])
+            count = np.zeros(len(keys), np.int64)
+            count[order] = np.repeat(length, length)
+            end = np.cumsum([len(k) for k in each])
+            for row, own, hi in zip(listed, each, end, strict=True):
+                mine = count[hi - len(own):hi]
+                kept = np.flatnonzero(mine > 1)
+                if len(kept):
+                    out.append({
+                        "bucket": -1 - int(np.frombuffer(row["extra"], np.int64)[0]), "kind": 2, "keys": own[kept].tobytes(), "nodes": _places(row)[kept].tobytes(),
+                        "extra": np.int64(bucket).tobytes() + count_code(mine[kept]).tobytes(),
+                    })
+        return pa.Table.from_batches([linking.part_batch(out)])
+
+    return parts.groupBy("bucket").applyInArrow(run, linking.PART_SCHEMA)
+
+
+def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first places, lengths) of runs of equal values."""
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(ordered)))
+
+
+def count_code(count: np.ndarray) -> np.ndarray:
+    """A byte that grows with the count: the count up to 64, then by its logarithm."""
+    return np.minimum(255, np.where(count <= 64, count, 64 + 8 * np.log2(np.maximum(count, 64) / 64))).astype(np.uint8)
+
+
+def listed_keys(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """The parts with, instead of the returned shingles, keys of those among the rarest of their set."""
+
+    def run(group: pa.Table) -> pa.Table:
+        if group["bucket"][0].as_py() >= 0:
+            return group
+        rows = group.to_pylist()
+        out, back = [r for r in rows if r["kind"] == 0], [r for r in rows if r["kind"] == 2]
+        if back:
+            _, _, size, node = np.frombuffer(out[0]["extra"], np.int64).reshape(4, -1)
+            place = np.concatenate([_places(r) for r in back]).astype(np.int64)
+            count = np.concatenate([np.frombuffer(r["extra"], np.uint8, offset=8) for r in back])
+            token = np.concatenate([
+                np.frombuffer(r["keys"], "<u4").astype(np.uint64) | np.frombuffer(r["extra"], np.uint64, 1) << np.uint64(32) for r in back
+            ])
+            order = np.lexsort((token, count, place))
+            place, token = place[order], token[order]
+            first, length = _groups(place)
+            size, node = size[place[first]], node[place[first]]
+            # the shingles that didn't return come first
+            rarest = np.clip(size - needed(size, percent) + 1 - (size - length), 0, length)
+            at = np.repeat(first, rarest) + np.arange(rarest.sum()) - np.repeat(np.cumsum(rarest) - rarest, rarest)
+            out += linking.parts_of(mix(token[at]), np.repeat(node, rarest), np.repeat(size, rarest).astype("<i4"), 1, buckets)
+        return pa.Table.from_batches([linking.part_batch(out)])
+
+    return shared.groupBy("bucket").applyInArrow(run, linking.PART_SCHEMA)
+
+
 def list_edges(percent: int):
     """Star edges among the nodes of each key whose sizes lie close enough."""
 
@@ -295,8 +404,9 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     """
     ranks, by_size, list_length = frequency_ranks(docs, width)
     boundary = choose_boundary(by_size, list_length, percent)
-    parts = candidate_parts(docs, ranks, boundary, linking.bucket_count(docs), width, percent)
-    found = stored(linking.met(parts, list_edges(percent), "<i4"), "jaccard_candidates")
+    buckets = linking.bucket_count(docs)
+    shared = shared_keys(candidate_parts(docs, ranks, boundary, buckets, width, percent))
+    found = stored(linking.met(listed_keys(shared, buckets, percent), list_edges(percent), "<i4"), "jaccard_candidates")
     info = found.where("kind = 0").select(
         F.col("a").alias("row_key"), F.col("b").alias("id"), F.col("c").alias("n"), F.when(F.col("c") > 0, F.col("d")).alias("node")
     )
