@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from tests.llm.helpers import frame, mixed_rows, prose
 from tripmart.llm import suffixes
 
@@ -80,3 +81,49 @@ def test_levels_merge_geometrically_and_scan_alike():
         assert least.tolist() == [smallest[k] for k in key.tolist()]
     levels.compact()
     assert len(levels.levels) == 1
+
+
+def batches_of(texts, number, buckets=1):
+    """Batches by number, and their runs."""
+    dealt = {}
+    for doc_id, text in texts:
+        dealt.setdefault(doc_id % number, []).append((doc_id, text))
+    batches = {n: suffixes.Batch(pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]}), 50, 20, buckets) for n, rows in dealt.items()}
+    return batches, [run for n, batch in batches.items() for run in batch.runs(n)]
+
+
+def test_all_runs_of_a_bucket_are_scanned_together(monkeypatch):
+    rng = random.Random(8)
+    _, runs = batches_of([(k, prose(rng, 40, 10**6)) for k in range(80)], 40)
+    scan, calls = suffixes.Levels.scan, []
+    monkeypatch.setattr(suffixes.Levels, "scan", lambda self, *a: calls.append(1) or scan(self, *a))
+    assert suffixes._scan_stretches(suffixes._table(runs, suffixes._RUN)).num_rows == 40
+    assert len(calls) == 1  # not one a batch, of which a larger table has more in every bucket
+
+
+def test_a_run_names_only_the_documents_that_it_holds():
+    rng = random.Random(9)
+    ids = rng.sample(range(10**12), 300)
+    _, runs = batches_of([(k, prose(rng, 20, 10**6)) for k in ids], 1, buckets=200)
+    entries = sum(len(run["seeds"]) // 8 for run in runs)
+    assert len(runs) == 200 and sum(len(run["docs"]) + len(run["owner"]) for run in runs) < 10 * entries + 9 * len(runs)
+    assert {d for run in runs for d in suffixes._owners(run, len(run["seeds"]) // 8).tolist()} == set(ids)
+
+
+def test_windows_are_indexed_only_where_more_than_a_seed_is_shared():
+    rng = random.Random(10)
+    shared = prose(rng, 30, 10**6)
+    texts = [(k, f"{prose(rng, 30, 10**6)} {shared[:28]} {prose(rng, 30, 10**6)}") for k in range(60)]
+    texts += [(60 + k, f"{prose(rng, 30, 10**6)} {shared[:80]} {prose(rng, 30, 10**6)}") for k in range(2)]
+    batches, runs = batches_of(texts, 6)
+    flags = suffixes._scan_stretches(suffixes._table(runs, suffixes._RUN)).to_pylist()
+    windows = 0
+    for number, batch in batches.items():
+        _, _, counts = batch.contested(*batch.flags([r for r in flags if r["batch"] == number]))
+        windows += counts.sum()
+    assert 0 < windows < 300  # the ends of the long passage; the short one's seeds would add some twenty in each of 62 texts
+
+
+def test_numbers_packed_by_their_steps():
+    for values in ([5], [0, 1, 2], [3, 258, 259], [-7, 10**6], [-(1 << 63), 4, (1 << 63) - 1]):
+        assert suffixes._unpacked(suffixes._packed(np.array(values))).tolist() == values

@@ -14,16 +14,22 @@ document).  If the stretch occurs in a smaller document, so do all its windows.
 
 Index.  Documents are dealt into batches.  The entries of a batch, sorted by
 seed and stretch, are its suffix array, a run.  The space of seeds is cut into
-buckets, and each bucket holds a family of levels: a run enters as the lowest
-level, and while the two lowest are of about equal size they are merged, so
-there are logarithmically many levels and an entry is merged logarithmically
-often.  Once the last run is in, the levels are merged into one, and every run
-is merge-scanned against it: a stretch with a smaller document is a match; a
-seed with several different stretches is contested, as parts of them may
-still agree.
-
-Windows.  For contested stretches without a match, one of each kind, the
-windows are indexed themselves in the same way, which settles them exactly.
+buckets, and each bucket holds a family of levels: the runs of several batches,
+``GATHERED`` entries or more, enter as the lowest level, and while the two
+lowest are of about equal size they are merged, so there are logarithmically
+many levels and an entry is merged logarithmically often, however many batches
+there are.  Once the last run is in, the levels are merged into one, and all
+runs are scanned against it together: a stretch with a smaller document is a
+match.  Parts of different stretches of one seed may still agree.  A window
+reaches some bytes beyond its seed on the left or else on the right: those
+whose seed starts at half of the room or later hold the half on its left, the
+others that on its right.  So a half of a stretch is contested if a different
+stretch has the same seed and the same bytes on that side; an entry has 16 bits
+of the hash of either.  Without them the seeds that stretches share by chance,
+and with them the windows, would be more with every document.
+
+Windows.  For contested halves of stretches without a match, one of each kind,
+the windows are indexed themselves in the same way, which settles them exactly.
 
 Batches and buckets hold bounded amounts of text and entries; a stretch that
 occurs in any number of documents is one entry per batch.
@@ -38,7 +44,6 @@ compared by 96 bits of hashes and more.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,23 +60,27 @@ BATCH_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 48
 LEAST_BATCHES = 16
+#: Entries that enter or are scanned against the levels together, at least.
+GATHERED = 1 << 16
 
 _NO_ID = (1 << 63) - 1
 _LOW = np.uint64(0xFFFFFFFF)
 
-_RUN = "batch long, bucket int, docs binary, seeds binary, rest binary, owner binary, counts binary"
-_FLAGS = "batch long, bucket int, kind int, first binary, second binary"
+_RUN = "batch long, bucket int, docs binary, seeds binary, rest binary, sides binary, owner binary, counts binary"
+_FLAGS = "batch long, bucket int, kind int, matched binary, left binary, right binary"
 
 
 @dataclass
 class Stretches:
-    """The stretches of a batch: first window, number of windows, document, key halves."""
+    """The stretches of a batch: first window, number of windows, of those the ones of the left half, document, key halves, sides."""
 
     start: np.ndarray
     windows: np.ndarray
+    lefts: np.ndarray
     doc: np.ndarray
     key: np.ndarray  # 32 bits of the seed's hash, 32 of the stretch's
     rest: np.ndarray  # 32 further bits of the stretch's
+    sides: np.ndarray  # 16 bits of the hash of the seed with what is left of it, 16 with what is right; 0 where no window has that half
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) -> Stretches:
@@ -79,7 +88,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) ->
     n_windows = len(data) - length + 1
     if n_windows <= 0:
         none = np.zeros(0, np.int64)
-        return Stretches(none, none, none, none.astype(np.uint64), none.astype(np.uint32))
+        return Stretches(none, none, none, none, none.astype(np.uint64), none.astype(np.uint32), none.astype(np.uint32))
     hasher = Hasher(data)
     seeds = mix(hasher.windows(seed))
     # hash above, place below: the smallest is the leftmost of the smallest
@@ -100,7 +109,13 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) ->
     whole = hasher.spans(start, start + count + length - 1)
     whole = mix(whole + (anchor - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     key = (seeds[anchor] << np.uint64(32)) | (whole & _LOW)
-    return Stretches(start, count, np.searchsorted(offsets, start, "right") - 1, key, (whole >> np.uint64(32)).astype(np.uint32))
+    half = (length - seed + 1) // 2
+    lefts = np.clip(anchor - half - start + 1, 0, count)
+    sides = np.zeros(len(start), np.uint32)
+    for has, low, high, shift in ((lefts > 0, -half, seed, 16), (lefts < count, 0, length - half + 1, 0)):
+        at = anchor[has]
+        sides[has] |= (hasher.spans(at + low, at + high) % np.uint64(0xFFFF) + np.uint64(1)).astype(np.uint32) << np.uint32(shift)
+    return Stretches(start, count, lefts, np.searchsorted(offsets, start, "right") - 1, key, (whole >> np.uint64(32)).astype(np.uint32), sides)
 
 
 def _sorted(key: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,8 +152,8 @@ class Levels:
             self._merge()
 
     def scan(self, key: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each entry the smallest document it is known from, and how many entries share its upper 32 bits."""
-        least, near = np.full(len(key), _NO_ID), np.zeros(len(key), np.int64)
+        """Of each entry the smallest document it is known from, and its place in the last level that has it, or -1."""
+        least, places = np.full(len(key), _NO_ID), np.full(len(key), -1)
         for known, known_rest, doc in self.levels:
             at = np.searchsorted(known, key)
             open_ = np.flatnonzero(at < len(known))
@@ -147,13 +162,11 @@ class Levels:
                 same = known[place] == key[open_]
                 hit = same & (known_rest[place] == rest[open_])
                 least[open_[hit]] = np.minimum(least[open_[hit]], doc[place[hit]])
+                places[open_[hit]] = place[hit]
                 open_ = open_[same & ~hit]
                 at[open_] += 1
                 open_ = open_[at[open_] < len(known)]
-            upper = known >> np.uint64(32)
-            seed = key >> np.uint64(32)
-            near += np.searchsorted(upper, seed, "right") - np.searchsorted(upper, seed)
-        return least, near
+        return least, places
 
 
 class Batch:
@@ -173,45 +186,48 @@ class Batch:
             part = stretches(self.data[begin:self.offsets[hi]], self.offsets[lo:hi + 1] - begin, length, seed)
             part.start, part.doc = part.start + begin, rank[part.doc + lo]
             usable = self.values[part.doc] < _NO_ID if len(part.doc) else np.zeros(0, bool)
-            found.append([x[usable] for x in (part.start, part.windows, part.doc, part.key, part.rest)])
+            found.append([x[usable] for x in (part.start, part.windows, part.lefts, part.doc, part.key, part.rest, part.sides)])
         if not found:
-            found = [[np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint32)]]
-        self.start, self.windows, self.doc, self.key, self.rest = (np.concatenate(x) for x in zip(*found, strict=True))
+            found = [[np.zeros(0, t) for t in (*[np.int64] * 4, np.uint64, np.uint32, np.uint32)]]
+        self.start, self.windows, self.lefts, self.doc, self.key, self.rest, self.sides = (np.concatenate(x) for x in zip(*found, strict=True))
         self.order, self.first = _sorted(self.key, self.rest)
         self.group = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(self.order))))
         self.head = self.order[self.first]  # documents ascend, so the first of a group has its smallest
         self.bucket = ((self.key[self.head] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        self.docs = zlib.compress(np.diff(self.values, prepend=0).tobytes(), 1)
 
     def runs(self, number: int) -> Iterator[dict]:
         """The batch's suffix array, cut at the bucket borders (buckets ascend with keys)."""
         for bucket, lo, hi in _cuts(self.bucket):
             head = self.head[lo:hi]
-            yield _run(number, bucket, self.docs, self.key[head], self.rest[head], self.doc[head], None)
+            yield _run(number, bucket, self.values, self.key[head], self.rest[head], self.sides[head], self.doc[head], None)
 
-    def flags(self, rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """The two flags of every group, from the rows of all buckets."""
-        by_bucket = {r["bucket"]: r for r in rows if r["kind"] == kind}
-        first, second = np.zeros(len(self.head), bool), np.zeros(len(self.head), bool)
+    def flags(self, rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every group, from the rows of all buckets, whether it is matched and contested left and right."""
+        by_bucket = {r["bucket"]: r for r in rows if r["kind"] == 1}
+        out = tuple(np.zeros(len(self.head), bool) for _ in range(3))
         for bucket, lo, hi in _cuts(self.bucket):
-            first[lo:hi], second[lo:hi] = _bits(by_bucket[bucket]["first"], hi - lo), _bits(by_bucket[bucket]["second"], hi - lo)
-        return first, second
-
-    def contested(self, matched: np.ndarray, several: np.ndarray) -> np.ndarray:
-        """Groups whose windows are to be indexed themselves."""
-        return np.flatnonzero(several & ~matched)
-
-    def window_runs(self, number: int, groups: np.ndarray) -> Iterator[dict]:
+            for name, flag in zip(("matched", "left", "right"), out, strict=True):
+                flag[lo:hi] = _bits(by_bucket[bucket][name], hi - lo)
+        return out
+
+    def contested(self, matched: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(groups, first window, number of windows) of the groups whose windows, some or all, are to be indexed themselves."""
+        lefts, windows = self.lefts[self.head], self.windows[self.head]
+        low, high = np.where(left, 0, lefts), np.where(right, windows, lefts)
+        groups = np.flatnonzero(~matched & (high > low))
+        return groups, low[groups], (high - low)[groups]
+
+    def window_runs(self, number: int, groups: np.ndarray, low: np.ndarray, counts: np.ndarray) -> Iterator[dict]:
         heads = self.head[groups]
-        hashes = window_hashes(self.data, self.length, self.start[heads], self.windows[heads])
-        at = np.concatenate([[0], np.cumsum(self.windows[heads])])
+        hashes = window_hashes(self.data, self.length, self.start[heads] + low, counts)
+        at = np.concatenate([[0], np.cumsum(counts)])
         for bucket, lo, hi in _cuts(self.bucket[groups]):
             head, mine = heads[lo:hi], hashes[at[lo]:at[hi]]
-            low, high = (mine & _LOW).astype("<u4"), ((mine >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2")
+            below, above = (mine & _LOW).astype("<u4"), ((mine >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2")
             seeds = (self.key[head] >> np.uint64(32)).astype(np.uint32)
-            yield _run(number, bucket, self.docs, seeds, low.tobytes() + high.tobytes(), self.doc[head], self.windows[head])
+            yield _run(number, bucket, self.values, seeds, below.tobytes() + above.tobytes(), None, self.doc[head], counts[lo:hi])
 
-    def marks(self, matched: np.ndarray, groups: np.ndarray, rows: list[dict]) -> np.ndarray:
+    def marks(self, matched: np.ndarray, groups: np.ndarray, low: np.ndarray, counts: np.ndarray, rows: list[dict]) -> np.ndarray:
         """Which bytes go, from the groups' flags and the flags of contested windows."""
         change = np.zeros(len(self.data) + 1, np.int32)
         head_doc = self.doc[self.head][self.group]
@@ -220,19 +236,24 @@ class Batch:
         np.add.at(change, start[gone], 1)
         np.add.at(change, start[gone] + windows[gone] + self.length - 1, -1)
         by_bucket = {r["bucket"]: r for r in rows if r["kind"] == 2}
+        hit = np.zeros(int(counts.sum()), bool)
+        ends = np.cumsum(counts)
         for bucket, lo, hi in _cuts(self.bucket[groups]):
-            counts = self.windows[self.head[groups[lo:hi]]]
-            hit = _bits(by_bucket[bucket]["first"], int(counts.sum()))
-            ends = np.cumsum(counts)
-            for group, begin, end in zip(groups[lo:hi], ends - counts, ends, strict=True):
-                inside = np.flatnonzero(hit[begin:end])
-                if len(inside):
-                    # every stretch of this kind in the same document holds the same windows
-                    last = self.first[group + 1] if group + 1 < len(self.first) else len(self.order)
-                    for k in range(self.first[group], last):
-                        if doc[k] == head_doc[k]:
-                            np.add.at(change, start[k] + inside, 1)
-                            np.add.at(change, start[k] + inside + self.length, -1)
+            begin, end = ends[lo] - counts[lo], ends[hi - 1]
+            hit[begin:end] = _bits(by_bucket[bucket]["matched"], int(end - begin))
+        # every stretch of this kind in the same document holds the same windows
+        chosen = np.zeros(len(self.head), bool)
+        chosen[groups] = True
+        alike = np.flatnonzero(chosen[self.group] & (doc == head_doc))
+        times = np.bincount(self.group[alike], minlength=len(self.head))[groups]
+        at = np.flatnonzero(hit)
+        of = np.searchsorted(ends, at, "right")
+        inside = at - (ends - counts)[of] + low[of]
+        each = times[of]
+        place = np.repeat((np.cumsum(times) - times)[of], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        found = start[alike][place] + np.repeat(inside, each)
+        np.add.at(change, found, 1)
+        np.add.at(change, found + self.length, -1)
         return np.cumsum(change[:-1]) > 0
 
 
@@ -260,21 +281,35 @@ def _cuts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(bucket[lo]), int(lo), int(hi)
 
 
-def _run(batch: int, bucket: int, docs: bytes, seeds: np.ndarray, rest: np.ndarray | bytes, owner: np.ndarray, counts: np.ndarray | None) -> dict:
-    narrow = "<u2" if not len(owner) or owner.max() < 1 << 16 else "<u4"
+def _run(batch: int, bucket: int, values: np.ndarray, seeds: np.ndarray, rest: np.ndarray | bytes, sides: np.ndarray | None, owner: np.ndarray, counts: np.ndarray | None) -> dict:
+    held = np.zeros(len(values), bool)
+    held[owner] = True
+    docs, owner = values[held], (np.cumsum(held) - 1)[owner]
     return {
-        "batch": batch, "bucket": bucket, "docs": docs, "seeds": seeds.tobytes(), "rest": rest if isinstance(rest, bytes) else rest.tobytes(),
-        "owner": owner.astype(narrow).tobytes(), "counts": b"" if counts is None else counts.astype("<u2").tobytes(),
+        "batch": batch, "bucket": bucket, "docs": _packed(docs), "seeds": seeds.tobytes(), "rest": rest if isinstance(rest, bytes) else rest.tobytes(),
+        "sides": b"" if sides is None else sides.tobytes(), "owner": owner.astype(np.min_scalar_type(len(docs) - 1)).tobytes(),
+        "counts": b"" if counts is None else counts.astype("<u2").tobytes(),
     }
 
 
+def _packed(ascending: np.ndarray) -> bytes:
+    """Distinct ascending numbers, at least one: the first, then the steps in as few bytes each as the largest needs."""
+    steps = np.diff(ascending).view(np.uint64)
+    kind = np.min_scalar_type(steps.max() if len(steps) else 0)
+    return np.int64(ascending[0]).tobytes() + bytes([kind.itemsize]) + steps.astype(kind).tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(packed, f"<u{packed[8]}", offset=9)
+    return np.concatenate([np.frombuffer(packed, np.int64, 1), steps.astype(np.int64)]).cumsum()
+
+
 def _bits(packed: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 
 
 def _owners(row: dict, n: int) -> np.ndarray:
-    values = np.cumsum(np.frombuffer(zlib.decompress(row["docs"]), np.int64))
-    return values[np.frombuffer(row["owner"], "<u2" if len(row["owner"]) == 2 * n else "<u4")]
+    return _unpacked(row["docs"])[np.frombuffer(row["owner"], f"<u{len(row['owner']) // n}")]
 
 
 def _table(rows: list[dict], ddl: str) -> pa.Table:
@@ -283,38 +318,81 @@ def _table(rows: list[dict], ddl: str) -> pa.Table:
     return pa.Table.from_pylist(rows, schema)
 
 
-def _scan_stretches(group: pa.Table) -> pa.Table:
-    """All runs of a bucket: add each to the levels, then scan each against them."""
-    levels, runs, out = Levels(), [], []
-    for row in group.to_pylist():
-        key, rest = np.frombuffer(row["seeds"], "<u8"), np.frombuffer(row["rest"], "<u4")
-        runs.append((row, key, rest, _owners(row, len(key))))
-    for _, key, rest, doc in runs:
-        levels.add(key, rest, doc)
+def _gathered(sizes: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """(first run, end run, first entry, end entry) of consecutive runs that have ``GATHERED`` entries or are the last."""
+    lo = begin = end = 0
+    for k, size in enumerate(sizes):
+        end += size
+        if end - begin >= GATHERED or k == len(sizes) - 1:
+            yield lo, k + 1, begin, end
+            lo, begin = k + 1, end
+
+
+def _levels(sizes: list[int], key: np.ndarray, rest: np.ndarray, doc: np.ndarray) -> Levels:
+    """All entries in one level."""
+    levels = Levels()
+    for _, _, lo, hi in _gathered(sizes):
+        order, first = _sorted(key[lo:hi], rest[lo:hi])
+        if len(first):
+            levels.add(key[lo:hi][order][first], rest[lo:hi][order][first], np.minimum.reduceat(doc[lo:hi][order], first))
     levels.compact()
-    for row, key, rest, doc in runs:
-        least, near = levels.scan(key, rest)
-        out.append({"batch": row["batch"], "bucket": row["bucket"], "kind": 1, "first": np.packbits(least < doc).tobytes(), "second": np.packbits(near > 1).tobytes()})
+    return levels
+
+
+def _several(values: np.ndarray) -> np.ndarray:
+    """Which values stand more than once."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    same = np.concatenate([[False], ordered[1:] == ordered[:-1], [False]])
+    out = np.zeros(len(values), bool)
+    out[order] = same[1:] | same[:-1]
+    return out
+
+
+def _scan_stretches(group: pa.Table) -> pa.Table:
+    """All runs of a bucket: they enter the levels, then all are scanned against them."""
+    rows, out = group.to_pylist(), []
+    keys = [np.frombuffer(row["seeds"], "<u8") for row in rows]
+    sizes = [len(k) for k in keys]
+    key = np.concatenate(keys)
+    rest, sides = (np.concatenate([np.frombuffer(row[c], "<u4") for row in rows]) for c in ("rest", "sides"))
+    doc = np.concatenate([_owners(row, n) for row, n in zip(rows, sizes, strict=True)])
+    levels = _levels(sizes, key, rest, doc)
+    least, place = levels.scan(key, rest)
+    side = np.zeros(len(levels.levels[0][0]) if levels.levels else 0, np.uint32)
+    side[place] = sides
+    seed = (levels.levels[0][0] >> np.uint64(32)) << np.uint64(16) if levels.levels else np.zeros(0, np.uint64)
+    matched = least < doc
+    left, right = ((_several(seed | half.astype(np.uint64)) & (half > 0))[place] for half in (side >> np.uint32(16), side & np.uint32(0xFFFF)))
+    end = np.cumsum(sizes)
+    for row, lo, hi in zip(rows, end - sizes, end, strict=True):
+        out.append({
+            "batch": row["batch"], "bucket": row["bucket"], "kind": 1,
+            **{name: np.packbits(flag[lo:hi]).tobytes() for name, flag in (("matched", matched), ("left", left), ("right", right))},
+        })
     return _table(out, _FLAGS)
 
 
 def _scan_windows(group: pa.Table) -> pa.Table:
     """The same for the windows of contested stretches; a window's key is its seed and its hash."""
-    levels, runs, out = Levels(), [], []
-    for row in group.to_pylist():
+    rows, out, entries = group.to_pylist(), [], []
+    for row in rows:
         counts = np.frombuffer(row["counts"], "<u2").astype(np.int64)
         total = int(counts.sum())
         seeds = np.repeat(np.frombuffer(row["seeds"], "<u4").astype(np.uint64), counts)
-        key = (seeds << np.uint64(32)) | np.frombuffer(row["rest"], "<u4", total)
-        rest = np.frombuffer(row["rest"], "<u2", total, 4 * total).astype(np.uint32)
-        doc = np.repeat(_owners(row, len(counts)), counts)
-        order, first = _sorted(key, rest)
-        levels.add(key[order][first], rest[order][first], np.minimum.reduceat(doc[order], first))
-        runs.append((row, key, rest, doc))
-    levels.compact()
-    for row, key, rest, doc in runs:
-        least, _ = levels.scan(key, rest)
-        out.append({"batch": row["batch"], "bucket": row["bucket"], "kind": 2, "first": np.packbits(least < doc).tobytes(), "second": b""})
+        entries.append((
+            (seeds << np.uint64(32)) | np.frombuffer(row["rest"], "<u4", total), np.frombuffer(row["rest"], "<u2", total, 4 * total),
+            np.repeat(_owners(row, len(counts)), counts),
+        ))
+    sizes = [len(key) for key, _, _ in entries]
+    key, rest, doc = (np.concatenate(x) for x in zip(*entries, strict=True))
+    entries.clear()
+    levels = _levels(sizes, key, rest, doc)
+    for first, last, begin, end in _gathered(sizes):
+        matched = levels.scan(key[begin:end], rest[begin:end])[0] < doc[begin:end]
+        stop = np.cumsum(sizes[first:last])
+        for row, lo, hi in zip(rows[first:last], stop - sizes[first:last], stop, strict=True):
+            out.append({"batch": row["batch"], "bucket": row["bucket"], "kind": 2, "matched": np.packbits(matched[lo:hi]).tobytes(), "left": b"", "right": b""})
     return _table(out, _FLAGS)
 
 
@@ -334,7 +412,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, batc
         if not texts.num_rows:
             return _table([], _RUN)
         batch = Batch(texts, length, seed, buckets)
-        return _table(list(batch.window_runs(texts["batch"][0].as_py(), batch.contested(*batch.flags(flags.to_pylist(), 1)))), _RUN)
+        return _table(list(batch.window_runs(texts["batch"][0].as_py(), *batch.contested(*batch.flags(flags.to_pylist())))), _RUN)
 
     report = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -347,8 +425,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, batc
             return pa.Table.from_pylist([], pa.schema(report))
         batch = Batch(texts, length, seed, buckets)
         rows = flags.to_pylist()
-        matched, several = batch.flags(rows, 1)
-        gone = batch.marks(matched, batch.contested(matched, several), rows)
+        matched, left, right = batch.flags(rows)
+        gone = batch.marks(matched, *batch.contested(matched, left, right), rows)
         out = []
         for k, doc_id in enumerate(batch.ids.to_pylist()):
             lo, hi = batch.offsets[k], batch.offsets[k + 1]
