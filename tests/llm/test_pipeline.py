@@ -4,14 +4,14 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tests.llm.helpers import prose
+from tests.llm.helpers import frame, prose
 from tests.llm.test_bpe import library  # noqa: F401
 from tests.llm.test_decontaminate import by_windows
 from tests.llm.test_jaccard import by_pairs as near_copies_of
 from tests.llm.test_lines import by_pairs as lines_of
 
 import corpus_pipeline
-from tripmart.llm import quality
+from tripmart.llm import jaccard, linking, quality, stages
 from tripmart.llm.tables import table
 
 
@@ -118,3 +118,16 @@ def test_stages_keep_every_column_whatever_its_name(spark, folder):
         rows = out.collect()
         assert rows and all(str(r[c]) == str(r.doc_id * 10 + k) for r in rows for k, c in enumerate(clash)), name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
+def test_near_copies_compares_no_documents_that_share_lines_only(spark, monkeypatch):
+    rng = random.Random(11)
+    lines = [prose(rng, 12, 10**6) for _ in range(30)]
+    rows = [(k, "\n".join([prose(rng, 60, 10**6), *rng.sample(lines, 2), prose(rng, 60, 10**6)])) for k in range(200)]
+    rows += [(200 + k, rows[k][1] + " more") for k in range(3)]
+    ranks, cells, compared = jaccard.frequency_ranks, linking.cells, []
+    # far fewer counters than shingles, as in a large corpus: each counts several shingles
+    monkeypatch.setattr(jaccard, "frequency_ranks", lambda docs, width: ranks(docs, width, sketch=256))
+    monkeypatch.setattr(linking, "cells", lambda nodes: compared.append(nodes.count()) or cells(nodes))
+    assert sorted(r.doc_id for r in stages.near_copies(spark, frame(spark, rows), "").collect()) == list(range(200))
+    assert compared[0] < 20
